@@ -1,0 +1,28 @@
+"""SQL texts that state the expected result of each registered query."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+from vigil.sources.adapters import STATEMENTS, common_table_expressions
+
+_FOLDER = Path(__file__).parent
+
+
+def _shared() -> dict[str, str]:
+    return {path.stem: path.read_text().strip() for path in _FOLDER.glob("*.cte")}
+
+
+def statement(name: str) -> str:
+    """Full text for one query: adapted tables, shared parts it names, and the query."""
+    body = (_FOLDER / f"{name}.sql").read_text().strip()
+    for shared, text in _shared().items():
+        if re.search(rf"\b(from|join) {shared}\b", body):
+            body = f"{text}\n{body}"
+    used = [table for table in STATEMENTS if re.search(rf"\b{table}\b", body)]
+    return f"{common_table_expressions(used)}\n{body}"
+
+
+def statements() -> dict[str, str]:
+    return {path.stem: statement(path.stem) for path in sorted(_FOLDER.glob("*.sql"))}

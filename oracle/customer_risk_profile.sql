@@ -1,0 +1 @@
+select * from profile
