@@ -11,17 +11,22 @@ _FOLDER = Path(__file__).parent
 
 
 def _shared() -> dict[str, str]:
-    return {path.stem: path.read_text().strip() for path in _FOLDER.glob("*.cte")}
+    """Shared part by each table it defines."""
+    parts = {}
+    for path in sorted(_FOLDER.glob("*.cte")):
+        text = path.read_text().strip()
+        parts |= dict.fromkeys(re.findall(r"^(?:, |\), )(\w+) as \($", text, re.M), text)
+    return parts
 
 
 def statement(name: str) -> str:
     """Full text for one query: adapted tables, shared parts it names, and the query."""
     body = (_FOLDER / f"{name}.sql").read_text().strip()
-    for shared, text in _shared().items():
-        if re.search(rf"\b(from|join) {shared}\b", body):
-            body = f"{text}\n{body}"
+    shared = {text for table, text in _shared().items() if re.search(rf"(\bfrom|\bjoin|,) {table}\b", body)}
+    body = "\n".join([*sorted(shared), body])
     used = [table for table in STATEMENTS if re.search(rf"\b{table}\b", body)]
-    return f"{common_table_expressions(used)}\n{body}"
+    tables = common_table_expressions(used) if used else "with nothing as (select 1)"
+    return f"{tables}\n{body}"
 
 
 def statements() -> dict[str, str]:

@@ -1,0 +1,18 @@
+select 'customers' as entity, 'first_name_required' as constraint_name, cast(customer_id as varchar) as row_key from faulty_customers where first_name is null
+union all select 'customers', 'email_format', cast(customer_id as varchar) from faulty_customers
+  where not regexp_full_match(email, '[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}', 'i')
+union all select 'customers', 'birth_date_past', cast(customer_id as varchar) from faulty_customers where birth_date >= date '2024-02-10'
+union all select 'customers', 'country_code_length', cast(customer_id as varchar) from faulty_customers where length(country_code) > 2
+union all select 'accounts', 'customer_id_required', cast(account_id as varchar) from faulty_accounts where customer_id is null
+union all select 'accounts', 'account_currency', cast(account_id as varchar) from faulty_accounts where currency not in ('UAH', 'USD', 'EUR')
+union all select 'accounts', 'balance_not_negative', cast(account_id as varchar) from faulty_accounts where balance < 0
+union all select 'accounts', 'account_status', cast(account_id as varchar) from faulty_accounts where status not in ('ACTIVE', 'FROZEN', 'CLOSED')
+union all select 'transactions', 'amount_positive', cast(transaction_id as varchar) from faulty_transactions where amount <= 0
+union all select 'transactions', 'transaction_currency', cast(transaction_id as varchar) from faulty_transactions where currency not in ('UAH', 'USD', 'EUR')
+union all select 'transactions', 'merchant_country_length', cast(transaction_id as varchar) from faulty_transactions where length(merchant_country) > 2
+union all select 'transactions', 'transaction_status', cast(transaction_id as varchar) from faulty_transactions
+  where status not in ('PENDING', 'APPROVED', 'DECLINED', 'FLAGGED')
+union all select 'transactions', 'transaction_score', cast(transaction_id as varchar) from faulty_transactions where risk_score not between 0 and 100
+union all select 'fraud_alerts', 'alert_score', cast(alert_id as varchar) from faulty_alerts where risk_score not between 0 and 100
+union all select 'fraud_alerts', 'alert_status', cast(alert_id as varchar) from faulty_alerts
+  where alert_status not in ('OPEN', 'REVIEWED', 'CLOSED', 'FALSE_POSITIVE')

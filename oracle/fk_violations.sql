@@ -1,0 +1,17 @@
+select 'accounts' as entity, 'accounts_customer' as constraint_name, cast(account_id as varchar) as row_key, cast(customer_id as varchar) as missing_key
+from faulty_accounts where customer_id not in (select customer_id from faulty_customers)
+union all
+select 'transactions', 'transactions_account', cast(transaction_id as varchar), cast(account_id as varchar)
+from faulty_transactions where account_id not in (select account_id from faulty_accounts)
+union all
+select 'transactions', 'transactions_card', cast(transaction_id as varchar), cast(card_id as varchar)
+from faulty_transactions where card_id not in (select card_id from bank_cards)
+union all
+select 'status_history', 'history_transaction', cast(transaction_id as varchar), cast(transaction_id as varchar)
+from bank_status_history where transaction_id not in (select transaction_id from faulty_transactions)
+union all
+select 'fraud_alerts', 'alerts_transaction', cast(alert_id as varchar), cast(transaction_id as varchar)
+from faulty_alerts where transaction_id not in (select transaction_id from faulty_transactions)
+union all
+select 'fraud_alerts', 'alerts_rule', cast(alert_id as varchar), cast(rule_id as varchar)
+from faulty_alerts where rule_id not in (select rule_id from bank_fraud_rules)

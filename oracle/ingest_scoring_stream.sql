@@ -1,0 +1 @@
+select transaction_id, risk_score, status from verdicts

@@ -1,0 +1,5 @@
+select transaction_id, 'accepted' as outcome, cast(null as varchar) as reason, status, risk_score from verdicts
+union all
+select transaction_id, 'refused', 'already processed: ' || old_status, old_status, null from scored where old_status <> 'PENDING'
+union all
+select -1 - transaction_id, 'refused', 'not found', null, null from scored

@@ -1,0 +1 @@
+select * from crm_events_wide

@@ -1,0 +1,17 @@
+, made_items as (
+select
+  item as order_item_id,
+  id as order_id,
+  (('0x' || substr(md5('42/item_product/' || item), 1, 12))::bigint % products) + 1 as product_id,
+  cast((('0x' || substr(md5('42/quantity/' || item), 1, 12))::bigint % 10) + 1 as int) as quantity,
+  cast(cast((('0x' || substr(md5('42/unit_price/' || item), 1, 12))::bigint % 99501) + 500 as decimal(10,0)) * cast(0.01 as decimal(3,2)) as decimal(10,2)) as unit_price
+from (select id, (id - 1) * 5 + line as item from (select o_orderkey + 1 as id from orders), range(1, 6) as r(line)
+  where line <= (('0x' || substr(md5('42/items/' || id), 1, 12))::bigint % 5) + 1), sizes
+), made_products as (
+select
+  id as product_id,
+  list_extract(['electronics', 'food', 'clothes', 'books', 'home'], (('0x' || substr(md5('42/category/' || id), 1, 12))::bigint % 5) + 1) as category
+from (select p_partkey + 1 as id from part)
+)
+select category, count(*) as items_sold, cast(sum(quantity * unit_price) as decimal(25,2)) as revenue
+from made_items join made_products using (product_id) group by category

@@ -1,0 +1,10 @@
+select
+  id as customer_id,
+  'Customer ' || (('0x' || substr(md5('42/full_name/' || id), 1, 12))::bigint % 1000) as full_name,
+  'user' || id || '@' || list_extract(['gmail.com', 'example.com', 'example.org'], (('0x' || substr(md5('42/email/' || id), 1, 12))::bigint % 3) + 1) as email,
+  '+380' || (('0x' || substr(md5('42/phone/' || id), 1, 12))::bigint % 1000000000) as phone,
+  'City ' || (('0x' || substr(md5('42/city/' || id), 1, 12))::bigint % 1000) as city,
+  'Country ' || (('0x' || substr(md5('42/country/' || id), 1, 12))::bigint % 200) as country,
+  timestamp '2024-02-10' - to_seconds((('0x' || substr(md5('42/created_at/' || id), 1, 12))::bigint % 94608000)) as created_at,
+  list_extract(['active', 'inactive', 'blocked'], (('0x' || substr(md5('42/status/' || id), 1, 12))::bigint % 3) + 1) as status
+from (select c_custkey + 1 as id from customer)

@@ -1,0 +1,27 @@
+select
+  id as event_id,
+  (('0x' || substr(md5('42/event_customer/' || id), 1, 12))::bigint % customers) + 1 as customer_id,
+  list_extract(['page_view', 'click', 'purchase', 'login', 'logout'], (('0x' || substr(md5('42/event_type/' || id), 1, 12))::bigint % 5) + 1) as event_type,
+  timestamp '2024-02-10' - to_seconds((('0x' || substr(md5('42/event_time/' || id), 1, 12))::bigint % 31536000)) as event_time,
+  list_extract(['google', 'facebook', 'email', 'direct', 'tiktok'], (('0x' || substr(md5('42/source/' || id), 1, 12))::bigint % 5) + 1) as source,
+  'campaign ' || (('0x' || substr(md5('42/campaign/' || id), 1, 12))::bigint % 1000) as campaign,
+  list_extract(['mobile', 'desktop', 'tablet'], (('0x' || substr(md5('42/device/' || id), 1, 12))::bigint % 3) + 1) as device,
+  list_extract(['chrome', 'safari', 'firefox', 'edge'], (('0x' || substr(md5('42/browser/' || id), 1, 12))::bigint % 4) + 1) as browser,
+  list_extract(['ios', 'android', 'windows', 'macos', 'linux'], (('0x' || substr(md5('42/os/' || id), 1, 12))::bigint % 5) + 1) as os,
+  (('0x' || substr(md5('42/ip_0/' || id), 1, 12))::bigint % 256) || '.' || (('0x' || substr(md5('42/ip_1/' || id), 1, 12))::bigint % 256) || '.' || (('0x' || substr(md5('42/ip_2/' || id), 1, 12))::bigint % 256) || '.' || (('0x' || substr(md5('42/ip_3/' || id), 1, 12))::bigint % 256) as ip_address,
+  'https://example.com/' || (('0x' || substr(md5('42/page_url/' || id), 1, 12))::bigint % 1000) as page_url,
+  'https://example.org/' || (('0x' || substr(md5('42/referrer/' || id), 1, 12))::bigint % 1000) as referrer,
+  'word ' || (('0x' || substr(md5('42/utm_source/' || id), 1, 12))::bigint % 1000) as utm_source,
+  'word ' || (('0x' || substr(md5('42/utm_medium/' || id), 1, 12))::bigint % 1000) as utm_medium,
+  'word ' || (('0x' || substr(md5('42/utm_campaign/' || id), 1, 12))::bigint % 1000) as utm_campaign,
+  'text ' || (('0x' || substr(md5('42/attr_01/' || id), 1, 12))::bigint % 1000) as attr_01,
+  'text ' || (('0x' || substr(md5('42/attr_02/' || id), 1, 12))::bigint % 1000) as attr_02,
+  'text ' || (('0x' || substr(md5('42/attr_03/' || id), 1, 12))::bigint % 1000) as attr_03,
+  'text ' || (('0x' || substr(md5('42/attr_04/' || id), 1, 12))::bigint % 1000) as attr_04,
+  'text ' || (('0x' || substr(md5('42/attr_05/' || id), 1, 12))::bigint % 1000) as attr_05,
+  'text ' || (('0x' || substr(md5('42/attr_06/' || id), 1, 12))::bigint % 1000) as attr_06,
+  'text ' || (('0x' || substr(md5('42/attr_07/' || id), 1, 12))::bigint % 1000) as attr_07,
+  'text ' || (('0x' || substr(md5('42/attr_08/' || id), 1, 12))::bigint % 1000) as attr_08,
+  'text ' || (('0x' || substr(md5('42/attr_09/' || id), 1, 12))::bigint % 1000) as attr_09,
+  'text ' || (('0x' || substr(md5('42/attr_10/' || id), 1, 12))::bigint % 1000) as attr_10
+from (select event_id + 1 as id from events), sizes

@@ -1,0 +1,9 @@
+select
+  id as order_id,
+  (('0x' || substr(md5('42/order_customer/' || id), 1, 12))::bigint % customers) + 1 as customer_id,
+  timestamp '2024-02-10' - to_seconds((('0x' || substr(md5('42/order_date/' || id), 1, 12))::bigint % 63072000)) as order_date,
+  list_extract(['new', 'paid', 'shipped', 'cancelled', 'returned'], (('0x' || substr(md5('42/order_status/' || id), 1, 12))::bigint % 5) + 1) as status,
+  cast(cast((('0x' || substr(md5('42/total_amount/' || id), 1, 12))::bigint % 299001) + 1000 as decimal(10,0)) * cast(0.01 as decimal(3,2)) as decimal(12,2)) as total_amount,
+  list_extract(['card', 'cash', 'bank_transfer'], (('0x' || substr(md5('42/payment_method/' || id), 1, 12))::bigint % 3) + 1) as payment_method,
+  'City ' || (('0x' || substr(md5('42/delivery_city/' || id), 1, 12))::bigint % 1000) as delivery_city
+from (select o_orderkey + 1 as id from orders), sizes

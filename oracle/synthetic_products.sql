@@ -1,0 +1,8 @@
+select
+  id as product_id,
+  'product ' || (('0x' || substr(md5('42/product_name/' || id), 1, 12))::bigint % 1000) as product_name,
+  list_extract(['electronics', 'food', 'clothes', 'books', 'home'], (('0x' || substr(md5('42/category/' || id), 1, 12))::bigint % 5) + 1) as category,
+  cast(cast((('0x' || substr(md5('42/price/' || id), 1, 12))::bigint % 99501) + 500 as decimal(10,0)) * cast(0.01 as decimal(3,2)) as decimal(10,2)) as price,
+  'Supplier ' || (('0x' || substr(md5('42/supplier/' || id), 1, 12))::bigint % 1000) as supplier,
+  timestamp '2024-02-10' - to_seconds((('0x' || substr(md5('42/created_at/' || id), 1, 12))::bigint % 94608000)) as created_at
+from (select p_partkey + 1 as id from part)

@@ -1,19 +1 @@
-, owned as (
-  select t.*, a.customer_id, t.status <> 'DECLINED' as counted
-  from bank_transactions_pending t left join bank_accounts a using (account_id)
-), measured as (
-  select *,
-    coalesce(sum(amount) filter (where counted) over (partition by customer_id, cast(transaction_at as date)), 0) as volume,
-    count(*) filter (where counted) over (partition by customer_id order by transaction_at
-      range between interval 1 hour preceding and current row) - counted::int as others
-  from owned
-)
-select transaction_id, customer_id, cast(volume as decimal(25,2)) as daily_volume, others as recent_count,
-  cast(least(100,
-    case when amount > 10000 then 25 when amount > 5000 then 15 when amount > 1000 then 5 else 0 end
-    + case when merchant_country in ('KP', 'IR', 'SY', 'CU', 'VE', 'MM', 'AF') then 25 else 0 end
-    + case when merchant_category in ('GAMBLING', 'CRYPTO', 'ADULT_CONTENT', 'WEAPONS') then 20 else 0 end
-    + case when hour(transaction_at) <= 4 then 10 else 0 end
-    + case when volume > 50000 then 20 when volume > 20000 then 10 else 0 end
-    + case when others >= 5 then 20 when others >= 3 then 10 else 0 end) as int) as risk_score
-from measured
+select transaction_id, customer_id, daily_volume, recent_count, risk_score from scored

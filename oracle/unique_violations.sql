@@ -1,0 +1,6 @@
+select 'customers' as entity, 'customers_email' as constraint_name, email as key_value, count(*) as row_count
+from faulty_customers where email is not null group by email having count(*) > 1
+union all
+select 'accounts', 'accounts_number', account_number, count(*) from faulty_accounts group by account_number having count(*) > 1
+union all
+select 'transactions', 'transactions_key', cast(transaction_id as varchar), count(*) from faulty_transactions group by transaction_id having count(*) > 1

@@ -1,0 +1,49 @@
+"""Substring search through a table of trigrams."""
+
+from __future__ import annotations
+
+import zlib
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SIZE = 3
+BUCKETS = 64
+
+
+def trigram_table(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Distinct (trigram, key) pairs; distinct within a row, so no shuffle is needed."""
+    starts = F.sequence(F.lit(1), F.length(text) - (SIZE - 1))
+    pieces = F.transform(starts, lambda i: F.substr(F.col(text), i, F.lit(SIZE)))
+    return rows.filter(F.length(text) >= SIZE).select(
+        F.explode(F.array_distinct(pieces)).alias("trigram"), key
+    )
+
+
+def write_trigram_table(rows: DataFrame, key: str, text: str, folder: str) -> None:
+    """Stored by trigram hash and sorted, so that a search reads few folders and row groups."""
+    (
+        trigram_table(rows, key, text)
+        .withColumn("bucket", F.pmod(F.crc32(F.encode("trigram", "utf-8")), F.lit(BUCKETS)).cast("int"))
+        # The key in the range splits a frequent trigram over several tasks.
+        .repartitionByRange("bucket", "trigram", key)
+        .sortWithinPartitions("trigram", key)
+        .write.partitionBy("bucket")
+        .parquet(folder)
+    )
+
+
+def trigram_search(rows: DataFrame, index: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
+    """Rows whose text contains the pattern; shorter patterns than a trigram scan the rows."""
+    hit = F.col(text).contains(pattern)
+    if len(pattern) < SIZE:
+        return rows.filter(hit)
+    wanted = sorted({pattern[i : i + SIZE] for i in range(len(pattern) - SIZE + 1)})
+    chosen = index.filter(F.col("trigram").isin(wanted))
+    if "bucket" in index.columns:
+        buckets = sorted({zlib.crc32(t.encode()) % BUCKETS for t in wanted})
+        chosen = chosen.filter(F.col("bucket").isin(buckets))
+    candidates = (
+        chosen.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") == len(wanted)).select(key)
+    )
+    return rows.join(candidates, key, "left_semi").filter(hit)

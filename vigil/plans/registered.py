@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from vigil.plans import reports, scoring, summary
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigil import fixed_values as fixed
+from vigil import schemas
+from vigil.operators import audit, keyed, quality, trigram
+from vigil.plans import commerce, decisions, reports, scoring, summary
+from vigil.session import work_folder
+from vigil.sources import synthetic
 from vigil.sources.adapters import Tables
+from vigil.streaming import ingest
 
+# Points in time that put the trailing 30, 90 and 180 days inside the stored events.
 AS_OF = "2024-02-10 00:00:00"
+EVENTS_90 = "2024-04-15 00:00:00"
+EVENTS_180 = "2024-07-14 00:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -144,3 +154,400 @@ def daily_fraud_summary(t: Tables) -> DataFrame:
         t["bank_customers"],
         AS_OF,
     )
+
+
+# Jobs on transactions, alerts, accounts and balances.
+
+
+def _all_requests(t: Tables) -> DataFrame:
+    """Every transaction id, and as many ids that no transaction has."""
+    ids = t["bank_transactions_pending"].select("transaction_id")
+    return ids.unionByName(ids.select((-1 - F.col("transaction_id")).alias("transaction_id")))
+
+
+@_query
+def process_pending(t: Tables) -> DataFrame:
+    return _decided(t).outcomes
+
+
+@_query
+def process_pending_history(t: Tables) -> DataFrame:
+    return _decided(t).history
+
+
+@_query
+def process_pending_alerts(t: Tables) -> DataFrame:
+    return _decided(t).alerts
+
+
+def _decided(t: Tables) -> decisions.Decisions:
+    return decisions.process_pending(
+        _all_requests(t),
+        t["bank_transactions_pending"],
+        t["bank_accounts"],
+        t["bank_fraud_rules"],
+        "app_user",
+        AS_OF,
+    )
+
+
+@_query
+def fraud_alerts_matched(t: Tables) -> DataFrame:
+    requests = t["bank_fraud_alerts"].select("transaction_id", "reason", "risk_score")
+    return decisions.create_alerts(requests, t["bank_fraud_rules"], AS_OF)
+
+
+def _frozen(t: Tables) -> decisions.Freeze:
+    """Accounts with flagged transactions are to be frozen; so are accounts that do not exist."""
+    flagged = t["bank_transactions_scored"].filter(F.col("status") == "FLAGGED").select("account_id")
+    requests = flagged.unionByName(
+        t["bank_accounts"].select((-1 - F.col("account_id")).alias("account_id"))
+    )
+    return decisions.freeze_accounts(
+        requests, t["bank_accounts"], t["bank_transactions_scored"], "app_user", AS_OF
+    )
+
+
+@_query
+def freeze_accounts(t: Tables) -> DataFrame:
+    return _frozen(t).outcomes
+
+
+@_query
+def freeze_accounts_statuses(t: Tables) -> DataFrame:
+    return _frozen(t).accounts.select("account_id", "status")
+
+
+@_query
+def freeze_transactions_statuses(t: Tables) -> DataFrame:
+    return _frozen(t).transactions.select("transaction_id", "account_id", "status")
+
+
+@_query
+def approve_pending(t: Tables) -> DataFrame:
+    snapshot, _ = decisions.approve_pending(t["bank_transactions_scored"])
+    return snapshot.select("transaction_id", "status", "risk_score")
+
+
+@_query
+def approve_pending_count(t: Tables) -> DataFrame:
+    _, count = decisions.approve_pending(t["bank_transactions_scored"])
+    return count
+
+
+@_query
+def balances_after_approval(t: Tables) -> DataFrame:
+    before = t["bank_transactions_scored"]
+    after, _ = decisions.approve_pending(before)
+    deductions = decisions.approval_deductions(before, after)
+    return decisions.deducted_balances(t["bank_accounts"], deductions, strict=False).select(
+        "account_id", "balance", "deducted", "overdrawn"
+    )
+
+
+@_query
+def status_history(t: Tables) -> DataFrame:
+    before, after = t["bank_transactions_pending"], t["bank_transactions_scored"]
+    arrived = before.filter(F.col("status") == "PENDING").select("transaction_id")
+    scored = after.join(arrived, "transaction_id", "left_semi")
+    return decisions.status_history(before, after, scored, "app_user", AS_OF)
+
+
+@_query
+def customer_delete_check(t: Tables) -> DataFrame:
+    """Every customer is to be deleted, and as many that do not exist."""
+    ids = t["bank_customers"].select("customer_id")
+    requests = ids.unionByName(ids.select((-1 - F.col("customer_id")).alias("customer_id")))
+    return decisions.customer_delete_check(requests, t["bank_customers"], t["bank_accounts"])
+
+
+# References, audit and data quality.
+
+
+@_query
+def cascade_delete(t: Tables) -> DataFrame:
+    """History and alerts that remain once declined and flagged low-score transactions are gone."""
+    gone = (
+        t["bank_transactions_scored"]
+        .filter(F.col("status").isin("DECLINED", "FLAGGED") & (F.col("risk_score") < 60))
+        .select("transaction_id")
+    )
+    history = keyed.without_references(t["bank_status_history"], "transaction_id", gone)
+    alerts = keyed.without_references(t["bank_fraud_alerts"], "transaction_id", gone)
+    return history.select(
+        F.lit("status_history").alias("entity"), "transaction_id", F.col("seq").cast("bigint").alias("row_key")
+    ).unionByName(
+        alerts.select(F.lit("fraud_alerts").alias("entity"), "transaction_id", F.col("alert_id").alias("row_key"))
+    )
+
+
+@_query
+def nullify_refs(t: Tables) -> DataFrame:
+    """References left after prepaid cards, inactive or nightly rules and inactive customers go."""
+    cards = t["bank_cards"].filter(F.col("card_type") == "PREPAID").select("card_id")
+    rules = t["bank_fraud_rules"].filter("not is_active or rule_type = 'TIME'").select("rule_id")
+    people = t["bank_customers"].filter(~F.col("is_active")).select("customer_id")
+
+    def left(entity: str, rows: DataFrame, key: str, reference: str, gone: DataFrame) -> DataFrame:
+        return keyed.clear_references(rows.select(key, reference), reference, gone).select(
+            F.lit(entity).alias("entity"),
+            F.col(key).alias("row_key"),
+            F.col(reference).cast("bigint").alias("reference"),
+        )
+
+    return (
+        left("transactions", t["bank_transactions_scored"], "transaction_id", "card_id", cards)
+        .unionByName(left("fraud_alerts", t["bank_fraud_alerts"], "alert_id", "rule_id", rules))
+        .unionByName(left("audit_log", t["bank_audit_log"], "audit_id", "customer_id", people))
+    )
+
+
+@_query
+def audit_changes(t: Tables) -> DataFrame:
+    return audit.audit_changes(
+        t["bank_accounts"].select("account_id", "customer_id", "currency", "status"),
+        t["bank_accounts_later"],
+        "account_id",
+        ["currency", "status"],
+        "accounts",
+        "customer_id",
+        AS_OF,
+    )
+
+
+def _faulty(t: Tables) -> dict[str, DataFrame]:
+    return {
+        "customers": t["faulty_customers"],
+        "accounts": t["faulty_accounts"],
+        "transactions": t["faulty_transactions"],
+        "status_history": t["bank_status_history"],
+        "fraud_alerts": t["faulty_alerts"],
+        "audit_log": t["bank_audit_log"],
+        "fraud_rules": t["bank_fraud_rules"],
+        "cards": t["bank_cards"],
+    }
+
+
+@_query
+def check_violations(t: Tables) -> DataFrame:
+    return quality.check_violations(_faulty(t), quality.payment_rules(AS_OF))
+
+
+@_query
+def unique_violations(t: Tables) -> DataFrame:
+    return quality.unique_violations(_faulty(t), quality.payment_rules(AS_OF))
+
+
+@_query
+def fk_violations(t: Tables) -> DataFrame:
+    keys = {name: rules.key for name, rules in quality.payment_rules(AS_OF).items()}
+    return quality.reference_violations(_faulty(t), quality.PAYMENT_REFERENCES, keys)
+
+
+# Commerce.
+
+
+@_query
+def email_search(t: Tables) -> DataFrame:
+    return commerce.email_search(t["crm_customers"], "gmail")
+
+
+@_query
+def trigram_search(t: Tables) -> DataFrame:
+    people = t["crm_customers"]
+    index = trigram.trigram_table(people, "customer_id", "email")
+    return trigram.trigram_search(people, index, "customer_id", "email", "gmail")
+
+
+@_query
+def orders_city_status(t: Tables) -> DataFrame:
+    return commerce.orders_by_city_and_status(t["crm_orders"], "a", "paid")
+
+
+@_query
+def customer_revenue_top(t: Tables) -> DataFrame:
+    return commerce.customer_revenue_top(t["crm_customers"], t["crm_orders"])
+
+
+@_query
+def event_counts_recent(t: Tables) -> DataFrame:
+    return commerce.event_counts_top(t["crm_events_wide"], EVENTS_180)
+
+
+@_query
+def event_counts_recent_split(t: Tables) -> DataFrame:
+    """The same report from the core part of the split event table."""
+    core, _, _ = _event_parts(t)
+    return commerce.event_counts_top(core, EVENTS_180)
+
+
+@_query
+def category_revenue(t: Tables) -> DataFrame:
+    return commerce.category_revenue(t["crm_order_items"], t["crm_products"])
+
+
+@_query
+def order_event_pair_count(t: Tables) -> DataFrame:
+    return commerce.order_event_pair_count(
+        t["crm_customers"], t["crm_orders"], t["crm_events_wide"], EVENTS_90
+    )
+
+
+@_query
+def orders_with_recent_events(t: Tables) -> DataFrame:
+    return commerce.orders_with_recent_events(
+        t["crm_customers"], t["crm_orders"], t["crm_events_wide"], EVENTS_90
+    )
+
+
+def _event_parts(t: Tables) -> list[DataFrame]:
+    return keyed.split_columns(
+        t["crm_events_wide"], [schemas.EVENT_CORE, schemas.EVENT_UTM, schemas.EVENT_ATTRIBUTES]
+    )
+
+
+@_query
+def split_events_core(t: Tables) -> DataFrame:
+    return _event_parts(t)[0]
+
+
+@_query
+def split_event_utm(t: Tables) -> DataFrame:
+    return _event_parts(t)[1]
+
+
+@_query
+def split_event_attributes(t: Tables) -> DataFrame:
+    return _event_parts(t)[2]
+
+
+@_query
+def split_events_rejoined(t: Tables) -> DataFrame:
+    return keyed.join_parts(_event_parts(t), schemas.EVENT_KEY)
+
+
+@_query
+def insert_new_events(t: Tables) -> DataFrame:
+    return keyed.insert_absent(t["crm_events_batch"], t["crm_events_known"], schemas.EVENT_KEY)
+
+
+@_query
+def keyed_update(t: Tables) -> DataFrame:
+    """Attributes of the events of blocked customers are rewritten."""
+    blocked = t["crm_customers"].filter(F.col("status") == "blocked")
+    updates = blocked.select(
+        "customer_id",
+        F.concat(F.lit(fixed.UPDATE_PREFIX), F.lit(AS_OF)).alias("attr_01"),
+        *(F.lit(fixed.UPDATE_TEXT).alias(c) for c in ("attr_02", "attr_03", "attr_04")),
+    )
+    events = t["crm_events_wide"].select(
+        "event_id", "customer_id", "event_time", "attr_01", "attr_02", "attr_03", "attr_04", "attr_05"
+    )
+    return keyed.update_columns(events, updates, "customer_id")
+
+
+@_query
+def keyed_update_orders(t: Tables) -> DataFrame:
+    """Orders with a returned product line become paid."""
+    returned = t["lineitem"].filter(F.col("l_returnflag") == "R")
+    updates = returned.select(F.col("l_orderkey").alias("order_id"), F.lit("paid").alias("status"))
+    return keyed.update_columns(t["crm_orders"], updates, "order_id")
+
+
+# Generated commerce tables, one row per row of the stored inputs.
+
+SEED = 42
+
+
+def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select((F.col(key) + 1).alias("id"))
+
+
+def _size(rows: DataFrame) -> Column:
+    return rows.agg(F.count("*")).scalar()
+
+
+def _generated(t: Tables) -> dict[str, DataFrame]:
+    customers, products = t["customer"], t["part"]
+    orders = _numbered(t["orders"], "o_orderkey")
+    return {
+        "customers": synthetic.customers(_numbered(customers, "c_custkey"), AS_OF, SEED),
+        "products": synthetic.products(_numbered(products, "p_partkey"), AS_OF, SEED),
+        "orders": synthetic.orders(orders, _size(customers), AS_OF, SEED),
+        "order_items": synthetic.order_items(orders, _size(products), SEED),
+        "events": synthetic.events(_numbered(t["events"], "event_id"), _size(customers), AS_OF, SEED),
+    }
+
+
+@_query
+def synthetic_customers(t: Tables) -> DataFrame:
+    return _generated(t)["customers"]
+
+
+@_query
+def synthetic_products(t: Tables) -> DataFrame:
+    return _generated(t)["products"]
+
+
+@_query
+def synthetic_orders(t: Tables) -> DataFrame:
+    return _generated(t)["orders"]
+
+
+@_query
+def synthetic_order_items(t: Tables) -> DataFrame:
+    return _generated(t)["order_items"]
+
+
+@_query
+def synthetic_events(t: Tables) -> DataFrame:
+    return _generated(t)["events"]
+
+
+@_query
+def synthetic_crm(t: Tables) -> DataFrame:
+    """Category revenue over the generated tables."""
+    made = _generated(t)
+    return commerce.category_revenue(made["order_items"], made["products"])
+
+
+# Streams over the stored events.
+
+
+class _Arriving:
+    """Inputs of an adapted table with the stored events as a stream."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "events":
+            return (
+                self.t.spark.readStream.schema(schemas.RAW[name])
+                .option("pathGlobFilter", f"{name}.parquet")
+                .parquet(self.t.folder)
+            )
+        return self.t.adapt(name, self)
+
+
+@_query
+def ingest_scoring_stream(t: Tables) -> DataFrame:
+    store = work_folder(t.spark, "scoring-stream")
+    arrivals = t.adapt("bank_transactions_pending", _Arriving(t))
+    ingest.start_scoring(arrivals, t["bank_accounts"], store, AS_OF).awaitTermination()
+    return ingest.read_output(t.spark, store, "transactions").select(
+        "transaction_id", "risk_score", "status"
+    )
+
+
+@_query
+def status_change_stream(t: Tables) -> DataFrame:
+    store = work_folder(t.spark, "change-stream")
+    changes = t.adapt("bank_transactions_scored", _Arriving(t)).select(
+        "transaction_id",
+        "status",
+        F.lit("app_user").alias("changed_by"),
+        F.col("transaction_at").alias("changed_at"),
+    )
+    ingest.start_change_log(changes, t["bank_transactions_pending"], store).awaitTermination()
+    return ingest.read_output(t.spark, store, "status_changes").drop("batch_id")

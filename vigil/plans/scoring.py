@@ -21,13 +21,14 @@ def own_points() -> Column:
 
 
 def _moves(transactions: DataFrame, asked: bool) -> DataFrame:
+    """Only what scoring needs; rows that are not asked for bring no merchant columns."""
     return transactions.select(
         "transaction_id",
         "account_id",
         "transaction_at",
         "amount",
         (F.col("status") != "DECLINED").alias("counted"),
-        own_points().alias("points"),
+        (own_points() if asked else F.lit(0)).alias("points"),
         F.lit(asked).alias("asked"),
     )
 

@@ -75,3 +75,44 @@ select customer_id * 2 + n as audit_id, customer_id, case n when 0 then 'custome
   case n when 0 then 'INSERT' else 'UPDATE' end as operation
 from {bank_customers} cross join (values (0), (1)) as k(n)
 where n = 0 or not is_active
+-- faulty_customers
+select customer_id, case when customer_id % 31 = 3 then null else first_name end as first_name, last_name,
+  case when customer_id % 23 = 5 then 'no-at-sign.example.com' when customer_id % 29 = 7 then concat(email, chr(10))
+    when customer_id % 40 = 1 then 'shared@example.com' else email end as email,
+  case when customer_id % 37 = 9 then date '2030-01-01' else birth_date end as birth_date,
+  case when customer_id % 41 = 2 then 'UKR' else country_code end as country_code, is_active
+from {bank_customers}
+-- faulty_accounts
+select account_id, case when account_id % 43 = 4 then -1 - customer_id when account_id % 47 = 5 then null else customer_id end as customer_id,
+  case when account_id % 53 = 6 then concat('AC', lpad(cast(account_id - 1 as string), 10, '0')) else account_number end as account_number,
+  case when account_id % 59 = 7 then 'GBP' else currency end as currency,
+  cast(case when account_id % 61 = 8 then -balance - 1 else balance end as decimal(15,2)) as balance,
+  case when account_id % 67 = 9 then 'LOCKED' else status end as status, opened_at
+from {bank_accounts}
+-- faulty_transactions
+select case when transaction_id % 71 = 10 then transaction_id - 1 else transaction_id end as transaction_id,
+  case when transaction_id % 73 = 11 then -1 else account_id end as account_id,
+  case when transaction_id % 79 = 12 then -1 - card_id else card_id end as card_id,
+  case when transaction_id % 83 = 13 then cast(0 as decimal(15,2)) else amount end as amount,
+  case when transaction_id % 89 = 14 then 'PLN' else currency end as currency, merchant_category,
+  case when transaction_id % 97 = 15 then 'USA' else merchant_country end as merchant_country,
+  case when transaction_id % 101 = 16 then 'UNKNOWN' else status end as status,
+  case when transaction_id % 103 = 17 then 101 else risk_score end as risk_score, transaction_at
+from {bank_transactions_scored}
+-- faulty_alerts
+select alert_id, case when transaction_id % 7 = 3 then -transaction_id else transaction_id end as transaction_id,
+  case when rule_id = 2 then 99 else rule_id end as rule_id, reason,
+  case when alert_id % 11 = 4 then -1 else risk_score end as risk_score,
+  case when alert_id % 13 = 5 then 'LOST' else alert_status end as alert_status, created_at
+from {bank_fraud_alerts}
+-- bank_accounts_later
+select case when account_id % 19 = 3 then -1 - account_id else account_id end as account_id, customer_id,
+  case when account_id % 13 = 1 then 'EUR' when account_id % 29 = 2 then null else currency end as currency,
+  case when status = 'ACTIVE' and account_id % 5 = 0 then 'FROZEN' else status end as status
+from {bank_accounts}
+-- crm_events_known
+select event_id, customer_id, event_type, event_time from {crm_events_wide} where event_time < timestamp_ntz '2024-01-20 00:00:00'
+-- crm_events_batch
+select event_id, customer_id, event_type, event_time from {crm_events_wide}
+union all
+select event_id, customer_id, event_type, event_time from {crm_events_wide} where event_type = 'purchase'
