@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.session import work_folder
+from vigil.session import stored
 
 HEAVY_ROWS = 1_000_000
 """More rows than this make a key heavy.  There are at most (all rows / HEAVY_ROWS) heavy keys - a
@@ -38,10 +38,7 @@ def heavy_customers(rows: DataFrame, accounts: DataFrame, heavy_rows: int) -> Da
     )
     if heavy.isEmpty():
         return None
-    spark = rows.sparkSession
-    folder = work_folder(spark, "heavy-customers")
-    heavy.write.parquet(folder)
-    return spark.read.schema("customer_id bigint").parquet(folder)
+    return stored(heavy, "heavy-customers")
 
 
 def split_by_weight(

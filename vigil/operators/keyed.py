@@ -24,8 +24,11 @@ def one_per_key(rows: DataFrame, key: str) -> DataFrame:
 
 
 def insert_absent(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Rows of the batch to append: one per key, and only keys the target lacks."""
-    return one_per_key(batch.join(target.select(key), key, "left_anti"), key)
+    """Rows of the batch to append: one per key, and only keys the target lacks.
+
+    Repeats collapse before the shuffle, and the join reuses the partitioning by key.
+    """
+    return one_per_key(batch, key).join(target.select(key), key, "left_anti")
 
 
 def update_columns(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:

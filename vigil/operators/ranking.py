@@ -12,6 +12,7 @@ def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -
     Rows are counted per value, the few counts are ranked in one window, and ranks are joined back.
     Meant for values with few distinct results (scores with two decimals, counts): k distinct counts
     need at least k*(k-1)/2 counted things, so k stays below 1.5 million even for 10^12 of them.
+    That bounds the broadcast ranks.  ``rows`` are read twice, so they should be a stored table.
     """
     counts = rows.groupBy(value).agg(F.count("*").alias("n"))
     order = Window.orderBy(F.col(value).desc_nulls_first())
@@ -22,4 +23,7 @@ def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -
         above = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
         position = F.coalesce(above, F.lit(0)) + 1
     ranks = counts.select(F.col(value).alias("ranked_value"), position.alias(rank))
-    return rows.join(ranks, F.col(value).eqNullSafe(F.col("ranked_value")), "left").drop("ranked_value")
+    # A common value, such as score 0, would make one task of a shuffled join hot.
+    return rows.join(
+        F.broadcast(ranks), F.col(value).eqNullSafe(F.col("ranked_value")), "left"
+    ).drop("ranked_value")

@@ -14,6 +14,7 @@ from vigil import fixed_values as fixed
 from vigil.functions.columns import decide
 from vigil.operators.activity import HEAVY_ROWS
 from vigil.plans.scoring import transaction_scores
+from vigil.session import stored
 
 MONEY = "decimal(25,2)"
 
@@ -124,21 +125,24 @@ def process_pending(
 
     Ids that are missing or not pending are refused in ``outcomes``.  Decisions do not influence
     each other: a score looks only at whether other transactions are DECLINED, and no decision
-    declines.
+    declines.  The scores are stored once, and all outputs derive from them.
     """
     ids = requested.select("transaction_id").distinct()
-    stored = transactions.select("transaction_id", F.col("status").alias("old_status"))
-    asked = ids.join(stored, "transaction_id", "left")
+    known = transactions.select("transaction_id", F.col("status").alias("old_status"))
+    asked = ids.join(known, "transaction_id", "left")
     scores = transaction_scores(transactions, accounts, heavy_rows=heavy_rows).select(
         "transaction_id", F.col("risk_score").alias("new_score")
     )
     accepted = F.col("old_status") == "PENDING"
     scored = asked.filter(accepted).join(scores, "transaction_id")
-    decided = scored.select(
-        "transaction_id",
-        "old_status",
-        F.col("new_score").alias("risk_score"),
-        decide(F.col("new_score")).alias("status"),
+    decided = stored(
+        scored.select(
+            "transaction_id",
+            "old_status",
+            F.col("new_score").alias("risk_score"),
+            decide(F.col("new_score")).alias("status"),
+        ),
+        "decisions",
     )
     refused = asked.filter(~F.coalesce(accepted, F.lit(False)))
     outcomes = decided.select(
@@ -230,10 +234,9 @@ def freeze_accounts(
         .withColumn("status", F.when(hit, "DECLINED").otherwise(F.col("status")))
         .select(*transactions.columns)
     )
-    declined = transactions.filter(F.col("status") == "PENDING").join(
-        accepted, "account_id", "left_semi"
-    )
-    counts = declined.groupBy("account_id").agg(F.count("*").alias("n"))
+    pending = transactions.filter(F.col("status") == "PENDING")
+    declined = pending.join(accepted, "account_id", "left_semi")
+    counts = pending.groupBy("account_id").agg(F.count("*").alias("n"))
     is_accepted = F.coalesce(F.col("status") == "ACTIVE", F.lit(False))
     outcomes = asked.join(counts, "account_id", "left").select(
         "account_id",

@@ -19,6 +19,7 @@ from vigil.functions.columns import (
 from vigil.operators.activity import HEAVY_ROWS
 from vigil.operators.ranking import rank_by_value
 from vigil.operators.running import running_totals
+from vigil.session import stored
 
 MONEY = "decimal(25,2)"
 
@@ -205,6 +206,9 @@ def customer_risk_profile(
 
 
 def customer_risk_ranking(profile: DataFrame) -> DataFrame:
+    """Ranks over the profile, which is stored first: it shrank all transactions to customers, and
+    each rank reads it again."""
+    profile = stored(profile, "risk-profile")
     ranked = rank_by_value(profile, "avg_risk_score", "risk_rank")
     return rank_by_value(ranked, "flagged_count", "flagged_rank", dense=True).select(
         "customer_id",

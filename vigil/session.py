@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -37,3 +37,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write rows once and read them back: results used several times are computed once, survive
+    lost executors, and joins with them are planned on their true size."""
+    folder = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

@@ -37,14 +37,20 @@ select event_id * 2 + n as alert_id, event_id as transaction_id, case when event
   case event_id % 4 when 0 then 'High amount' when 1 then 'Risky COUNTRY' when 2 then 'gambling merchant' else 'no match' end as reason,
   case when n = 0 then 'OPEN' else 'REVIEWED' end as alert_status,
   cast((event_id * 37) % 101 as int) as risk_score, ts as created_at
-from {events} cross join (values (0), (1)) as k(n)
-where event_id % 20 in (3, 11) and (n = 0 or event_id % 3 = 0)
+from (
+  select event_id, ts, 0 as n from {events} where event_id % 20 in (3, 11)
+  union all
+  select event_id, ts, 1 as n from {events} where event_id % 20 in (3, 11) and event_id % 3 = 0
+) as raised
 -- bank_status_history
 select event_id as transaction_id, n as seq, case when n = 0 then null else 'PENDING' end as old_status,
   case when event_id % 20 = 7 then 'DECLINED' when event_id % 20 in (3, 11) then 'FLAGGED' when event_id % 20 in (0, 5) then 'PENDING' else 'APPROVED' end as new_status,
   case when n = 0 then 'SYSTEM_AUTO' else 'app_user' end as changed_by, ts as changed_at
-from {events} cross join (values (0), (1)) as k(n)
-where n = 0 or event_id % 20 not in (0, 5)
+from (
+  select event_id, ts, 0 as n from {events}
+  union all
+  select event_id, ts, 1 as n from {events} where event_id % 20 not in (0, 5)
+) as logged
 -- crm_customers
 select c_custkey as customer_id, c_name as full_name,
   concat('user', cast(c_custkey as string), case when c_custkey % 3 = 0 then '@gmail.com' else '@example.com' end) as email,
@@ -71,10 +77,9 @@ select event_id, user_id as customer_id, event_type, ts as event_time,
   'e' as attr_05, 'f' as attr_06, 'g' as attr_07, 'h' as attr_08, 'i' as attr_09, cast(event_id as string) as attr_10
 from {events}
 -- bank_audit_log
-select customer_id * 2 + n as audit_id, customer_id, case n when 0 then 'customers' else 'accounts' end as table_name,
-  case n when 0 then 'INSERT' else 'UPDATE' end as operation
-from {bank_customers} cross join (values (0), (1)) as k(n)
-where n = 0 or not is_active
+select customer_id * 2 as audit_id, customer_id, 'customers' as table_name, 'INSERT' as operation from {bank_customers}
+union all
+select customer_id * 2 + 1, customer_id, 'accounts', 'UPDATE' from {bank_customers} where not is_active
 -- faulty_customers
 select customer_id, case when customer_id % 31 = 3 then null else first_name end as first_name, last_name,
   case when customer_id % 23 = 5 then 'no-at-sign.example.com' when customer_id % 29 = 7 then concat(email, chr(10))
