@@ -34,6 +34,7 @@ RULE_TEXTS = {
 PROCESS_REASON = "process_transaction: risk score = "
 ARRIVAL_REASON = "Auto-flagged: risk score "
 AUTO_ACTOR = "SYSTEM_AUTO"
+USER_ACTOR = "app_user"
 CARD_MASK_SHORT = "****"
 CARD_MASK_PREFIX = "****-****-****-"
 UPDATE_PREFIX = "updated_"

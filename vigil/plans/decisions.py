@@ -194,6 +194,39 @@ def process_pending(
     return Decisions(updated, outcomes, history, alerts)
 
 
+class Arrivals(NamedTuple):
+    history: DataFrame
+    alerts: DataFrame
+    balance_deltas: DataFrame
+
+
+def arrival_outputs(decided: DataFrame, as_of: str) -> Arrivals:
+    """What follows from arrived transactions once scored and decided.
+
+    All arrived as PENDING, so the others changed status: two log rows each, one for the rest.
+    Alerts of arrivals name no rule.
+    """
+    changed = decided.filter(F.col("status") != "PENDING").select(
+        "transaction_id", F.lit("PENDING").alias("old_status"), F.col("status").alias("new_status")
+    )
+    alerts = decided.filter(F.col("status") == "FLAGGED").select(
+        "transaction_id",
+        F.lit(None).cast("int").alias("rule_id"),
+        F.concat(F.lit(fixed.ARRIVAL_REASON), F.col("risk_score").cast("string")).alias("reason"),
+        "risk_score",
+        F.lit("OPEN").alias("alert_status"),
+        _at(as_of).alias("created_at"),
+    )
+    deltas = decided.filter(F.col("status") == "APPROVED").select(
+        "transaction_id", "account_id", (-F.col("amount")).cast("decimal(15,2)").alias("delta")
+    )
+    return Arrivals(
+        change_history(changed, fixed.USER_ACTOR, as_of).unionByName(arrival_history(decided, as_of)),
+        alerts,
+        deltas,
+    )
+
+
 def approve_pending(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new snapshot, number approved) for pending transactions scored 1 to the approval limit.
 

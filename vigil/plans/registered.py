@@ -24,8 +24,16 @@ EVENTS_180 = "2024-07-14 00:00:00"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+_OPENED: dict[tuple[SparkSession, str], Tables] = {}
+
+
+def _tables(spark: SparkSession, folder: str) -> Tables:
+    """Table definitions are made once per session and folder, as a catalog would keep them."""
+    return _OPENED.setdefault((spark, folder), Tables(spark, folder))
+
+
 def _query(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: function(Tables(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(_tables(spark, folder))
     return function
 
 

@@ -7,17 +7,19 @@ batch ids and overwrites its own folder, so a replayed batch writes the same row
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigil import fixed_values as fixed
 from vigil.functions.columns import decide
 from vigil.operators.activity import HEAVY_ROWS
 from vigil.operators.keyed import one_per_key, update_columns
-from vigil.plans.decisions import arrival_history, change_history
+from vigil.plans.decisions import arrival_outputs
 from vigil.plans.scoring import transaction_scores
+from vigil.sources.layout import write_transactions
 
 STORED_TRANSACTIONS = (
     "transaction_id bigint, account_id bigint, card_id bigint, amount decimal(15,2), currency string,"
@@ -50,14 +52,23 @@ def read_output(spark: SparkSession, store: str, name: str) -> DataFrame:
 
 
 def _write(rows: DataFrame, store: str, name: str, batch_id: int, by: str | None = None) -> None:
-    writer = rows.write.mode("overwrite")
+    """Rebalancing joins small partitions and splits large ones, also one hot value of ``by``."""
+    balanced = rows.hint("rebalance", by) if by else rows.hint("rebalance")
+    writer = balanced.write.mode("overwrite")
     if by:
         writer = writer.partitionBy(by)
     writer.parquet(f"{store}/{name}/batch_id={batch_id}")
 
 
+class Base(NamedTuple):
+    """Transactions stored before the stream, or compacted from its batches below ``batches``."""
+
+    transactions: DataFrame
+    batches: int = 0
+
+
 def _stored_around(
-    spark: SparkSession, store: str, batch_id: int, arrivals: DataFrame, base: DataFrame | None
+    spark: SparkSession, store: str, batch_id: int, arrivals: DataFrame, base: Base | None
 ) -> DataFrame | None:
     """Stored rows that can matter to the batch: those of its dates and of the hour before.
 
@@ -77,22 +88,20 @@ def _stored_around(
         .distinct()
         .collect()
     ]
+    first = base.batches if base else 0
     parts = []
-    if batch_id > 0:
+    if batch_id > first:
         parts.append(
-            read_output(spark, store, "transactions")
-            .filter((F.col("batch_id") < batch_id) & F.col("tx_date").isin(days))
-            .drop("batch_id", "tx_date")
+            read_output(spark, store, "transactions").filter(
+                F.col("batch_id").between(first, batch_id - 1) & F.col("tx_date").isin(days)
+            )
         )
-    if base is not None:
-        day = F.col("tx_date") if "tx_date" in base.columns else F.to_date("transaction_at")
-        parts.append(base.filter(day.isin(days)).drop("tx_date"))
-    if not parts:
-        return None
-    stored = parts[0]
-    for part in parts[1:]:
-        stored = stored.unionByName(part, allowMissingColumns=True)
-    return stored
+    if base:
+        rows = base.transactions
+        day = F.col("tx_date") if "tx_date" in rows.columns else F.to_date("transaction_at")
+        parts.append(rows.filter(day.isin(days)))
+    needed = ["transaction_id", "account_id", "amount", "status", "transaction_at"]
+    return reduce(DataFrame.unionByName, (p.select(*needed) for p in parts)) if parts else None
 
 
 def score_batch(
@@ -101,30 +110,31 @@ def score_batch(
     accounts: DataFrame,
     store: str,
     as_of: str,
-    base: DataFrame | None = None,
+    base: Base | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> None:
     """Score one batch of arrivals against what is stored and against itself.
 
-    Arrivals are new and PENDING; others go to ``refused``.  Later batches do not rescore rows.
+    Arrivals are new, PENDING and of a known account; others go to ``refused``.  Later batches do not
+    rescore rows.
     """
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         pending = one_per_key(batch.filter(F.col("status") == "PENDING"), "transaction_id")
         stored = _stored_around(spark, store, batch_id, batch, base)
-        fresh = pending
+        keys = accounts.select("account_id", "customer_id")
+        fresh = pending.join(keys, "account_id", "left_semi")
         seen = None
         if stored is not None:
             # Only accounts of the customers in the batch count; AQE broadcasts what is small.
-            keys = accounts.select("account_id", "customer_id")
             customers = keys.join(batch.select("account_id"), "account_id", "left_semi").select(
                 "customer_id"
             )
             related = keys.join(customers, "customer_id", "left_semi").select("account_id")
             stored = stored.join(related, "account_id", "left_semi")
             seen = stored.select("transaction_id")
-            fresh = pending.join(seen, "transaction_id", "left_anti")
+            fresh = fresh.join(seen, "transaction_id", "left_anti")
         scores = transaction_scores(fresh, accounts, stored, heavy_rows).select(
             "transaction_id", "risk_score"
         )
@@ -138,39 +148,32 @@ def score_batch(
 
         # The rest derives from the rows just written, not from a second computation of them.
         own = read_output(spark, store, "transactions").filter(F.col("batch_id") == batch_id)
-        approved = own.filter(F.col("status") == "APPROVED")
-        changed = own.filter(F.col("status") != "PENDING").select(
-            "transaction_id",
-            F.lit("PENDING").alias("old_status"),
-            F.col("status").alias("new_status"),
-        )
-        history = change_history(changed, "app_user", as_of).unionByName(arrival_history(own, as_of))
-        _write(history, store, "history", batch_id)
-        alerts = own.filter(F.col("status") == "FLAGGED").select(
-            "transaction_id",
-            F.lit(None).cast("int").alias("rule_id"),
-            F.concat(F.lit(fixed.ARRIVAL_REASON), F.col("risk_score").cast("string")).alias("reason"),
-            "risk_score",
-            F.lit("OPEN").alias("alert_status"),
-            F.lit(as_of).cast("timestamp_ntz").alias("created_at"),
-        )
-        _write(alerts, store, "alerts", batch_id)
-        deltas = approved.select("transaction_id", "account_id", (-F.col("amount")).cast("decimal(15,2)").alias("delta"))
-        _write(deltas, store, "balance_deltas", batch_id)
-        refused = batch.filter(~F.col("status").eqNullSafe("PENDING")).select(
-            "transaction_id", "status", F.lit("not pending").alias("reason")
-        )
+        for name, rows in arrival_outputs(own, as_of)._asdict().items():
+            _write(rows, store, name, batch_id)
+
+        def refuse(rows: DataFrame, reason: str) -> DataFrame:
+            return rows.select("transaction_id", "status", F.lit(reason).alias("reason"))
+
+        refused = refuse(
+            batch.filter(~F.col("status").eqNullSafe("PENDING")), "not pending"
+        ).unionByName(refuse(pending.join(keys, "account_id", "left_anti"), "unknown account"))
         if seen is not None:
             refused = refused.unionByName(
-                pending.join(seen, "transaction_id", "left_semi").select(
-                    "transaction_id", "status", F.lit("already stored").alias("reason")
-                )
+                refuse(pending.join(seen, "transaction_id", "left_semi"), "already stored")
             )
         _write(refused, store, "refused", batch_id)
     finally:
         batch.unpersist()
 
 
+def compact(spark: SparkSession, store: str, batches: int, folder: str) -> Base:
+    """Fold the transactions of the first batches into one laid-out table, so that later batches
+    list and open few files.  Restart the stream with the result as its base."""
+    rows = read_output(spark, store, "transactions").filter(F.col("batch_id") < batches)
+    write_transactions(rows.drop("batch_id", "tx_date"), folder)
+    return Base(spark.read.parquet(folder), batches)
+
+
 def _start(stream: DataFrame, store: str, name: str, run: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(run)
@@ -185,7 +188,7 @@ def start_scoring(
     accounts: DataFrame,
     store: str,
     as_of: str,
-    base: DataFrame | None = None,
+    base: Base | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> StreamingQuery:
     """Score a stream of arriving transactions; outputs are read with ``read_output``."""
