@@ -56,9 +56,9 @@ def test_plan_shapes(spark):
     assert plan(spark, "daily_fraud_summary").count("WindowGroupLimit") == 2
     assert "LeftSemi" in plan(spark, "orders_with_recent_events")
     assert "TakeOrderedAndProject" in plan(spark, "customer_revenue_top")
-    assert "StringContains" in plan(spark, "email_search") or "Contains" in plan(spark, "email_search")
-    assert "ReadSchema: struct<event_id:bigint>" not in plan(spark, "event_counts_recent")
+    assert "StringContains(" in plan(spark, "email_search") or "Contains(" in plan(spark, "email_search")
     scan = re.search(r"ReadSchema: struct<([^>]*)>", plan(spark, "event_counts_recent")).group(1)
     assert set(re.findall(r"(\w+):", scan)) == {"ts", "user_id", "event_type"}
     assert "GreaterThanOrEqual(ts" in plan(spark, "event_counts_recent")
-    assert "EqualTo(o_orderstatus,F)" in plan(spark, "orders_city_status") or "o_orderstatus" in plan(spark, "orders_city_status")
+    for name in ("transaction_risk_score", "cumulative_spend"):
+        assert plan(spark, name).count("Exchange hashpartitioning(customer_id") == 1

@@ -229,9 +229,7 @@ def cumulative_spend(
     approved = transactions.filter(F.col("status") == "APPROVED").select(
         "transaction_id", "account_id", "amount", "transaction_at"
     )
-    # An account whose customer is unknown does not count, so such accounts go before the totals.
-    owned = accounts.join(customers.select("customer_id"), "customer_id", "left_semi")
-    totals = running_totals(approved, owned, heavy_rows)
+    totals = running_totals(approved, accounts, heavy_rows)
     return totals.join(
         customers.select("customer_id", _name().alias("customer_name")), "customer_id"
     ).select(
@@ -258,3 +256,31 @@ def entity_counts(entities: dict[str, DataFrame]) -> DataFrame:
         for name, rows in entities.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+# The order in which each report is presented, completed by keys so that it is total.
+REPORT_ORDERS = {
+    "customer_age": ["-age", "customer_id"],
+    "recent_transactions": ["-transaction_at", "transaction_id"],
+    "transactions_with_risk_label": ["-risk_score", "transaction_id"],
+    "flagged_transactions": ["-risk_score", "-transaction_at", "transaction_id", "alert_id"],
+    "customer_risk_ranking": ["risk_rank", "customer_id"],
+    "daily_fraud_summary": ["-transaction_date"],
+    "cumulative_spend": ["customer_name", "tx_number", "transaction_id"],
+    "transaction_status_timeline": ["-changed_at", "transaction_id", "new_status"],
+    "status_summary": ["-count", "status"],
+    "category_revenue": ["-revenue", "category"],
+}
+
+
+def presented(rows: DataFrame, report: str) -> DataFrame:
+    """Rows in report order, NULLs first where descending.
+
+    A range-partitioned sort; the keys at the end let it split a value that many rows share.
+    """
+    return rows.orderBy(
+        *(
+            F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc_nulls_last()
+            for c in REPORT_ORDERS[report]
+        )
+    )

@@ -67,6 +67,23 @@ def transaction_scores(
     )
 
 
+def history_around(batch: DataFrame, stored: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Stored rows that can change the scores of a batch.
+
+    They lie on the batch's dates or those of the hour before, and belong to its customers.  The
+    dates are collected to become a literal filter that prunes folders of a table laid out by
+    ``tx_date``; there are no more of them than days.
+    """
+    hour_before = F.expr("transaction_at - INTERVAL 1 HOUR")
+    dates = F.explode(F.array(F.to_date("transaction_at"), F.to_date(hour_before)))
+    days = [row.day for row in batch.select(dates.alias("day")).distinct().collect()]
+    day = F.col("tx_date") if "tx_date" in stored.columns else F.to_date("transaction_at")
+    owners = accounts.select("account_id", "customer_id")
+    customers = owners.join(batch.select("account_id"), "account_id", "left_semi").select("customer_id")
+    related = owners.join(customers, "customer_id", "left_semi").select("account_id")
+    return stored.filter(day.isin(days)).join(related, "account_id", "left_semi")
+
+
 def customer_daily_volume(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Amount per customer and day without DECLINED rows; 0 for days with nothing else.
 

@@ -58,18 +58,17 @@ def _riskiest(transactions: DataFrame, accounts: DataFrame, customers: DataFrame
         .groupBy("account_id", _day())
         .agg(F.sum(F.col("risk_score").cast("bigint")).alias("score"), F.count("*").alias("n"))
     )
+    # Only customers that exist are ranked; the name is fetched for the winners alone.
+    owned = accounts.select("account_id", "customer_id").join(
+        customers.select("customer_id"), "customer_id", "left_semi"
+    )
     per_customer = (
-        per_account.join(accounts.select("account_id", "customer_id"), "account_id")
+        per_account.join(owned, "account_id")
         .groupBy("customer_id", "transaction_date")
         .agg((F.sum("score") / F.sum("n")).alias("mean"))
     )
-    # Only customers that exist are ranked; the name is fetched for the winners alone.
     order = Window.partitionBy("transaction_date").orderBy(F.desc("mean"), "customer_id")
-    top = (
-        per_customer.join(customers.select("customer_id"), "customer_id", "left_semi")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= TOP)
-    )
+    top = per_customer.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= TOP)
     named = top.join(
         customers.select(
             "customer_id", full_name(F.col("first_name"), F.col("last_name")).alias("name")

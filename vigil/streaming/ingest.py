@@ -18,7 +18,7 @@ from vigil.functions.columns import decide
 from vigil.operators.activity import HEAVY_ROWS
 from vigil.operators.keyed import one_per_key, update_columns
 from vigil.plans.decisions import arrival_outputs
-from vigil.plans.scoring import transaction_scores
+from vigil.plans.scoring import history_around, transaction_scores
 from vigil.sources.layout import write_transactions
 
 STORED_TRANSACTIONS = (
@@ -67,41 +67,25 @@ class Base(NamedTuple):
     batches: int = 0
 
 
-def _stored_around(
-    spark: SparkSession, store: str, batch_id: int, arrivals: DataFrame, base: Base | None
+def _stored_before(
+    spark: SparkSession, store: str, batch_id: int, base: Base | None
 ) -> DataFrame | None:
-    """Stored rows that can matter to the batch: those of its dates and of the hour before.
-
-    The dates are collected to become a literal filter that prunes folders; there are no more of
-    them than days.
-    """
-    days = [
-        row.day
-        for row in arrivals.select(
-            F.explode(
-                F.array(
-                    F.to_date("transaction_at"),
-                    F.to_date(F.expr("transaction_at - INTERVAL 1 HOUR")),
-                )
-            ).alias("day")
-        )
-        .distinct()
-        .collect()
-    ]
+    """All transactions stored before this batch; the first batch without a base has none."""
     first = base.batches if base else 0
+    columns = ["transaction_id", "account_id", "amount", "status", "transaction_at", "tx_date"]
     parts = []
     if batch_id > first:
         parts.append(
             read_output(spark, store, "transactions").filter(
-                F.col("batch_id").between(first, batch_id - 1) & F.col("tx_date").isin(days)
+                F.col("batch_id").between(first, batch_id - 1)
             )
         )
     if base:
         rows = base.transactions
-        day = F.col("tx_date") if "tx_date" in rows.columns else F.to_date("transaction_at")
-        parts.append(rows.filter(day.isin(days)))
-    needed = ["transaction_id", "account_id", "amount", "status", "transaction_at"]
-    return reduce(DataFrame.unionByName, (p.select(*needed) for p in parts)) if parts else None
+        if "tx_date" not in rows.columns:
+            rows = rows.withColumn("tx_date", F.to_date("transaction_at"))
+        parts.append(rows)
+    return reduce(DataFrame.unionByName, (p.select(*columns) for p in parts)) if parts else None
 
 
 def score_batch(
@@ -122,20 +106,14 @@ def score_batch(
     batch = batch.persist()
     try:
         pending = one_per_key(batch.filter(F.col("status") == "PENDING"), "transaction_id")
-        stored = _stored_around(spark, store, batch_id, batch, base)
-        keys = accounts.select("account_id", "customer_id")
+        keys = accounts.select("account_id")
         fresh = pending.join(keys, "account_id", "left_semi")
-        seen = None
-        if stored is not None:
-            # Only accounts of the customers in the batch count; AQE broadcasts what is small.
-            customers = keys.join(batch.select("account_id"), "account_id", "left_semi").select(
-                "customer_id"
-            )
-            related = keys.join(customers, "customer_id", "left_semi").select("account_id")
-            stored = stored.join(related, "account_id", "left_semi")
-            seen = stored.select("transaction_id")
+        before, seen = _stored_before(spark, store, batch_id, base), None
+        if before is not None:
+            before = history_around(batch, before, accounts)
+            seen = before.select("transaction_id")
             fresh = fresh.join(seen, "transaction_id", "left_anti")
-        scores = transaction_scores(fresh, accounts, stored, heavy_rows).select(
+        scores = transaction_scores(fresh, accounts, before, heavy_rows).select(
             "transaction_id", "risk_score"
         )
         decided = (
