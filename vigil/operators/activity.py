@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from vigil.session import stored
 
-HEAVY_ROWS = 4_000_000
+HEAVY_ROWS = 2_000_000
 """More rows than this make a customer heavy; fewer fit one task with ease.  There are at most
-(all rows / HEAVY_ROWS) heavy customers - a quarter of a million at 10^12 rows - so their list stays
+(all rows / HEAVY_ROWS) heavy customers - half a million at 10^12 rows - so their list stays
 small however large the data."""
 
 JUST_PAST_HOUR = "INTERVAL '3600.000001' SECOND"

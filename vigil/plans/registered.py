@@ -530,11 +530,9 @@ class _Arriving:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "events":
-            return (
-                self.t.spark.readStream.schema(schemas.RAW[name])
-                .option("pathGlobFilter", f"{name}.parquet")
-                .parquet(self.t.folder)
-            )
+            # A pattern, since a stream reads a single file only through one.
+            path = f"{self.t.folder}/{name}.parque[t]"
+            return self.t.spark.readStream.schema(schemas.RAW[name]).parquet(path)
         return self.t.adapt(name, self)
 
 

@@ -7,6 +7,8 @@ numbered rows of another table.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,17 +18,29 @@ ATTRIBUTE_WORDS = 1000
 MAX_ITEMS = fixed.ITEMS_PER_ORDER[1]
 
 
+PRIME = 2**31 - 1
+
+
 class Picker:
-    """Values for one row id, each drawn under a column name."""
+    """Values for one row id, each drawn under a column name.
+
+    A draw squares the id twice modulo a prime, each time with the salt of its column.  That is plain
+    64-bit arithmetic, which compiles to tight code, and any SQL engine can repeat it.
+    """
 
     def __init__(self, seed: int, row: Column):
         self.seed = seed
-        self.row = row
+        self.row = row.cast("bigint")
+
+    def salt(self, name: str) -> int:
+        return zlib.crc32(f"{self.seed}/{name}".encode()) % PRIME
 
     def number(self, name: str, below: int | Column) -> Column:
-        digest = F.md5(F.concat(F.lit(f"{self.seed}/{name}/"), self.row.cast("string")))
-        drawn = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
-        return drawn % (F.lit(below) if isinstance(below, int) else below)
+        salt = self.salt(name)
+        first = (self.row + salt) % PRIME
+        second = (first * first + F.call_function("div", self.row, F.lit(PRIME)) + salt) % PRIME
+        third = (second * second + salt) % PRIME
+        return (second * PRIME + third) % below
 
     def one_of(self, name: str, values: list[str]) -> Column:
         choices = F.array(*(F.lit(v) for v in values))
