@@ -11,7 +11,7 @@ from vigil.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
+    session = local_session(8, shuffle_partitions=4, **{"spark.checkpoint.dir": shared, "spark.sql.warehouse.dir": f"{shared}/tables"})
     yield session
     session.stop()
 

@@ -192,6 +192,24 @@ def test_layouts_prune_folders(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "e")).count() == 400
 
 
+def test_bucketed_tables_join_without_shuffle(spark):
+    rows = sample.transactions(spark)
+    layout.write_bucketed(rows, "bucketed_transactions", "transaction_id", 4, mode="overwrite")
+    layout.write_bucketed(rows.select("transaction_id", "status"), "bucketed_states", "transaction_id", 4, mode="overwrite")
+    joined = spark.table("bucketed_transactions").hint("merge").join(
+        spark.table("bucketed_states").withColumnRenamed("status", "other"), "transaction_id")
+    assert "Exchange" not in plan(joined) and joined.count() == 12
+
+
+def test_append_fills_absent_columns(spark, frame, tmp_path):
+    folder = str(tmp_path / "t")
+    kind = "id bigint, status string, score int, note string"
+    layout.append(frame([(1, None)], "id bigint, status string"), folder, kind, {"status": "PENDING", "score": 0})
+    layout.append(frame([(2,)], "id int"), folder, kind, {"status": "PENDING", "score": 0})
+    rows = spark.read.schema(kind).parquet(folder).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, None, 0, None), (2, "PENDING", 0, None)]
+
+
 def test_generated_tables(spark):
     made = synthetic.commerce_tables(spark, 40, 15, 200, 100, AS_OF, seed=3)
     again = synthetic.commerce_tables(spark, 40, 15, 200, 100, AS_OF, seed=3)

@@ -24,22 +24,21 @@ JUST_PAST_HOUR = "INTERVAL '3600.000001' SECOND"
 def heavy_customers(rows: DataFrame, accounts: DataFrame, heavy_rows: int) -> DataFrame | None:
     """Customers that own more than ``heavy_rows`` rows, or None when there are none.
 
-    Runs a job: one column is scanned and counted per account before accounts are joined.  Only the
-    answer "none" reaches the driver; a list is written to the shared work folder, so that joins
-    with it are planned on its true size.
+    Runs a job: one column is scanned and counted per account before accounts are joined.  The list
+    is written to the shared work folder, so that joins with it are planned on its true size; the
+    driver only learns whether it is empty.
     """
-    heavy = (
+    heavy = stored(
         rows.groupBy("account_id")
         .agg(F.count("*").alias("n"))
         .join(accounts.select("account_id", "customer_id"), "account_id")
         .groupBy("customer_id")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") > heavy_rows)
-        .select("customer_id")
+        .select("customer_id"),
+        "heavy-customers",
     )
-    if heavy.isEmpty():
-        return None
-    return stored(heavy, "heavy-customers")
+    return None if heavy.isEmpty() else heavy
 
 
 def split_by_weight(

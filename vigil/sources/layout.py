@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.keyed import with_defaults
+
 
 def write_events(events: DataFrame, folder: str, mode: str = "errorifexists") -> None:
     """Folders by event date; sorted by customer and time inside a file.
@@ -49,6 +51,18 @@ def write_transactions(transactions: DataFrame, folder: str, mode: str = "errori
     )
 
 
+def append(rows: DataFrame, folder: str, schema: str, defaults: dict[str, object]) -> None:
+    """Append rows to a stored table: absent columns get their default or NULL, given NULLs stay."""
+    spark = rows.sparkSession
+    table = spark.createDataFrame([], schema)
+    full = with_defaults(rows, defaults)
+    columns = [
+        (F.col(c.name) if c.name in full.columns else F.lit(None)).cast(c.dataType).alias(c.name)
+        for c in table.schema
+    ]
+    full.select(*columns).write.mode("append").parquet(folder)
+
+
 def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Catalog table bucketed by a join key that is joined again and again."""
+    """Catalog table bucketed by a join key; such tables join on it without a shuffle."""
     rows.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
