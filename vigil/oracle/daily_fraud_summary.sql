@@ -1,24 +1 @@
-, stats as (
-  select cast(transaction_at as date) as transaction_date, count(*) as n, sum(amount) as amount,
-    count(*) filter (t.status = 'FLAGGED') as flagged, sum(amount) filter (t.status = 'FLAGGED') as flagged_amount,
-    sum(t.risk_score) as score, count(alert_id) as alerts
-  from bank_transactions_scored t left join bank_fraud_alerts using (transaction_id)
-  group by 1
-), means as (
-  select cast(transaction_at as date) as transaction_date, customer_id, avg(risk_score) as mean
-  from bank_transactions_scored join bank_accounts using (account_id)
-  where risk_score > 0
-  group by all
-), top as (
-  select transaction_date, string_agg(first_name || ' ' || last_name, ', ' order by mean desc, customer_id) as names
-  from (
-    select *, row_number() over (partition by transaction_date order by mean desc, customer_id) as place
-    from means join bank_customers using (customer_id)
-  ) where place <= 3
-  group by 1
-)
-select transaction_date, n as total_transactions, cast(amount as decimal(25,2)) as total_amount, flagged as flagged_transactions,
-  cast(coalesce(flagged_amount, 0) as decimal(25,2)) as suspicious_amount,
-  cast(cast((200 * score + n) // (2 * n) as decimal(7,0)) * cast(0.01 as decimal(3,2)) as decimal(5,2)) as avg_risk_score,
-  coalesce(names, 'None') as top_risky_customers, alerts as total_fraud_alerts, timestamp '2024-02-10 00:00:00' as last_refreshed_at
-from stats left join top using (transaction_date)
+select * from summary

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigil import fixed_values as fixed
 from vigil import schemas
 from vigil.operators import audit, keyed, quality, trigram
-from vigil.plans import commerce, decisions, reports, scoring, summary
+from vigil.plans import bank, catalog, commerce, decisions, reports, scoring, summary
 from vigil.session import work_folder
 from vigil.sources import synthetic
 from vigil.sources.adapters import Tables
@@ -164,6 +164,48 @@ def daily_fraud_summary(t: Tables) -> DataFrame:
     )
 
 
+@_query
+def daily_fraud_summary_flagged(t: Tables) -> DataFrame:
+    """Days with flagged transactions, from a stored version of the summary."""
+    folder = work_folder(t.spark, "daily-summary")
+    path = summary.refresh_summary(daily_fraud_summary(t), folder)
+    return summary.read_summary(t.spark, path, flagged_only=True)
+
+
+@_query
+def daily_fraud_summary_incremental(t: Tables) -> DataFrame:
+    """Summary stored while all was pending; days from the middle of the month refreshed later."""
+    folder = work_folder(t.spark, "daily-summary")
+    others = t["bank_fraud_alerts"], t["bank_accounts"], t["bank_customers"], AS_OF, folder
+    pending, scored = t["bank_transactions_pending"], t["bank_transactions_scored"]
+    every_day = pending.select(F.to_date("transaction_at").alias("transaction_date"))
+    summary.refresh_days(every_day, pending, *others)
+    later = every_day.filter(F.col("transaction_date") >= "2024-01-15")
+    summary.refresh_days(later, scored, *others)
+    return summary.read_summary(t.spark, folder)
+
+
+@_query
+def sql_functions(t: Tables) -> DataFrame:
+    """The functions under their SQL names, over all customers."""
+    names = {
+        "customers": "bank_customers",
+        "accounts": "bank_accounts",
+        "transactions": "bank_transactions_pending",
+        "fraud_alerts": "bank_fraud_alerts",
+        "fraud_rules": "bank_fraud_rules",
+    }
+    catalog.register(t.spark, {view: t[name] for view, name in names.items()}, AS_OF)
+    return t.spark.sql(
+        """
+        SELECT customer_id, get_customer_age(customer_id) AS age,
+               is_high_risk_country(country_code) AS in_high_risk_country,
+               calculate_customer_daily_volume(customer_id, DATE '2024-01-10') AS volume
+        FROM customers
+        """
+    )
+
+
 # Jobs on transactions, alerts, accounts and balances.
 
 
@@ -199,6 +241,23 @@ def _decided(t: Tables) -> decisions.Decisions:
     )
 
 
+@_query
+def process_pending_balances(t: Tables) -> DataFrame:
+    """Accounts after all requests are processed; overdrawn ones keep their balance."""
+    before = bank.Bank(
+        customers=t["bank_customers"],
+        accounts=t["bank_accounts"],
+        cards=t["bank_cards"],
+        transactions=t["bank_transactions_pending"],
+        history=t["bank_status_history"],
+        rules=t["bank_fraud_rules"],
+        alerts=t["bank_fraud_alerts"],
+        audit=t["bank_audit_log"],
+    )
+    after = bank.process_transactions(before, _all_requests(t), AS_OF, strict=False).bank
+    return after.accounts.select("account_id", "balance")
+
+
 @_query
 def fraud_alerts_matched(t: Tables) -> DataFrame:
     requests = t["bank_fraud_alerts"].select("transaction_id", "reason", "risk_score")

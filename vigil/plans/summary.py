@@ -119,7 +119,10 @@ def refresh_days(
     as_of: str,
     folder: str,
 ) -> None:
-    """Recompute the given ``transaction_date`` values only, replacing just their partitions."""
+    """Recompute the given ``transaction_date`` values only, replacing just their partitions.
+
+    A day that lost all its transactions keeps its row; refresh in full after such a deletion.
+    """
     touched = transactions.withColumn("transaction_date", F.to_date("transaction_at")).join(
         days.select("transaction_date").distinct(), "transaction_date", "left_semi"
     )
