@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Prints one JSON line.  A query's time is the median of its runs after one warm-up run; its whole
+Prints one JSON line.  A query's time is the median of its runs after two warm-up runs; its whole
 result is produced and handed to the no-op sink, so nothing is left out of the timing.
 """
 
@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from vigil.plans.registered import QUERIES  # noqa: E402
 from vigil.session import local_session  # noqa: E402
 
+WARM_UPS = 2
 HEADLINES = [
     "email_search",
     "orders_city_status",
@@ -45,17 +46,17 @@ HEADLINES = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = sys.argv[1:] or HEADLINES
     spark = local_session(cpus, shuffle_partitions=cpus)
     seconds = {}
     for name in names:
         times = []
-        for _ in range(runs + 1):
+        for _ in range(WARM_UPS + runs):
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(times[1:]), 4)
+        seconds[name] = round(statistics.median(times[WARM_UPS:]), 4)
     print(
         json.dumps(
             {

@@ -185,6 +185,10 @@ def test_layouts_prune_folders(spark, tmp_path):
     events = spark.read.parquet(str(tmp_path / "e")).filter("event_date >= date '2026-05-01' and customer_id = 7")
     assert "PartitionFilters: [isnotnull(event_date" in plan(events)
     assert "EqualTo(customer_id,7)" in plan(events)
+    layout.write_events(made["customer_events_wide"], str(tmp_path / "h"), by_hour=True)
+    night = spark.read.parquet(str(tmp_path / "h")).filter("event_hour = 3")
+    assert "PartitionFilters: [isnotnull(event_hour" in plan(night)
+    assert night.count() == made["customer_events_wide"].filter("hour(event_time) = 3").count() > 0
     layout.write_orders(made["orders"], str(tmp_path / "o"))
     orders = spark.read.parquet(str(tmp_path / "o")).filter("status = 'paid' and order_year = 2026")
     assert "PartitionFilters: [isnotnull(status" in plan(orders)

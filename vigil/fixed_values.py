@@ -39,6 +39,7 @@ CARD_MASK_SHORT = "****"
 CARD_MASK_PREFIX = "****-****-****-"
 UPDATE_PREFIX = "updated_"
 UPDATE_TEXT = "changed"
+PHONE_PREFIX = "changed_"
 
 # Enumerations.
 CURRENCIES = ["UAH", "USD", "EUR"]

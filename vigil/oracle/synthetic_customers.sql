@@ -1,29 +1 @@
-, customer_salts(name, salt) as (
-  values ('full_name', 526849791), ('email', 202574368), ('phone', 802087350), ('city', 1199349093), ('country', 1813824642), ('created_at', 1304887023), ('status', 554392763)
-), customer_first as (
-  select id, name, salt, (id + salt) % 2147483647 as x from (select c_custkey + 1 as id from customer) as ids, customer_salts
-), customer_second as (
-  select id, name, salt, (x * x + id // 2147483647 + salt) % 2147483647 as y from customer_first
-), customer_third as (
-  select id, name, y * 2147483647 + (y * y + salt) % 2147483647 as third from customer_second
-), customer_drawn as (
-  select id,
-    max(third) filter (name = 'full_name') as full_name_drawn,
-    max(third) filter (name = 'email') as email_drawn,
-    max(third) filter (name = 'phone') as phone_drawn,
-    max(third) filter (name = 'city') as city_drawn,
-    max(third) filter (name = 'country') as country_drawn,
-    max(third) filter (name = 'created_at') as created_at_drawn,
-    max(third) filter (name = 'status') as status_drawn
-  from customer_third group by id
-)
-select
-  id as customer_id,
-  'Customer ' || (full_name_drawn % 1000) as full_name,
-  'user' || id || '@' || list_extract(['gmail.com', 'example.com', 'example.org'], cast(email_drawn % 3 as int) + 1) as email,
-  '+380' || (phone_drawn % 1000000000) as phone,
-  'City ' || (city_drawn % 1000) as city,
-  'Country ' || (country_drawn % 200) as country,
-  timestamp '2024-02-10' - to_seconds(created_at_drawn % 94608000) as created_at,
-  list_extract(['active', 'inactive', 'blocked'], cast(status_drawn % 3 as int) + 1) as status
-from customer_drawn
+select * from made_customers

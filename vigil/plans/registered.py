@@ -521,6 +521,18 @@ def keyed_update_orders(t: Tables) -> DataFrame:
     return keyed.update_columns(t["crm_orders"], updates, "order_id")
 
 
+@_query
+def keyed_update_customers(t: Tables) -> DataFrame:
+    """Generated customers whose stored namesake is blocked get a new phone and become active."""
+    blocked = t["crm_customers"].filter(F.col("status") == "blocked")
+    updates = blocked.select(
+        "customer_id",
+        F.concat(F.lit(fixed.PHONE_PREFIX), F.lit(AS_OF)).alias("phone"),
+        F.lit("active").alias("status"),
+    )
+    return keyed.update_columns(synthetic_customers(t), updates, "customer_id")
+
+
 # Generated commerce tables, one row per row of the stored inputs.
 
 SEED = 42
@@ -595,14 +607,39 @@ class _Arriving:
         return self.t.adapt(name, self)
 
 
-@_query
-def ingest_scoring_stream(t: Tables) -> DataFrame:
+def _ingested(t: Tables, output: str) -> DataFrame:
+    """One output of the scoring stream over all stored events."""
     store = work_folder(t.spark, "scoring-stream")
     arrivals = t.adapt("bank_transactions_pending", _Arriving(t))
     ingest.start_scoring(arrivals, t["bank_accounts"], store, AS_OF).awaitTermination()
-    return ingest.read_output(t.spark, store, "transactions").select(
-        "transaction_id", "risk_score", "status"
-    )
+    return ingest.read_output(t.spark, store, output).drop("batch_id")
+
+
+@_query
+def ingest_scoring_stream(t: Tables) -> DataFrame:
+    return _ingested(t, "transactions").select("transaction_id", "risk_score", "status")
+
+
+@_query
+def ingest_history_stream(t: Tables) -> DataFrame:
+    return _ingested(t, "history")
+
+
+@_query
+def ingest_alerts_stream(t: Tables) -> DataFrame:
+    return _ingested(t, "alerts")
+
+
+@_query
+def ingest_refused_stream(t: Tables) -> DataFrame:
+    return _ingested(t, "refused")
+
+
+@_query
+def ingest_balances_stream(t: Tables) -> DataFrame:
+    """Accounts by the ledger of all deltas."""
+    accounts = t["bank_accounts"].select("account_id", "balance")
+    return ingest.ledger_balances(accounts, _ingested(t, "balance_deltas"))
 
 
 @_query

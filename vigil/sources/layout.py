@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 from vigil.operators.keyed import with_defaults
 
 
-def write_events(events: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """Folders by event date; sorted by customer and time inside a file.
+def write_events(
+    events: DataFrame, folder: str, by_hour: bool = False, mode: str = "errorifexists"
+) -> None:
+    """Folders by event date, and by hour of day where asked; sorted by customer and time in a file.
 
     Range partitioning by date, customer and time also splits a date, or one customer of a date,
     over several files when they are large.
     """
+    folders = ["event_date", "event_hour"] if by_hour else ["event_date"]
+    order = [*folders, "customer_id", "event_time"]
     (
-        events.withColumn("event_date", F.to_date("event_time"))
-        .repartitionByRange("event_date", "customer_id", "event_time")
-        .sortWithinPartitions("event_date", "customer_id", "event_time")
+        events.withColumns({"event_date": F.to_date("event_time"), "event_hour": F.hour("event_time")})
+        .drop(*({"event_hour"} - set(folders)))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("parquet.bloom.filter.enabled#customer_id", "true")
-        .partitionBy("event_date")
+        .partitionBy(*folders)
         .parquet(folder)
     )
 
