@@ -75,13 +75,12 @@ def insert_transactions(bank: Bank, arrivals: DataFrame, as_of: str, strict: boo
         bank.accounts.select("account_id"), "account_id", "left_semi"
     )
     history = history_around(good, bank.transactions, bank.accounts)
-    scores = transaction_scores(good, bank.accounts, history).select("transaction_id", "risk_score")
-    columns = bank.transactions.columns
+    columns = [c for c in bank.transactions.columns if c in arrivals.columns]
+    others = [c for c in columns if c not in ("transaction_id", "risk_score", "status")]
     decided = stored(
-        good.drop("risk_score")
-        .join(scores, "transaction_id")
+        transaction_scores(good, bank.accounts, history, keep=others)
         .withColumn("status", decide(F.col("risk_score")))
-        .select(*(c for c in columns if c in arrivals.columns)),
+        .select(*columns),
         "arrivals",
     )
     effects = decisions.arrival_outputs(decided, as_of)

@@ -127,41 +127,33 @@ def process_pending(
     each other: a score looks only at whether other transactions are DECLINED, and no decision
     declines.  The scores are stored once, and all outputs derive from them.
     """
-    ids = requested.select("transaction_id").distinct()
-    known = transactions.select("transaction_id", F.col("status").alias("old_status"))
-    asked = ids.join(known, "transaction_id", "left")
-    scores = transaction_scores(transactions, accounts, heavy_rows=heavy_rows).select(
-        "transaction_id", F.col("risk_score").alias("new_score")
+    scores = transaction_scores(transactions, accounts, heavy_rows=heavy_rows, keep=["status"])
+    asked = requested.select("transaction_id").distinct().join(
+        scores.select("transaction_id", F.col("status").alias("old_status"), "risk_score"),
+        "transaction_id",
+        "left",
     )
-    accepted = F.col("old_status") == "PENDING"
-    scored = asked.filter(accepted).join(scores, "transaction_id")
-    decided = stored(
-        scored.select(
+    accepted = F.coalesce(F.col("old_status") == "PENDING", F.lit(False))
+    asked = stored(
+        asked.select(
             "transaction_id",
             "old_status",
-            F.col("new_score").alias("risk_score"),
-            decide(F.col("new_score")).alias("status"),
+            accepted.alias("accepted"),
+            F.when(accepted, F.col("risk_score")).alias("risk_score"),
+            F.when(accepted, decide(F.col("risk_score"))).otherwise(F.col("old_status")).alias("status"),
         ),
         "decisions",
     )
-    refused = asked.filter(~F.coalesce(accepted, F.lit(False)))
-    outcomes = decided.select(
+    outcomes = asked.select(
         "transaction_id",
-        F.lit("accepted").alias("outcome"),
-        F.lit(None).cast("string").alias("reason"),
+        F.when(F.col("accepted"), "accepted").otherwise("refused").alias("outcome"),
+        F.when(F.col("old_status").isNull(), "not found")
+        .when(~F.col("accepted"), F.concat(F.lit("already processed: "), "old_status"))
+        .alias("reason"),
         "status",
         "risk_score",
-    ).unionByName(
-        refused.select(
-            "transaction_id",
-            F.lit("refused").alias("outcome"),
-            F.when(F.col("old_status").isNull(), "not found")
-            .otherwise(F.concat(F.lit("already processed: "), "old_status"))
-            .alias("reason"),
-            F.col("old_status").alias("status"),
-            F.lit(None).cast("int").alias("risk_score"),
-        )
     )
+    decided = asked.filter("accepted")
     news = decided.select(
         "transaction_id", F.col("status").alias("new_status"), F.col("risk_score").alias("new_score")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ def own_points() -> Column:
     )
 
 
-def _moves(transactions: DataFrame, asked: bool) -> DataFrame:
-    """Only what scoring needs; rows that are not asked for bring no merchant columns."""
+def _moves(transactions: DataFrame, asked: bool, keep: Sequence[str]) -> DataFrame:
+    """What scoring needs and the kept columns; rows not asked for bring neither merchant nor kept."""
+    kept = F.struct(*(F.col(c) for c in keep)).alias("kept")
     return transactions.select(
+        *([kept] if keep and asked else []),
         "transaction_id",
         "account_id",
         "transaction_at",
@@ -38,15 +42,17 @@ def transaction_scores(
     accounts: DataFrame,
     history: DataFrame | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Score every row of ``transactions``; rows of ``history`` only add to volume and counts.
 
     Returns transaction_id, customer_id, daily_volume, recent_count (other transactions of the
-    customer in the past hour) and risk_score.
+    customer in the past hour), risk_score, and the columns of ``transactions`` named in ``keep``:
+    carrying them along saves the join that would fetch them later.
     """
-    moves = _moves(transactions, True)
+    moves = _moves(transactions, True, keep)
     if history is not None:
-        moves = moves.unionByName(_moves(history, False))
+        moves = moves.unionByName(_moves(history, False, keep), allowMissingColumns=True)
     active = recent_activity(moves, accounts, heavy_rows)
     others = F.when(
         F.col("customer_id").isNotNull(), F.col("past_hour_count") - F.col("counted").cast("int")
@@ -64,6 +70,7 @@ def transaction_scores(
         F.col("day_volume").alias("daily_volume"),
         "recent_count",
         F.least(score, F.lit(fixed.MAX_SCORE)).cast("int").alias("risk_score"),
+        *(F.col(f"kept.{c}").alias(c) for c in keep),
     )
 
 

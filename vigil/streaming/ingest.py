@@ -103,7 +103,7 @@ def score_batch(
     rescore rows.
     """
     spark = batch.sparkSession
-    batch = batch.persist()
+    batch, fresh = batch.persist(), None
     try:
         pending = one_per_key(batch.filter(F.col("status") == "PENDING"), "transaction_id")
         keys = accounts.select("account_id")
@@ -113,12 +113,11 @@ def score_batch(
             before = history_around(batch, before, accounts)
             seen = before.select("transaction_id")
             fresh = fresh.join(seen, "transaction_id", "left_anti")
-        scores = transaction_scores(fresh, accounts, before, heavy_rows).select(
-            "transaction_id", "risk_score"
-        )
+        fresh = fresh.persist()
+        others = [c for c in fresh.columns if c not in ("transaction_id", "risk_score", "status")]
         decided = (
-            fresh.drop("risk_score")
-            .join(scores, "transaction_id")
+            transaction_scores(fresh, accounts, before, heavy_rows, others)
+            .drop("customer_id", "daily_volume", "recent_count")
             .withColumn("status", decide(F.col("risk_score")))
             .withColumn("tx_date", F.to_date("transaction_at"))
         )
@@ -129,19 +128,25 @@ def score_batch(
         for name, rows in arrival_outputs(own, as_of)._asdict().items():
             _write(rows, store, name, batch_id)
 
+        # Few rows are refused, so they are picked before repeats are dropped.
+        waiting = batch.filter(F.col("status") == "PENDING")
+
         def refuse(rows: DataFrame, reason: str) -> DataFrame:
             return rows.select("transaction_id", "status", F.lit(reason).alias("reason"))
 
         refused = refuse(
             batch.filter(~F.col("status").eqNullSafe("PENDING")), "not pending"
-        ).unionByName(refuse(pending.join(keys, "account_id", "left_anti"), "unknown account"))
+        ).unionByName(
+            refuse(waiting.join(keys, "account_id", "left_anti"), "unknown account").distinct()
+        )
         if seen is not None:
-            refused = refused.unionByName(
-                refuse(pending.join(seen, "transaction_id", "left_semi"), "already stored")
-            )
+            again = waiting.join(seen, "transaction_id", "left_semi")
+            refused = refused.unionByName(refuse(again, "already stored").distinct())
         _write(refused, store, "refused", batch_id)
     finally:
         batch.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
 
 
 def compact(spark: SparkSession, store: str, batches: int, folder: str) -> Base:
