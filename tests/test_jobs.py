@@ -1,5 +1,6 @@
 """Decisions, alerts, balances, summaries, layouts and streams."""
 
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -324,6 +325,28 @@ def test_change_log(spark, frame, tmp_path):
     ]
 
 
+def test_change_log_of_a_busy_transaction(spark, frame, tmp_path):
+    pick = random.Random(9)
+    rows, at = [], T0
+    for _ in range(200):
+        at += timedelta(seconds=pick.choice([0.5, 5, 59, 60, 3000]))
+        rows.append((pick.choice([1, 1, 2]), pick.choice("ABC"), "a", at))
+    base = frame([(1, "A"), (2, None)], "transaction_id bigint, status string")
+    kind = "transaction_id bigint, status string, changed_by string, changed_at timestamp_ntz"
+    ingest.log_changes_batch(frame(rows, kind), 0, base, str(tmp_path))
+    latest, want = {1: "A", 2: None}, []
+    for i, status, _, when in rows:
+        if latest[i] != status:
+            want.append((i, latest[i], status, when))
+        latest[i] = status
+    found = ingest.read_output(spark, str(tmp_path), "status_changes").collect()
+    assert sorted((r.transaction_id, r.changed_at, r.old_status, r.new_status) for r in found) == sorted(
+        (i, when, old, new) for i, old, new, when in want)
+    for i in (1, 2):
+        ordered = sorted((r for r in found if r.transaction_id == i), key=lambda r: r.changed_at)
+        assert [r.seq for r in ordered] == sorted({r.seq for r in ordered})
+
+
 def test_ledger_counts_a_transaction_once(frame):
     accounts = frame([(1, Decimal("10.00"))], "account_id bigint, balance decimal(15,2)")
     deltas = frame([(7, 1, Decimal("-4.00")), (7, 1, Decimal("-4.00")), (8, 1, Decimal("-7.00"))],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.functions.columns import decide
-from vigil.operators.activity import HEAVY_ROWS
+from vigil.operators.activity import HEAVY_ROWS, minute
 from vigil.operators.keyed import one_per_key, update_columns
 from vigil.plans.decisions import arrival_outputs
 from vigil.plans.scoring import history_around, transaction_scores
@@ -194,6 +194,42 @@ def ledger_balances(accounts: DataFrame, deltas: DataFrame) -> DataFrame:
     )
 
 
+def _with_previous(changes: DataFrame) -> DataFrame:
+    """Add ``previous`` status and ``seq`` within the batch, in time order per transaction.
+
+    In two levels, so that the changes of one busy transaction spread over its minutes: a minute
+    starts with the last status and the number of changes of the minutes before it.
+    """
+    order = ["changed_at", "status"]
+    changes = changes.select(
+        "transaction_id", "status", "changed_by", "changed_at", minute("changed_at").alias("cell")
+    )
+    cells = changes.groupBy("transaction_id", "cell").agg(
+        F.count("*").alias("n"), F.max_by("status", F.struct(*order)).alias("last")
+    )
+    over_cells = Window.partitionBy("transaction_id").orderBy("cell")
+    before = F.sum("n").over(over_cells.rowsBetween(Window.unboundedPreceding, -1))
+    starts = cells.select(
+        "transaction_id",
+        "cell",
+        F.lag("last").over(over_cells).alias("first_previous"),
+        F.coalesce(before, F.lit(0)).alias("earlier"),
+    )
+    in_cell = Window.partitionBy("transaction_id", "cell").orderBy(*order)
+    return (
+        changes.join(starts, ["transaction_id", "cell"])
+        .withColumn("place", F.row_number().over(in_cell))
+        .withColumn(
+            "previous",
+            F.when(F.col("place") == 1, F.col("first_previous")).otherwise(
+                F.lag("status").over(in_cell)
+            ),
+        )
+        .withColumn("seq", (F.col("earlier") + F.col("place")).cast("int"))
+        .drop("cell", "place", "earlier", "first_previous")
+    )
+
+
 def log_changes_batch(batch: DataFrame, batch_id: int, base: DataFrame, store: str) -> None:
     """Log status changes of one batch against the latest known status of each transaction.
 
@@ -212,13 +248,9 @@ def log_changes_batch(batch: DataFrame, batch_id: int, base: DataFrame, store: s
             .agg(F.max_by("new_status", F.struct("batch_id", "seq")).alias("status"))
         )
         known = update_columns(known, latest, "transaction_id")
-    in_time = Window.partitionBy("transaction_id").orderBy("changed_at", "status")
-    stored = known.withColumnRenamed("status", "stored_status")
     changes = (
-        batch.select("transaction_id", "status", "changed_by", "changed_at")
-        .withColumn("previous", F.lag("status").over(in_time))
-        .withColumn("seq", F.row_number().over(in_time))
-        .join(stored, "transaction_id")
+        _with_previous(batch)
+        .join(known.withColumnRenamed("status", "stored_status"), "transaction_id")
         .withColumn(
             "old_status",
             F.when(F.col("seq") == 1, F.col("stored_status")).otherwise(F.col("previous")),
