@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
@@ -60,6 +60,11 @@ def mean_2dp(total: Column, n: Column) -> Column:
     return exact.cast("decimal(5,2)")
 
 
+def day_of(rows: DataFrame) -> Column:
+    """Day of a transaction: the folder column of a table laid out by day, where there is one."""
+    return F.col("tx_date") if "tx_date" in rows.columns else F.to_date("transaction_at")
+
+
 def decide(score: Column) -> Column:
     """Status that follows from a score."""
     return (

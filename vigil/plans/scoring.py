@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
-from vigil.functions.columns import is_risk_country, steps
+from vigil.functions.columns import day_of, is_risk_country, steps
 from vigil.operators.activity import HEAVY_ROWS, recent_activity
 
 
@@ -83,12 +83,11 @@ def history_around(batch: DataFrame, stored: DataFrame, accounts: DataFrame) ->
     """
     hour_before = F.expr("transaction_at - INTERVAL 1 HOUR")
     dates = F.explode(F.array(F.to_date("transaction_at"), F.to_date(hour_before)))
-    days = [row.day for row in batch.select(dates.alias("day")).distinct().collect()]
-    day = F.col("tx_date") if "tx_date" in stored.columns else F.to_date("transaction_at")
+    days = sorted(row.day for row in batch.select(dates.alias("day")).dropna().distinct().collect())
     owners = accounts.select("account_id", "customer_id")
     customers = owners.join(batch.select("account_id"), "account_id", "left_semi").select("customer_id")
     related = owners.join(customers, "customer_id", "left_semi").select("account_id")
-    return stored.filter(day.isin(days)).join(related, "account_id", "left_semi")
+    return stored.filter(day_of(stored).isin(days)).join(related, "account_id", "left_semi")
 
 
 def customer_daily_volume(transactions: DataFrame, accounts: DataFrame) -> DataFrame:

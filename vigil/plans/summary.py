@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.columns import full_name, mean_2dp
+from vigil.functions.columns import day_of, full_name, mean_2dp
 
 MONEY = "decimal(25,2)"
 TOP = 3
@@ -123,9 +123,10 @@ def refresh_days(
 
     A day that lost all its transactions keeps its row; refresh in full after such a deletion.
     """
-    touched = transactions.withColumn("transaction_date", F.to_date("transaction_at")).join(
-        days.select("transaction_date").distinct(), "transaction_date", "left_semi"
-    )
+    # A literal list of days prunes the folders of a table laid out by day.
+    wanted = days.select("transaction_date").dropna().distinct().collect()
+    touched_days = sorted(row.transaction_date for row in wanted)
+    touched = transactions.filter(day_of(transactions).isin(touched_days))
     (
         daily_fraud_summary(touched, alerts, accounts, customers, as_of)
         .repartition("transaction_date")

@@ -27,11 +27,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder for a job's own tables, below the folder the cluster names for checkpoints.
+    """New folder for a job's own tables, below the folder named for checkpoints: by the cluster in
+    ``spark.checkpoint.dir``, or by the program with ``setCheckpointDir``.
 
     Only a local master, where every task sees the same disk, may fall back to a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     if not spark.conf.get("spark.master", "").startswith("local"):

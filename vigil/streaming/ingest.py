@@ -157,13 +157,14 @@ def compact(spark: SparkSession, store: str, batches: int, folder: str) -> Base:
     return Base(spark.read.parquet(folder), batches)
 
 
-def _start(stream: DataFrame, store: str, name: str, run: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(run)
-        .option("checkpointLocation", f"{store}/checkpoint-{name}")
-        .trigger(availableNow=True)
-        .start()
+def _start(
+    stream: DataFrame, store: str, name: str, run: Callable[[DataFrame, int], None], every: str | None
+) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(run).option(
+        "checkpointLocation", f"{store}/checkpoint-{name}"
     )
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
 def start_scoring(
@@ -173,17 +174,26 @@ def start_scoring(
     as_of: str,
     base: Base | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Score a stream of arriving transactions; outputs are read with ``read_output``."""
+    """Score a stream of arriving transactions; outputs are read with ``read_output``.
+
+    Runs on at the given interval (``every="1 minute"``), or else stops when all that is available
+    has been read.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, accounts, store, as_of, base, heavy_rows)
 
-    return _start(arrivals, store, "scoring", run)
+    return _start(arrivals, store, "scoring", run, every)
 
 
 def ledger_balances(accounts: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Opening balances plus all deltas, each transaction counted once."""
+    """Opening balances plus all deltas, each transaction counted once.
+
+    A stream cannot turn a whole batch down, so an overdrawn account shows a negative balance and is
+    marked.
+    """
     once = one_per_key(deltas.select("transaction_id", "account_id", "delta"), "transaction_id")
     sums = once.groupBy("account_id").agg(F.sum("delta").alias("delta"))
     balance = (F.col("balance") + F.coalesce("delta", F.lit(0))).cast("decimal(25,2)")
@@ -272,8 +282,12 @@ def log_changes_batch(batch: DataFrame, batch_id: int, base: DataFrame, store: s
     )
 
 
-def start_change_log(changes: DataFrame, base: DataFrame, store: str) -> StreamingQuery:
+def start_change_log(
+    changes: DataFrame, base: DataFrame, store: str, every: str | None = None
+) -> StreamingQuery:
+    """Log a stream of status changes against the statuses in ``base``."""
+
     def run(batch: DataFrame, batch_id: int) -> None:
         log_changes_batch(batch, batch_id, base, store)
 
-    return _start(changes, store, "changes", run)
+    return _start(changes, store, "changes", run, every)
