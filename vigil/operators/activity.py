@@ -24,10 +24,13 @@ JUST_PAST_HOUR = "INTERVAL '3600.000001' SECOND"
 def heavy_customers(rows: DataFrame, accounts: DataFrame, heavy_rows: int) -> DataFrame | None:
     """Customers that own more than ``heavy_rows`` rows, or None when there are none.
 
-    Runs a job: one column is scanned and counted per account before accounts are joined.  The list
-    is written to the shared work folder, so that joins with it are planned on its true size; the
-    driver only learns whether it is empty.
+    Runs jobs.  A plain count, which reads no columns, settles it for small tables.  Else one column is
+    scanned and counted per account before accounts are joined; the list is written to the shared
+    work folder, so that joins with it are planned on its true size, and the driver only learns
+    whether it is empty.
     """
+    if rows.count() <= heavy_rows:
+        return None
     heavy = stored(
         rows.groupBy("account_id")
         .agg(F.count("*").alias("n"))
