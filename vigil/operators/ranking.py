@@ -2,28 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import stored
 
-def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -> DataFrame:
+MAX_VALUES = 2_000_000
+"""Up to this many distinct values are ranked in one window and broadcast (some 50 MB)."""
+
+
+def _split(counts: DataFrame, order) -> DataFrame:
+    """Counts in stored ranges of values, each with what the ranges before it hold."""
+    ranges = stored(
+        counts.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "value-counts"
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranges.groupBy("range")
+        .agg(F.sum("n").alias("rows"), F.count("*").alias("values"))
+        .select(
+            "range",
+            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
+            F.coalesce(F.sum("values").over(before), F.lit(0)).alias("values_before"),
+        )
+    )
+    # One row per range, and no more ranges than shuffle partitions.
+    return ranges.join(F.broadcast(starts), "range")
+
+
+def rank_by_value(
+    rows: DataFrame,
+    value: str,
+    rank: str,
+    dense: bool = False,
+    max_values: int | None = MAX_VALUES,
+) -> DataFrame:
     """Add the RANK or DENSE_RANK of ``value`` in descending order, NULLs first.
 
-    Rows are counted per value, the few counts are ranked in one window, and ranks are joined back.
-    Meant for values with few distinct results (scores with two decimals, counts): k distinct counts
-    need at least k*(k-1)/2 counted things, so k stays below 1.5 million even for 10^12 of them.
-    That bounds the broadcast ranks.  ``rows`` are read twice, so they should be a stored table.
+    Rows are counted per value, the counts are ranked, and ranks are joined back.  Up to
+    ``max_values`` values, which a job counts, are ranked in one window and broadcast; more are ranked
+    range by range and joined by a shuffle.  None says that the values are known to be few.
+    ``rows`` are read several times, so they should be a stored table.
     """
+    order = F.col(value).desc_nulls_first()
     counts = rows.groupBy(value).agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.col(value).desc_nulls_first())
-    position: Column
+    few = max_values is None or counts.count() <= max_values
+    if few:
+        counts = counts.withColumns({"rows_before": F.lit(0), "values_before": F.lit(0)})
+        window = Window.orderBy(order)
+    else:
+        counts = _split(counts, order)
+        window = Window.partitionBy("range").orderBy(order)
     if dense:
-        position = F.row_number().over(order).cast("bigint")
+        position = F.col("values_before") + F.row_number().over(window)
     else:
-        above = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        position = F.coalesce(above, F.lit(0)) + 1
-    ranks = counts.select(F.col(value).alias("ranked_value"), position.alias(rank))
+        above = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+        position = F.col("rows_before") + F.coalesce(above, F.lit(0)) + 1
+    ranks = counts.select(F.col(value).alias("ranked_value"), position.cast("bigint").alias(rank))
     # A common value, such as score 0, would make one task of a shuffled join hot.
-    return rows.join(
-        F.broadcast(ranks), F.col(value).eqNullSafe(F.col("ranked_value")), "left"
-    ).drop("ranked_value")
+    side = F.broadcast(ranks) if few else ranks
+    return rows.join(side, F.col(value).eqNullSafe(F.col("ranked_value")), "left").drop("ranked_value")

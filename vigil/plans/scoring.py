@@ -24,14 +24,14 @@ def own_points() -> Column:
 
 def _moves(transactions: DataFrame, asked: bool, keep: Sequence[str]) -> DataFrame:
     """What scoring needs and the kept columns; rows not asked for bring neither merchant nor kept."""
-    kept = F.struct(*(F.col(c) for c in keep)).alias("kept")
+    kept = [F.struct(*keep).alias("kept")] if keep and asked else []
     return transactions.select(
-        *([kept] if keep and asked else []),
+        *kept,
         "transaction_id",
         "account_id",
         "transaction_at",
         "amount",
-        (F.col("status") != "DECLINED").alias("counted"),
+        F.coalesce(F.col("status") != "DECLINED", F.lit(False)).alias("counted"),
         (own_points() if asked else F.lit(0)).alias("points"),
         F.lit(asked).alias("asked"),
     )
