@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as registry
 from check import differences, duck
+from vigil import oracle
+from vigil.plans import registered
 
 FOLDER = "/root/testdata/sf0.01"
-SQL = registry.oracle_sql()
-QUERIES = registry.queries()
+SQL = oracle.statements()
+QUERIES = registered.QUERIES
 
 
 @pytest.fixture(scope="module")
