@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import exact_dedup, langid, sentencepiece_bpe, simhash, token_files
+from vigil.llm import decontaminate, exact_dedup, langid, license_scan, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
 from vigil.llm.shared import ship
 
 #: Folder of the public vocabularies.
@@ -35,22 +35,45 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, folder, "documents"), vocabulary(PIECE_BPE))
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, folder, "documents")).drop("spans")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, folder, "documents"), keep="largest")
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_later_copies(table(spark, folder, "documents"))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"))
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_files, op2_simhash, op4_sentencepiece, op6_exact_dedup, op10_language)
+    for f in (
+        op1_token_files, op2_simhash, op3_decontaminate, op4_sentencepiece, op5_licenses,
+        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language,
+    )
 }
 
 SQL = {

@@ -254,15 +254,16 @@ def decoded(path: str, ids: Column) -> Column:
     return texts(ids)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
+def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, and with ``with_ids`` the ``ids``."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def digest(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             n, ids, back = round_trip(path, text)
-            rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            codes = [np.array(ids.split(",") if ids else [], dtype=np.int32)] * with_ids
+            rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), *codes))
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return docs.select("doc_id", digest(whole_text()).alias("r")).select("doc_id", "r.*")

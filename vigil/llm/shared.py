@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow.fs as pafs
@@ -39,16 +40,22 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else os.path.abspath(uri))
 
 
-def put(uri: str, data: bytes | memoryview) -> None:
-    """Write a whole file under another name, then rename it: a repeated task replaces equal content."""
+@contextlib.contextmanager
+def whole_file(uri: str) -> Iterator:
+    """Stream of a new file that appears under its name when it is whole: a repeated task replaces equal content."""
     fs, path = store(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
     unfinished = f"{path}.{uuid.uuid4().hex}"
     with fs.open_output_stream(unfinished, compression=None) as out:
-        out.write(data)
+        yield out
     fs.move(unfinished, path)
 
 
+def put(uri: str, data: bytes | memoryview) -> None:
+    with whole_file(uri) as out:
+        out.write(data)
+
+
 def whole_text(column: str = "text") -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
