@@ -95,7 +95,8 @@ def _luhn() -> Column:
     """Whether the digits of ``hit`` pass the check: from the right, every second one doubled."""
     return F.expr(
         "aggregate(transform(split(reverse(regexp_replace(hit, '[^0-9]', '')), ''),"
-        " (d, i) -> if(i % 2 = 0, int(d), int(d) * 2 - if(int(d) > 4, 9, 0))), 0, (a, d) -> a + coalesce(d, 0)) % 10 = 0"
+        " (d, i) -> (try_cast(d AS int) * (1 + i % 2)) - if(i % 2 = 1 AND d > '4', 9, 0)),"
+        " 0, (a, d) -> a + coalesce(d, 0)) % 10 = 0"
     )
 
 
