@@ -149,7 +149,7 @@ def lcs(a, b):
     return row[-1]
 
 
-def leaks(docs, items, cover=0.6, stretch=1.6, least=8):
+def leaks(docs, items, cover=0.5, stretch=1.6, least=8):
     """(doc_id, item_id) of every document with a stretch that shares that part of an item's words in order."""
     words = lambda t: re.findall(r"\w+", (t or "").lower())
     asked = [(i, words(t)) for i, t in items]
@@ -159,10 +159,10 @@ def leaks(docs, items, cover=0.6, stretch=1.6, least=8):
         for item_id, want in asked:
             if len(want) < least:
                 continue
-            n, size = len(want), int(1.6 * len(want)) if stretch == 1.6 else int(stretch * len(want))
+            n, size = len(want), int(stretch * len(want))
             for at in range(0, max(1, len(have) - size // 2), max(1, n // 8)):
                 part = have[at : at + size]
-                if len(set(part) & set(want)) >= cover * len(set(want)) * 0.75 and lcs(want, part) >= cover * n:
+                if sum(w in set(part) for w in want) >= cover * n and lcs(want, part) >= cover * n:
                     found.add((doc_id, item_id))
                     break
     return found

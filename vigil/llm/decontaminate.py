@@ -9,8 +9,8 @@ Search: words are mapped to their latent vectors and summed over windows about a
 ``SPANS``), stepping ``STEP`` words.  Windows whose cosine with an item reaches ``MIN_COSINE`` are candidates.  Around
 them the longest common subsequence of words with the item is taken (bit-parallel), which survives words put in, left
 out and replaced.  A candidate is a match if the subsequence holds ``MIN_COVER`` of the item's words within a
-stretch at most ``MAX_STRETCH`` times as long, and the answer check passes: half of the answer's words, those behind an
-answer mark or else the item's ``ANSWER_WORDS`` rarest, are among the common ones.
+stretch at most ``MAX_STRETCH`` times as long, and the answer check passes: a third of the answer's words are among the
+common ones.  The answer is what stands behind an answer mark, or else the rarest quarter of the item's words.
 
 Items are taken in blocks of ``ITEM_BLOCK``, each broadcast with its vectors, so a benchmark of any size is searched
 in as many passes; a block's size is bounded by that number.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +39,12 @@ SAMPLE_DOCS = 2_000
 SEED = 20_240_501
 SPANS = (16, 32, 64)
 STEP = 8
-MIN_COSINE = 0.5
+MIN_COSINE = 0.7
 MIN_WORDS = 8
-MIN_COVER = 0.6
+MIN_COVER = 0.5
 MAX_STRETCH = 1.6
-ANSWER_WORDS = 4
+ANSWER_PART = 4
+ANSWER_SHARE = 1 / 3
 ITEM_BLOCK = 4_096
 #: Feature rows that a partial product sends as one block.
 ROWS = 4_096
@@ -162,10 +164,12 @@ class Items:
             answer = words(behind[1]) if behind else []
             if not answer:
                 codes = features(found)
-                answer = [found[i] for i in sorted(range(len(found)), key=lambda i, c=codes: (-weights[c[i]], i))[:ANSWER_WORDS]]
+                answer = [found[i] for i in sorted(range(len(found)), key=lambda i, c=codes: (-weights[c[i]], i))[: -(-len(found) // ANSWER_PART)]]
             self.answers.append(set(answer))
             spans.append(min(SPANS, key=lambda s, n=len(found): abs(s - n)))
             vectors.append(self.space[features(found)].sum(axis=0))
+        self.counts = list(map(Counter, self.words))
+        self.sets = list(map(frozenset, self.words))
         self.by_span = {}
         for span in SPANS:
             which = [i for i, s in enumerate(spans) if s == span]
@@ -217,9 +221,9 @@ class Items:
         start = max(0, at - n // 2 - STEP)
         stop = min(len(found), at + 2 * n + 2 * STEP)
         near = found[start:stop]
-        if len(set(wanted) & set(near)) < MIN_COVER * len(set(wanted)) * 0.75:
-            return 0.0, 0
-        if lcs_length(wanted, near) < MIN_COVER * n:
+        held = self.sets[item]
+        # Of n words, as many can be common as occur at all: repeats of a word count as often as the item has them.
+        if n - sum(self.counts[item][w] for w in held.difference(near)) < MIN_COVER * n or lcs_length(wanted, near) < MIN_COVER * n:
             return 0.0, 0
         common = lcs_places(wanted, near)
         longest = int(MAX_STRETCH * n)
@@ -231,7 +235,7 @@ class Items:
             if right - left + 1 > cover:
                 cover, first = right - left + 1, left
         held = {near[p] for p in common[first : first + cover]}
-        if cover < MIN_COVER * n or 2 * len(self.answers[item] & held) < len(self.answers[item]):
+        if cover < MIN_COVER * n or len(self.answers[item] & held) < ANSWER_SHARE * len(self.answers[item]):
             return 0.0, 0
         return cover / n, start + common[first]
 
