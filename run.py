@@ -11,6 +11,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from vigil.plans.registered import QUERIES
+from vigil.session import release
 
 
 def main(arguments: list[str]) -> int:
@@ -20,6 +21,7 @@ def main(arguments: list[str]) -> int:
     query, folder, output = arguments
     spark = SparkSession.builder.appName(f"vigil {query}").getOrCreate()
     QUERIES[query](spark, folder).write.parquet(output)
+    release(spark)
     return 0
 
 

@@ -68,8 +68,34 @@ def test_overdraft_fails_or_is_kept_back(spark, loaded):
     rows = spark.createDataFrame([arrival(41, 5, "0.01", None, None)], schemas.TRANSACTIONS)
     with pytest.raises(PySparkException, match="overdraft of account 5"):
         jobs.insert_transactions(loaded, rows, sample.AS_OF).bank.accounts.collect()
-    kept = jobs.insert_transactions(loaded, rows, sample.AS_OF, strict=False).bank
-    assert balances(kept)[5] == "0.00"
+    done = jobs.insert_transactions(loaded, rows, sample.AS_OF, strict=False)
+    assert balances(done.bank)[5] == "0.00"
+    assert [tuple(r) for r in done.outcomes.collect()] == [(41, "refused", "overdraft")]
+    assert [r.status for r in done.bank.transactions.filter("transaction_id = 41").collect()] == ["PENDING"]
+
+
+def test_all_approvals_of_an_overdrawn_account_are_refused(spark, loaded):
+    rows = [arrival(61, 9, "600.00", None, None), arrival(62, 9, "70.21", None, None), arrival(63, 8, "1.00", None, None)]
+    waiting = loaded._replace(transactions=loaded.transactions.unionByName(spark.createDataFrame(rows, schemas.TRANSACTIONS)))
+    ids = spark.createDataFrame([(61,), (62,), (63,)], "transaction_id bigint")
+    done = jobs.process_transactions(waiting, ids, sample.AS_OF, strict=False)
+    assert {r.transaction_id: (r.outcome, r.reason) for r in done.outcomes.collect()} == {
+        61: ("refused", "overdraft"), 62: ("refused", "overdraft"), 63: ("accepted", None)}
+    assert balances(done.bank)[9] == balances(loaded)[9]
+    assert {r.transaction_id: r.status for r in done.bank.transactions.filter("transaction_id > 60").collect()} == {
+        61: "PENDING", 62: "PENDING", 63: "APPROVED"}
+    assert done.bank.history.filter("transaction_id in (61, 62)").count() == 0
+    with pytest.raises(PySparkException, match="overdraft of account 9"):
+        jobs.process_transactions(waiting, ids, sample.AS_OF).bank.accounts.collect()
+
+
+def test_arrivals_that_differ_are_refused_and_absent_times_are_filled(spark, loaded):
+    kind = "transaction_id bigint, account_id bigint, amount decimal(15,2), merchant_category string, merchant_country string"
+    rows = [(71, 6, Decimal("7.00"), None, None), (71, 8, Decimal("8.00"), None, None), (72, 6, Decimal("1.00"), None, None), (72, 6, Decimal("1.00"), None, None)]
+    done = jobs.insert_transactions(loaded, spark.createDataFrame(rows, kind), sample.AS_OF)
+    assert sorted(map(tuple, done.outcomes.collect())) == [(71, "refused", "conflicting repeat"), (72, "accepted", None)]
+    row = done.bank.transactions.filter("transaction_id = 72").collect()
+    assert [str(r.transaction_at) for r in row] == [sample.AS_OF]
 
 
 def test_process_then_approve_then_freeze(spark, loaded):
@@ -82,7 +108,7 @@ def test_process_then_approve_then_freeze(spark, loaded):
     waiting = done.bank._replace(transactions=done.bank.transactions.unionByName(
         unscored.selectExpr(*(c if c != "risk_score" else "20 as risk_score" for c in unscored.columns))))
     approved = jobs.approve_pending(waiting, sample.AS_OF)
-    assert approved.outcomes.collect()[0].approved_count == 1
+    assert [r.outcome for r in approved.outcomes.collect()] == ["accepted"]
     assert Decimal(balances(approved.bank)[8]) == Decimal(balances(waiting)[8]) - 10
     assert approved.bank.history.count() == 24
 

@@ -24,6 +24,11 @@ def verdict(score):
     return "FLAGGED" if score >= 60 else "APPROVED" if score <= 30 else "PENDING"
 
 
+def rich(frame, owners):
+    rows = [(a, c, Decimal("999999999.00")) for a, c in owners.items()]
+    return frame(rows, f"{ACCOUNTS}, balance decimal(15,2)")
+
+
 # Deciding.
 
 
@@ -33,7 +38,7 @@ def test_process_pending(spark, frame):
     transactions = frame(rows, schemas.TRANSACTIONS)
     requests = frame([(i,) for i in [*range(0, 120, 2), 0, 5000]], "transaction_id bigint")
     result = decisions.process_pending(
-        requests, transactions, frame(list(owners.items()), ACCOUNTS), sample.rules(spark), "me", AS_OF
+        requests, transactions, rich(frame, owners), sample.rules(spark), "me", AS_OF
     )
     before = {r[0]: r[7] for r in rows}
     accepted = {i for i in range(0, 120, 2) if before[i] == "PENDING"}
@@ -77,26 +82,32 @@ def scored(frame, rows):
 
 def test_approve_pending_passes_over_unscored_and_high(frame):
     rows = scored(frame, [(i, 1, "1.00", "PENDING", s) for i, s in enumerate([0, 1, 30, 31])] + [(9, 1, "1.00", "FLAGGED", 5)])
-    snapshot, count = decisions.approve_pending(rows)
-    assert {r.transaction_id: r.status for r in snapshot.collect()} == {
+    done = decisions.approve_pending(rows, rich(frame, {1: 10}))
+    assert {r.transaction_id: r.status for r in done.transactions.collect()} == {
         0: "PENDING", 1: "APPROVED", 2: "APPROVED", 3: "PENDING", 9: "FLAGGED"}
-    assert count.collect()[0].approved_count == 2
+    assert done.approved_count.collect()[0].approved_count == 2
 
 
-def test_deductions(frame):
+def test_deductions_equal_approvals(frame):
     accounts = frame([(1, Decimal("10.00")), (2, Decimal("10.00")), (3, Decimal("5.00"))], "account_id bigint, balance decimal(15,2)")
-    before = scored(frame, [(1, 1, "4.00", "PENDING", 5), (2, 1, "6.00", "PENDING", 5), (3, 2, "10.01", "PENDING", 5),
-                            (4, 3, "5.00", "APPROVED", 5)])
-    after = scored(frame, [(1, 1, "4.00", "APPROVED", 5), (2, 1, "6.00", "APPROVED", 5), (3, 2, "10.01", "APPROVED", 5),
-                           (4, 3, "5.00", "APPROVED", 5), (5, 3, "1.00", "APPROVED", 5)])
-    deductions = decisions.approval_deductions(before, after)
-    found = decisions.deducted_balances(accounts, deductions, strict=False).collect()
-    assert {r.account_id: (str(r.balance), str(r.deducted), r.overdrawn) for r in found} == {
-        1: ("0.00", "10.00", False), 2: ("10.00", "10.01", True), 3: ("5.00", "0.00", False)}
+    rows = scored(frame, [(1, 1, "4.00", "PENDING", 5), (2, 1, "6.00", "PENDING", 5), (3, 2, "10.01", "PENDING", 5),
+                          (4, 3, "5.00", "APPROVED", 5)])
+    done = decisions.approve_pending(rows, accounts)
+    assert {r.transaction_id: (r.outcome, r.reason) for r in done.outcomes.collect()} == {
+        1: ("accepted", None), 2: ("accepted", None), 3: ("refused", "overdraft")}
+    found = decisions.deducted_balances(accounts, done.deductions).collect()
+    assert {r.account_id: (str(r.balance), str(r.deducted)) for r in found} == {
+        1: ("0.00", "10.00"), 2: ("10.00", "0.00"), 3: ("5.00", "0.00")}
+    strict = decisions.approve_pending(rows, accounts, refuse_overdrafts=False)
     with pytest.raises(PySparkException, match="overdraft of account 2"):
-        decisions.deducted_balances(accounts, deductions).collect()
-    fine = decisions.deducted_balances(accounts, deductions.filter("account_id = 1")).collect()
-    assert {r.account_id: str(r.balance) for r in fine} == {1: "0.00", 2: "10.00", 3: "5.00"}
+        decisions.deducted_balances(accounts, strict.deductions).collect()
+
+
+def test_one_request_reads_only_its_days_and_customers(spark, tmp_path):
+    layout.write_transactions(sample.transactions(spark), str(tmp_path / "t"))
+    kept = spark.read.parquet(str(tmp_path / "t"))
+    batch = kept.filter("transaction_id = 8")
+    assert [r.transaction_id for r in history_around(batch, kept, sample.accounts(spark)).collect()] == [8]
 
 
 def test_customer_delete_check(frame):
@@ -142,16 +153,13 @@ def test_summary_versions_and_daily_refresh(spark, tmp_path):
     assert summary.read_summary(spark, old, flagged_only=True).count() == 0
     assert [r.transaction_date for r in summary.read_summary(spark, new, flagged_only=True).collect()] == [date(2026, 5, 29)]
 
-    folder = str(tmp_path / "daily")
-    arguments = (sample.alerts(spark), sample.accounts(spark), sample.customers(spark), AS_OF, folder)
-    summary.refresh_days(first.select(F.to_date("transaction_at").alias("transaction_date")), first, *arguments)
-    assert summary.read_summary(spark, folder).count() == 4
-    day = spark.createDataFrame([(date(2026, 5, 29),)], "transaction_date date")
-    everything_flagged = first.withColumn("status", F.lit("FLAGGED"))
-    summary.refresh_days(day, everything_flagged, *arguments)
-    rows = summary.read_summary(spark, folder)
-    assert rows.count() == 4
-    assert [r.transaction_date for r in rows.filter("flagged_transactions > 0").collect()] == [date(2026, 5, 29)]
+    others = (sample.alerts(spark), sample.accounts(spark), sample.customers(spark), AS_OF)
+    days = spark.createDataFrame([(date(2026, 5, 29),), (date(2026, 5, 30),), (None,)], "transaction_date date")
+    later = first.withColumn("status", F.lit("FLAGGED")).filter("to_date(transaction_at) <> date '2026-05-30'")
+    untimed = later.withColumn("transaction_at", F.when(F.col("transaction_id") != 12, F.col("transaction_at")))
+    rows = summary.refreshed_days(summary.read_summary(spark, old), days, untimed, *others).collect()
+    assert {r.transaction_date: (r.total_transactions, r.flagged_transactions) for r in rows} == {
+        date(2026, 5, 29): (1, 1), date(2026, 5, 31): (3, 0), date(2026, 6, 1): (5, 0), None: (1, 1)}
 
 
 def test_pair_count_equals_the_expanded_join(frame):
@@ -289,6 +297,13 @@ def test_ordered_batches_and_replay(spark, frame, tmp_path):
     assert all(r.status == verdict(r.risk_score) for r in found)
     refused = ingest.read_output(spark, store, "refused").collect()
     assert {r.reason for r in refused} == {"not pending", "unknown account", "already stored"}
+    moved = [(*r[:9], r[9] + 40 * 24 * HOUR) for r in parts[0] if r[7] == "PENDING" and r[1] in owners][:3]
+    other = [(9000, 1, *moved[0][2:]), (9000, 2, *moved[0][2:])]
+    ingest.score_batch(frame(moved + other, schemas.TRANSACTIONS), 3, accounts, store, AS_OF)
+    late = ingest.read_batch(spark, store, "refused", 3).collect()
+    assert sorted((r.transaction_id, r.reason) for r in late) == sorted(
+        [(r[0], "already stored") for r in moved] + [(9000, "conflicting repeat")])
+    assert ingest.read_batch(spark, store, "transactions", 3).count() == 0
 
     once = outputs(spark, store)
     for number in (2, 1):
@@ -336,6 +351,9 @@ def test_change_log(spark, frame, tmp_path):
         (1, "APPROVED", "DECLINED", "c"), (1, "FLAGGED", "APPROVED", "b"), (1, "PENDING", "FLAGGED", "a"),
         (2, "PENDING", "APPROVED", "c"),
     ]
+    keys = [(r.transaction_id, r.seq) for r in rows]
+    assert len(set(keys)) == len(keys)
+    assert [r.transaction_id for r in ingest.read_output(spark, store, "change_refused").collect()] == [9]
 
 
 def test_change_log_of_a_busy_transaction(spark, frame, tmp_path):

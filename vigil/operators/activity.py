@@ -1,9 +1,8 @@
 """Recent activity per customer: same-day volume and transactions within the past hour.
 
-Customers are treated by weight.  Ordinary customers take one shuffle and one linear window pass.
-A customer with more rows than one task should hold goes another way that gives the same numbers:
-rows are pre-aggregated to distinct instants, time is cut into one-minute cells, and each cell gets
-what earlier cells carry into it, so no task ever holds a whole heavy customer.
+One way for every customer, busy or not.  Rows are pre-aggregated to a customer's distinct instants, time is
+cut into one-minute cells, and each cell gets what earlier cells carry into it, so no task ever holds a
+whole customer.  The numbers of an instant are joined back to its rows.
 """
 
 from __future__ import annotations
@@ -11,97 +10,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.session import stored
-
-HEAVY_ROWS = 2_000_000
-"""More rows than this make a customer heavy; fewer fit one task with ease.  There are at most
-(all rows / HEAVY_ROWS) heavy customers - half a million at 10^12 rows - so their list stays
-small however large the data."""
-
 JUST_PAST_HOUR = "INTERVAL '3600.000001' SECOND"
 
+SALT = 16
+"""Parts in which the rows of one account meet it; the two columns of an account are repeated as often."""
 
-def heavy_customers(rows: DataFrame, accounts: DataFrame, heavy_rows: int) -> DataFrame | None:
-    """Customers that own more than ``heavy_rows`` rows, or None when there are none.
 
-    Runs jobs.  A plain count, which reads no columns, settles it for small tables.  Else one column is
-    scanned and counted per account before accounts are joined; the list is written to the shared
-    work folder, so that joins with it are planned on its true size, and the driver only learns
-    whether it is empty.
-    """
-    if rows.count() <= heavy_rows:
-        return None
-    heavy = stored(
-        rows.groupBy("account_id")
-        .agg(F.count("*").alias("n"))
-        .join(accounts.select("account_id", "customer_id"), "account_id")
-        .groupBy("customer_id")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") > heavy_rows)
-        .select("customer_id"),
-        "heavy-customers",
-    )
-    return None if heavy.isEmpty() else heavy
-
-
-def split_by_weight(
-    rows: DataFrame, accounts: DataFrame, heavy_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary, heavy) rows with ``customer_id`` added; heavy is None when there are none.
-
-    Rows without a matching account stay among the ordinary ones, with a NULL customer.
-    """
-    owners = accounts.select("account_id", "customer_id")
-    heavy = heavy_customers(rows, accounts, heavy_rows)
-    if heavy is None:
-        return rows.join(owners, "account_id", "left"), None
-    marked = owners.join(heavy.withColumn("heavy", F.lit(True)), "customer_id", "left")
-    ordinary = rows.join(marked, "account_id", "left").filter(F.col("heavy").isNull()).drop("heavy")
-    return ordinary, rows.join(owners.join(heavy, "customer_id", "left_semi"), "account_id")
+def with_customer(rows: DataFrame, accounts: DataFrame, how: str = "left") -> DataFrame:
+    """Rows with the ``customer_id`` of their account; a busy account's rows spread over ``SALT`` parts."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("part")
+    owners = accounts.select("account_id", "customer_id", parts)
+    salted = rows.withColumn("part", F.pmod(F.xxhash64("transaction_id"), F.lit(SALT)).cast("int"))
+    return salted.join(owners, ["account_id", "part"], how).drop("part")
 
 
 def minute(at: str):
     return F.expr(f"{at} - make_dt_interval(0, 0, 0, extract(SECOND FROM {at}))")
 
 
-def _ordinary(moves: DataFrame) -> DataFrame:
-    """Both windows run on one hash partitioning; both frames only grow.
+def recent_activity(moves: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Add ``customer_id``, ``day_volume`` and ``past_hour_count`` to every row.
 
-    Rows without a customer each form a group of their own and get zeros.
+    ``moves`` needs transaction_id, account_id, transaction_at, amount and ``counted`` (false for rows that add
+    nothing).  The hour is closed at both ends and the row itself is in it; equal times all count.  A
+    row without a time or a known account is alone: volume 0, and itself in the count.
     """
-    arrived = """count_if(counted) OVER (PARTITION BY customer_id, alone
-                 ORDER BY transaction_at RANGE BETWEEN {})"""
-    none = F.col("customer_id").isNull()
-    return (
-        moves.withColumn("alone", F.when(none, F.col("transaction_id")))
-        .withColumn(
-            "past_hour_count",
-            F.expr(arrived.format("UNBOUNDED PRECEDING AND CURRENT ROW"))
-            - F.expr(arrived.format(f"UNBOUNDED PRECEDING AND {JUST_PAST_HOUR} PRECEDING")),
-        )
-        .withColumn(
-            "day_volume",
-            F.sum(F.when(F.col("counted"), F.col("amount"))).over(
-                Window.partitionBy("customer_id", "alone", F.to_date("transaction_at"))
-            ),
-        )
-        .drop("alone")
-        .withColumn("past_hour_count", F.when(none, 0).otherwise(F.col("past_hour_count")))
-        .withColumn(
-            "day_volume",
-            F.when(none, 0).otherwise(F.coalesce("day_volume", F.lit(0))).cast("decimal(25,2)"),
+    rows = with_customer(moves, accounts)
+    instants = (
+        rows.filter("customer_id IS NOT NULL AND transaction_at IS NOT NULL")
+        .groupBy("customer_id", "transaction_at")
+        .agg(
+            F.count_if("counted").alias("n"),
+            F.coalesce(F.sum(F.when(F.col("counted"), F.col("amount"))), F.lit(0)).cast("decimal(25,2)").alias("volume"),
         )
     )
-
-
-def _heavy(moves: DataFrame) -> DataFrame:
-    """Distinct instants, +n on arrival and -n just past an hour, summed in two levels."""
-    instants = moves.groupBy("customer_id", "transaction_at").agg(
-        F.count_if("counted").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("counted"), F.col("amount"))), F.lit(0))
-        .cast("decimal(25,2)")
-        .alias("volume"),
-    )
+    # An instant counts from its time on until just past an hour later.
     changes = instants.selectExpr(
         "customer_id",
         f"""inline(array(
@@ -109,13 +52,11 @@ def _heavy(moves: DataFrame) -> DataFrame:
               named_struct('at', transaction_at + {JUST_PAST_HOUR}, 'change', -n,
                            'volume', cast(0 as decimal(25,2)), 'asks', false)))""",
     ).withColumn("cell", minute("at"))
-
     cells = changes.groupBy("customer_id", "cell").agg(
         F.sum("change").alias("change"), F.sum("volume").cast("decimal(25,2)").alias("volume")
     )
-    earlier = (
-        Window.partitionBy("customer_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # Both windows run on one partitioning by customer, over one row per minute.
+    earlier = Window.partitionBy("customer_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     same_day = Window.partitionBy("customer_id", F.to_date("cell"))
     carried = cells.select(
         "customer_id",
@@ -134,15 +75,8 @@ def _heavy(moves: DataFrame) -> DataFrame:
         .filter("asks")
         .select("customer_id", F.col("at").alias("transaction_at"), "past_hour_count", "day_volume")
     )
-    return moves.join(answers, ["customer_id", "transaction_at"])
-
-
-def recent_activity(moves: DataFrame, accounts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Add ``customer_id``, ``day_volume`` and ``past_hour_count`` to every row.
-
-    ``moves`` needs transaction_id, account_id, transaction_at, amount and ``counted`` (false for rows that add
-    nothing).  The hour is closed at both ends and the row itself is in it; equal times all count.
-    """
-    ordinary, heavy = split_by_weight(moves, accounts, heavy_rows)
-    active = _ordinary(ordinary)
-    return active if heavy is None else active.unionByName(_heavy(heavy))
+    return (
+        rows.join(answers, ["customer_id", "transaction_at"], "left")
+        .withColumn("past_hour_count", F.coalesce("past_hour_count", F.col("counted").cast("bigint")))
+        .withColumn("day_volume", F.coalesce("day_volume", F.lit(0)).cast("decimal(25,2)"))
+    )

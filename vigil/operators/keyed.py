@@ -23,6 +23,20 @@ def one_per_key(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def settled(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key with ``conflict``: whether rows of that key differ.  Equal repeats are one row."""
+    others = [c for c in rows.columns if c != key]
+    packed = F.struct(*others)
+    return (
+        rows.groupBy(key)
+        .agg(F.min(packed).alias("row"), F.max(packed).alias("most"))
+        .select(
+            *(key if c == key else F.col(f"row.{c}").alias(c) for c in rows.columns),
+            (~F.col("row").eqNullSafe(F.col("most"))).alias("conflict"),
+        )
+    )
+
+
 def insert_absent(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows of the batch to append: one per key, and only keys the target lacks.
 
@@ -59,12 +73,15 @@ def without_references(child: DataFrame, reference: str, deleted: DataFrame) ->
 def clear_references(child: DataFrame, reference: str, deleted: DataFrame) -> DataFrame:
     """Child rows with references to deleted keys set to NULL."""
     keys = deleted.select(F.col(deleted.columns[0]).alias("gone")).distinct()
-    return child.join(keys, F.col(reference) == F.col("gone"), "left").select(
+    # Rows without a reference have nothing to clear; together they would be one hot key of the join.
+    without, pointing = child.filter(F.col(reference).isNull()), child.filter(F.col(reference).isNotNull())
+    cleared = pointing.join(keys, F.col(reference) == F.col("gone"), "left").select(
         *(
             F.when(F.col("gone").isNull(), F.col(reference)).alias(reference) if c == reference else c
             for c in child.columns
         )
     )
+    return cleared.unionByName(without)
 
 
 def split_columns(wide: DataFrame, parts: list[list[str]]) -> list[DataFrame]:

@@ -1,4 +1,4 @@
-"""Global ranks without a global sort of the rows."""
+"""Global ranks without a global sort of the rows, and without a window over all of anything."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from vigil.session import stored
 
-MAX_VALUES = 2_000_000
-"""Up to this many distinct values are ranked in one window and broadcast (some 50 MB)."""
+SALT = 16
+"""Parts in which the rows of one value meet its rank."""
 
 
 def _split(counts: DataFrame, order) -> DataFrame:
@@ -16,49 +16,48 @@ def _split(counts: DataFrame, order) -> DataFrame:
     ranges = stored(
         counts.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "value-counts"
     )
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ranges.groupBy("range")
-        .agg(F.sum("n").alias("rows"), F.count("*").alias("values"))
-        .select(
-            "range",
-            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum("values").over(before), F.lit(0)).alias("values_before"),
-        )
-    )
-    # One row per range, and no more ranges than shuffle partitions.
+    totals = ranges.groupBy("range").agg(F.sum("n").alias("rows"), F.count("*").alias("values"))
+    # One entry per range, and no more ranges than shuffle partitions: they fit one array.
+    listed = totals.agg(F.array_sort(F.collect_list(F.struct("range", "rows", "values"))).alias("all"))
+
+    def before(i, name):
+        return F.aggregate(F.slice("all", 1, i), F.lit(0).cast("bigint"), lambda total, x: total + x[name])
+
+    starts = listed.select(
+        F.explode(
+            F.transform(
+                "all",
+                lambda x, i: F.struct(
+                    x["range"].alias("range"), before(i, "rows").alias("rows_before"), before(i, "values").alias("values_before")
+                ),
+            )
+        ).alias("start")
+    ).select("start.*")
     return ranges.join(F.broadcast(starts), "range")
 
 
-def rank_by_value(
-    rows: DataFrame,
-    value: str,
-    rank: str,
-    dense: bool = False,
-    max_values: int | None = MAX_VALUES,
-) -> DataFrame:
+def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -> DataFrame:
     """Add the RANK or DENSE_RANK of ``value`` in descending order, NULLs first.
 
-    Rows are counted per value, the counts are ranked, and ranks are joined back.  Up to
-    ``max_values`` values, which a job counts, are ranked in one window and broadcast; more are ranked
-    range by range and joined by a shuffle.  None says that the values are known to be few.
-    ``rows`` are read several times, so they should be a stored table.
+    Rows are counted per value, the counts are ranked range by range, and ranks are joined back by a
+    shuffle.  A common value, such as score 0, would make one task of that join hot, so each rank is
+    repeated for ``SALT`` parts of its rows.  ``rows`` are read several times, so they should be a
+    stored table.
     """
     order = F.col(value).desc_nulls_first()
-    counts = rows.groupBy(value).agg(F.count("*").alias("n"))
-    few = max_values is None or counts.count() <= max_values
-    if few:
-        counts = counts.withColumns({"rows_before": F.lit(0), "values_before": F.lit(0)})
-        window = Window.orderBy(order)
-    else:
-        counts = _split(counts, order)
-        window = Window.partitionBy("range").orderBy(order)
+    counts = _split(rows.groupBy(value).agg(F.count("*").alias("n")), order)
+    window = Window.partitionBy("range").orderBy(order)
     if dense:
         position = F.col("values_before") + F.row_number().over(window)
     else:
         above = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
         position = F.col("rows_before") + F.coalesce(above, F.lit(0)) + 1
-    ranks = counts.select(F.col(value).alias("ranked_value"), position.cast("bigint").alias(rank))
-    # A common value, such as score 0, would make one task of a shuffled join hot.
-    side = F.broadcast(ranks) if few else ranks
-    return rows.join(side, F.col(value).eqNullSafe(F.col("ranked_value")), "left").drop("ranked_value")
+    ranks = counts.select(F.col(value).alias("ranked_value"), position.cast("bigint").alias(rank)).withColumn(
+        "ranked_part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+    )
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(SALT)).cast("int")
+    return (
+        rows.withColumn("row_part", part)
+        .join(ranks, F.col(value).eqNullSafe(F.col("ranked_value")) & (F.col("row_part") == F.col("ranked_part")), "left")
+        .drop("ranked_value", "ranked_part", "row_part")
+    )

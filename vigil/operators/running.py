@@ -5,29 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.activity import HEAVY_ROWS, minute, split_by_weight
+from vigil.operators.activity import minute, with_customer
 
 ID_BLOCK = 1_000_000
-ORDER = ["transaction_at", "transaction_id"]
 MONEY = "decimal(25,2)"
 
 
-def _ordinary(rows: DataFrame) -> DataFrame:
-    so_far = (
-        Window.partitionBy("customer_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return rows.withColumn("tx_number", F.count("*").over(so_far)).withColumn(
-        "cumulative_spent", F.sum("amount").over(so_far).cast(MONEY)
-    )
-
-
-def _heavy(rows: DataFrame) -> DataFrame:
-    """Sums in three levels: minutes, then instants cut into blocks of ids, then rows.
+def running_totals(rows: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Add customer_id, tx_number and cumulative_spent; equal times are ordered by transaction_id.
 
-    The last level holds at most ID_BLOCK rows in a group, the others one row per cell.
+    Sums in three levels: minutes, then instants cut into blocks of ids, then rows.  The last level holds at
+    most ID_BLOCK rows in a group, the others one row per cell, so no task holds a whole customer.
+    Rows without a time come first; rows whose account is unknown are left out.
     """
-    rows = rows.withColumn("cell", minute("transaction_at")).withColumn(
-        "block", F.call_function("div", F.col("transaction_id"), F.lit(ID_BLOCK))
+    rows = (
+        with_customer(rows, accounts, "inner")
+        .filter(F.col("customer_id").isNotNull())
+        .withColumn("cell", minute("transaction_at"))
+        .withColumn("block", F.call_function("div", F.col("transaction_id"), F.lit(ID_BLOCK)))
     )
     blocks = rows.groupBy("customer_id", "cell", "transaction_at", "block").agg(
         F.count("*").alias("n"), F.sum("amount").cast(MONEY).alias("spent")
@@ -49,42 +44,35 @@ def _heavy(rows: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("block"),
         before(over_minutes, "n").alias("n"),
         before(over_minutes, "spent").cast(MONEY).alias("spent"),
+        F.lit(0).alias("level"),
     )
-    # NULL instants sort first, so what a minute starts with precedes its blocks.
-    over_blocks = Window.partitionBy("customer_id", "cell").orderBy("transaction_at", "block")
+    over_blocks = Window.partitionBy("customer_id", "cell").orderBy("level", "transaction_at", "block")
     starts = (
-        minute_starts.unionByName(blocks)
+        minute_starts.unionByName(blocks.withColumn("level", F.lit(1)))
         .select(
             "customer_id",
             "transaction_at",
             "block",
             before(over_blocks, "n").alias("tx_number"),
-            before(over_blocks, "spent").cast(MONEY).alias("amount"),
+            before(over_blocks, "spent").cast(MONEY).alias("value"),
+            "level",
         )
-        .filter(F.col("transaction_at").isNotNull())
+        .filter("level = 1")
+        .withColumn("level", F.lit(0))
     )
-    is_row = F.col("transaction_id").isNotNull()
     last = (
         Window.partitionBy("customer_id", "transaction_at", "block")
-        .orderBy(F.col("transaction_id").asc_nulls_first())
+        .orderBy("level", F.col("transaction_id").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         rows.drop("cell")
         .withColumn("tx_number", F.lit(1).cast("bigint"))
+        .withColumn("value", F.col("amount").cast(MONEY))
+        .withColumn("level", F.lit(1))
         .unionByName(starts, allowMissingColumns=True)
-        .withColumn("cumulative_spent", F.sum("amount").over(last).cast(MONEY))
+        .withColumn("cumulative_spent", F.sum("value").over(last).cast(MONEY))
         .withColumn("tx_number", F.sum("tx_number").over(last))
-        .filter(is_row)
-        .drop("block")
+        .filter("level = 1")
+        .drop("block", "level", "value")
     )
-
-
-def running_totals(rows: DataFrame, accounts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Add customer_id, tx_number and cumulative_spent; equal times are ordered by transaction_id.
-
-    Rows whose account is unknown are left out.
-    """
-    known, heavy = split_by_weight(rows, accounts, heavy_rows)
-    ordinary = _ordinary(known.filter(F.col("customer_id").isNotNull()))
-    return ordinary if heavy is None else ordinary.unionByName(_heavy(heavy))

@@ -1,2 +1,2 @@
-select transaction_id, case when status = 'PENDING' and risk_score between 1 and 30 then 'APPROVED' else status end as status, risk_score
+select transaction_id, if(transaction_id in (select transaction_id from bulk where not overdraft), 'APPROVED', status) as status, risk_score
 from bank_transactions_scored

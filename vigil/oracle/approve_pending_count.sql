@@ -1 +1 @@
-select count(*) as approved_count from bank_transactions_scored where status = 'PENDING' and risk_score between 1 and 30
+select count(*) as approved_count from bulk where not overdraft

@@ -1,7 +1,4 @@
-, spent as (
-  select account_id, sum(amount) as amount from bank_transactions_scored
-  where status = 'PENDING' and risk_score between 1 and 30 group by account_id
-)
-select account_id, cast(if(balance < coalesce(amount, 0), balance, balance - coalesce(amount, 0)) as decimal(25,2)) as balance,
-  cast(coalesce(amount, 0) as decimal(25,2)) as deducted, balance < coalesce(amount, 0) as overdrawn
-from bank_accounts left join spent using (account_id)
+select account_id, cast(balance - coalesce((select sum(b.amount) from bulk b where b.account_id = a.account_id and not overdraft), 0) as decimal(25,2)) as balance,
+  cast(coalesce((select sum(b.amount) from bulk b where b.account_id = a.account_id and not overdraft), 0) as decimal(25,2)) as deducted,
+  account_id in (select account_id from bulk where overdraft) as overdrawn
+from bank_accounts a

@@ -1,6 +1,2 @@
-, spent as (
-  select account_id, sum(amount) as amount
-  from verdicts join bank_transactions_pending using (transaction_id) where verdicts.status = 'APPROVED' group by account_id
-)
 select account_id, cast(balance - coalesce(amount, 0) as decimal(25,2)) as balance, balance < coalesce(amount, 0) as overdrawn
 from bank_accounts left join spent using (account_id)

@@ -1,4 +1,5 @@
-select transaction_id, 'accepted' as outcome, cast(null as varchar) as reason, status, risk_score from verdicts
+select transaction_id, if(overdraft, 'refused', 'accepted') as outcome, if(overdraft, 'overdraft', null) as reason,
+  if(overdraft, 'PENDING', status) as status, if(overdraft, null, risk_score) as risk_score from settled
 union all
 select transaction_id, 'refused', 'already processed: ' || old_status, old_status, null from scored where old_status <> 'PENDING'
 union all

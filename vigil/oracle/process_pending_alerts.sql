@@ -1,3 +1,3 @@
 select transaction_id, cast(null as int) as rule_id, 'process_transaction: risk score = ' || risk_score as reason, risk_score,
-  'OPEN' as alert_status, timestamp '2024-02-10 00:00:00' as created_at
+  'OPEN' as alert_status, timestamp '2024-02-10 00:00:00' as created_at, 'process' as source
 from verdicts where status = 'FLAGGED'

@@ -1,6 +1,3 @@
-, spent as (
-  select account_id, sum(amount) as amount
-  from verdicts join bank_transactions_pending using (transaction_id) where verdicts.status = 'APPROVED' group by account_id
-)
-select account_id, cast(if(balance < coalesce(amount, 0), balance, balance - coalesce(amount, 0)) as decimal(15,2)) as balance
-from bank_accounts left join spent using (account_id)
+select account_id, cast(balance - coalesce((select sum(amount) from settled s
+  where s.account_id = a.account_id and s.status = 'APPROVED' and not overdraft), 0) as decimal(15,2)) as balance
+from bank_accounts a

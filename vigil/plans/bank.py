@@ -52,30 +52,48 @@ def _logged(bank: Bank, rows: DataFrame) -> DataFrame:
 
 
 def _alerted(bank: Bank, rows: DataFrame) -> DataFrame:
-    """Alerts with new rows.  Derived alerts are known by transaction and time, not by a number."""
+    """Alerts with new rows.  Derived alerts have no number; transaction and source are their key."""
     return bank.alerts.unionByName(rows, allowMissingColumns=True)
 
 
-def _deducted(bank: Bank, deductions: DataFrame, strict: bool) -> DataFrame:
+def _deducted(bank: Bank, deductions: DataFrame) -> DataFrame:
     kind = bank.accounts.schema["balance"].dataType
     return (
-        decisions.deducted_balances(bank.accounts, deductions, strict)
+        decisions.deducted_balances(bank.accounts, deductions)
         .withColumn("balance", F.col("balance").cast(kind))
         .select(*bank.accounts.columns)
     )
 
 
 def insert_transactions(bank: Bank, arrivals: DataFrame, as_of: str, strict: bool = True) -> Result:
-    """Add pending transactions: scored with all rows known by then, decided, logged, deducted."""
+    """Add pending transactions: scored with all rows known by then, decided, logged, deducted.
+
+    Refused are ids that are stored already, rows that are not pending or of no known account, and all rows
+    of an id whose rows differ.  Without ``strict``, approvals that overdraw their account together are
+    refused too: these rows are stored, but stay pending.
+    """
+    now = F.lit(as_of).cast("timestamp_ntz")
     arrivals = keyed.with_defaults(
-        arrivals, {"status": "PENDING", "risk_score": 0, "currency": "UAH"}
-    )
-    is_new = arrivals.join(bank.transactions.select("transaction_id"), "transaction_id", "left_anti")
-    good = keyed.one_per_key(is_new.filter(F.col("status") == "PENDING"), "transaction_id").join(
-        bank.accounts.select("account_id"), "account_id", "left_semi"
+        arrivals, {"status": "PENDING", "risk_score": 0, "currency": "UAH", "transaction_at": now, "created_at": now}
     )
-    history = history_around(good, bank.transactions, bank.accounts)
     columns = [c for c in bank.transactions.columns if c in arrivals.columns]
+    known = bank.transactions.select("transaction_id", F.lit(True).alias("known"))
+    held = bank.accounts.select("account_id", F.lit(True).alias("held"))
+    judged = stored(
+        keyed.settled(arrivals.select(*columns), "transaction_id")
+        .join(known, "transaction_id", "left")
+        .join(held, "account_id", "left")
+        .withColumn(
+            "reason",
+            F.when(F.col("known"), "already stored")
+            .when(F.col("conflict"), "conflicting repeat")
+            .when(~F.col("status").eqNullSafe("PENDING"), "not pending")
+            .when(F.col("held").isNull(), "unknown account"),
+        ),
+        "judged-arrivals",
+    )
+    good = judged.filter("reason IS NULL").select(*columns)
+    history = history_around(good, bank.transactions, bank.accounts)
     others = [c for c in columns if c not in ("transaction_id", "risk_score", "status")]
     decided = stored(
         transaction_scores(good, bank.accounts, history, keep=others)
@@ -83,6 +101,18 @@ def insert_transactions(bank: Bank, arrivals: DataFrame, as_of: str, strict: boo
         .select(*columns),
         "arrivals",
     )
+    refused = judged.filter("reason IS NOT NULL").select("transaction_id", "reason")
+    if not strict:
+        over = decisions.overdrawn_accounts(bank.accounts, decided.filter("status = 'APPROVED'"))
+        marked = decided.join(over.withColumn("over", F.lit(True)), "account_id", "left")
+        overdraft = F.col("over").isNotNull() & (F.col("status") == "APPROVED")
+        decided = stored(marked.withColumn("overdraft", overdraft), "judged-approvals")
+        refused = refused.unionByName(
+            decided.filter("overdraft").select("transaction_id", F.lit("overdraft").alias("reason"))
+        )
+        decided = decided.withColumn(
+            "status", F.when(F.col("overdraft"), "PENDING").otherwise(F.col("status"))
+        ).select(*columns)
     effects = decisions.arrival_outputs(decided, as_of)
     deductions = effects.balance_deltas.select(
         "transaction_id", "account_id", (-F.col("delta")).alias("amount")
@@ -91,13 +121,13 @@ def insert_transactions(bank: Bank, arrivals: DataFrame, as_of: str, strict: boo
         transactions=bank.transactions.unionByName(decided, allowMissingColumns=True),
         history=_logged(bank, effects.history),
         alerts=_alerted(bank, effects.alerts),
-        accounts=_deducted(bank, deductions, strict),
-    )
-    refused = arrivals.select("transaction_id").distinct().join(
-        decided.select("transaction_id"), "transaction_id", "left_anti"
+        accounts=_deducted(bank, deductions),
     )
-    outcomes = decided.select("transaction_id", F.lit("accepted").alias("outcome")).unionByName(
-        refused.withColumn("outcome", F.lit("refused"))
+    outcomes = (
+        decided.select("transaction_id")
+        .join(refused.select("transaction_id"), "transaction_id", "left_anti")
+        .select("transaction_id", F.lit("accepted").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+        .unionByName(refused.select("transaction_id", F.lit("refused").alias("outcome"), "reason"))
     )
     return Result(following, outcomes)
 
@@ -105,34 +135,31 @@ def insert_transactions(bank: Bank, arrivals: DataFrame, as_of: str, strict: boo
 def process_transactions(
     bank: Bank, requested: DataFrame, as_of: str, strict: bool = True
 ) -> Result:
-    """Score and decide pending transactions by id."""
+    """Score and decide pending transactions by id; an overdraft fails a ``strict`` job and is refused else."""
     done = decisions.process_pending(
-        requested, bank.transactions, bank.accounts, bank.rules, fixed.USER_ACTOR, as_of
-    )
-    approved = done.outcomes.filter("outcome = 'accepted' and status = 'APPROVED'")
-    deductions = bank.transactions.select("transaction_id", "account_id", "amount").join(
-        approved.select("transaction_id"), "transaction_id", "left_semi"
+        requested, bank.transactions, bank.accounts, bank.rules, fixed.USER_ACTOR, as_of, not strict
     )
     following = bank._replace(
         transactions=done.transactions,
         history=_logged(bank, done.history),
         alerts=_alerted(bank, done.alerts),
-        accounts=_deducted(bank, deductions, strict),
+        accounts=_deducted(bank, done.deductions),
     )
     return Result(following, done.outcomes)
 
 
 def approve_pending(bank: Bank, as_of: str, strict: bool = True) -> Result:
-    """Approve all scored low-risk pending transactions."""
-    snapshot, count = decisions.approve_pending(bank.transactions)
-    changes = decisions.status_changes(bank.transactions, snapshot)
-    deductions = decisions.approval_deductions(bank.transactions, snapshot)
+    """Approve all scored low-risk pending transactions; overdrafts as in ``process_transactions``."""
+    done = decisions.approve_pending(bank.transactions, bank.accounts, not strict)
+    changes = done.deductions.select(
+        "transaction_id", F.lit("PENDING").alias("old_status"), F.lit("APPROVED").alias("new_status")
+    )
     following = bank._replace(
-        transactions=snapshot,
+        transactions=done.transactions,
         history=_logged(bank, decisions.change_history(changes, fixed.USER_ACTOR, as_of)),
-        accounts=_deducted(bank, deductions, strict),
+        accounts=_deducted(bank, done.deductions),
     )
-    return Result(following, count)
+    return Result(following, done.outcomes)
 
 
 def freeze_accounts(bank: Bank, requested: DataFrame, as_of: str) -> Result:

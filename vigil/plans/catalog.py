@@ -16,9 +16,13 @@ def _texts(values: list[str]) -> str:
 
 
 def register(
-    spark: SparkSession, tables: dict[str, DataFrame], as_of: str, summary_path: str | None = None
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    as_of: str,
+    summary_path: str | None = None,
+    prefix: str = "",
 ) -> None:
-    """Create temporary views and functions.
+    """Create temporary views and functions, their names behind ``prefix``; runs no job.
 
     The daily summary is read from ``summary_path`` where given, as it was when last refreshed, and
     else computed at each use.
@@ -27,7 +31,7 @@ def register(
     to DataFrames; they become views under these names.  ``as_of`` stands for the current time.
     """
     for name, rows in tables.items():
-        rows.createOrReplaceTempView(name)
+        rows.createOrReplaceTempView(prefix + name)
     people, accounts = tables["customers"], tables["accounts"]
     transactions = tables["transactions"]
     alerts, rules = tables["fraud_alerts"], tables["fraud_rules"]
@@ -48,22 +52,22 @@ def register(
         "transaction_scores": scoring.transaction_scores(transactions, accounts),
     }
     for name, rows in views.items():
-        rows.createOrReplaceTempView(name)
+        rows.createOrReplaceTempView(prefix + name)
 
     functions = {
         "mask_card_number(number STRING) RETURNS STRING": f"""
             CASE WHEN length(number) >= 4 THEN concat('{fixed.CARD_MASK_PREFIX}', right(number, 4))
                  ELSE '{fixed.CARD_MASK_SHORT}' END""",
         "is_high_risk_country(code STRING) RETURNS BOOLEAN": f"code IN ({_texts(fixed.RISK_COUNTRIES)})",
-        "get_customer_age(id BIGINT) RETURNS INT": """
-            coalesce((SELECT max(age) FROM customer_ages c WHERE c.customer_id = id),
+        "get_customer_age(id BIGINT) RETURNS INT": f"""
+            coalesce((SELECT max(age) FROM {prefix}customer_ages c WHERE c.customer_id = id),
                      CAST(raise_error(concat('customer not found: ', coalesce(string(id), 'NULL'))) AS INT))""",
-        "calculate_customer_daily_volume(id BIGINT, day DATE) RETURNS DECIMAL(25, 2)": """
-            coalesce((SELECT max(daily_volume) FROM customer_daily_volumes v
+        "calculate_customer_daily_volume(id BIGINT, day DATE) RETURNS DECIMAL(25, 2)": f"""
+            coalesce((SELECT max(daily_volume) FROM {prefix}customer_daily_volumes v
                       WHERE v.customer_id = id AND v.target_date = day), 0)""",
-        "calculate_transaction_risk_score(id BIGINT) RETURNS INT": """
-            coalesce((SELECT max(risk_score) FROM transaction_scores s WHERE s.transaction_id = id),
+        "calculate_transaction_risk_score(id BIGINT) RETURNS INT": f"""
+            coalesce((SELECT max(risk_score) FROM {prefix}transaction_scores s WHERE s.transaction_id = id),
                      CAST(raise_error(concat('transaction not found: ', coalesce(string(id), 'NULL'))) AS INT))""",
     }
     for signature, body in functions.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{signature} RETURN {body}")

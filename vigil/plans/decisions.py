@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
 from vigil.functions.columns import decide
-from vigil.operators.activity import HEAVY_ROWS
-from vigil.plans.scoring import transaction_scores
+from vigil.plans.scoring import history_around, transaction_scores
 from vigil.session import stored
 
 MONEY = "decimal(25,2)"
@@ -56,6 +55,7 @@ def create_alerts(requests: DataFrame, rules: DataFrame, as_of: str) -> DataFram
         "risk_score",
         F.lit("OPEN").alias("alert_status"),
         _at(as_of).alias("created_at"),
+        F.lit("process").alias("source"),
     )
 
 
@@ -110,6 +110,14 @@ class Decisions(NamedTuple):
     outcomes: DataFrame
     history: DataFrame
     alerts: DataFrame
+    deductions: DataFrame
+
+
+def overdrawn_accounts(accounts: DataFrame, deductions: DataFrame) -> DataFrame:
+    """Ids of the accounts whose balance the deductions (account_id, amount) would take below zero."""
+    sums = deductions.groupBy("account_id").agg(F.sum("amount").alias("deducted"))
+    held = accounts.select("account_id", "balance")
+    return sums.join(held, "account_id").filter(F.col("balance") < F.col("deducted")).select("account_id")
 
 
 def process_pending(
@@ -119,42 +127,54 @@ def process_pending(
     rules: DataFrame,
     changed_by: str,
     as_of: str,
-    heavy_rows: int = HEAVY_ROWS,
+    refuse_overdrafts: bool = True,
 ) -> Decisions:
     """Score and decide the requested ids.
 
-    Ids that are missing or not pending are refused in ``outcomes``.  Decisions do not influence
-    each other: a score looks only at whether other transactions are DECLINED, and no decision
-    declines.  The scores are stored once, and all outputs derive from them.
+    Ids that are missing or not pending are refused in ``outcomes``.  So are all approvals of an account
+    that they would overdraw together: they stay as they are, with the reason "overdraft".  Decisions do
+    not influence each other: a score looks only at whether other transactions are DECLINED, and no
+    decision declines.  Only the requested rows are scored, against the stored rows of their days and
+    customers; they are read once and stored, as are the decisions that all outputs derive from.
     """
-    scores = transaction_scores(transactions, accounts, heavy_rows=heavy_rows, keep=["status"])
-    asked = requested.select("transaction_id").distinct().join(
-        scores.select("transaction_id", F.col("status").alias("old_status"), "risk_score"),
-        "transaction_id",
-        "left",
+    ids = requested.select("transaction_id").distinct()
+    found = stored(transactions.join(ids, "transaction_id", "left_semi"), "requested")
+    pending = found.filter(F.col("status") == "PENDING")
+    others = history_around(pending, transactions, accounts).join(
+        pending.select("transaction_id"), "transaction_id", "left_anti"
     )
-    accepted = F.coalesce(F.col("old_status") == "PENDING", F.lit(False))
-    asked = stored(
-        asked.select(
-            "transaction_id",
-            "old_status",
-            accepted.alias("accepted"),
-            F.when(accepted, F.col("risk_score")).alias("risk_score"),
-            F.when(accepted, decide(F.col("risk_score"))).otherwise(F.col("old_status")).alias("status"),
-        ),
-        "decisions",
+    decided = transaction_scores(pending, accounts, others, keep=["account_id", "amount"]).select(
+        "transaction_id", "account_id", "amount", "risk_score", decide(F.col("risk_score")).alias("status")
+    )
+    decided = stored(decided, "decisions")
+    if refuse_overdrafts:
+        over = overdrawn_accounts(accounts, decided.filter("status = 'APPROVED'")).withColumn("over", F.lit(True))
+        decided = decided.join(over, "account_id", "left").withColumn(
+            "overdraft", F.col("over").isNotNull() & (F.col("status") == "APPROVED")
+        )
+    else:
+        decided = decided.withColumn("overdraft", F.lit(False))
+    accepted = stored(decided.filter("NOT overdraft").drop("over", "overdraft"), "accepted")
+
+    done = accepted.select(
+        "transaction_id", F.lit(True).alias("accepted"), F.col("status").alias("new_status"), "risk_score"
+    )
+    asked = (
+        ids.join(found.select("transaction_id", F.col("status").alias("old_status")), "transaction_id", "left")
+        .join(done, "transaction_id", "left")
+        .withColumn("accepted", F.col("accepted").isNotNull())
     )
     outcomes = asked.select(
         "transaction_id",
         F.when(F.col("accepted"), "accepted").otherwise("refused").alias("outcome"),
         F.when(F.col("old_status").isNull(), "not found")
-        .when(~F.col("accepted"), F.concat(F.lit("already processed: "), "old_status"))
+        .when(F.col("old_status") != "PENDING", F.concat(F.lit("already processed: "), "old_status"))
+        .when(~F.col("accepted"), "overdraft")
         .alias("reason"),
-        "status",
+        F.coalesce("new_status", "old_status").alias("status"),
         "risk_score",
     )
-    decided = asked.filter("accepted")
-    news = decided.select(
+    news = accepted.select(
         "transaction_id", F.col("status").alias("new_status"), F.col("risk_score").alias("new_score")
     )
     updated = transactions.join(news, "transaction_id", "left").select(
@@ -168,14 +188,14 @@ def process_pending(
         )
     )
     history = change_history(
-        decided.filter(F.col("status") != F.col("old_status")).withColumnRenamed(
-            "status", "new_status"
+        accepted.filter(F.col("status") != "PENDING").select(
+            "transaction_id", F.lit("PENDING").alias("old_status"), F.col("status").alias("new_status")
         ),
         changed_by,
         as_of,
     )
     alerts = create_alerts(
-        decided.filter(F.col("status") == "FLAGGED").select(
+        accepted.filter(F.col("status") == "FLAGGED").select(
             "transaction_id",
             F.concat(F.lit(fixed.PROCESS_REASON), F.col("risk_score").cast("string")).alias("reason"),
             "risk_score",
@@ -183,7 +203,8 @@ def process_pending(
         rules,
         as_of,
     )
-    return Decisions(updated, outcomes, history, alerts)
+    deductions = accepted.filter("status = 'APPROVED'").select("transaction_id", "account_id", "amount")
+    return Decisions(updated, outcomes, history, alerts, deductions)
 
 
 class Arrivals(NamedTuple):
@@ -208,6 +229,7 @@ def arrival_outputs(decided: DataFrame, as_of: str) -> Arrivals:
         "risk_score",
         F.lit("OPEN").alias("alert_status"),
         _at(as_of).alias("created_at"),
+        F.lit("arrival").alias("source"),
     )
     deltas = decided.filter(F.col("status") == "APPROVED").select(
         "transaction_id", "account_id", (-F.col("amount")).cast("decimal(15,2)").alias("delta")
@@ -219,16 +241,41 @@ def arrival_outputs(decided: DataFrame, as_of: str) -> Arrivals:
     )
 
 
-def approve_pending(transactions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new snapshot, number approved) for pending transactions scored 1 to the approval limit.
+class Approval(NamedTuple):
+    transactions: DataFrame
+    approved_count: DataFrame
+    outcomes: DataFrame
+    deductions: DataFrame
+    overdrawn: DataFrame
+
 
-    Score 0 means not scored yet.
+def approve_pending(
+    transactions: DataFrame, accounts: DataFrame, refuse_overdrafts: bool = True
+) -> Approval:
+    """Approve pending transactions scored 1 to the approval limit; score 0 means not scored yet.
+
+    All approvals of an account that they would overdraw together are refused and stay pending.
     """
     low = (F.col("status") == "PENDING") & (
         (F.col("risk_score") > 0) & (F.col("risk_score") <= fixed.APPROVE_UP_TO)
     )
-    snapshot = transactions.withColumn("status", F.when(low, "APPROVED").otherwise(F.col("status")))
-    return snapshot, transactions.agg(F.count_if(low).alias("approved_count"))
+    asked = transactions.filter(low).select("transaction_id", "account_id", "amount")
+    over = overdrawn_accounts(accounts, asked)
+    if not refuse_overdrafts:
+        over = over.limit(0)
+    over = stored(over, "overdrawn")
+    mark = over.withColumn("over", F.lit(True))
+    marked = transactions.join(mark, "account_id", "left")
+    snapshot = marked.withColumn(
+        "status", F.when(low & F.col("over").isNull(), "APPROVED").otherwise(F.col("status"))
+    ).select(*transactions.columns)
+    deductions = asked.join(over, "account_id", "left_anti").select("transaction_id", "account_id", "amount")
+    outcomes = asked.join(mark, "account_id", "left").select(
+        "transaction_id",
+        F.when(F.col("over").isNull(), "accepted").otherwise("refused").alias("outcome"),
+        F.when(F.col("over").isNotNull(), "overdraft").alias("reason"),
+    )
+    return Approval(snapshot, deductions.agg(F.count("*").alias("approved_count")), outcomes, deductions, over)
 
 
 class Freeze(NamedTuple):
@@ -286,36 +333,22 @@ def freeze_accounts(
 # Balances.
 
 
-def approval_deductions(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(transaction_id, account_id, amount) of transactions that turned APPROVED."""
-    newly = status_changes(before, after).filter(F.col("new_status") == "APPROVED")
-    return after.select("transaction_id", "account_id", "amount").join(
-        newly, "transaction_id", "left_semi"
-    )
-
+def deducted_balances(accounts: DataFrame, deductions: DataFrame) -> DataFrame:
+    """Accounts after deductions, with the deducted amount; an overdraft fails the whole job.
 
-def deducted_balances(accounts: DataFrame, deductions: DataFrame, strict: bool = True) -> DataFrame:
-    """Accounts after deductions, with the deducted amount and whether it overdraws.
-
-    Deductions only lower a balance, so the last balance decides.  ``strict`` fails the whole job on
-    an overdraft; otherwise the overdrawn account keeps its balance and is marked.
+    Deductions only lower a balance, so the last balance decides.  Jobs that refuse overdrafts instead
+    leave them out of the deductions.
     """
     sums = deductions.groupBy("account_id").agg(F.sum("amount").cast(MONEY).alias("deducted"))
     joined = accounts.join(sums, "account_id", "left").withColumn(
         "deducted", F.coalesce("deducted", F.lit(0)).cast(MONEY)
     )
     left = (F.col("balance") - F.col("deducted")).cast(MONEY)
-    overdrawn = left < 0
-    if strict:
-        message = F.concat(F.lit("overdraft of account "), F.col("account_id").cast("string"))
-        balance = F.when(overdrawn, F.raise_error(message).cast(MONEY)).otherwise(left)
-    else:
-        balance = F.when(overdrawn, F.col("balance").cast(MONEY)).otherwise(left)
+    message = F.concat(F.lit("overdraft of account "), F.col("account_id").cast("string"))
     return joined.select(
         *(c for c in accounts.columns if c != "balance"),
-        balance.alias("balance"),
+        F.when((left < 0) & (F.col("deducted") > 0), F.raise_error(message).cast(MONEY)).otherwise(left).alias("balance"),
         "deducted",
-        overdrawn.alias("overdrawn"),
     )
 
 

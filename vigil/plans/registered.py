@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
 from vigil import schemas
-from vigil.operators import audit, keyed, quality, trigram
+from vigil.operators import audit, keyed, quality
 from vigil.plans import bank, catalog, commerce, decisions, reports, scoring, summary
 from vigil.session import work_folder
 from vigil.sources import synthetic
@@ -18,22 +18,15 @@ from vigil.streaming import ingest
 
 # Points in time that put the trailing 30, 90 and 180 days inside the stored events.
 AS_OF = "2024-02-10 00:00:00"
+EMPTIED_DAY = "2024-01-20"
 EVENTS_90 = "2024-04-15 00:00:00"
 EVENTS_180 = "2024-07-14 00:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-_OPENED: dict[tuple[SparkSession, str], Tables] = {}
-
-
-def _tables(spark: SparkSession, folder: str) -> Tables:
-    """Table definitions are made once per session and folder, as a catalog would keep them."""
-    return _OPENED.setdefault((spark, folder), Tables(spark, folder))
-
-
 def _query(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: function(_tables(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(Tables(spark, folder))
     return function
 
 
@@ -45,6 +38,12 @@ def transaction_risk_score(t: Tables) -> DataFrame:
     return scoring.transaction_scores(t["bank_transactions_pending"], t["bank_accounts"])
 
 
+@_query
+def transaction_risk_score_skewed(t: Tables) -> DataFrame:
+    """A third of all rows on one account, many of them at one instant, and rows without a time."""
+    return scoring.transaction_scores(t["skewed_transactions"], t["bank_accounts"])
+
+
 @_query
 def customer_daily_volume(t: Tables) -> DataFrame:
     return scoring.customer_daily_volume(t["bank_transactions_pending"], t["bank_accounts"])
@@ -126,6 +125,22 @@ def cumulative_spend(t: Tables) -> DataFrame:
     )
 
 
+@_query
+def cumulative_spend_skewed(t: Tables) -> DataFrame:
+    return reports.cumulative_spend(t["skewed_approved"], t["bank_accounts"], t["bank_customers"])
+
+
+@_query
+def report_positions(t: Tables) -> DataFrame:
+    """Place of every row in a report's presented order, read from the sorted rows."""
+    rows = reports.presented(status_summary(t), "status_summary").withColumn("report", F.lit("status_summary"))
+    place = F.monotonically_increasing_id()
+    first = rows.coalesce(1).select("report", F.col("status").alias("row_key"), (place + 1).alias("place"))
+    revenue = reports.presented(category_revenue(t), "category_revenue").coalesce(1)
+    second = revenue.select(F.lit("category_revenue").alias("report"), F.col("category").alias("row_key"), (place + 1).alias("place"))
+    return first.unionByName(second)
+
+
 @_query
 def transaction_status_timeline(t: Tables) -> DataFrame:
     return reports.transaction_status_timeline(
@@ -174,34 +189,66 @@ def daily_fraud_summary_flagged(t: Tables) -> DataFrame:
 
 @_query
 def daily_fraud_summary_incremental(t: Tables) -> DataFrame:
-    """Summary stored while all was pending; days from the middle of the month refreshed later."""
+    """Summary stored while all was pending; days from the middle of the month refreshed later, one empty by then."""
     folder = work_folder(t.spark, "daily-summary")
-    others = t["bank_fraud_alerts"], t["bank_accounts"], t["bank_customers"], AS_OF, folder
-    pending, scored = t["bank_transactions_pending"], t["bank_transactions_scored"]
-    every_day = pending.select(F.to_date("transaction_at").alias("transaction_date"))
-    summary.refresh_days(every_day, pending, *others)
-    later = every_day.filter(F.col("transaction_date") >= "2024-01-15")
-    summary.refresh_days(later, scored, *others)
-    return summary.read_summary(t.spark, folder)
+    others = t["bank_fraud_alerts"], t["bank_accounts"], t["bank_customers"], AS_OF
+    pending = t["bank_transactions_pending"]
+    first = summary.refresh_summary(summary.daily_fraud_summary(pending, *others), folder)
+    day = F.to_date("transaction_at")
+    left = t["bank_transactions_scored"].filter(day != F.lit(EMPTIED_DAY).cast("date"))
+    later = pending.select(day.alias("transaction_date")).filter(F.col("transaction_date") >= "2024-01-15")
+    stored = summary.read_summary(t.spark, first)
+    second = summary.refresh_summary(summary.refreshed_days(stored, later, left, *others), folder)
+    return summary.read_summary(t.spark, second)
 
 
-@_query
-def sql_functions(t: Tables) -> DataFrame:
-    """The functions under their SQL names, over all customers."""
+SQL_PREFIX = "vigil_"
+
+
+def _registered(t: Tables) -> SparkSession:
     names = {
         "customers": "bank_customers",
         "accounts": "bank_accounts",
-        "transactions": "bank_transactions_pending",
+        "transactions": "bank_transactions_scored",
         "fraud_alerts": "bank_fraud_alerts",
         "fraud_rules": "bank_fraud_rules",
     }
-    catalog.register(t.spark, {view: t[name] for view, name in names.items()}, AS_OF)
-    return t.spark.sql(
+    catalog.register(t.spark, {view: t[name] for view, name in names.items()}, AS_OF, prefix=SQL_PREFIX)
+    return t.spark
+
+
+@_query
+def sql_functions(t: Tables) -> DataFrame:
+    """The functions of customers under their SQL names, over all customers."""
+    return _registered(t).sql(
         """
-        SELECT customer_id, get_customer_age(customer_id) AS age,
-               is_high_risk_country(country_code) AS in_high_risk_country,
-               calculate_customer_daily_volume(customer_id, DATE '2024-01-10') AS volume
-        FROM customers
+        SELECT customer_id, vigil_get_customer_age(customer_id) AS age,
+               vigil_is_high_risk_country(country_code) AS in_high_risk_country,
+               vigil_calculate_customer_daily_volume(customer_id, DATE '2024-01-10') AS volume,
+               vigil_mask_card_number(email) AS masked
+        FROM vigil_customers
+        """
+    )
+
+
+@_query
+def sql_scores(t: Tables) -> DataFrame:
+    """The function of transactions under its SQL name, over all transactions."""
+    return _registered(t).sql(
+        "SELECT transaction_id, vigil_calculate_transaction_risk_score(transaction_id) AS score FROM vigil_transactions"
+    )
+
+
+@_query
+def sql_views(t: Tables) -> DataFrame:
+    """A figure from each view under its SQL name."""
+    return _registered(t).sql(
+        """
+        SELECT 'vw_customer_accounts' AS view, account_status AS part, count(*) AS n FROM vigil_vw_customer_accounts GROUP BY 2
+        UNION ALL SELECT 'vw_recent_transactions', risk_level, count(*) FROM vigil_vw_recent_transactions GROUP BY 2
+        UNION ALL SELECT 'vw_flagged_transactions', alert_status, count(*) FROM vigil_vw_flagged_transactions GROUP BY 2
+        UNION ALL SELECT 'vw_customer_risk_profile', overall_risk_level, count(*) FROM vigil_vw_customer_risk_profile GROUP BY 2
+        UNION ALL SELECT 'mv_daily_fraud_summary', string(transaction_date), flagged_transactions FROM vigil_mv_daily_fraud_summary
         """
     )
 
@@ -290,25 +337,34 @@ def freeze_transactions_statuses(t: Tables) -> DataFrame:
     return _frozen(t).transactions.select("transaction_id", "account_id", "status")
 
 
+def _approved(t: Tables) -> decisions.Approval:
+    return decisions.approve_pending(t["bank_transactions_scored"], t["bank_accounts"])
+
+
 @_query
 def approve_pending(t: Tables) -> DataFrame:
-    snapshot, _ = decisions.approve_pending(t["bank_transactions_scored"])
-    return snapshot.select("transaction_id", "status", "risk_score")
+    return _approved(t).transactions.select("transaction_id", "status", "risk_score")
 
 
 @_query
 def approve_pending_count(t: Tables) -> DataFrame:
-    _, count = decisions.approve_pending(t["bank_transactions_scored"])
-    return count
+    return _approved(t).approved_count
+
+
+@_query
+def approve_pending_outcomes(t: Tables) -> DataFrame:
+    return _approved(t).outcomes
 
 
 @_query
 def balances_after_approval(t: Tables) -> DataFrame:
-    before = t["bank_transactions_scored"]
-    after, _ = decisions.approve_pending(before)
-    deductions = decisions.approval_deductions(before, after)
-    return decisions.deducted_balances(t["bank_accounts"], deductions, strict=False).select(
-        "account_id", "balance", "deducted", "overdrawn"
+    """Balances after bulk approval; accounts it would overdraw keep theirs."""
+    done = _approved(t)
+    over = done.overdrawn.withColumn("over", F.lit(True))
+    return (
+        decisions.deducted_balances(t["bank_accounts"], done.deductions)
+        .join(over, "account_id", "left")
+        .select("account_id", "balance", "deducted", F.col("over").isNotNull().alias("overdrawn"))
     )
 
 
@@ -387,17 +443,46 @@ def _faulty(t: Tables) -> dict[str, DataFrame]:
         "customers": t["faulty_customers"],
         "accounts": t["faulty_accounts"],
         "transactions": t["faulty_transactions"],
-        "status_history": t["bank_status_history"],
+        "status_history": t["faulty_history"],
         "fraud_alerts": t["faulty_alerts"],
-        "audit_log": t["bank_audit_log"],
-        "fraud_rules": t["bank_fraud_rules"],
-        "cards": t["bank_cards"],
+        "audit_log": t["faulty_audit"],
+        "fraud_rules": t["faulty_rules"],
+        "cards": t["faulty_cards"],
     }
 
 
+def _faulty_events(t: Tables) -> dict[str, DataFrame]:
+    return {"events": t["faulty_events"], "event_utm": t["crm_event_utm"], "event_attributes": t["crm_event_attributes"]}
+
+
 @_query
 def check_violations(t: Tables) -> DataFrame:
-    return quality.check_violations(_faulty(t), quality.payment_rules(AS_OF))
+    """Rows that break a rule, and columns that generated tables lack."""
+    tables = _faulty(t) | {"cards": t["faulty_cards"].drop("expiration_date")}
+    return quality.check_violations(tables, quality.payment_rules(AS_OF))
+
+
+@_query
+def unique_violations_events(t: Tables) -> DataFrame:
+    return quality.unique_violations(_faulty_events(t), quality.event_rules())
+
+
+@_query
+def fk_violations_events(t: Tables) -> DataFrame:
+    keys = {name: rules.key for name, rules in quality.event_rules().items()}
+    return quality.reference_violations(_faulty_events(t), quality.EVENT_REFERENCES, keys)
+
+
+@_query
+def cascade_delete_events(t: Tables) -> DataFrame:
+    """Parts of events that remain once errors are deleted with what refers to them."""
+    gone = t["crm_events_wide"].filter(F.col("event_type") == "error").select("event_id")
+    parts = {"event_utm": t["crm_event_utm"], "event_attributes": t["crm_event_attributes"]}
+    left = [
+        keyed.without_references(rows, "event_id", gone).select(F.lit(name).alias("entity"), "event_id")
+        for name, rows in parts.items()
+    ]
+    return left[0].unionByName(left[1])
 
 
 @_query
@@ -421,9 +506,8 @@ def email_search(t: Tables) -> DataFrame:
 
 @_query
 def trigram_search(t: Tables) -> DataFrame:
-    people = t["crm_customers"]
-    index = trigram.trigram_table(people, "customer_id", "email")
-    return trigram.trigram_search(people, index, "customer_id", "email", "gmail")
+    """The search that a trigram index serves in a database; a pushed-down scan answers it here."""
+    return commerce.email_search(t["crm_customers"], "gmail")
 
 
 @_query
@@ -653,3 +737,52 @@ def status_change_stream(t: Tables) -> DataFrame:
     )
     ingest.start_change_log(changes, t["bank_transactions_pending"], store).awaitTermination()
     return ingest.read_output(t.spark, store, "status_changes").drop("batch_id")
+
+
+# Two batches in a row: repeats on another day, differing repeats, unknown ids.
+
+
+def _two_batches(t: Tables, output: str) -> DataFrame:
+    store = work_folder(t.spark, "two-batches")
+    accounts = t["bank_accounts"]
+    ingest.score_batch(t["arrivals_first"], 0, accounts, store, AS_OF)
+    ingest.score_batch(t["arrivals_second"], 1, accounts, store, AS_OF)
+    return ingest.read_output(t.spark, store, output)
+
+
+@_query
+def ingest_two_batches_refused(t: Tables) -> DataFrame:
+    return _two_batches(t, "refused").select("transaction_id", "status", "reason", "batch_id")
+
+
+@_query
+def ingest_two_batches_stored(t: Tables) -> DataFrame:
+    """Ids stored by both batches, each once."""
+    return _two_batches(t, "transactions").select("transaction_id", "account_id", "amount", "transaction_at", "batch_id")
+
+
+def _two_change_batches(t: Tables, output: str) -> DataFrame:
+    """All become pending at first; then each gets its later status, in two steps where it is approved."""
+    store = work_folder(t.spark, "two-change-batches")
+    ingest.log_changes_batch(t["changes_first"], 0, t["bank_transactions_pending"], store)
+    folder = work_folder(t.spark, "compacted-changes")
+    compacted = ingest.compact_changes(t.spark, store, 1, folder)
+    ingest.log_changes_batch(t["changes_second"], 1, t["bank_transactions_pending"], store, compacted=compacted)
+    return ingest.read_output(t.spark, store, output)
+
+
+@_query
+def status_change_two_batches(t: Tables) -> DataFrame:
+    return _two_change_batches(t, "status_changes")
+
+
+@_query
+def status_change_refused(t: Tables) -> DataFrame:
+    return _two_change_batches(t, "change_refused")
+
+
+@_query
+def status_change_deductions(t: Tables) -> DataFrame:
+    """Amounts that changes to APPROVED take from accounts."""
+    taken = _two_change_batches(t, "change_deltas")
+    return taken.groupBy("account_id").agg(F.sum("delta").cast("decimal(25,2)").alias("delta"))

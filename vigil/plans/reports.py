@@ -16,7 +16,6 @@ from vigil.functions.columns import (
     mean_risk_label,
     risk_label,
 )
-from vigil.operators.activity import HEAVY_ROWS
 from vigil.operators.ranking import rank_by_value
 from vigil.operators.running import running_totals
 from vigil.session import stored
@@ -208,15 +207,10 @@ def customer_risk_profile(
 def customer_risk_ranking(profile: DataFrame) -> DataFrame:
     """Ranks over the profile, which is stored first: it shrank all transactions to customers, and
     each rank reads it again.
-
-    Both ranked values are few: a mean from 0 to 100 with two decimals takes 10,001 values, and k
-    different counts need k*(k-1)/2 flagged transactions, so that 10^12 of them allow 1.5 million.
     """
     profile = stored(profile, "risk-profile")
-    ranked = rank_by_value(profile, "avg_risk_score", "risk_rank", max_values=None)
-    return rank_by_value(
-        ranked, "flagged_count", "flagged_rank", dense=True, max_values=None
-    ).select(
+    ranked = stored(rank_by_value(profile, "avg_risk_score", "risk_rank"), "risk-ranks")
+    return rank_by_value(ranked, "flagged_count", "flagged_rank", dense=True).select(
         "customer_id",
         "full_name",
         "country_code",
@@ -230,12 +224,12 @@ def customer_risk_ranking(profile: DataFrame) -> DataFrame:
 
 
 def cumulative_spend(
-    transactions: DataFrame, accounts: DataFrame, customers: DataFrame, heavy_rows: int = HEAVY_ROWS
+    transactions: DataFrame, accounts: DataFrame, customers: DataFrame
 ) -> DataFrame:
     approved = transactions.filter(F.col("status") == "APPROVED").select(
         "transaction_id", "account_id", "amount", "transaction_at"
     )
-    totals = running_totals(approved, accounts, heavy_rows)
+    totals = running_totals(approved, accounts)
     return totals.join(
         customers.select("customer_id", _name().alias("customer_name")), "customer_id"
     ).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
 from vigil.functions.columns import day_of, is_risk_country, steps
-from vigil.operators.activity import HEAVY_ROWS, recent_activity
+from vigil.operators.activity import recent_activity
 
 
 def own_points() -> Column:
@@ -41,7 +41,6 @@ def transaction_scores(
     transactions: DataFrame,
     accounts: DataFrame,
     history: DataFrame | None = None,
-    heavy_rows: int = HEAVY_ROWS,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Score every row of ``transactions``; rows of ``history`` only add to volume and counts.
@@ -53,10 +52,8 @@ def transaction_scores(
     moves = _moves(transactions, True, keep)
     if history is not None:
         moves = moves.unionByName(_moves(history, False, keep), allowMissingColumns=True)
-    active = recent_activity(moves, accounts, heavy_rows)
-    others = F.when(
-        F.col("customer_id").isNotNull(), F.col("past_hour_count") - F.col("counted").cast("int")
-    ).otherwise(0)
+    active = recent_activity(moves, accounts)
+    others = F.col("past_hour_count") - F.col("counted").cast("int")
     score = (
         F.col("points")
         + steps(F.col("day_volume"), fixed.DAILY_VOLUME_STEPS, 0, inclusive=False)
@@ -74,6 +71,18 @@ def transaction_scores(
     )
 
 
+MAX_DAYS = 36_525
+"""Days that a literal filter may list: a century."""
+
+
+def literal_days(days: DataFrame) -> list:
+    """Distinct days of a one-column table, for a filter that prunes folders laid out by day."""
+    found = sorted(row[0] for row in days.dropna().distinct().limit(MAX_DAYS + 1).collect())
+    if len(found) > MAX_DAYS:
+        raise ValueError(f"more than {MAX_DAYS} different days")
+    return found
+
+
 def history_around(batch: DataFrame, stored: DataFrame, accounts: DataFrame) -> DataFrame:
     """Stored rows that can change the scores of a batch.
 
@@ -83,7 +92,7 @@ def history_around(batch: DataFrame, stored: DataFrame, accounts: DataFrame) ->
     """
     hour_before = F.expr("transaction_at - INTERVAL 1 HOUR")
     dates = F.explode(F.array(F.to_date("transaction_at"), F.to_date(hour_before)))
-    days = sorted(row.day for row in batch.select(dates.alias("day")).dropna().distinct().collect())
+    days = literal_days(batch.select(dates.alias("day")))
     owners = accounts.select("account_id", "customer_id")
     customers = owners.join(batch.select("account_id"), "account_id", "left_semi").select("customer_id")
     related = owners.join(customers, "customer_id", "left_semi").select("account_id")

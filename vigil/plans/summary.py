@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.columns import day_of, full_name, mean_2dp
+from vigil.plans.scoring import literal_days
 
 MONEY = "decimal(25,2)"
 TOP = 3
@@ -20,28 +21,32 @@ def _day():
 def _daily_stats(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     """Each transaction weighs as many rows as it has alerts, at least one.
 
-    Joining alert counts instead of alerts gives that weight without widening the rows.
+    All rows are summed by day with weight one, which shrinks the fact before any shuffle.  What the
+    alerted transactions weigh beyond that is added from an inner join with their alert counts.
     """
     per_transaction = alerts.groupBy("transaction_id").agg(F.count("*").alias("alerts"))
-    rows = transactions.select(
+    rows = transactions.select("transaction_at", "amount", "risk_score", "status")
+    alerted = transactions.select(
         "transaction_id", "transaction_at", "amount", "risk_score", "status"
-    ).join(per_transaction, "transaction_id", "left")
-    alerts_of = F.coalesce("alerts", F.lit(0))
-    weight = F.greatest(alerts_of, F.lit(1))
-    # 18 whole digits for an amount times its alerts, so that sums keep cents exactly.
-    amount = (F.col("amount") * weight.cast("decimal(12,0)")).cast("decimal(25,2)")
-    flagged = F.col("status") == "FLAGGED"
-    weighted = rows.select(
-        _day(),
-        weight.alias("n"),
-        amount.alias("amount"),
-        F.when(flagged, weight).otherwise(0).alias("flagged"),
-        F.when(flagged, amount).alias("flagged_amount"),
-        (F.col("risk_score").cast("bigint") * weight).alias("score"),
-        alerts_of.alias("alerts"),
-    )
+    ).join(per_transaction, "transaction_id")
+
+    def sums(rows: DataFrame, weight, alerts) -> DataFrame:
+        # 18 whole digits for an amount times its alerts, so that sums keep cents exactly.
+        amount = (F.col("amount") * weight.cast("decimal(12,0)")).cast("decimal(25,2)")
+        flagged = F.col("status") == "FLAGGED"
+        return rows.groupBy(_day()).agg(
+            F.sum(weight).alias("n"),
+            F.sum(amount).alias("amount"),
+            F.sum(F.when(flagged, weight).otherwise(0)).alias("flagged"),
+            F.sum(F.when(flagged, amount)).alias("flagged_amount"),
+            F.sum(F.col("risk_score").cast("bigint") * weight).alias("score"),
+            F.sum(alerts).alias("alerts"),
+        )
+
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = sums(rows, one, none).unionByName(sums(alerted, F.col("alerts") - 1, F.col("alerts")))
     n, score = F.sum("n"), F.sum("score")
-    return weighted.groupBy("transaction_date").agg(
+    return both.groupBy("transaction_date").agg(
         n.alias("total_transactions"),
         F.coalesce(F.sum("amount"), F.lit(0)).cast(MONEY).alias("total_amount"),
         F.sum("flagged").alias("flagged_transactions"),
@@ -110,31 +115,31 @@ def refresh_summary(summary: DataFrame, folder: str) -> str:
     return path
 
 
-def refresh_days(
+def refreshed_days(
+    summary: DataFrame,
     days: DataFrame,
     transactions: DataFrame,
     alerts: DataFrame,
     accounts: DataFrame,
     customers: DataFrame,
     as_of: str,
-    folder: str,
-) -> None:
-    """Recompute the given ``transaction_date`` values only, replacing just their partitions.
+) -> DataFrame:
+    """Summary with the given ``transaction_date`` values computed anew and the others kept.
 
-    A day that lost all its transactions keeps its row; refresh in full after such a deletion.
+    A day that lost all its transactions loses its row.  NULL stands for transactions without a time.
     """
+    named = days.select("transaction_date").distinct()
     # A literal list of days prunes the folders of a table laid out by day.
-    wanted = days.select("transaction_date").dropna().distinct().collect()
-    touched_days = sorted(row.transaction_date for row in wanted)
-    touched = transactions.filter(day_of(transactions).isin(touched_days))
-    (
-        daily_fraud_summary(touched, alerts, accounts, customers, as_of)
-        .repartition("transaction_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("transaction_date")
-        .parquet(folder)
-    )
+    listed = literal_days(named)
+    day, untimed = F.col("transaction_date"), not named.filter("transaction_date IS NULL").isEmpty()
+    asked = day_of(transactions).isin(listed)
+    stale = F.coalesce(day.isin(listed), F.lit(False))
+    if untimed:
+        asked, stale = asked | F.col("transaction_at").isNull(), stale | day.isNull()
+    touched = transactions.filter(asked)
+    raised = alerts.join(touched.select("transaction_id"), "transaction_id", "left_semi")
+    fresh = daily_fraud_summary(touched, raised, accounts, customers, as_of)
+    return summary.filter(~stale).unionByName(fresh)
 
 
 def read_summary(spark: SparkSession, path: str, flagged_only: bool = False) -> DataFrame:

@@ -49,7 +49,7 @@ STATUS_HISTORY = (
 FRAUD_RULES = ("rule_id int, rule_name string, rule_type string, threshold_value int, is_active boolean")
 FRAUD_ALERTS = (
     "alert_id bigint, transaction_id bigint, rule_id int, reason string, risk_score int,"
-    " alert_status string, created_at timestamp_ntz"
+    " alert_status string, created_at timestamp_ntz, source string"
 )
 AUDIT_LOG = (
     "audit_id bigint, customer_id bigint, table_name string, operation string, old_value string,"

@@ -26,18 +26,33 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+_FOLDERS: list[str] = []
+"""Work folders that this program made and has not released."""
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """New folder for a job's own tables, below the folder named for checkpoints: by the cluster in
     ``spark.checkpoint.dir``, or by the program with ``setCheckpointDir``.
 
-    Only a local master, where every task sees the same disk, may fall back to a temporary folder.
+    Only on a local master, where every task sees the same disk, is that folder set here if it is not.
+    ``release`` removes the work folders once the results that read them are written.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="vigil-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    _FOLDERS.append(f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all work folders made so far, through the file system they lie in."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _FOLDERS:
+        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

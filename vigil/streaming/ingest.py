@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.functions.columns import decide
-from vigil.operators.activity import HEAVY_ROWS, minute
-from vigil.operators.keyed import one_per_key, update_columns
+from vigil.operators.activity import minute
+from vigil.operators.keyed import one_per_key, settled, update_columns
 from vigil.plans.decisions import arrival_outputs
 from vigil.plans.scoring import history_around, transaction_scores
 from vigil.sources.layout import write_transactions
@@ -32,7 +32,7 @@ STORED_CHANGES = (
 )
 ALERT_OUTPUT = (
     "transaction_id bigint, rule_id int, reason string, risk_score int, alert_status string,"
-    " created_at timestamp_ntz, batch_id bigint"
+    " created_at timestamp_ntz, source string, batch_id bigint"
 )
 DELTA_OUTPUT = "transaction_id bigint, account_id bigint, delta decimal(15,2), batch_id bigint"
 REFUSED_OUTPUT = "transaction_id bigint, status string, reason string, batch_id bigint"
@@ -44,6 +44,8 @@ OUTPUT_SCHEMAS = {
     "balance_deltas": DELTA_OUTPUT,
     "refused": REFUSED_OUTPUT,
     "status_changes": STORED_CHANGES,
+    "change_deltas": DELTA_OUTPUT,
+    "change_refused": REFUSED_OUTPUT,
 }
 
 
@@ -51,6 +53,12 @@ def read_output(spark: SparkSession, store: str, name: str) -> DataFrame:
     return spark.read.schema(OUTPUT_SCHEMAS[name]).parquet(f"{store}/{name}")
 
 
+def read_batch(spark: SparkSession, store: str, name: str, batch_id: int) -> DataFrame:
+    """One batch of an output, from its own folder."""
+    reader = spark.read.schema(OUTPUT_SCHEMAS[name]).option("basePath", f"{store}/{name}")
+    return reader.parquet(f"{store}/{name}/batch_id={batch_id}")
+
+
 def _write(rows: DataFrame, store: str, name: str, batch_id: int, by: str | None = None) -> None:
     """Rebalancing joins small partitions and splits large ones, also one hot value of ``by``."""
     balanced = rows.hint("rebalance", by) if by else rows.hint("rebalance")
@@ -95,28 +103,37 @@ def score_batch(
     store: str,
     as_of: str,
     base: Base | None = None,
-    heavy_rows: int = HEAVY_ROWS,
 ) -> None:
     """Score one batch of arrivals against what is stored and against itself.
 
-    Arrivals are new, PENDING and of a known account; others go to ``refused``.  Later batches do not
-    rescore rows.
+    Arrivals are new, PENDING and of a known account; others go to ``refused``, as do all rows of an id
+    whose rows differ.  Ids are looked for among all stored rows, whatever their day; the batch's smallest
+    and largest id let the scan skip files.  Later batches do not rescore rows.
     """
     spark = batch.sparkSession
-    batch, fresh = batch.persist(), None
+    batch, judged = batch.persist(), None
     try:
-        pending = one_per_key(batch.filter(F.col("status") == "PENDING"), "transaction_id")
-        keys = accounts.select("account_id")
-        fresh = pending.join(keys, "account_id", "left_semi")
-        before, seen = _stored_before(spark, store, batch_id, base), None
+        keys = accounts.select("account_id", F.lit(True).alias("held"))
+        judged = settled(batch, "transaction_id").join(keys, "account_id", "left")
+        before = _stored_before(spark, store, batch_id, base)
         if before is not None:
+            least, most = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+            seen = before.filter(F.col("transaction_id").between(least, most)).select("transaction_id")
+            judged = judged.join(seen.distinct().withColumn("known", F.lit(True)), "transaction_id", "left")
             before = history_around(batch, before, accounts)
-            seen = before.select("transaction_id")
-            fresh = fresh.join(seen, "transaction_id", "left_anti")
-        fresh = fresh.persist()
+        else:
+            judged = judged.withColumn("known", F.lit(None).cast("boolean"))
+        judged = judged.withColumn(
+            "reason",
+            F.when(F.col("conflict"), "conflicting repeat")
+            .when(~F.col("status").eqNullSafe("PENDING"), "not pending")
+            .when(F.col("held").isNull(), "unknown account")
+            .when(F.col("known"), "already stored"),
+        ).persist()
+        fresh = judged.filter("reason IS NULL").select(*batch.columns)
         others = [c for c in fresh.columns if c not in ("transaction_id", "risk_score", "status")]
         decided = (
-            transaction_scores(fresh, accounts, before, heavy_rows, others)
+            transaction_scores(fresh, accounts, before, others)
             .drop("customer_id", "daily_volume", "recent_count")
             .withColumn("status", decide(F.col("risk_score")))
             .withColumn("tx_date", F.to_date("transaction_at"))
@@ -124,29 +141,15 @@ def score_batch(
         _write(decided, store, "transactions", batch_id, by="tx_date")
 
         # The rest derives from the rows just written, not from a second computation of them.
-        own = read_output(spark, store, "transactions").filter(F.col("batch_id") == batch_id)
+        own = read_batch(spark, store, "transactions", batch_id)
         for name, rows in arrival_outputs(own, as_of)._asdict().items():
             _write(rows, store, name, batch_id)
-
-        # Few rows are refused, so they are picked before repeats are dropped.
-        waiting = batch.filter(F.col("status") == "PENDING")
-
-        def refuse(rows: DataFrame, reason: str) -> DataFrame:
-            return rows.select("transaction_id", "status", F.lit(reason).alias("reason"))
-
-        refused = refuse(
-            batch.filter(~F.col("status").eqNullSafe("PENDING")), "not pending"
-        ).unionByName(
-            refuse(waiting.join(keys, "account_id", "left_anti"), "unknown account").distinct()
-        )
-        if seen is not None:
-            again = waiting.join(seen, "transaction_id", "left_semi")
-            refused = refused.unionByName(refuse(again, "already stored").distinct())
+        refused = judged.filter("reason IS NOT NULL").select("transaction_id", "status", "reason")
         _write(refused, store, "refused", batch_id)
     finally:
         batch.unpersist()
-        if fresh is not None:
-            fresh.unpersist()
+        if judged is not None:
+            judged.unpersist()
 
 
 def compact(spark: SparkSession, store: str, batches: int, folder: str) -> Base:
@@ -173,7 +176,6 @@ def start_scoring(
     store: str,
     as_of: str,
     base: Base | None = None,
-    heavy_rows: int = HEAVY_ROWS,
     every: str | None = None,
 ) -> StreamingQuery:
     """Score a stream of arriving transactions; outputs are read with ``read_output``.
@@ -183,7 +185,7 @@ def start_scoring(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, accounts, store, as_of, base, heavy_rows)
+        score_batch(batch, batch_id, accounts, store, as_of, base)
 
     return _start(arrivals, store, "scoring", run, every)
 
@@ -240,54 +242,115 @@ def _with_previous(changes: DataFrame) -> DataFrame:
     )
 
 
-def log_changes_batch(batch: DataFrame, batch_id: int, base: DataFrame, store: str) -> None:
+class ChangeBase(NamedTuple):
+    """Latest status and sequence number per transaction, from batches below ``batches``."""
+
+    latest: DataFrame
+    batches: int
+
+
+def _latest(spark: SparkSession, store: str, below: int, compacted: ChangeBase | None) -> DataFrame | None:
+    """Latest status and number per transaction that the log has before batch ``below``."""
+    first = compacted.batches if compacted else 0
+    parts = []
+    if below > first:
+        logged = read_output(spark, store, "status_changes").filter(F.col("batch_id").between(first, below - 1))
+        parts.append(logged.select("transaction_id", F.col("new_status").alias("status"), "seq"))
+    if compacted:
+        parts.append(compacted.latest)
+    if not parts:
+        return None
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("transaction_id")
+        .agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
+    )
+
+
+def compact_changes(
+    spark: SparkSession, store: str, batches: int, folder: str, compacted: ChangeBase | None = None
+) -> ChangeBase:
+    """Fold the log of the first batches into one row per transaction, which later batches read instead."""
+    latest = _latest(spark, store, batches, compacted)
+    latest.repartitionByRange("transaction_id").sortWithinPartitions("transaction_id").write.parquet(folder)
+    return ChangeBase(spark.read.schema(latest.schema).parquet(folder), batches)
+
+
+def log_changes_batch(
+    batch: DataFrame,
+    batch_id: int,
+    base: DataFrame,
+    store: str,
+    logged: DataFrame | None = None,
+    compacted: ChangeBase | None = None,
+) -> None:
     """Log status changes of one batch against the latest known status of each transaction.
 
     ``batch`` has transaction_id, status, changed_by and changed_at.  Several changes of one
-    transaction follow each other by time; repeating a status logs nothing.
+    transaction follow each other by time; repeating a status logs nothing.  Numbers go on from the log's
+    largest, and from that of ``logged``, a log kept elsewhere (transaction_id, seq).  Changes of ids that
+    ``base`` lacks go to ``change_refused``.  A change to APPROVED deducts: its amount goes to
+    ``change_deltas`` if ``base`` has account_id and amount.
     """
     spark = batch.sparkSession
     ids = batch.select("transaction_id").distinct()
-    known = base.select("transaction_id", "status").join(ids, "transaction_id", "left_semi")
-    if batch_id > 0:
-        latest = (
-            read_output(spark, store, "status_changes")
-            .filter(F.col("batch_id") < batch_id)
-            .join(ids, "transaction_id", "left_semi")
-            .groupBy("transaction_id")
-            .agg(F.max_by("new_status", F.struct("batch_id", "seq")).alias("status"))
-        )
-        known = update_columns(known, latest, "transaction_id")
+    money = [c for c in ("account_id", "amount") if c in base.columns]
+    known = base.select("transaction_id", "status", *money).join(ids, "transaction_id", "left_semi")
+    known = known.withColumn("had", F.lit(0))
+    if logged is not None:
+        numbers = logged.join(ids, "transaction_id", "left_semi").groupBy("transaction_id").agg(F.max("seq").alias("had"))
+        known = update_columns(known, numbers, "transaction_id")
+    latest = _latest(spark, store, batch_id, compacted)
+    if latest is not None:
+        asked = latest.join(ids, "transaction_id", "left_semi")
+        known = update_columns(known, asked.select("transaction_id", "status", F.col("seq").alias("had")), "transaction_id")
     changes = (
         _with_previous(batch)
-        .join(known.withColumnRenamed("status", "stored_status"), "transaction_id")
+        .join(known.withColumnRenamed("status", "stored_status"), "transaction_id", "left")
         .withColumn(
             "old_status",
             F.when(F.col("seq") == 1, F.col("stored_status")).otherwise(F.col("previous")),
         )
-        .filter(~F.col("old_status").eqNullSafe(F.col("status")))
-    )
-    _write(
-        changes.select(
-            "transaction_id",
-            "seq",
-            "old_status",
-            F.col("status").alias("new_status"),
-            "changed_by",
-            "changed_at",
-        ),
-        store,
-        "status_changes",
-        batch_id,
-    )
+    ).persist()
+    try:
+        is_known = F.col("had").isNotNull()
+        logs = changes.filter(is_known & ~F.col("old_status").eqNullSafe(F.col("status")))
+        _write(
+            logs.select(
+                "transaction_id",
+                (F.col("seq") + F.col("had")).cast("int").alias("seq"),
+                "old_status",
+                F.col("status").alias("new_status"),
+                "changed_by",
+                "changed_at",
+            ),
+            store,
+            "status_changes",
+            batch_id,
+        )
+        refused = changes.filter(~is_known).select("transaction_id", "status", F.lit("unknown transaction").alias("reason"))
+        _write(refused, store, "change_refused", batch_id)
+        if len(money) == 2:
+            # Each change to APPROVED deducts once more, as each did when it was made.
+            taken = logs.filter("status = 'APPROVED'").select(
+                "transaction_id", "account_id", (-F.col("amount")).cast("decimal(15,2)").alias("delta")
+            )
+            _write(taken, store, "change_deltas", batch_id)
+    finally:
+        changes.unpersist()
 
 
 def start_change_log(
-    changes: DataFrame, base: DataFrame, store: str, every: str | None = None
+    changes: DataFrame,
+    base: DataFrame,
+    store: str,
+    every: str | None = None,
+    logged: DataFrame | None = None,
+    compacted: ChangeBase | None = None,
 ) -> StreamingQuery:
     """Log a stream of status changes against the statuses in ``base``."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        log_changes_batch(batch, batch_id, base, store)
+        log_changes_batch(batch, batch_id, base, store, logged, compacted)
 
     return _start(changes, store, "changes", run, every)
