@@ -125,7 +125,7 @@ def test_customer_delete_check(frame):
 def test_alert_fan_out_counts_in_every_measure(spark):
     base = sample.transactions(spark).withColumn("risk_score", F.col("transaction_id").cast("int"))
     base = base.withColumn("status", F.when(F.col("transaction_id") == 3, "FLAGGED").otherwise(F.col("status")))
-    alerts = sample.alerts(spark, [(k, 3, None, "r", 3, "OPEN", datetime(2026, 6, 1)) for k in range(3)])
+    alerts = sample.alerts(spark, [(k, 3, None, "r", 3, "OPEN", datetime(2026, 6, 1), f"s{k}") for k in range(3)])
     rows = summary.daily_fraud_summary(base, alerts, sample.accounts(spark), sample.customers(spark), AS_OF)
     row = rows.filter("transaction_date = date '2026-05-30'").collect()[0]
     assert (row.total_transactions, str(row.total_amount), row.flagged_transactions, str(row.suspicious_amount)) == (
