@@ -126,6 +126,12 @@ def test_one_of_each_keeps_columns(odd, nothing):
     assert simhash.one_of_each(nothing).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none_are_not_lost(spark):
+    rows = [(5, "alpha beta gamma delta"), (5, "one two three four five six"), (None, "red green blue"), (None, "cat dog bird"), (None, "cat dog bird")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.text for r in kept.collect()) == sorted({t for _, t in rows})
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 200)] + [(5, i) for i in range(300, 400)] + [(7, 7)]
     found = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long")).collect()))

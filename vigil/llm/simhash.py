@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigil.llm.components import components
 from vigil.llm.shared import fresh, stored, whole_text
@@ -132,24 +132,32 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id`` of every document; the smallest doc_id that can be reached names a component."""
-    prints = stored(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")), "simhash")
+    """``doc_id, fp, component_id`` of every document; the smallest doc_id that can be reached names a component.
+
+    Beside them ``root``, a fingerprint that stands for the component, and ``text_hash``.
+    """
+    text = whole_text()
+    prints = stored(docs.select("doc_id", fingerprints(text).alias("fp"), F.xxhash64(text).alias("text_hash")), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.join(smallest, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = named.join(smallest, "root").select("fp", "root", "component_id")
+    return prints.join(ids, "fp").select("doc_id", "fp", "component_id", "root", "text_hash")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their component (one row of those that share it), all columns."""
-    at, number = fresh("at", docs.columns), fresh("number", docs.columns)
-    found = near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(at)).distinct()
-    # Ids that several rows share: the row whose text has the component's fingerprint and sorts first stays.
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(whole_text()), whole_text()))
-    stay = docs.join(keep, F.col("doc_id").eqNullSafe(F.col(at)), "left_semi")
-    return stay.withColumn(number, rank).where(F.col(number) == 1).select(*docs.columns)
+    """One document of each component, with all its columns: the one with the smallest doc_id.
+
+    Of rows that share that doc_id the smallest text hash stays, of equal rows one.
+    """
+    names = {n: fresh(n, docs.columns) for n in ("no_id", "id", "hash", "number")}
+    on = [names[n] for n in ("no_id", "id", "hash")]
+    row = lambda text_hash: [
+        F.col("doc_id").isNull().alias(on[0]), F.coalesce("doc_id", F.lit(0)).cast("long").alias(on[1]), text_hash.alias(on[2])
+    ]
+    found = near_duplicates(docs).select("root", F.struct(*row(F.col("text_hash"))).alias("row"))
+    keep = found.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    stay = docs.select("*", *row(F.xxhash64(whole_text()))).join(keep, on, "left_semi")
+    first = F.row_number().over(Window.partitionBy(*on).orderBy(*on[:1]))
+    return stay.withColumn(names["number"], first).where(F.col(names["number"]) == 1).select(*docs.columns)
