@@ -12,7 +12,7 @@ from vigil import schemas
 from vigil.operators import audit, keyed, quality
 from vigil.plans import bank, catalog, commerce, decisions, reports, scoring, summary
 from vigil.session import work_folder
-from vigil.sources import synthetic
+from vigil.sources import layout, synthetic
 from vigil.sources.adapters import Tables
 from vigil.streaming import ingest
 
@@ -617,6 +617,36 @@ def keyed_update_customers(t: Tables) -> DataFrame:
     return keyed.update_columns(synthetic_customers(t), updates, "customer_id")
 
 
+# Laid-out facts, written and read back.
+
+
+@_query
+def laid_out_events(t: Tables) -> DataFrame:
+    """Night events of the last days, from a table laid out by day."""
+    folder = work_folder(t.spark, "events-by-day")
+    layout.write_events(t["crm_events_wide"].select(*schemas.EVENT_CORE), folder)
+    rows = t.spark.read.parquet(folder).filter("event_date >= date '2024-01-15' and hour(event_time) < 5")
+    return rows.select("event_id", "customer_id", "event_type", "event_time")
+
+
+@_query
+def laid_out_orders(t: Tables) -> DataFrame:
+    """Paid orders of a year, from a table laid out by status and year."""
+    folder = work_folder(t.spark, "orders-by-year")
+    layout.write_orders(t["crm_orders"], folder)
+    rows = t.spark.read.parquet(folder).filter("status = 'paid' and order_year = 1995")
+    return rows.select("order_id", "customer_id", "total_amount")
+
+
+@_query
+def laid_out_transactions(t: Tables) -> DataFrame:
+    """Transactions of a day, from a table laid out by day."""
+    folder = work_folder(t.spark, "transactions-by-day")
+    layout.write_transactions(t["bank_transactions_scored"], folder)
+    rows = t.spark.read.parquet(folder).filter("tx_date = date '2024-01-17'")
+    return rows.select("transaction_id", "account_id", "amount", "transaction_at")
+
+
 # Generated commerce tables, one row per row of the stored inputs.
 
 SEED = 42
