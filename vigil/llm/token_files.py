@@ -2,7 +2,7 @@
 
 A corpus is a folder of pairs of files.  ``part-N.tokens.arrow`` is an Arrow stream whose record batches hold
 ``ids`` (fixed-size lists of ``LENGTH`` unsigned integers, 16 bits wide where the vocabulary allows) and ``mask``
-(fixed-size lists of bytes: 1 token, 0 padding).  Documents are packed one after the other, in ascending doc_id
+(fixed-size lists of booleans, a bit each: true for a token, false for padding).  Documents are packed one after the other, in ascending doc_id
 order, across list and batch borders; only a file's last list is padded.  Every batch but a file's last has
 ``LISTS`` lists, so list k lies in batch ``k // LISTS`` and is read from the mapped file without a copy.
 ``part-N.docs.arrow`` has a row per document: doc_id, its first position in the file and its number of tokens.
@@ -107,7 +107,7 @@ class _Packer:
     def __init__(self, sink: pa.BufferOutputStream, dtype: np.dtype, length: int, lists: int):
         self.length, self.lists, self.dtype = length, lists, dtype
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.writer = pa.ipc.new_stream(sink, self.schema)
         self.waiting: list[bytes] = []
         self.bytes, self.n = 0, 0
@@ -127,7 +127,7 @@ class _Packer:
             part = ids[start : min(start + step, whole)]
             padded = np.zeros(-(-len(part) // self.length) * self.length, self.dtype)
             padded[: len(part)] = part
-            mask = (np.arange(len(padded)) < len(part)).astype(np.uint8)
+            mask = np.arange(len(padded)) < len(part)
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)]
             self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
         rest = ids[whole:].tobytes()
@@ -149,13 +149,13 @@ class TokenFile:
         self.length = reader.schema.field("ids").type.list_size
         self.lists = len(self.batches[0]) if self.batches else 0
         self.ids = [b.column(0).flatten().to_numpy(zero_copy_only=True) for b in self.batches]
-        self.mask = [b.column(1).flatten().to_numpy(zero_copy_only=True) for b in self.batches]
+        self.mask = [b.column(1).flatten() for b in self.batches]
 
     def __len__(self) -> int:
         return sum(map(len, self.batches))
 
-    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of list ``k``: views of the mapped file."""
+    def __getitem__(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of list ``k``: views of the mapped file, the mask as an Arrow array of bits."""
         batch, at = divmod(k, self.lists)
         part = slice(at * self.length, (at + 1) * self.length)
         return self.ids[batch][part], self.mask[batch][part]
