@@ -45,6 +45,10 @@ HALF = GRAM + (WINDOW - GRAM) // 2
 FREQUENT = 256
 #: Buckets of anchors for each chunk.
 BUCKETS = 4
+#: Partitions for each chunk, so that few tasks get several chunks.
+SPREAD = 4
+#: One run of windows in an answer: stretch, first and last window, smallest document.
+RUN = np.dtype([("place", "<i4"), ("first", "u1"), ("last", "u1"), ("owner", "<i8")])
 BLOCK = 1 << 16
 NO_ID = np.iinfo(np.int64).min
 
@@ -300,46 +304,44 @@ class _Job:
                 own.append(i)
             members.append(own)
         found = _bucket_answers(np.array(keys, np.uint64), np.array(owners, np.int64), list(numbers))
-        runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        runs: list[list[tuple[int, int, int]]] = []
         for values in found:
             first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-            runs.append((first, np.append(first[1:], len(values)) - 1, values[first]))
+            runs.append(list(zip(first.tolist(), (np.append(first[1:], len(values)) - 1).tolist(), values[first].tolist(), strict=True)))
         rows = []
         for row, own in zip(group.itertuples(), members, strict=True):
-            parts = [[], [], [], []]
-            for place, (i, most) in enumerate(zip(own, _ints(row.most).tolist(), strict=True)):
-                first, last, owner = runs[i]
-                for f, e, o in zip(first.tolist(), last.tolist(), owner.tolist(), strict=True):
-                    if o < most:
-                        for to, x in zip(parts, (place, f, e, o), strict=True):
-                            to.append(x)
-            rows.append((row.chunk, row.bucket, *(np.array(x, np.int64).tobytes() for x in parts)))
-        return pd.DataFrame(rows, columns=["chunk", "bucket", "place", "first", "last", "owner"])
+            found = [
+                (place, f, e, o)
+                for place, (i, most) in enumerate(zip(own, _ints(row.most).tolist(), strict=True))
+                for f, e, o in runs[i]
+                if o < most
+            ]
+            rows.append((row.chunk, row.bucket, np.array(found, dtype=RUN).tobytes()))
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "runs"])
 
     def removed(self, group: pd.DataFrame) -> pd.DataFrame:
         """The chunk's documents without the bytes that go."""
         chunk = Chunk.read(self.folder, int(group["chunk"].iloc[0]))
         keys, _, _, _, first, doc, which = chunk.distinct(*self._known(group))
-        change = np.zeros(chunk.size + 1, dtype=np.int32)
-        answers = {int(r.bucket): r for r in group.itertuples() if r.place is not None and not pd.isna(r.bucket)}
-        by_stretch: list[np.ndarray] = [np.zeros((0, 4), np.int64)]
+        change = np.zeros(chunk.size + 1, dtype=np.int16)  # a byte lies in at most WINDOW windows
+        answers = {int(r.bucket): r.runs for r in group.itertuples() if r.runs is not None and not pd.isna(r.bucket)}
+        by_stretch: list[np.ndarray] = [np.zeros(0, RUN)]
         for bucket, places in _dealt(keys, self.buckets):
             if bucket in answers:
-                row = answers[bucket]
-                runs = np.column_stack([_ints(x) for x in (row.place, row.first, row.last, row.owner)])
-                runs[:, 0] = places[runs[:, 0]]
+                runs = np.frombuffer(answers[bucket], RUN).copy()
+                runs["place"] = places[runs["place"]]
                 by_stretch.append(runs)
         runs = np.concatenate(by_stretch)
-        runs = runs[np.argsort(runs[:, 0], kind="stable")]
-        begin, end = np.searchsorted(runs[:, 0], which, "left"), np.searchsorted(runs[:, 0], which, "right")
+        runs = runs[np.argsort(runs["place"], kind="stable")]
+        begin, end = np.searchsorted(runs["place"], which, "left"), np.searchsorted(runs["place"], which, "right")
         count = end - begin
         at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())  # the runs of each place
         place = np.repeat(np.arange(len(which)), count)
-        goes = runs[at, 3] < chunk.order[doc[place]] if len(at) else np.zeros(0, bool)
+        goes = runs["owner"][at] < chunk.order[doc[place]] if len(at) else np.zeros(0, bool)
         at, place = at[goes], place[goes]
-        np.add.at(change, first[place] + runs[at, 1], 1)
-        np.add.at(change, first[place] + runs[at, 2] + WINDOW, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        np.add.at(change, first[place] + runs["first"][at], 1)
+        np.add.at(change, first[place] + runs["last"][at] + WINDOW, -1)
+        gone = np.cumsum(change[:-1], dtype=np.int16) > 0
         rows, start = [], 0
         for doc_id, text, stop in zip(chunk.ids, chunk.texts, chunk.ends.tolist(), strict=True):
             mask = gone[start:stop]
@@ -362,15 +364,15 @@ def without_later_copies(docs: DataFrame, with_text: bool = False) -> DataFrame:
     dealt.repartition(chunks, "chunk").write.partitionBy("chunk").option("compression", "zstd").parquet(folder)
     job = _Job(folder, chunks * BUCKETS, with_text)
     present = spark.read.schema("doc_id long, text string, chunk long").parquet(folder).select("chunk").distinct()
-    anchors = present.groupBy("chunk").applyInPandas(lambda g: job.anchors(g), "bucket long, chunk long, keys binary, several binary")
+    anchors = present.repartition(chunks * SPREAD, "chunk").groupBy("chunk").applyInPandas(lambda g: job.anchors(g), "bucket long, chunk long, keys binary, several binary")
     flags = stored(anchors.groupBy("bucket").applyInPandas(lambda g: job.repeated(g), "chunk long, repeated binary, frequent binary"), "suffix-anchors")
-    sent = flags.groupBy("chunk").applyInPandas(
+    sent = flags.repartition(chunks * SPREAD, "chunk").groupBy("chunk").applyInPandas(
         lambda g: job.sent(g), "bucket long, chunk long, keys binary, least binary, most binary, lengths binary, data binary"
     )
     answers = stored(
-        sent.groupBy("bucket").applyInPandas(lambda g: job.answers(g), "chunk long, bucket long, place binary, first binary, last binary, owner binary"),
+        sent.groupBy("bucket").applyInPandas(lambda g: job.answers(g), "chunk long, bucket long, runs binary"),
         "suffix-answers",
     )
     gathered = flags.unionByName(answers, allowMissingColumns=True).unionByName(present, allowMissingColumns=True)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return gathered.groupBy("chunk").applyInPandas(lambda g: job.removed(g), result)
+    return gathered.repartition(chunks * SPREAD, "chunk").groupBy("chunk").applyInPandas(lambda g: job.removed(g), result)
