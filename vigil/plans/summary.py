@@ -30,21 +30,22 @@ def _daily_stats(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
         "transaction_id", "transaction_at", "amount", "risk_score", "status"
     ).join(per_transaction, "transaction_id")
 
-    def sums(rows: DataFrame, weight, alerts) -> DataFrame:
+    def weighted(rows: DataFrame, weight, alerts) -> DataFrame:
         # 18 whole digits for an amount times its alerts, so that sums keep cents exactly.
         amount = (F.col("amount") * weight.cast("decimal(12,0)")).cast("decimal(25,2)")
         flagged = F.col("status") == "FLAGGED"
-        return rows.groupBy(_day()).agg(
-            F.sum(weight).alias("n"),
-            F.sum(amount).alias("amount"),
-            F.sum(F.when(flagged, weight).otherwise(0)).alias("flagged"),
-            F.sum(F.when(flagged, amount)).alias("flagged_amount"),
-            F.sum(F.col("risk_score").cast("bigint") * weight).alias("score"),
-            F.sum(alerts).alias("alerts"),
+        return rows.select(
+            _day(),
+            weight.alias("n"),
+            amount.alias("amount"),
+            F.when(flagged, weight).otherwise(0).alias("flagged"),
+            F.when(flagged, amount).alias("flagged_amount"),
+            (F.col("risk_score").cast("bigint") * weight).alias("score"),
+            alerts.alias("alerts"),
         )
 
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    both = sums(rows, one, none).unionByName(sums(alerted, F.col("alerts") - 1, F.col("alerts")))
+    both = weighted(rows, one, none).unionByName(weighted(alerted, F.col("alerts") - 1, F.col("alerts")))
     n, score = F.sum("n"), F.sum("score")
     return both.groupBy("transaction_date").agg(
         n.alias("total_transactions"),
