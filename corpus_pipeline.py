@@ -17,6 +17,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier recognises."""
+    ship(spark)
     model = langid.train(docs)
     guess = fresh("guess", docs.columns)
     marked = docs.withColumn(guess, langid.predicted(spark, model, F.col("text")))

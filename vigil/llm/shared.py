@@ -13,6 +13,8 @@ from pathlib import Path
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+#: Texts that go to a Python worker at a time; long ones would fill its memory in the usual batches of 10,000.
+BATCH_ROWS = 500
 #: Text bytes that one group of documents should hold where an operator works on groups.
 GROUP_BYTES = 16 << 20
 
@@ -74,7 +76,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors, once per application, as ``--py-files`` would."""
+    """Send this package to the executors, once per application, as ``--py-files`` would, and keep batches small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     name = f"{package.name}-{context.applicationId}.zip"
     if not any(x.endswith(name) for x in getattr(context, "_python_includes", [])):

@@ -71,13 +71,15 @@ def fingerprints(text: Column, size: int = SHINGLE) -> Column:
 def golay_indices() -> np.ndarray:
     """Index (the upper 12 bits) of the code word nearest to every 23-bit word."""
     if not _INDEX:
-        words = np.arange(1 << 23, dtype=np.uint32)
-        rest = _remainder(words.copy())
         patterns = np.array([0, *(1 << i for i in range(23)), *(1 << i | 1 << j for i in range(23) for j in range(i)),
                              *(1 << i | 1 << j | 1 << k for i in range(23) for j in range(i) for k in range(j))], dtype=np.uint32)
         error = np.zeros(1 << 11, dtype=np.uint32)
         error[_remainder(patterns.copy())] = patterns  # a perfect code: every remainder has one pattern of up to 3 bits
-        _INDEX.append(((words ^ error[rest]) >> np.uint32(11)).astype(np.uint16))
+        table = np.empty(1 << 23, dtype=np.uint16)
+        for start in range(0, len(table), 1 << 18):
+            words = np.arange(start, start + (1 << 18), dtype=np.uint32)
+            table[start : start + (1 << 18)] = (words ^ error[_remainder(words.copy())]) >> np.uint32(11)
+        _INDEX.append(table)
     return _INDEX[0]
 
 
