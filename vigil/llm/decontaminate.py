@@ -3,7 +3,7 @@
 Document frequencies of hashed words are counted over all documents.  The latent space comes from a randomised SVD of the
 TF-IDF matrix of passages: a random test matrix is multiplied by the matrix and its transpose a few times, each product
 a job over passages whose partial sums are added block by block, and orthonormalised.  It is fitted on the passages of a
-bounded sample (``SAMPLE_DOCS`` documents, by hash of doc_id) and of the benchmark; every document is searched.
+bounded sample (about ``SAMPLE_DOCS`` documents, by hash of doc_id) and of the benchmark; every document is searched.
 
 Search: words are mapped to their latent vectors and summed over windows about as long as an item (classes
 ``SPANS``), stepping ``STEP`` words.  Windows whose cosine with an item reaches ``MIN_COSINE`` are candidates.  Around
@@ -22,7 +22,6 @@ rows and repeated items are each searched.  Other columns pass through or are ig
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,14 +31,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.llm.shared import stored
 
-FEATURES = 1 << 16
-RANK = 64
+FEATURE_BITS = 15
+FEATURES = 1 << FEATURE_BITS
+RANK = 88
 POWER_ROUNDS = 2
-SAMPLE_DOCS = 2_000
+SAMPLE_DOCS = 250
+SAMPLE_ITEMS = 1_000
 SEED = 20_240_501
 SPANS = (16, 32, 64)
 STEP = 8
-MIN_COSINE = 0.7
+MIN_COSINE = 0.45
 MIN_WORDS = 8
 MIN_COVER = 0.5
 MAX_STRETCH = 1.6
@@ -48,54 +49,87 @@ ANSWER_SHARE = 1 / 3
 ITEM_BLOCK = 4_096
 #: Feature rows that a partial product sends as one block.
 ROWS = 4_096
-#: Words searched at a time.
+#: Words searched at a time, and bytes hashed at a time.
 BATCH = 1 << 16
+BLOCK = 1 << 18
 
-_WORD = re.compile(r"\w+")
+# Bytes that part words: what is not a letter or digit in ASCII; beside it some frequent marks (fixed values).
+_KEEP = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
+_MARKS = [x.encode() for x in "“”„‘’–—…«»·¿¡"]
 _ANSWER = re.compile(r"(?is).*(?:\banswer\s*:|\?)\s*(.+)")
 
 
-class _Features(dict):
-    def __missing__(self, word: str) -> int:
-        number = zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES
-        if len(self) < 500_000 and len(word) <= 40:
-            self[word] = number
-        return number
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of _BASE, and of its inverse, modulo 2 ** 64
 
 
-_FEATURES = _Features()
+def cleaned(text: str) -> bytes:
+    """Lower-cased UTF-8 in which single or several spaces part the words."""
+    data = text.lower().encode("utf-8", "surrogatepass").translate(_KEEP)
+    if not data.isascii():
+        for mark in _MARKS:
+            data = data.replace(mark, b" ")
+    return data
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def words(text: str) -> list[bytes]:
+    return cleaned(text).split()
 
 
-def features(found: list[str]) -> np.ndarray:
-    return np.fromiter(map(_FEATURES.__getitem__, found), dtype=np.int32, count=len(found))
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def features(data: bytes) -> np.ndarray:
+    """Hashed words of cleaned text, in order: polynomials of their bytes, from one running sum a block."""
+    parts, start = [], 0
+    while start < len(data):
+        end = start + BLOCK
+        if end < len(data):
+            end = data.find(b" ", end) + 1 or len(data)
+        letters = np.frombuffer(b" " + data[start:end] + b" ", dtype=np.uint8)
+        inside = letters != 32
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        up, down = _powers(len(letters))
+        sums = np.cumsum(letters * up[: len(letters)], dtype=np.uint64)
+        first, last = edge[::2], edge[1::2]
+        number = (sums[last] - sums[first]) * down[first]
+        number ^= number >> np.uint64(29)
+        number *= np.uint64(0xBF58476D1CE4E5B9)
+        parts.append((number >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
+        start = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(FEATURES + 1, dtype=np.int64)
     for batch in batches:
-        for text in batch["text"]:
-            counts[np.unique(features(words(text)))] += 1
+        found = [features(cleaned(text)) for text in batch["text"]]
+        rows = np.repeat(np.arange(len(found), dtype=np.int64), list(map(len, found)))
+        once = np.unique(rows * FEATURES + np.concatenate([np.zeros(0, np.int32), *found]))
+        counts[:FEATURES] += np.bincount(once % FEATURES, minlength=FEATURES)
         counts[FEATURES] += len(batch)
     used = np.flatnonzero(counts)
     yield pd.DataFrame({"feature": used, "n": counts[used]})
 
 
-def idf(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequencies of all features over all documents."""
+def idf(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Inverse document frequencies of all features over all documents, and the number of documents."""
     counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(_frequencies, "feature int, n long")
     table = counted.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()  # at most FEATURES + 1 rows
     n = np.zeros(FEATURES + 1)
     n[table["feature"]] = table["n"]
-    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05)
+    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05), int(n[FEATURES])
 
 
 def _passages(text: str, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Features and normalised TF-IDF weights of a text's passages."""
-    found = features(words(text))
+    found = features(cleaned(text))
     for start in range(0, len(found), SPANS[1]):
         part, counts = np.unique(found[start : start + SPANS[1]], return_counts=True)
         values = counts * weights[part]
@@ -127,7 +161,9 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def latent_space(sample: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = POWER_ROUNDS) -> np.ndarray:
-    """Leading right singular vectors (features by rank) of the TF-IDF passages of ``sample``, by randomised SVD."""
+    """Leading right singular vectors (features by rank) of the TF-IDF passages of ``sample``, by randomised SVD, each
+    divided by its singular value, so that what all passages of a language share doesn't decide every cosine."""
+    # The driver holds a few matrices of FEATURES x rank numbers, some 12 MB each, whatever the corpus holds.
     context = sample.sparkSession.sparkContext
     shared = context.broadcast(weights)
     oversampled = rank + 8
@@ -135,14 +171,16 @@ def latent_space(sample: DataFrame, weights: np.ndarray, rank: int = RANK, round
     for _ in range(rounds + 1):
         basis = np.linalg.qr(basis)[0].astype(np.float32)
         held = context.broadcast(basis)
+        product = None
         parts = sample.mapInPandas(_product(held, shared), "block int, sums binary")
         product = np.zeros_like(basis)
-        for row in parts.groupBy("block").applyInPandas(_added, "block int, sums binary").collect():  # FEATURES x rank numbers
+        for row in parts.groupBy("block").applyInPandas(_added, "block int, sums binary").toLocalIterator():
             product[row.block : row.block + ROWS] = np.frombuffer(row.sums, np.float32).reshape(-1, oversampled)
         # Rayleigh-Ritz: eigenvectors of the small matrix order the basis by singular value.
         values, turn = np.linalg.eigh(basis.T @ product)
         best = np.argsort(-values)
-        basis, ritz = product, (basis @ turn[:, best][:, :rank]).astype(np.float32)
+        scale = np.sqrt(np.maximum(values[best][:rank], 1e-6 * max(values.max(), 1e-9)))
+        basis, ritz = product, (basis @ turn[:, best][:, :rank] / scale).astype(np.float32)
         held.destroy()
     return ritz
 
@@ -163,12 +201,12 @@ class Items:
             behind = _ANSWER.match(text)
             answer = words(behind[1]) if behind else []
             if not answer:
-                codes = features(found)
+                codes = features(b" ".join(found))
                 answer = [found[i] for i in sorted(range(len(found)), key=lambda i, c=codes: (-weights[c[i]], i))[: -(-len(found) // ANSWER_PART)]]
             self.answers.append(set(answer))
             spans.append(min(SPANS, key=lambda s, n=len(found): abs(s - n)))
-            vectors.append(self.space[features(found)].sum(axis=0))
-        self.counts = list(map(Counter, self.words))
+            vectors.append(self.space[features(b" ".join(found))].sum(axis=0))
+        self.counts = [dict(Counter(x)) for x in self.words]
         self.sets = list(map(frozenset, self.words))
         self.by_span = {}
         for span in SPANS:
@@ -179,51 +217,55 @@ class Items:
 
     def search(self, text: str) -> list[tuple[int | None, float, float, int]]:
         """Matches in a text: item, cosine, share of the item's words, first word; the best of each item."""
-        found = words(text)
+        data = cleaned(text)
+        codes = features(data)
+        found: list[bytes] = []
         best: dict[int, tuple] = {}
-        if not self.ids or len(found) < MIN_WORDS // 2:
+        if not self.ids or len(codes) < MIN_WORDS // 2:
             return []
         overlap = SPANS[-1]
-        for start in range(0, len(found), BATCH):
-            part = found[start : start + BATCH + overlap]
-            for item, cosine, at in self._candidates(part):
+        for start in range(0, len(codes), BATCH):
+            for item, cosine, at in self._candidates(codes[start : start + BATCH + overlap]):
+                found = found or data.split()
                 cover, first = self._verified(item, found, start + at)
                 if cover >= MIN_COVER and (item not in best or cover > best[item][2]):
                     best[item] = (self.ids[item], cosine, cover, first)
         return sorted(best.values(), key=lambda x: (x[0] is not None, x[0] or 0, x[3]))
 
-    def _candidates(self, part: list[str]) -> Iterator[tuple[int, float, int]]:
-        vectors = self.space[features(part)]
-        blocks = np.add.reduceat(vectors, np.arange(0, len(part), STEP), axis=0)
-        sums = np.concatenate([np.zeros((1, vectors.shape[1]), np.float32), np.cumsum(blocks, axis=0, dtype=np.float64).astype(np.float32)])
-        for span, (which, matrix) in self.by_span.items():
-            width = min(span // STEP, len(blocks))
-            windows = sums[width:] - sums[:-width]
-            windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
-            similar = windows @ matrix.T
+    def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, float, int]]:
+        vectors = np.zeros((-(-len(codes) // STEP) * STEP, self.space.shape[1]), np.float32)
+        np.take(self.space, codes, axis=0, out=vectors[: len(codes)], mode="clip")
+        sums = vectors.reshape(-1, STEP, vectors.shape[1]).sum(axis=1)
+        width = 1
+        for span in SPANS:
+            while width * STEP < span and len(sums) > width:  # windows of twice the width from neighbours
+                sums = sums[:-width] + sums[width:]
+                width *= 2
+            if span not in self.by_span:
+                continue
+            which, matrix = self.by_span[span]
+            similar = sums @ matrix.T
+            similar /= np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)[:, None]
             # A run of overlapping windows is one candidate, at its best window.
             at, item = np.nonzero(similar >= MIN_COSINE)
-            peak = similar[at, item]
-            for shift in (-1, 1):
-                other = at + shift
-                inside = (other >= 0) & (other < len(windows))
-                better = np.zeros(len(at), bool)
-                value = similar[np.clip(other, 0, len(windows) - 1), item]
-                better[inside] = (value > peak)[inside] | ((value == peak)[inside] & (shift < 0))
-                at, item, peak = at[~better], item[~better], peak[~better]
-            for a, i, value in zip(at.tolist(), which[item].tolist(), peak.tolist(), strict=True):
+            if not len(at):
+                continue
+            peak, last = similar[at, item], len(similar) - 1
+            below = (at > 0) & (similar[np.maximum(at - 1, 0), item] >= peak)
+            below |= (at < last) & (similar[np.minimum(at + 1, last), item] > peak)
+            for a, i, value in zip(at[~below].tolist(), which[item[~below]].tolist(), peak[~below].tolist(), strict=True):
                 yield i, value, a * STEP
 
-    def _verified(self, item: int, found: list[str], at: int) -> tuple[float, int]:
+    def _verified(self, item: int, found: list[bytes], at: int) -> tuple[float, int]:
         """Share of the item's words in the longest common subsequence near a place, 0 if a check fails."""
         wanted = self.words[item]
         n = len(wanted)
         start = max(0, at - n // 2 - STEP)
         stop = min(len(found), at + 2 * n + 2 * STEP)
         near = found[start:stop]
-        held = self.sets[item]
         # Of n words, as many can be common as occur at all: repeats of a word count as often as the item has them.
-        if n - sum(self.counts[item][w] for w in held.difference(near)) < MIN_COVER * n or lcs_length(wanted, near) < MIN_COVER * n:
+        counts = self.counts[item]
+        if sum([counts[w] for w in self.sets[item].intersection(near)]) < MIN_COVER * n or lcs_length(wanted, near) < MIN_COVER * n:
             return 0.0, 0
         common = lcs_places(wanted, near)
         longest = int(MAX_STRETCH * n)
@@ -240,9 +282,9 @@ class Items:
         return cover / n, start + common[first]
 
 
-def lcs_length(a: list[str], b: list[str]) -> int:
+def lcs_length(a: list, b: list) -> int:
     """Length of the longest common subsequence, bit-parallel: a bit for each element of ``a``."""
-    masks: dict[str, int] = {}
+    masks: dict[bytes, int] = {}
     for i, x in enumerate(a):
         masks[x] = masks.get(x, 0) | 1 << i
     full = (1 << len(a)) - 1
@@ -255,9 +297,9 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
-def lcs_places(a: list[str], b: list[str]) -> list[int]:
+def lcs_places(a: list, b: list) -> list[int]:
     """Places in ``b`` of one longest common subsequence, from the rows of the bit-parallel computation."""
-    masks: dict[str, int] = {}
+    masks: dict[bytes, int] = {}
     for i, x in enumerate(a):
         masks[x] = masks.get(x, 0) | 1 << i
     full = (1 << len(a)) - 1
@@ -297,11 +339,13 @@ def matched(spark: SparkSession, items: Items, text: Column) -> Column:
 
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list[Items]:
     """The latent space for these documents, and the benchmark in blocks of items projected into it."""
-    weights = idf(docs)
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("draw"))
-    sample = texts.orderBy("draw").limit(SAMPLE_DOCS).select("text")
+    weights, n = idf(docs)
+    # About SAMPLE_DOCS documents by hash, without a sort; the limit bounds what chance or repeated ids add.
+    share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 62))
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) <= share)
+    sample = drawn.select(F.coalesce("text", F.lit("")).alias("text")).limit(4 * SAMPLE_DOCS)
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    with_items = stored(sample.union(asked.select("text").limit(SAMPLE_DOCS)).repartition(8), "latent-sample")
+    with_items = stored(sample.union(asked.select("text").limit(SAMPLE_ITEMS)).repartition(8), "latent-sample")
     space = latent_space(with_items, weights)
     blocks: list[Items] = []
     rows: list[tuple[int | None, str]] = []
