@@ -2,8 +2,8 @@
 
 Document frequencies of hashed words are counted over all documents.  The latent space comes from a randomised SVD of the
 TF-IDF matrix of passages: a random test matrix is multiplied by the matrix and its transpose a few times, each product
-a job over passages whose partial sums are added block by block, and orthonormalised.  It is fitted on the passages of a
-bounded sample (about ``SAMPLE_DOCS`` documents, by hash of doc_id) and of the benchmark; every document is searched.
+a job over passages whose partial sums are added block by block, and orthonormalised.  It is fitted on the passages of
+all documents and all items, whose hashed words are written once for these passes; every document is searched.
 
 Search: words are mapped to their latent vectors and summed over windows about as long as an item (classes
 ``SPANS``), stepping ``STEP`` words.  Windows whose cosine with an item reaches ``MIN_COSINE`` are candidates.  Around
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.llm.shared import stored
@@ -35,8 +36,6 @@ FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
 RANK = 88
 POWER_ROUNDS = 2
-SAMPLE_DOCS = 250
-SAMPLE_ITEMS = 1_000
 SEED = 20_240_501
 SPANS = (16, 32, 64)
 STEP = 8
@@ -47,8 +46,10 @@ MAX_STRETCH = 1.6
 ANSWER_PART = 4
 ANSWER_SHARE = 1 / 3
 ITEM_BLOCK = 4_096
-#: Feature rows that a partial product sends as one block.
+#: Feature rows that a partial product sends as one block, passages multiplied at a time, and products added at a time.
 ROWS = 4_096
+PASSAGES = 64
+ADDED = 32
 #: Words searched at a time, and bytes hashed at a time.
 BATCH = 1 << 16
 BLOCK = 1 << 18
@@ -106,76 +107,102 @@ def features(data: bytes) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
+def _coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        codes = [features(cleaned(text)).astype(np.uint16).tobytes() for text in batch["text"]]
+        yield pd.DataFrame({"codes": codes, "item": batch["item"]})
+
+
+def coded(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Hashed words of all documents and items (``item`` tells which), two bytes a word, written once for all passes."""
+    text = F.coalesce("text", F.lit("")).alias("text")
+    both = docs.select(text, F.lit(False).alias("item")).union(benchmark.select(text, F.lit(True).alias("item")))
+    return stored(both.mapInPandas(_coded, "codes binary, item boolean"), "latent-codes")
+
+
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(FEATURES + 1, dtype=np.int64)
     for batch in batches:
-        found = [features(cleaned(text)) for text in batch["text"]]
+        found = [np.frombuffer(codes, np.uint16) for codes in batch["codes"]]
         rows = np.repeat(np.arange(len(found), dtype=np.int64), list(map(len, found)))
-        once = np.unique(rows * FEATURES + np.concatenate([np.zeros(0, np.int32), *found]))
+        once = np.unique(rows * FEATURES + np.concatenate([np.zeros(0, np.uint16), *found]))
         counts[:FEATURES] += np.bincount(once % FEATURES, minlength=FEATURES)
         counts[FEATURES] += len(batch)
     used = np.flatnonzero(counts)
     yield pd.DataFrame({"feature": used, "n": counts[used]})
 
 
-def idf(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Inverse document frequencies of all features over all documents, and the number of documents."""
-    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(_frequencies, "feature int, n long")
+def idf(codes: DataFrame) -> np.ndarray:
+    """Inverse document frequencies of all features over all documents."""
+    counted = codes.where("NOT item").select("codes").mapInPandas(_frequencies, "feature int, n long")
     table = counted.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()  # at most FEATURES + 1 rows
     n = np.zeros(FEATURES + 1)
     n[table["feature"]] = table["n"]
-    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05), int(n[FEATURES])
-
-
-def _passages(text: str, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Features and normalised TF-IDF weights of a text's passages."""
-    found = features(cleaned(text))
-    for start in range(0, len(found), SPANS[1]):
-        part, counts = np.unique(found[start : start + SPANS[1]], return_counts=True)
-        values = counts * weights[part]
-        length = np.sqrt((values * values).sum())
-        if length > 0:
-            yield part, (values / length).astype(np.float32)
+    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05)
+
+
+def _passages(found: list[np.ndarray], weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Normalised TF-IDF matrices of texts, at most ``PASSAGES`` passages (rows) at a time, and the features of their
+    columns."""
+    texts = [np.arange(len(codes)) // SPANS[1] for codes in found]
+    offsets = np.cumsum([0, *(-(-len(codes) // SPANS[1]) for codes in found)])
+    rows = np.concatenate([np.zeros(0, np.int64), *(x + at for x, at in zip(texts, offsets, strict=False))])
+    codes = np.concatenate([np.zeros(0, np.uint16), *found])
+    places = np.zeros(FEATURES, dtype=np.int64)
+    bounds = np.searchsorted(rows, np.arange(0, offsets[-1] + PASSAGES, PASSAGES))
+    for start, (left, right) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        row = rows[left:right] - start * PASSAGES
+        used = np.flatnonzero(np.bincount(codes[left:right], minlength=FEATURES))
+        places[used] = np.arange(len(used))
+        column = places[codes[left:right]]
+        size = (int(row[-1]) + 1, len(used))
+        matrix = np.bincount(row * size[1] + column, minlength=size[0] * size[1]).reshape(size) * weights[used]
+        matrix /= np.maximum(np.sqrt(np.einsum("ij,ij->i", matrix, matrix)), 1e-9)[:, None]
+        yield used, matrix.astype(np.float32)
 
 
 def _product(basis, weights) -> "callable":
     """Partial sums of A^T (A basis) over passages, in blocks of feature rows."""
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(basis.value.shape, dtype=np.float32)
+        total = np.zeros(basis.value.shape, dtype=np.float64)
         for batch in batches:
-            for text in batch["text"]:
-                for part, values in _passages(text, weights.value):
-                    total[part] += np.outer(values, values @ basis.value[part])
+            for used, matrix in _passages([np.frombuffer(x, np.uint16) for x in batch["codes"]], weights.value):
+                total[used] += matrix.T @ (matrix @ basis.value[used])
+        group = TaskContext.get().partitionId() // ADDED
         for start in range(0, FEATURES, ROWS):
             block = total[start : start + ROWS]
             if block.any():
-                yield pd.DataFrame({"block": [start], "sums": [block.tobytes()]})
+                yield pd.DataFrame({"block": [start], "part": [group], "sums": [block.astype(np.float32).tobytes()]})
 
     return multiply
 
 
 def _added(group: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in group["sums"])
-    return pd.DataFrame({"block": [group["block"].iloc[0]], "sums": [total.astype(np.float32).tobytes()]})
+    return pd.DataFrame({"block": [group["block"].iloc[0]], "part": [group["part"].iloc[0] // ADDED], "sums": [total.astype(np.float32).tobytes()]})
 
 
-def latent_space(sample: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = POWER_ROUNDS) -> np.ndarray:
-    """Leading right singular vectors (features by rank) of the TF-IDF passages of ``sample``, by randomised SVD, each
-    divided by its singular value, so that what all passages of a language share doesn't decide every cosine."""
-    # The driver holds a few matrices of FEATURES x rank numbers, some 12 MB each, whatever the corpus holds.
-    context = sample.sparkSession.sparkContext
+def latent_space(codes: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = POWER_ROUNDS) -> np.ndarray:
+    """Leading right singular vectors (features by rank) of the TF-IDF passages of all coded texts, by randomised SVD,
+    each divided by its singular value, so that what all passages of a language share doesn't decide every cosine."""
+    # The driver holds a few matrices of FEATURES x rank numbers, some 12 MB each, whatever the corpus holds.  A task
+    # sends as much, so there is one for each core; of their sums, at most ADDED are added at a time.
+    context = codes.sparkSession.sparkContext
+    tasks = max(context.defaultParallelism, 1)
     shared = context.broadcast(weights)
     oversampled = rank + 8
     basis = np.random.default_rng(SEED).standard_normal((FEATURES, oversampled)).astype(np.float32)
     for _ in range(rounds + 1):
         basis = np.linalg.qr(basis)[0].astype(np.float32)
         held = context.broadcast(basis)
-        product = None
-        parts = sample.mapInPandas(_product(held, shared), "block int, sums binary")
         product = np.zeros_like(basis)
-        for row in parts.groupBy("block").applyInPandas(_added, "block int, sums binary").toLocalIterator():
-            product[row.block : row.block + ROWS] = np.frombuffer(row.sums, np.float32).reshape(-1, oversampled)
+        sums = "block int, part int, sums binary"
+        parts, left = codes.select("codes").coalesce(tasks).mapInPandas(_product(held, shared), sums), tasks
+        while left > 1:
+            parts, left = parts.groupBy("block", "part").applyInPandas(_added, sums), -(-left // ADDED)
+        for row in parts.toLocalIterator():
+            product[row.block : row.block + ROWS] += np.frombuffer(row.sums, np.float32).reshape(-1, oversampled)
         # Rayleigh-Ritz: eigenvectors of the small matrix order the basis by singular value.
         values, turn = np.linalg.eigh(basis.T @ product)
         best = np.argsort(-values)
@@ -339,14 +366,10 @@ def matched(spark: SparkSession, items: Items, text: Column) -> Column:
 
 def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list[Items]:
     """The latent space for these documents, and the benchmark in blocks of items projected into it."""
-    weights, n = idf(docs)
-    # About SAMPLE_DOCS documents by hash, without a sort; the limit bounds what chance or repeated ids add.
-    share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 62))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)) <= share)
-    sample = drawn.select(F.coalesce("text", F.lit("")).alias("text")).limit(4 * SAMPLE_DOCS)
+    codes = coded(docs, benchmark)
+    weights = idf(codes)
+    space = latent_space(codes, weights)
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    with_items = stored(sample.union(asked.select("text").limit(SAMPLE_ITEMS)).repartition(8), "latent-sample")
-    space = latent_space(with_items, weights)
     blocks: list[Items] = []
     rows: list[tuple[int | None, str]] = []
     for row in asked.toLocalIterator():
