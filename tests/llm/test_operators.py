@@ -384,6 +384,15 @@ def test_latent_space_is_fitted_on_all_documents_and_items(spark):
         assert block.space[seen].any(axis=1).all()
 
 
+def test_unicode_spaces_and_marks_part_words(spark, small):
+    item = small("benchmark").orderBy("item_id").first()
+    parts = ["\u00a0", "\u202f", "\u3000", "\u2028", "\u2022", "\uff0c", " \u00ad"]
+    docs = [(i, part.join(item.text.split())) for i, part in enumerate(parts)]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), small("benchmark"))
+    assert {r.doc_id for r in found.collect() if r.item_id == item.item_id} == set(range(len(parts)))
+    assert decontaminate.words("com\u00adputer na\u00efve e\u0301t\u00e9") == ["computer".encode(), "na\u00efve".encode(), "e\u0301t\u00e9".encode()]
+
+
 def test_odd_rows_match_nothing(odd, nothing, small):
     assert decontaminate.contaminated(odd, small("benchmark")).count() == 0
     assert decontaminate.contaminated(nothing, small("benchmark")).count() == 0

@@ -22,6 +22,7 @@ rows and repeated items are each searched.  Other columns pass through or are ig
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -54,23 +55,43 @@ ADDED = 32
 BATCH = 1 << 16
 BLOCK = 1 << 18
 
-# Bytes that part words: what is not a letter or digit in ASCII; beside it some frequent marks (fixed values).
+# Bytes that part words: what is not a letter or digit in ASCII.
 _KEEP = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
-_MARKS = [x.encode() for x in "“”„‘’–—…«»·¿¡"]
 _ANSWER = re.compile(r"(?is).*(?:\banswer\s*:|\?)\s*(.+)")
 
 
+#: Kinds of characters: white space, punctuation and symbols part words, format characters go.
+PARTS, GOES = 1, 2
+
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of _BASE, and of its inverse, modulo 2 ** 64
 
 
+def _kinds() -> np.ndarray:
+    """For each code point beyond ASCII: whether it stays, parts words or goes."""
+    kinds = np.zeros(0x110000, dtype=np.uint8)
+    for code in range(0x80, 0x20000):
+        category = unicodedata.category(chr(code))
+        if category[0] in "ZPS" or category == "Cc" or code == 0x200B:
+            kinds[code] = PARTS
+        elif category == "Cf":  # soft hyphens, joiners and direction marks stand inside words
+            kinds[code] = GOES
+    return kinds
+
+
+KINDS = _kinds()
+
+
 def cleaned(text: str) -> bytes:
     """Lower-cased UTF-8 in which single or several spaces part the words."""
-    data = text.lower().encode("utf-8", "surrogatepass").translate(_KEEP)
-    if not data.isascii():
-        for mark in _MARKS:
-            data = data.replace(mark, b" ")
-    return data
+    text = text.lower()
+    if not text.isascii():
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = KINDS[codes]
+        if kinds.any():
+            codes = np.where(kinds == PARTS, np.uint32(32), codes)[kinds != GOES]
+            text = codes.tobytes().decode("utf-32-le", "surrogatepass")
+    return text.encode("utf-8", "surrogatepass").translate(_KEEP)
 
 
 def words(text: str) -> list[bytes]:
