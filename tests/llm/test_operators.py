@@ -393,6 +393,28 @@ def test_unicode_spaces_and_marks_part_words(spark, small):
     assert decontaminate.words("com\u00adputer na\u00efve e\u0301t\u00e9") == ["computer".encode(), "na\u00efve".encode(), "e\u0301t\u00e9".encode()]
 
 
+def test_short_items_and_scripts_without_spaces(spark, small):
+    chinese = "\u6c34\u7684\u5316\u5b66\u5f0f\u662f\u4ec0\u4e48\u5e76\u4e14\u5b83\u7531\u54ea\u4e9b\u5143\u7d20\u7ec4\u6210"
+    thai = "\u0e19\u0e49\u0e33\u0e04\u0e37\u0e2d"
+    items = [(1, "What is the capital of Peru?"), (2, "Lima, Peru"), (3, chinese), (4, thai), (5, "?!"), (6, None), (2, "lima peru"), (7, "zebra")]
+    rows = [
+        (1, "one asks: what is THE capital -- of Peru, and nobody answers"),
+        (2, "the capital of Peru is what they ask in Lima; Peru has one"),
+        (3, f"\u6211\u4eec{chinese}\u5462\u3002"),
+        (4, f"abc{thai}def"),
+        (5, "lima in peru, zebras"),
+        (6, None),
+        (7, "zebra"),
+    ]
+    want = [(1, 1), (2, 2), (2, 2), (3, 3), (4, 4), (7, 7)]
+    others = small("documents").selectExpr("doc_id + 1000", "text")  # enough passages for a latent space
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(others)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(docs, asked).where("doc_id < 1000").collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == want
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, asked).where("doc_id < 1000").collect()) == [5, 6]
+
+
 def test_odd_rows_match_nothing(odd, nothing, small):
     assert decontaminate.contaminated(odd, small("benchmark")).count() == 0
     assert decontaminate.contaminated(nothing, small("benchmark")).count() == 0

@@ -15,7 +15,10 @@ common ones.  The answer is what stands behind an answer mark, or else the rares
 Items are taken in blocks of ``ITEM_BLOCK``, each broadcast with its vectors, so a benchmark of any size is searched
 in as many passes; a block's size is bounded by that number.
 
-Null text and item text count as empty and match nothing; items of fewer than ``MIN_WORDS`` words are not searched.  Repeated
+Items of fewer than ``MIN_WORDS`` words must stand in a text as they are: runs of as many words are compared by hash, then
+word by word (cosine and cover 1).  In scripts without spaces every character counts as a word.
+
+Null text and item text count as empty and match nothing, as do items without a word.  Repeated
 rows and repeated items are each searched.  Other columns pass through or are ignored.
 """
 
@@ -60,16 +63,24 @@ _KEEP = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 _ANSWER = re.compile(r"(?is).*(?:\banswer\s*:|\?)\s*(.+)")
 
 
-#: Kinds of characters: white space, punctuation and symbols part words, format characters go.
-PARTS, GOES = 1, 2
+#: Kinds of characters: white space, punctuation and symbols part words, format characters go, and those of scripts
+#: without spaces (Thai, Lao, Myanmar, Khmer, Tai, Javanese, kana, Han and the like) are words of their own.
+PARTS, GOES, ALONE = 1, 2, 3
+SPACELESS = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3040, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+]
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of _BASE, and of its inverse, modulo 2 ** 64
 
 
 def _kinds() -> np.ndarray:
-    """For each code point beyond ASCII: whether it stays, parts words or goes."""
+    """For each code point beyond ASCII: whether it stays, parts words, goes or is a word."""
     kinds = np.zeros(0x110000, dtype=np.uint8)
+    for first, last in SPACELESS:
+        kinds[first : last + 1] = ALONE
     for code in range(0x80, 0x20000):
         category = unicodedata.category(chr(code))
         if category[0] in "ZPS" or category == "Cc" or code == 0x200B:
@@ -89,7 +100,11 @@ def cleaned(text: str) -> bytes:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         kinds = KINDS[codes]
         if kinds.any():
-            codes = np.where(kinds == PARTS, np.uint32(32), codes)[kinds != GOES]
+            codes, kinds = np.where(kinds == PARTS, np.uint32(32), codes)[kinds != GOES], kinds[kinds != GOES]
+            alone = kinds == ALONE
+            if alone.any():
+                alone[1:] |= kinds[:-1] == ALONE
+                codes = np.insert(codes, np.flatnonzero(alone), 32)
             text = codes.tobytes().decode("utf-32-le", "surrogatepass")
     return text.encode("utf-8", "surrogatepass").translate(_KEEP)
 
@@ -107,8 +122,8 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def features(data: bytes) -> np.ndarray:
-    """Hashed words of cleaned text, in order: polynomials of their bytes, from one running sum a block."""
+def hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of cleaned text, in order: polynomials of their bytes, from one running sum a block."""
     parts, start = [], 0
     while start < len(data):
         end = start + BLOCK
@@ -123,9 +138,27 @@ def features(data: bytes) -> np.ndarray:
         number = (sums[last] - sums[first]) * down[first]
         number ^= number >> np.uint64(29)
         number *= np.uint64(0xBF58476D1CE4E5B9)
-        parts.append((number >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
+        parts.append(number)
         start = end
-    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def features(data: bytes) -> np.ndarray:
+    """Hashed words of cleaned text, in order, as columns of the space."""
+    return _columns(hashes(data))
+
+
+def _columns(numbers: np.ndarray) -> np.ndarray:
+    return (numbers >> np.uint64(64 - FEATURE_BITS)).astype(np.int32)
+
+
+def _runs(numbers: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words from those of the words."""
+    last = max(len(numbers) - n + 1, 0)
+    joined = numbers[:last].copy()
+    for i in range(1, n):
+        joined = joined * np.uint64(_BASE) + numbers[i : last + i]
+    return joined
 
 
 def _coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,10 +272,17 @@ class Items:
     def __init__(self, rows: list[tuple[int | None, str]], space: np.ndarray, weights: np.ndarray):
         self.space, self.weights = space * weights[:, None], weights
         self.ids, self.words, self.answers = [], [], []
+        #: Items of fewer than MIN_WORDS words: by number of words, the hash of all of them.
+        self.short: dict[int, dict[int, list[tuple[int, list[bytes]]]]] = {}
+        self.short_items: list[int | None] = []
         spans, vectors = [], []
         for item_id, text in rows:
             found = words(text)
             if len(found) < MIN_WORDS:
+                if found:
+                    number = int(_runs(hashes(b" ".join(found)), len(found))[0])
+                    self.short.setdefault(len(found), {}).setdefault(number, []).append((len(self.short_items), found))
+                    self.short_items.append(item_id)
                 continue
             self.ids.append(item_id)
             self.words.append(found)
@@ -256,6 +296,7 @@ class Items:
             vectors.append(self.space[features(b" ".join(found))].sum(axis=0))
         self.counts = [dict(Counter(x)) for x in self.words]
         self.sets = list(map(frozenset, self.words))
+        self.short_keys = {n: np.array(sorted(table), dtype=np.uint64) for n, table in self.short.items()}
         self.by_span = {}
         for span in SPANS:
             which = [i for i, s in enumerate(spans) if s == span]
@@ -266,11 +307,13 @@ class Items:
     def search(self, text: str) -> list[tuple[int | None, float, float, int]]:
         """Matches in a text: item, cosine, share of the item's words, first word; the best of each item."""
         data = cleaned(text)
-        codes = features(data)
+        numbers = hashes(data)
+        codes = _columns(numbers)
         found: list[bytes] = []
         best: dict[int, tuple] = {}
+        short = self._short(data, numbers)
         if not self.ids or len(codes) < MIN_WORDS // 2:
-            return []
+            codes = codes[:0]
         overlap = SPANS[-1]
         for start in range(0, len(codes), BATCH):
             for item, cosine, at in self._candidates(codes[start : start + BATCH + overlap]):
@@ -278,7 +321,21 @@ class Items:
                 cover, first = self._verified(item, found, start + at)
                 if cover >= MIN_COVER and (item not in best or cover > best[item][2]):
                     best[item] = (self.ids[item], cosine, cover, first)
-        return sorted(best.values(), key=lambda x: (x[0] is not None, x[0] or 0, x[3]))
+        return sorted([*best.values(), *short], key=lambda x: (x[0] is not None, x[0] or 0, x[3]))
+
+    def _short(self, data: bytes, numbers: np.ndarray) -> list[tuple[int | None, float, float, int]]:
+        """Matches of the short items, whose words must stand together as they are, each at its first place."""
+        found: list[bytes] = []
+        best: dict[int, tuple] = {}
+        for n, table in self.short.items():
+            runs, keys = _runs(numbers, n), self.short_keys[n]
+            near = np.searchsorted(keys, runs)
+            for at in np.flatnonzero(keys[np.minimum(near, len(keys) - 1)] == runs).tolist():
+                found = found or data.split()
+                for item, wanted in table[int(runs[at])]:
+                    if item not in best and found[at : at + n] == wanted:
+                        best[item] = (self.short_items[item], 1.0, 1.0, at)
+        return list(best.values())
 
     def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, float, int]]:
         vectors = np.zeros((-(-len(codes) // STEP) * STEP, self.space.shape[1]), np.float32)
