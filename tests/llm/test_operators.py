@@ -278,6 +278,17 @@ def test_loose_candidates_become_spans_with_their_context(spark):
     assert sum("phone:14:26" in s for s in called) > 180 and sum("phone" in s for s in ordered) < 20
 
 
+def test_rare_loose_candidates_are_judged_among_many_base_ones(spark):
+    rows = [(i, " ".join(f"a{i}.{j}@example{j}.org" for j in range(20)) + f" in {1900 + i % 100} and {i} others") for i in range(600)]
+    for i in range(60):
+        rows.append((1000 + i, f"my social security {100 + i}-45-{6000 + i}"))
+        rows.append((2000 + i, f"order item {100 + i}-45-{7000 + i}"))
+        rows.append((3000 + i, f"call my phone {200 + i}-555-{1000 + i}"))
+    found = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("ssn:19:30" in found[1000 + i] and "phone:14:26" in found[3000 + i] for i in range(60))
+    assert not any("ssn" in found[2000 + i] for i in range(60))
+
+
 def test_base_spans_are_in_spans(small):
     docs = {r.doc_id: r.text for r in small("documents").collect()}
     base = {r[0]: sum(r[1:5]) for r in brute.personal(docs.items())}

@@ -5,22 +5,24 @@ Generators are regular expressions that run in the JVM.  Those of ``BASE`` give
 telephones without a country code, addresses written out, social security and bank account numbers.
 
 A candidate has features of its format (lengths, digits, separators, checks) and of its context (words before it,
-neighbouring characters).  Boosted trees are trained on candidates of this corpus with weak labels: matches of ``BASE``
-patterns are positive or negative by their check, loose ones by a word in their context that names the kind.  The
-sample is bounded (``TRAIN_ROWS``, by hash of the place); a second one, of other candidates, calibrates the
-threshold: the lowest score at which ``PRECISION`` of the candidates above are positive.  Loose candidates from
-there on become spans, unless a base span of their kind overlaps them.  Base spans always stay.
+neighbouring characters).  Boosted trees are trained on loose candidates of this corpus, since only those are scored, with
+weak labels: positive are those with a word in their context that names the kind and none that speaks against it.  The
+sample has about ``TRAIN_ROWS`` candidates of each kind, or all where there are fewer, by hash of doc_id, place and match.
+All loose candidates are scored, and each kind has its threshold from all of its candidates: the lowest score, to
+``SCORE_DIGITS`` digits, at which ``PRECISION`` of those from there up are positive.  Loose candidates from there on become
+spans, unless a base span of their kind overlaps them.  Base spans always stay.
 
 Everything is DataFrame and SQL functions.  Matches are placed by running sums over the lengths between them, so
 a text with very many matches costs a sort, and every pattern takes linear time and constant stack.
 
 Positions are code points, ends exclusive.  Null text counts as empty.  Rows are treated one by one, whether or not they
-repeat or share doc_id.  Without candidates of both labels nothing is added to the base.  Other columns are ignored.
+repeat or share doc_id.  Where all drawn candidates have one label, that is the score of all; a kind that never reaches the precision
+adds nothing to the base.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -29,6 +31,7 @@ from vigil.llm.shared import stored, whole_text
 
 TRAIN_ROWS = 20_000
 PRECISION = 0.95
+SCORE_DIGITS = 4
 CONTEXT = 40
 
 # Kinds in order, and their patterns.  Beside the plain definitions they say where a run begins and ends, which
@@ -128,8 +131,8 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     before = Window.partitionBy("row", "loose", "kind").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        found.select("row", F.explode("found").alias("m"))
-        .select("row", "m.*")
+        found.select("row", "doc_id", F.explode("found").alias("m"))
+        .select("row", "doc_id", "m.*")
         .withColumn("end", F.sum(F.col("gap") + F.length("hit")).over(before).cast("long"))
         .withColumn("start", F.col("end") - F.length("hit"))
         .withColumn("passes", F.col("loose") | _passes())
@@ -172,28 +175,30 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"f_{n}" for n in columns], outputCol="features").transform(numbers)
 
 
-def train(placed: DataFrame) -> tuple[GBTClassificationModel, float] | None:
-    """Trees and threshold from a bounded sample of candidates with weak labels; None without both labels."""
-    draw = F.xxhash64("row", "kind", "loose", "start")
-    label = F.when(F.col("loose"), F.col("f_named") * (1 - F.col("f_against"))).otherwise(F.col("passes").cast("double"))
-    pool = placed.withColumn("draw", draw)
-    halves = []
-    for half in (0, 1):
-        part = pool.where(F.pmod("draw", F.lit(2)) == half).orderBy("draw").limit(TRAIN_ROWS)
-        halves.append(stored(_vectors(part).withColumn("label", label).select("features", "label"), "pii-sample"))
-    if any(x.select("label").distinct().count() < 2 for x in halves):
-        return None
-    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.2, seed=7, cacheNodeIds=False).fit(halves[0].coalesce(1))
-    scored = _scored(model, halves[1]).select("label", "score")
-    # At each score of the calibration sample: how many of the candidates from there up are positive.
-    above = Window.orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    curve = scored.select("score", F.avg("label").over(above).alias("precision"))
-    threshold = curve.where(F.col("precision") >= PRECISION).agg(F.min("score")).first()[0]
-    return None if threshold is None else (model, threshold)
-
-
-def _scored(model: GBTClassificationModel, vectors: DataFrame) -> DataFrame:
-    return model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
+def scored(loose: DataFrame) -> DataFrame:
+    """Loose candidates with weak label and score, of trees trained on a bounded sample of every kind."""
+    sizes = {r["kind"]: r["count"] for r in loose.groupBy("kind").count().collect()}  # at most a row for each kind
+    draw = F.pmod(F.xxhash64("doc_id", "kind", "start", "hit"), F.lit(1 << 62))
+    drawn = F.lit(False)
+    for kind, n in sorted(sizes.items()):
+        drawn = drawn | ((F.col("kind") == kind) & (draw <= int(min(1.0, TRAIN_ROWS / n) * (1 << 62))))
+    label = (F.col("f_named") * (1 - F.col("f_against"))).alias("label")
+    sample = stored(_vectors(loose.where(drawn)).select("features", label), "pii-sample")
+    labels = [r.label for r in sample.select("label").distinct().collect()]
+    kept = ["row", "kind", "start", "end", label]
+    if len(labels) < 2:
+        return _vectors(loose).select(*kept, F.lit(labels[0] if labels else 0.0).alias("score"))
+    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.2, seed=7, cacheNodeIds=False).fit(sample.coalesce(1))
+    score = F.round(vector_to_array("probability")[1], SCORE_DIGITS)
+    return model.transform(_vectors(loose)).select(*kept, score.alias("score"))
+
+
+def thresholds(candidates: DataFrame) -> dict[str, float]:
+    """For each kind that has one, the lowest score at which the candidates from there up have the precision."""
+    histogram = candidates.groupBy("kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("positive"))
+    above = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
+    curve = histogram.select("kind", "score", (F.sum("positive").over(above) / F.sum("n").over(above)).alias("precision"))
+    return {r.kind: r.score for r in curve.where(F.col("precision") >= PRECISION).groupBy("kind").agg(F.min("score").alias("score")).collect()}
 
 
 def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -201,15 +206,11 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows, found = candidates(docs)
     placed = stored(found, "pii-candidates")
     base = placed.where("NOT loose AND passes").select("row", "kind", "start", "end", F.lit(True).alias("base"), F.lit(1.0).alias("score"))
-    trained = train(placed)
-    if trained is None:
-        return rows, base
-    model, threshold = trained
-    more = (
-        _scored(model, _vectors(placed.where("loose")))
-        .where(F.col("score") >= threshold)
-        .select("row", "kind", "start", "end", F.lit(False).alias("base"), "score")
-    )
+    loose = stored(scored(placed.where("loose")), "pii-scores")
+    enough = F.lit(False)
+    for kind, least in thresholds(loose).items():
+        enough = enough | ((F.col("kind") == kind) & (F.col("score") >= least))
+    more = loose.where(enough).select("row", "kind", "start", "end", F.lit(False).alias("base"), "score")
     # A loose span goes if a base span of its kind overlaps it: in order of start, the furthest base end so far, or
     # the nearest base start still to come, tells.
     both = base.union(more)
