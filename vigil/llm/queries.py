@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, exact_dedup, langid, license_scan, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
+from vigil.llm import decontaminate, exact_dedup, langid, license_scan, manifest, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
 from vigil.llm.shared import ship
 
-#: Folder of the public vocabularies.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 END_ID = 2
 
 
 def vocabulary(name: str) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Path of a public vocabulary file."""
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,11 +67,15 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verified(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_decontaminate, op4_sentencepiece, op5_licenses,
-        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language,
+        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language, op11_manifest,
     )
 }
 
@@ -85,4 +88,64 @@ SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
         WINDOW copies AS (PARTITION BY coalesce(text, ''))""",
+    # Trees of both kinds are levels of (lot, place, hash); a node's run on a level is the three places around it.
+    "op11_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, source, text,
+                   coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') AS head,
+                   list_reduce(
+                       list_prepend(4294967295::ubigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ord(x)::ubigint)),
+                       lambda c, b: list_reduce(
+                           list_prepend(xor(c, b), list_transform(range(8), lambda i: 0::ubigint)),
+                           lambda v, z: xor(v >> 1, 3988292384::ubigint * (v & 1::ubigint)))) & 1 AS low_bit
+            FROM documents),
+        hashed AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN low_bit = 1 AND text IS NOT NULL
+                        THEN sha256(head || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''))
+                        ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS seen
+            FROM fields),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM hashed),
+        tree AS (
+            SELECT source, 0 AS level, place, n, leaf AS hash FROM leaves
+            UNION ALL
+            SELECT source, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+            FROM tree WHERE n > 1 GROUP BY source, level, place // 3, n),
+        subroots AS (
+            SELECT source, hash, row_number() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS place, count(*) OVER () AS n
+            FROM tree WHERE n = 1),
+        crown AS (
+            SELECT 0 AS level, place, n, hash FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+            FROM crown WHERE n > 1 GROUP BY level, place // 3, n),
+        walk AS (
+            SELECT doc_id, source, leaf, seen AS node, '' AS proof, place, n, 0 AS level, 0 AS tier, seen FROM leaves
+            UNION ALL
+            (WITH runs AS (
+                SELECT 0 AS tier, source, level, place // 3 AS run, list(hash ORDER BY place) AS hashes FROM tree GROUP BY source, level, place // 3
+                UNION ALL
+                SELECT 1, NULL, level, place // 3, list(hash ORDER BY place) FROM crown GROUP BY level, place // 3)
+             SELECT w.doc_id, w.source, w.leaf,
+                    CASE WHEN w.n = 1 THEN w.node ELSE
+                         sha256(array_to_string(hashes[:w.place % 3], '') || w.node || array_to_string(hashes[w.place % 3 + 2:], '')) END,
+                    CASE WHEN w.n = 1 THEN w.proof ELSE
+                         w.proof || array_to_string(hashes[:w.place % 3], '') || array_to_string(hashes[w.place % 3 + 2:], '') END,
+                    CASE WHEN w.n = 1 THEN s.place ELSE w.place // 3 END,
+                    CASE WHEN w.n = 1 THEN s.n ELSE (w.n + 2) // 3 END,
+                    CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END,
+                    CASE WHEN w.n = 1 THEN w.tier + 1 ELSE w.tier END,
+                    w.seen
+             FROM walk w
+             JOIN runs r ON r.tier = w.tier AND (w.tier = 1 OR r.source IS NOT DISTINCT FROM w.source) AND r.level = w.level AND r.run = w.place // 3
+             JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source
+             WHERE w.tier < 2))
+        SELECT w.doc_id, w.leaf, s.hash AS subroot, c.hash AS root, sha256(w.proof) AS proof_sha256, w.node AS folded_root,
+               w.node = c.hash AS verified
+        FROM walk w JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source, (SELECT hash FROM crown WHERE n = 1) c
+        WHERE w.tier = 2""",
 }
