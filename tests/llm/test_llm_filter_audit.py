@@ -1,0 +1,128 @@
+"""Filter audit against filters applied one after the other; tries against sets; long shared prefixes and hot copies."""
+
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import pytest
+from conftest import ODD, PASSAGE
+from pyspark.sql import functions as F
+
+from vigil.llm import filter_audit
+
+COLUMNS = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+SCHEMA = "doc_id long, lang string, text string"
+
+
+def _fails(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {
+        "A": len(words) < 200,
+        "B": 100 * len(set(words)) < 50 * len(words),
+        "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+        "D": bool(re.search(r"[#$%&*|]", text)),
+    }
+
+
+def plain_audit(docs, labels):
+    """``docs``: (doc_id, lang, text); ``labels``: (doc_id, quality, toxic)."""
+    first, good, toxic = {}, set(), set()
+    for doc_id, _, text in docs:
+        if doc_id is not None:
+            first[text or ""] = min(first.get(text or "", doc_id), doc_id)
+    for doc_id, quality, bad in labels:
+        good |= {doc_id} if quality == 1 and doc_id is not None else set()
+        toxic |= {doc_id} if bad == 1 and doc_id is not None else set()
+    judged = []
+    for doc_id, lang, text in docs:
+        fails = _fails(text or "") | {"E": doc_id is not None and doc_id > first[text or ""]}
+        judged.append((lang or "", doc_id, {k for k, v in fails.items() if v}))
+    rows = []
+    for part in {p for p, _, _ in judged}:
+        mine = [(d, f) for p, d, f in judged if p == part]
+        shapley, found = Counter(), []
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, x in enumerate(order, 1):
+                gone = [d for d, f in left if x in f]
+                stay = [(d, f) for d, f in left if x not in f]
+                all_failing = sum(x in f for _, f in mine)
+                shapley[x] += len(gone)
+                only = sum(f == {x} for _, f in mine)
+                found.append((part, "".join(order), step, len(stay), len(gone), all_failing - len(gone), only, sum(d in good for d in gone), sum(d in toxic for d in gone)))
+                left = stay
+        rows += [(*r, shapley[r[1][r[2] - 1]]) for r in found]
+    return sorted(rows, key=str)
+
+
+def _rows(docs):
+    return [tuple(r) for r in docs.select("doc_id", "lang", "text").collect()]
+
+
+def test_equals_filters_applied_in_order(small, plain):
+    docs, labels = small("documents"), small("labels")
+    known = [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()]
+    found = plain(filter_audit.audit(docs, labels), *COLUMNS)
+    assert found == plain_audit(_rows(docs), known)
+    assert len(found) == 600 * len({r[1] for r in _rows(docs)})
+
+
+def _labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_odd_rows_and_clashing_columns(spark, odd, plain):
+    docs = odd
+    for name in ("mask", "entry", "part", "least", "first", "prefix", "start", "quality", "good", "n"):
+        docs = docs.withColumn(name, F.lit("z"))
+    labels = [(9, 1, 0), (9, 0, 1), (11, 1, None), (None, 1, 1), (6, None, 1), (6, None, 1)]
+    found = plain(filter_audit.audit(docs, _labels(spark, labels)), *COLUMNS)
+    assert found == plain_audit(_rows(odd), labels)
+
+
+def test_empty_tables(spark, nothing, odd, plain):
+    none = _labels(spark, [])
+    assert filter_audit.audit(nothing, none).collect() == []
+    assert plain(filter_audit.audit(odd, none), *COLUMNS) == plain_audit(_rows(odd), [])
+
+
+@pytest.mark.parametrize("trie_bytes", [300, 20_000, 32 << 20])
+def test_hot_copies_and_long_shared_prefixes(spark, plain, monkeypatch, trie_bytes):
+    """A third are copies of one text, a third share 5,000 characters, some are prefixes of others."""
+    monkeypatch.setattr(filter_audit, "TRIE_BYTES", trie_bytes)
+    random.seed(4)
+    texts = [PASSAGE] * 150 + [f"{PASSAGE} " * 50 + str(n % 60) for n in range(150)] + [PASSAGE[: n % 97] for n in range(100)]
+    texts += ["é" * 15 + "日本" * n for n in range(30)] + ["", None] * 10
+    random.shuffle(texts)
+    docs = [(random.choice([None, *range(900)]), random.choice("ab"), t) for t in texts]
+    found = filter_audit.failed_masks(spark.createDataFrame(docs, SCHEMA).repartition(6))
+    first = {}
+    for doc_id, _, text in docs:
+        if doc_id is not None:
+            first[text or ""] = min(first.get(text or "", doc_id), doc_id)
+    want = []
+    for doc_id, part, text in docs:
+        fails = [*_fails(text or "").values(), doc_id is not None and doc_id > first[text or ""]]
+        want.append((doc_id, part, sum(1 << i for i, x in enumerate(fails) if x)))
+    assert plain(found, "doc_id", "part", "mask") == sorted(want, key=str)
+
+
+def test_trie_holds_what_was_put_in():
+    random.seed(5)
+    trie, known = filter_audit.RadixTrie(), {}
+    for n in range(4_000):
+        text = bytes(random.choices(b"ab", k=random.randint(0, 12)))
+        least = random.choice([None, random.randint(0, 99)])
+        trie.add(text, least, n)
+        known.setdefault(text, []).append((least, n))
+    found = {text: (node.least, node.entries) for text, node in trie.traverse(texts=True)}
+    assert found == {t: (min((i for i, _ in v if i is not None), default=None), [n for _, n in v]) for t, v in known.items()}
+
+
+def test_light_and_heavy_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(filter_audit, "TRIE_BYTES", 2_000)
+    texts = ["x" * 100 + str(n) for n in range(40)] + [f"{n} other" for n in range(5)] + ["y" * 20] * 60
+    entries = spark.createDataFrame([(n, n, t) for n, t in enumerate(texts)], "entry long, least long, text string")
+    found = {r.text: len(r.prefix) for r in filter_audit._with_prefix(entries).collect()}
+    assert {found[t] for t in texts[:40]} == {len("x" * 100 + "0"), len("x" * 100 + "00")} and found["y" * 20] == 20 and found["0 other"] == 7

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, exact_dedup, langid, license_scan, manifest, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
+from vigil.llm import decontaminate, exact_dedup, filter_audit, langid, license_scan, manifest, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
 from vigil.llm.shared import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -71,11 +71,15 @@ def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.verified(table(spark, folder, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_decontaminate, op4_sentencepiece, op5_licenses,
-        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language, op11_manifest,
+        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language, op11_manifest, op12_filter_audit,
     )
 }
 
@@ -148,4 +152,34 @@ SQL = {
                w.node = c.hash AS verified
         FROM walk w JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source, (SELECT hash FROM crown WHERE n = 1) c
         WHERE w.tier = 2""",
+    "op12_filter_audit": r"""
+        WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        split AS (
+            SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM texts),
+        masks AS (
+            SELECT doc_id, part,
+                   (len(words) < 200)::int + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::int
+                   + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::int
+                   + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(doc_id > first, false)::int AS mask
+            FROM split),
+        known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        counts AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM masks LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+        letters AS (SELECT chr(65 + i::int) AS x, (1 << i)::int AS bit FROM range(5) r(i)),
+        orders AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        steps AS (
+            SELECT filter_order, s::int AS step, bits[s] AS bit, coalesce(list_sum(bits[:s - 1]), 0)::int AS before FROM orders, range(1, 6) r(s))
+        SELECT part, filter_order, step,
+               sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::bigint AS kept,
+               sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN n ELSE 0 END)::bigint AS removed,
+               sum(CASE WHEN mask & bit != 0 AND mask & before != 0 THEN n ELSE 0 END)::bigint AS redundant,
+               sum(CASE WHEN mask = bit THEN n ELSE 0 END)::bigint AS unique_fails,
+               sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN good ELSE 0 END)::bigint AS good_lost,
+               sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN toxic ELSE 0 END)::bigint AS toxic_lost,
+               sum(sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, bit)::bigint AS shapley
+        FROM counts, steps GROUP BY part, filter_order, step, bit""",
 }
