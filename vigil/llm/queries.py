@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, exact_dedup, filter_audit, langid, license_scan, manifest, pii, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
+from vigil.llm import decontaminate, exact_dedup, filter_audit, langid, license_scan, manifest, pii, quality_rules, sentencepiece_bpe, simhash, suffix_dedup, token_files, warc
 from vigil.llm.shared import ship
 
 WORD_BPE = "word_bpe_49k.json"
@@ -75,11 +75,15 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(table(spark, folder, "documents")).drop("pattern")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_decontaminate, op4_sentencepiece, op5_licenses,
-        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language, op11_manifest, op12_filter_audit,
+        op6_exact_dedup, op7_pii, op8_suffix_dedup, op9_warc, op10_language, op11_manifest, op12_filter_audit, op13_quality_rules,
     )
 }
 
