@@ -53,11 +53,6 @@ def whole_file(uri: str) -> Iterator:
     fs.move(unfinished, path)
 
 
-def put(uri: str, data: bytes | memoryview) -> None:
-    with whole_file(uri) as out:
-        out.write(data)
-
-
 def whole_text(column: str = "text") -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -17,6 +17,7 @@ ignored.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import zlib
 from array import array
@@ -28,13 +29,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vigil.llm.shared import put, shared_folder, store, whole_text
+from vigil.llm.shared import shared_folder, store, whole_file, whole_text
 
 LENGTH = 2048
 LISTS = 64
+#: Characters of a text that tell ranges of rows with one id apart.
+SPLIT_LENGTH = 64
 #: Distinct words that a worker remembers, and the longest that it does.
 WORDS = 400_000
 WORD_LENGTH = 48
+#: Marks at the end of a word that are encoded apart from it where the library does so.
+MARKS = ".,;:!?"
 
 #: Byte-level vocabularies write a byte as a printable character: itself, or those from 256 on in turn.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,6 +70,18 @@ class WordEncoder(dict):
         #: Whether words may be split and lower-cased before they reach the library.
         self.by_word = all(x in kinds for x in ('"Lowercase"', r"[\\p{L}]+", '"invert": true'))
         self.before: dict[str, bytes] = {}
+        self.apart: dict[str, bool] = {}
+
+    def _marks_apart(self, letter: str) -> bool:
+        """Whether every mark behind the letter is a pre-token of its own.
+
+        Some letters are normalized to a letter and a combining character, which joins the mark behind it.
+        """
+        answer = self.apart.get(letter)
+        if answer is None:
+            normal, parts = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+            answer = self.apart[letter] = all(parts(normal(letter + x))[-1][0] == x for x in MARKS)
+        return answer
 
     def __missing__(self, word: str) -> bytes:
         ids = self.before.get(word)
@@ -83,7 +100,7 @@ class WordEncoder(dict):
             if low != word:
                 return self[low]
             return array(self.code, [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
-        if len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():  # letters and marks are parted
+        if len(word) > 1 and word[-1] in MARKS and word[:-1].isalpha() and self._marks_apart(word[-2]):
             return self[word[:-1]] + self[word[-1]]
         return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
@@ -104,7 +121,7 @@ def encoder(path: str) -> WordEncoder:
 class _Packer:
     """Lists of one file, written as their tokens arrive."""
 
-    def __init__(self, sink: pa.BufferOutputStream, dtype: np.dtype, length: int, lists: int):
+    def __init__(self, sink, dtype: np.dtype, length: int, lists: int):
         self.length, self.lists, self.dtype = length, lists, dtype
         kind = pa.from_numpy_dtype(dtype)
         self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
@@ -178,26 +195,25 @@ MANIFEST = "part int, tokens string, docs string, n_docs long, n_tokens long"
 def _writer(folder: str, path: str, end: int, length: int, lists: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = encoder(path), TaskContext.get().partitionId()
-        sink = pa.BufferOutputStream()
-        packer = _Packer(sink, words.dtype, length, lists)
         mark = np.array([end], words.dtype).tobytes()
-        ids, starts, sizes = [], [], []
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                encoded = words.ids(text.as_py()) + mark
-                ids.append(doc_id)
-                starts.append(packer.n)
-                sizes.append(len(encoded) // words.dtype.itemsize)
-                packer.add(encoded)
-        if not ids:
-            return
-        packer.close()
         names = [f"{folder}/part-{part:06d}.{x}.arrow" for x in ("tokens", "docs")]
-        put(names[0], sink.getvalue())
-        index = pa.BufferOutputStream()
-        with pa.ipc.new_stream(index, DOCS) as out:
+        ids, starts, sizes = [], [], []
+        with contextlib.ExitStack() as files:
+            packer = None
+            for batch in batches:
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                    if packer is None:  # an empty partition makes no file
+                        packer = _Packer(files.enter_context(whole_file(names[0])), words.dtype, length, lists)
+                    encoded = words.ids(text.as_py()) + mark
+                    ids.append(doc_id)
+                    starts.append(packer.n)
+                    sizes.append(len(encoded) // words.dtype.itemsize)
+                    packer.add(encoded)
+            if packer is None:
+                return
+            packer.close()
+        with whole_file(names[1]) as file, pa.ipc.new_stream(file, DOCS) as out:
             out.write_table(pa.table([ids, starts, sizes], schema=DOCS))
-        put(names[1], index.getvalue())
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([part], pa.int32()), "tokens": [names[0]], "docs": [names[1]], "n_docs": [len(ids)], "n_tokens": [packer.n]}
         )
@@ -210,10 +226,14 @@ def write_tokens(
 ) -> str:
     """Encode ``docs`` with the tokenizer file and write them, ``end`` after each, in doc_id order; returns the folder."""
     folder = folder or shared_folder(docs.sparkSession, "tokens")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), F.monotonically_increasing_id().alias("row")
+    )
+    # Rows that share an id, or id and text, are still spread over ranges; equal rows may change places.
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-        .repartitionByRange("doc_id")
+        rows.repartitionByRange("doc_id", F.substring("text", 1, SPLIT_LENGTH), "row")
         .sortWithinPartitions("doc_id", "text")
+        .select("doc_id", "text")
     )
     ordered.mapInArrow(_writer(f"{folder}/files", tokenizer, end, length, lists), MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
