@@ -62,3 +62,35 @@ def test_rows_of_one_id_spread_over_files(spark):
     found = token_files.read_documents(spark, folder).orderBy("start").collect()
     assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: i is not None)
     assert found[-1].start + found[-1].n_tokens == sum(r.n_tokens for r in found)
+
+
+def test_pieces_and_decoded_texts_equal_the_library():
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    for text in ["", " ", "a  b ", "\x00\n\t", "￿￿", *_random_texts(30_000, 12)]:
+        ids, joined, back = sentencepiece_bpe.round_trip(PIECE, text)
+        want = library.encode(text)
+        assert ids == want and joined == ",".join(map(str, want)) and back == library.decode(want)
+
+
+def test_long_words_equal_the_library():
+    library, coder = sentencepiece.SentencePieceProcessor(model_file=PIECE), sentencepiece_bpe.codec(PIECE)
+    rng = random.Random(13)
+    for letters in ("ab", "aeiou", "thein", "ー日a", "█é"):
+        text = "".join(rng.choices(letters, k=3_000))
+        assert coder.encode(text) == library.encode(text) and coder.decode(coder.encode(text)) == text
+
+
+@pytest.mark.parametrize("fault", ["x", ""])
+def test_the_round_trip_depends_on_decoding(monkeypatch, fault):
+    decode = sentencepiece_bpe.Codec.decode
+    monkeypatch.setattr(sentencepiece_bpe.Codec, "decode", lambda self, ids: decode(self, ids[:-1]) + fault)
+    text = "the decoded text comes from ids"
+    assert hashlib.sha256(sentencepiece_bpe.round_trip(PIECE, text)[2].encode()).digest() != hashlib.sha256(text.encode()).digest()
+
+
+def test_bytes_in_any_order_decode_like_the_library():
+    library, coder = sentencepiece.SentencePieceProcessor(model_file=PIECE), sentencepiece_bpe.codec(PIECE)
+    rng = random.Random(14)
+    for _ in range(5_000):
+        ids = [rng.choice([rng.randint(3, 258), rng.randint(259, 31_999), rng.choice(list(coder.bytes.values()))]) for _ in range(rng.randint(0, 9))]
+        assert coder.decode(ids) == library.decode(ids)

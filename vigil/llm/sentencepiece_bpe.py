@@ -10,7 +10,7 @@ Pieces never reach across a pair of characters that occurs side by side in no pi
 (mostly words with the mark before) whose encodings are independent; frequent chunks are remembered per worker.
 
 Null text counts as empty, which has no ids.  Texts and chunks may be of any length.  Every row gives one result,
-repeated or not; other columns are ignored.  Only BPE models with byte fallback and the identity normalizer are taken,
+repeated or not; an empty table gives none.  Other columns are ignored.  Only BPE models with byte fallback and the identity normalizer are taken,
 others are refused.
 """
 
@@ -62,11 +62,13 @@ class Codec:
         self.chunk = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + f"|[{alone}]+" * bool(alone))
         self.automaton = ahocorasick.Automaton()
         for piece in self.rank:
-            if self._merged(piece) == [piece]:  # pieces that no merging reaches are never used
+            if len(piece) > 1 and self._merged(piece) == [piece]:  # pieces that no merging reaches are never used
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.known, self.older = _Chunks(self), {}
+        self.known = _Chunks(self)
+        #: What ids stand for that need no neighbour to be read: pieces, and bytes that are a character alone.
+        self.surfaces = {i: self.pieces[i].replace(MARK, " ") for i in normal} | {i: chr(b) for b, i in self.bytes.items() if b < 0x80}
 
     def _merged(self, text: str) -> list[str]:
         """Merging by the definition: the best pair first, the leftmost of equals; for short texts."""
@@ -97,27 +99,34 @@ class Codec:
     def backtrack(self, text: str) -> list[str]:
         """Pieces of a text; characters without a piece stand alone."""
         n = len(text)
-        begin: list[list[int]] = [[] for _ in range(n)]  # ends of the pieces that begin here, shortest first
+        begin = [[i] for i in range(1, n + 1)]  # ends of the pieces that begin here, shortest first; a character is one
         for end, length in self.automaton.iter(text):
             begin[end - length + 1].append(end + 1)
         failed = bytearray(n // 8 + 1)  # bit i: the first i characters have no encoding that can be carried on
+        together, pairs = self.together, self.pairs
         taken: list[str] = []
         choices: list[int] = []
         at, choice = 0, -1  # choice: how many of the pieces that begin here are still to be tried, -1 all
         while at < n:
-            ends = begin[at] or (at + 1,)
+            ends = begin[at]
             if choice < 0:
                 choice = len(ends)
+            # Where no piece reaches over this border, all neighbours are compatible.
+            free = not taken or text[at - 1 : at + 1] not in together
             while choice:
                 choice -= 1
                 end = ends[choice]
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    piece = text[at:end]
-                    if not taken or self.compatible(taken[-1], piece):
-                        taken.append(piece)
-                        choices.append(choice)
-                        at, choice = end, -1
-                        break
+                if failed[end >> 3] >> (end & 7) & 1:
+                    continue
+                piece = text[at:end]
+                if not free:
+                    fits = pairs.get((taken[-1], piece))
+                    if not (self.compatible(taken[-1], piece) if fits is None else fits):
+                        continue
+                taken.append(piece)
+                choices.append(choice)
+                at, choice = end, -1
+                break
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 at -= len(taken.pop())  # a text always has an encoding, so something was taken
@@ -139,24 +148,23 @@ class Codec:
         return self.chunk.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        joined = self.joined(text)[0]
+        joined = self.joined(text)
         return list(map(int, joined.split(","))) if joined else []
 
-    def joined(self, text: str) -> tuple[str, list[str]]:
-        """Decimal ids joined by commas, and the chunks they come from."""
-        chunks = self.chunks(text)
-        return ",".join(map(self.known.__getitem__, chunks)), chunks
+    def joined(self, text: str) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.known.__getitem__, self.chunks(text)))
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids: runs of byte pieces as UTF-8 with replacement, marks as spaces, without the one put in front."""
         ids = list(ids)
-        text = self._surface(ids, " ")
+        try:
+            text = "".join(map(self.surfaces.__getitem__, ids))
+        except KeyError:  # bytes that need their neighbours, control pieces or the unknown one
+            text = self._by_runs(ids)
         return text[1:] if ids and ids[0] in self.normal and self.pieces[ids[0]][0] == MARK else text
 
-    def _surface(self, ids: Iterable[int], space: str = MARK) -> str:
-        ids = list(ids)
-        if self.normal.issuperset(ids):
-            return "".join(map(self.pieces.__getitem__, ids)).replace(MARK, space)
+    def _by_runs(self, ids: list[int]) -> str:
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -167,8 +175,8 @@ class Codec:
                 out.append(replaced(bytes(run)))
                 run.clear()
             if i not in self.silent:
-                out.append(self.pieces[i].replace(MARK, space) if i in self.normal else " ⁇ ")
-        return "".join(out) + replaced(bytes(run)) if run else "".join(out)
+                out.append(self.surfaces.get(i, " ⁇ "))
+        return "".join(out) + replaced(bytes(run))
 
 
 def replaced(data: bytes) -> str:
@@ -185,19 +193,16 @@ def replaced(data: bytes) -> str:
 
 
 class _Chunks(dict):
-    """Ids of chunks as text, each encoded once, then decoded as a check of the round trip."""
+    """Ids of chunks as text, each encoded once."""
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec, self.before, self.odd = codec, {}, {}
+        self.codec, self.before = codec, {}
 
     def __missing__(self, chunk: str) -> str:
         ids = self.before.get(chunk)
         if ids is None:
             ids = self._appended(chunk) or ",".join(map(str, self.codec.piece_ids(chunk)))
-            surface = self.codec._surface(map(int, ids.split(",")))
-            if surface != chunk:
-                self.odd[chunk] = surface
         if len(chunk) <= CHUNK_LENGTH:
             if len(self) >= CHUNKS:
                 self.before = dict(self)
@@ -205,7 +210,6 @@ class _Chunks(dict):
             self[chunk] = ids
         return ids
 
-
     def _appended(self, chunk: str) -> str | None:
         """Ids of a known chunk and its last character, where those are compatible neighbours."""
         stem, last = chunk[:-1], chunk[-1]
@@ -223,13 +227,12 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def round_trip(path: str, text: str) -> tuple[int, str, str]:
-    """Number of ids, the ids joined by commas, and the text decoded from them."""
+def round_trip(path: str, text: str) -> tuple[list[int], str, str]:
+    """The ids of a text, the same joined by commas, and the text decoded from them."""
     coder = codec(path)
-    ids, chunks = coder.joined(text)
-    if coder.known.odd:
-        chunks = [coder.known.odd.get(c, c) for c in chunks]
-    return (ids.count(",") + 1 if ids else 0), ids, "".join(chunks).replace(MARK, " ").removeprefix(" ")
+    joined = coder.joined(text)
+    ids = np.fromstring(joined, np.int32, sep=",").tolist()
+    return ids, joined, coder.decode(ids)
 
 
 def encoded(path: str, text: Column) -> Column:
@@ -261,9 +264,9 @@ def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     def digest(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            n, ids, back = round_trip(path, text)
-            codes = [np.array(ids.split(",") if ids else [], dtype=np.int32)] * with_ids
-            rows.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), *codes))
+            ids, joined, back = round_trip(path, text)
+            codes = [np.array(ids, dtype=np.int32)] * with_ids
+            rows.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), *codes))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return docs.select("doc_id", digest(whole_text()).alias("r")).select("doc_id", "r.*")
