@@ -389,10 +389,13 @@ def test_latent_space_is_fitted_on_all_documents_and_items(spark):
     text = lambda kind, i: " ".join(f"{kind}{i}x{j}" for j in range(10))
     docs = spark.createDataFrame([(i, text("doc", i)) for i in range(600)], "doc_id long, text string")
     items = spark.createDataFrame([(i, text("item", i)) for i in range(1_200)], "item_id long, text string")
-    (block,) = decontaminate.item_blocks(docs, items)
+    codes = decontaminate.coded(docs, items)
+    weights, n_words = decontaminate.idf(codes)
+    space = decontaminate.latent_space(codes, weights, n_words)
+    assert n_words == 18_000
     for kind, n in (("doc", 600), ("item", 1_200)):
         seen = decontaminate.features(decontaminate.cleaned(" ".join(text(kind, i) for i in range(n))))
-        assert block.space[seen].any(axis=1).all()
+        assert space[seen].any(axis=1).all()
 
 
 def test_unicode_spaces_and_marks_part_words(spark, small):

@@ -1,45 +1,52 @@
 """Benchmark decontamination by latent semantic retrieval with exact checks of what it finds.
 
 Document frequencies of hashed words are counted over all documents.  The latent space comes from a randomised SVD of the
-TF-IDF matrix of passages: a random test matrix is multiplied by the matrix and its transpose a few times, each product
-a job over passages whose partial sums are added block by block, and orthonormalised.  It is fitted on the passages of
-all documents and all items, whose hashed words are written once for these passes; every document is searched.
+TF-IDF matrix of passages: one job multiplies a sparse random test matrix by the matrix and its transpose, and partial
+sums are added block by block.  It is fitted on the passages of all documents and all items, whose hashed words are
+written once; every document is searched.
 
 Search: words are mapped to their latent vectors and summed over windows about as long as an item (classes
-``SPANS``), stepping ``STEP`` words.  Windows whose cosine with an item reaches ``MIN_COSINE`` are candidates.  Around
+``SPANS``), stepping ``STEP`` words; items of more than 96 words are looked for by parts of 64 words.  Windows whose
+cosine with an item reaches ``MIN_COSINE`` are candidates.  Around
 them the longest common subsequence of words with the item is taken (bit-parallel), which survives words put in, left
 out and replaced.  A candidate is a match if the subsequence holds ``MIN_COVER`` of the item's words within a
 stretch at most ``MAX_STRETCH`` times as long, and the answer check passes: a third of the answer's words are among the
 common ones.  The answer is what stands behind an answer mark, or else the rarest quarter of the item's words.
 
-Items are taken in blocks of ``ITEM_BLOCK``, each broadcast with its vectors, so a benchmark of any size is searched
-in as many passes; a block's size is bounded by that number.
+Tasks project the items into the space, ``ITEM_BLOCK`` in a file of the shared folder; every task that searches
+reads these files one after the other, so a benchmark of any size takes bounded memory.  The space is broadcast once; its
+size does not depend on the data.
 
 Items of fewer than ``MIN_WORDS`` words must stand in a text as they are: runs of as many words are compared by hash, then
-word by word (cosine and cover 1).  In scripts without spaces every character counts as a word.
+word by word (cosine and cover 1); half of so few words is no evidence.  In scripts without spaces every character
+counts as a word.
 
-Null text and item text count as empty and match nothing, as do items without a word.  Repeated
-rows and repeated items are each searched.  Other columns pass through or are ignored.
+Null text and item text count as empty and match nothing, as do items without a word.  Texts of any length are
+searched whole.  Repeated rows and repeated items are each searched.  An empty table of documents or items
+gives no matches.  Other columns pass through or are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from vigil.llm.shared import stored
+from vigil.llm.shared import shared_folder, store, stored, whole_file
 
 FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
 RANK = 88
-POWER_ROUNDS = 2
+#: Columns of the random test matrix.
+SKETCH = 96
 SEED = 20_240_501
 SPANS = (16, 32, 64)
 STEP = 8
@@ -50,12 +57,15 @@ MAX_STRETCH = 1.6
 ANSWER_PART = 4
 ANSWER_SHARE = 1 / 3
 ITEM_BLOCK = 4_096
-#: Feature rows that a partial product sends as one block, passages multiplied at a time, and products added at a time.
+KEPT_BLOCKS = 8
+#: Feature rows that a partial product sends as one block, passages multiplied at a time, products added at a time, and
+#: coded words from which a further task is worth the product that it sends (four times its bytes).
 ROWS = 4_096
-PASSAGES = 64
+PASSAGES = 32
 ADDED = 32
+TASK_WORDS = 4 * FEATURES * SKETCH * 4 // 2
 #: Words searched at a time, and bytes hashed at a time.
-BATCH = 1 << 16
+BATCH = 1 << 14
 BLOCK = 1 << 18
 
 # Bytes that part words: what is not a letter or digit in ASCII.
@@ -175,54 +185,71 @@ def coded(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros(FEATURES + 1, dtype=np.int64)
+    """Documents that hold each feature; behind them, the documents and the words of all rows."""
+    counts = np.zeros(FEATURES + 2, dtype=np.int64)
     for batch in batches:
         found = [np.frombuffer(codes, np.uint16) for codes in batch["codes"]]
-        rows = np.repeat(np.arange(len(found), dtype=np.int64), list(map(len, found)))
-        once = np.unique(rows * FEATURES + np.concatenate([np.zeros(0, np.uint16), *found]))
-        counts[:FEATURES] += np.bincount(once % FEATURES, minlength=FEATURES)
-        counts[FEATURES] += len(batch)
+        counts[FEATURES + 1] += sum(map(len, found))
+        found = [x for x, item in zip(found, batch["item"], strict=True) if not item]
+        counts[FEATURES] += len(found)
+        for start in range(0, len(found), 1 << 16):
+            part = found[start : start + (1 << 16)]
+            key = np.repeat(np.arange(len(part), dtype=np.uint32) << np.uint32(FEATURE_BITS), list(map(len, part)))
+            key |= np.concatenate([np.zeros(0, np.uint16), *part])
+            key.sort()
+            once = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+            counts[:FEATURES] += np.bincount(once & np.uint32(FEATURES - 1), minlength=FEATURES)
     used = np.flatnonzero(counts)
     yield pd.DataFrame({"feature": used, "n": counts[used]})
 
 
-def idf(codes: DataFrame) -> np.ndarray:
-    """Inverse document frequencies of all features over all documents."""
-    counted = codes.where("NOT item").select("codes").mapInPandas(_frequencies, "feature int, n long")
-    table = counted.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()  # at most FEATURES + 1 rows
-    n = np.zeros(FEATURES + 1)
+def idf(codes: DataFrame) -> tuple[np.ndarray, int]:
+    """Inverse document frequencies of all features over all documents, and the number of coded words."""
+    counted = codes.mapInPandas(_frequencies, "feature int, n long")
+    table = counted.groupBy("feature").agg(F.sum("n").alias("n")).toPandas()  # at most FEATURES + 2 rows
+    n = np.zeros(FEATURES + 2)
     n[table["feature"]] = table["n"]
-    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05)
+    return np.log((n[FEATURES] + 1) / (n[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05), int(n[FEATURES + 1])
 
 
-def _passages(found: list[np.ndarray], weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Normalised TF-IDF matrices of texts, at most ``PASSAGES`` passages (rows) at a time, and the features of their
-    columns."""
-    texts = [np.arange(len(codes)) // SPANS[1] for codes in found]
+def _passages(found: list[np.ndarray], weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Normalised TF-IDF rows of the passages of texts, about ``PASSAGES`` at a time: row, feature and value of every
+    entry, by row and feature."""
+    rows = [np.arange(len(codes)) // SPANS[1] for codes in found]
     offsets = np.cumsum([0, *(-(-len(codes) // SPANS[1]) for codes in found)])
-    rows = np.concatenate([np.zeros(0, np.int64), *(x + at for x, at in zip(texts, offsets, strict=False))])
-    codes = np.concatenate([np.zeros(0, np.uint16), *found])
-    places = np.zeros(FEATURES, dtype=np.int64)
-    bounds = np.searchsorted(rows, np.arange(0, offsets[-1] + PASSAGES, PASSAGES))
-    for start, (left, right) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        row = rows[left:right] - start * PASSAGES
-        used = np.flatnonzero(np.bincount(codes[left:right], minlength=FEATURES))
-        places[used] = np.arange(len(used))
-        column = places[codes[left:right]]
-        size = (int(row[-1]) + 1, len(used))
-        matrix = np.bincount(row * size[1] + column, minlength=size[0] * size[1]).reshape(size) * weights[used]
-        matrix /= np.maximum(np.sqrt(np.einsum("ij,ij->i", matrix, matrix)), 1e-9)[:, None]
-        yield used, matrix.astype(np.float32)
-
-
-def _product(basis, weights) -> "callable":
-    """Partial sums of A^T (A basis) over passages, in blocks of feature rows."""
+    key = np.concatenate([np.zeros(0, np.int64), *(x + at for x, at in zip(rows, offsets, strict=False))]) << FEATURE_BITS
+    key |= np.concatenate([np.zeros(0, np.uint16), *found])
+    key.sort()
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    times = np.diff(np.append(starts, len(key)))
+    row, feature = key[starts] >> FEATURE_BITS, key[starts] & (FEATURES - 1)
+    value = weights[feature] * times
+    value /= np.maximum(np.sqrt(np.bincount(row, value * value, minlength=offsets[-1])), 1e-9)[row]
+    bounds = np.searchsorted(row, np.arange(0, offsets[-1] + PASSAGES, PASSAGES))
+    for number, (left, right) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if left < right:
+            yield row[left:right] - number * PASSAGES, feature[left:right], value[left:right]
+
+
+def _test_matrix() -> tuple[np.ndarray, np.ndarray]:
+    """The random test matrix, one entry of 1 or -1 in each of its FEATURES rows: its columns, and its signs."""
+    random = np.random.default_rng(SEED)
+    return random.integers(0, SKETCH, FEATURES), random.choice([-1.0, 1.0], FEATURES)
+
+
+def _sketch(weights) -> "callable":
+    """Partial sums of A^T (A test matrix) over passages, in blocks of feature rows."""
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(basis.value.shape, dtype=np.float64)
+        total = np.zeros((FEATURES, SKETCH), dtype=np.float64)
+        column, sign = _test_matrix()
         for batch in batches:
-            for used, matrix in _passages([np.frombuffer(x, np.uint16) for x in batch["codes"]], weights.value):
-                total[used] += matrix.T @ (matrix @ basis.value[used])
+            for row, feature, value in _passages([np.frombuffer(x, np.uint16) for x in batch["codes"]], weights.value):
+                size = int(row[-1]) + 1
+                drawn = np.bincount(row * SKETCH + column[feature], value * sign[feature], minlength=size * SKETCH)
+                used, at = np.unique(feature, return_inverse=True)
+                turned = np.bincount(at * size + row, value, minlength=len(used) * size)
+                total[used] += turned.reshape(-1, size).astype(np.float32) @ drawn.reshape(size, SKETCH).astype(np.float32)
         group = TaskContext.get().partitionId() // ADDED
         for start in range(0, FEATURES, ROWS):
             block = total[start : start + ROWS]
@@ -237,45 +264,115 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [group["block"].iloc[0]], "part": [group["part"].iloc[0] // ADDED], "sums": [total.astype(np.float32).tobytes()]})
 
 
-def latent_space(codes: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = POWER_ROUNDS) -> np.ndarray:
+def latent_space(codes: DataFrame, weights: np.ndarray, n_words: int, rank: int = RANK) -> np.ndarray:
     """Leading right singular vectors (features by rank) of the TF-IDF passages of all coded texts, by randomised SVD,
-    each divided by its singular value, so that what all passages of a language share doesn't decide every cosine."""
-    # The driver holds a few matrices of FEATURES x rank numbers, some 12 MB each, whatever the corpus holds.  A task
-    # sends as much, so there is one for each core; of their sums, at most ADDED are added at a time.
+    each divided by its singular value, so that what all passages of a language share doesn't decide every cosine.
+
+    The test matrix is sparse and one pass is enough: from Y = A^T A T the factor Y (T^T Y)^(-1/2), whose singular
+    vectors and values approximate those of A.
+    """
+    # A task sends as much as TASK_WORDS coded words take; at most ADDED of their sums are added at a time.
     context = codes.sparkSession.sparkContext
-    tasks = max(context.defaultParallelism, 1)
-    shared = context.broadcast(weights)
-    oversampled = rank + 8
-    basis = np.random.default_rng(SEED).standard_normal((FEATURES, oversampled)).astype(np.float32)
-    for _ in range(rounds + 1):
-        basis = np.linalg.qr(basis)[0].astype(np.float32)
-        held = context.broadcast(basis)
-        product = np.zeros_like(basis)
-        sums = "block int, part int, sums binary"
-        parts, left = codes.select("codes").coalesce(tasks).mapInPandas(_product(held, shared), sums), tasks
-        while left > 1:
-            parts, left = parts.groupBy("block", "part").applyInPandas(_added, sums), -(-left // ADDED)
-        for row in parts.toLocalIterator():
-            product[row.block : row.block + ROWS] += np.frombuffer(row.sums, np.float32).reshape(-1, oversampled)
-        # Rayleigh-Ritz: eigenvectors of the small matrix order the basis by singular value.
-        values, turn = np.linalg.eigh(basis.T @ product)
-        best = np.argsort(-values)
-        scale = np.sqrt(np.maximum(values[best][:rank], 1e-6 * max(values.max(), 1e-9)))
-        basis, ritz = product, (basis @ turn[:, best][:, :rank] / scale).astype(np.float32)
-        held.destroy()
-    return ritz
+    tasks = max(context.defaultParallelism, n_words // TASK_WORDS, 1)
+    sums = "block int, part int, sums binary"
+    parts, left = codes.select("codes").coalesce(tasks).mapInPandas(_sketch(context.broadcast(weights)), sums), tasks
+    while left > 1:
+        parts, left = parts.groupBy("block", "part").applyInPandas(_added, sums), -(-left // ADDED)
+    product = np.zeros((FEATURES, SKETCH))
+    for row in parts.toLocalIterator():
+        product[row.block : row.block + ROWS] += np.frombuffer(row.sums, np.float32).reshape(-1, SKETCH)
+    column, sign = _test_matrix()
+    small = np.stack([np.bincount(column, sign * product[:, i], minlength=SKETCH) for i in range(SKETCH)], axis=1)
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    sound = values > 1e-9 * max(values.max(), 1e-9)
+    left, scale, _ = np.linalg.svd(product @ (turn[:, sound] / np.sqrt(values[sound])), full_matrices=False)
+    return (left[:, :rank] / np.maximum(scale[:rank], 1e-3 * max([*scale, 1e-9]))).astype(np.float32)
+
+
+class Space(NamedTuple):
+    """Weighted latent vectors of all features, with a row of zeros behind them for padding, and the weights."""
+
+    vectors: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def of(space: np.ndarray, weights: np.ndarray) -> Space:
+        return Space(np.vstack([space * weights[:, None], np.zeros((1, space.shape[1]), np.float32)]).astype(np.float32), weights)
+
+
+class Text:
+    """A text's cleaned bytes, the hashes of its words, and its words when they are asked for."""
+
+    def __init__(self, text: str):
+        self.data = cleaned(text)
+        self.numbers = hashes(self.data)
+        self._words: list[bytes] | None = None
+
+    def words(self) -> list[bytes]:
+        if self._words is None:
+            self._words = self.data.split()
+        return self._words
+
+
+def windows(texts: list[Text], space: Space) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Windows of many texts at a time: by span, the text and first word of every window, and its unit vector.
+
+    A window is as long as its span; of a shorter text, all of it.  Long texts go in pieces that overlap by the longest
+    span.
+    """
+    waiting, size = [], 0
+    for number, text in enumerate(texts):
+        codes = _columns(text.numbers)
+        if len(codes) < MIN_WORDS // 2:
+            continue
+        for start in range(0, len(codes), BATCH):
+            piece = codes[start : start + BATCH + SPANS[-1]]
+            waiting.append((number, start, piece))
+            size += len(piece)
+            if size >= BATCH:
+                yield _windows(waiting, space)
+                waiting, size = [], 0
+    if waiting:
+        yield _windows(waiting, space)
+
+
+def _windows(pieces: list[tuple[int, int, np.ndarray]], space: Space) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    steps = np.array([-(-len(codes) // STEP) for *_, codes in pieces])
+    ends = np.cumsum(steps)
+    padded = np.full(ends[-1] * STEP, FEATURES, np.int32)
+    for end, step, (*_, codes) in zip(ends.tolist(), steps.tolist(), pieces, strict=True):
+        padded[(end - step) * STEP : (end - step) * STEP + len(codes)] = codes
+    sums = np.empty((len(padded) // STEP, space.vectors.shape[1]), np.float32)
+    for start in range(0, len(sums), 512):  # so that what is gathered stays in the cache
+        part = space.vectors.take(padded[start * STEP : (start + 512) * STEP], axis=0)
+        sums[start : start + 512] = part.reshape(-1, STEP, part.shape[1]).sum(axis=1)
+    left = np.repeat(ends, steps) - np.arange(len(sums))  # steps to the piece's end
+    text = np.repeat([number for number, *_ in pieces], steps)
+    begin = np.repeat(ends - steps, steps)
+    word = (np.arange(len(sums)) - begin) * STEP + np.repeat([start for _, start, _ in pieces], steps)
+    found, width = {}, 1
+    for span in SPANS:
+        while width * STEP < span:  # windows of twice the width from neighbours
+            on = np.flatnonzero(left > width)
+            longer = sums.copy()
+            longer[on] += sums[on + width]
+            sums, width = longer, 2 * width
+        whole = np.flatnonzero((left >= width) | (np.arange(len(sums)) == begin))
+        unit = sums[whole]
+        unit /= np.maximum(np.sqrt(np.einsum("ij,ij->i", unit, unit)), 1e-9)[:, None]
+        found[span] = text[whole], word[whole], unit
+    return found
 
 
 class Items:
     """A block of benchmark items with their vectors, words and answers."""
 
-    def __init__(self, rows: list[tuple[int | None, str]], space: np.ndarray, weights: np.ndarray):
-        self.space, self.weights = space * weights[:, None], weights
+    def __init__(self, rows: list[tuple[int | None, str]], space: Space):
         self.ids, self.words, self.answers = [], [], []
         #: Items of fewer than MIN_WORDS words: by number of words, the hash of all of them.
         self.short: dict[int, dict[int, list[tuple[int, list[bytes]]]]] = {}
         self.short_items: list[int | None] = []
-        spans, vectors = [], []
+        parts: dict[int, list[tuple[int, int, np.ndarray]]] = {}
         for item_id, text in rows:
             found = words(text)
             if len(found) < MIN_WORDS:
@@ -284,89 +381,77 @@ class Items:
                     self.short.setdefault(len(found), {}).setdefault(number, []).append((len(self.short_items), found))
                     self.short_items.append(item_id)
                 continue
+            item = len(self.ids)
             self.ids.append(item_id)
             self.words.append(found)
+            codes = features(b" ".join(found))
             behind = _ANSWER.match(text)
             answer = words(behind[1]) if behind else []
             if not answer:
-                codes = features(b" ".join(found))
-                answer = [found[i] for i in sorted(range(len(found)), key=lambda i, c=codes: (-weights[c[i]], i))[: -(-len(found) // ANSWER_PART)]]
+                answer = [found[i] for i in sorted(range(len(found)), key=lambda i, c=codes: (-space.weights[c[i]], i))[: -(-len(found) // ANSWER_PART)]]
             self.answers.append(set(answer))
-            spans.append(min(SPANS, key=lambda s, n=len(found): abs(s - n)))
-            vectors.append(self.space[features(b" ".join(found))].sum(axis=0))
+            # An item much longer than the longest window is looked for by its parts.
+            starts, size = [0], len(codes)
+            if len(codes) > 1.5 * SPANS[-1]:
+                starts, size = [*range(0, len(codes) - SPANS[-1], SPANS[-1]), len(codes) - SPANS[-1]], SPANS[-1]
+            span = min(SPANS, key=lambda s, n=size: abs(s - n))
+            for start in starts:
+                parts.setdefault(span, []).append((item, start, space.vectors[codes[start : start + size]].sum(axis=0)))
         self.counts = [dict(Counter(x)) for x in self.words]
         self.sets = list(map(frozenset, self.words))
         self.short_keys = {n: np.array(sorted(table), dtype=np.uint64) for n, table in self.short.items()}
         self.by_span = {}
-        for span in SPANS:
-            which = [i for i, s in enumerate(spans) if s == span]
-            if which:
-                matrix = np.array([vectors[i] for i in which], dtype=np.float32)
-                self.by_span[span] = (np.array(which), matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9))
-
-    def search(self, text: str) -> list[tuple[int | None, float, float, int]]:
-        """Matches in a text: item, cosine, share of the item's words, first word; the best of each item."""
-        data = cleaned(text)
-        numbers = hashes(data)
-        codes = _columns(numbers)
-        found: list[bytes] = []
-        best: dict[int, tuple] = {}
-        short = self._short(data, numbers)
-        if not self.ids or len(codes) < MIN_WORDS // 2:
-            codes = codes[:0]
-        overlap = SPANS[-1]
-        for start in range(0, len(codes), BATCH):
-            for item, cosine, at in self._candidates(codes[start : start + BATCH + overlap]):
-                found = found or data.split()
-                cover, first = self._verified(item, found, start + at)
-                if cover >= MIN_COVER and (item not in best or cover > best[item][2]):
-                    best[item] = (self.ids[item], cosine, cover, first)
-        return sorted([*best.values(), *short], key=lambda x: (x[0] is not None, x[0] or 0, x[3]))
-
-    def _short(self, data: bytes, numbers: np.ndarray) -> list[tuple[int | None, float, float, int]]:
+        for span, found in parts.items():
+            matrix = np.array([v for *_, v in found], dtype=np.float32)
+            unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
+            self.by_span[span] = np.array([i for i, *_ in found]), np.array([s for _, s, _ in found]), unit
+
+    def search(self, texts: list[Text], space: Space) -> list[list[tuple[int | None, float, float, int]]]:
+        """Matches in each text: item, cosine, share of the item's words, first word; the best of each item."""
+        best: list[dict[int, tuple]] = [{} for _ in texts]
+        for text, item, cosine, at in self._candidates(texts, space):
+            cover, first = self._verified(item, texts[text].words(), at)
+            if cover >= MIN_COVER and (item not in best[text] or cover > best[text][item][2]):
+                best[text][item] = (self.ids[item], cosine, cover, first)
+        return [[*found.values(), *self._short(text)] for text, found in zip(texts, best, strict=True)]
+
+    def _short(self, text: Text) -> list[tuple[int | None, float, float, int]]:
         """Matches of the short items, whose words must stand together as they are, each at its first place."""
-        found: list[bytes] = []
         best: dict[int, tuple] = {}
         for n, table in self.short.items():
-            runs, keys = _runs(numbers, n), self.short_keys[n]
+            runs, keys = _runs(text.numbers, n), self.short_keys[n]
             near = np.searchsorted(keys, runs)
             for at in np.flatnonzero(keys[np.minimum(near, len(keys) - 1)] == runs).tolist():
-                found = found or data.split()
                 for item, wanted in table[int(runs[at])]:
-                    if item not in best and found[at : at + n] == wanted:
+                    if item not in best and text.words()[at : at + n] == wanted:
                         best[item] = (self.short_items[item], 1.0, 1.0, at)
         return list(best.values())
 
-    def _candidates(self, codes: np.ndarray) -> Iterator[tuple[int, float, int]]:
-        vectors = np.zeros((-(-len(codes) // STEP) * STEP, self.space.shape[1]), np.float32)
-        np.take(self.space, codes, axis=0, out=vectors[: len(codes)], mode="clip")
-        sums = vectors.reshape(-1, STEP, vectors.shape[1]).sum(axis=1)
-        width = 1
-        for span in SPANS:
-            while width * STEP < span and len(sums) > width:  # windows of twice the width from neighbours
-                sums = sums[:-width] + sums[width:]
-                width *= 2
-            if span not in self.by_span:
-                continue
-            which, matrix = self.by_span[span]
-            similar = sums @ matrix.T
-            similar /= np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)[:, None]
-            # A run of overlapping windows is one candidate, at its best window.
-            at, item = np.nonzero(similar >= MIN_COSINE)
-            if not len(at):
-                continue
-            peak, last = similar[at, item], len(similar) - 1
-            below = (at > 0) & (similar[np.maximum(at - 1, 0), item] >= peak)
-            below |= (at < last) & (similar[np.minimum(at + 1, last), item] > peak)
-            for a, i, value in zip(at[~below].tolist(), which[item[~below]].tolist(), peak[~below].tolist(), strict=True):
-                yield i, value, a * STEP
+    def _candidates(self, texts: list[Text], space: Space) -> Iterator[tuple[int, int, float, int]]:
+        """Text, item, cosine and the word at which the item may begin."""
+        if not self.ids:
+            return
+        for found in windows(texts, space):
+            for span, (which, part, matrix) in self.by_span.items():
+                text, word, unit = found[span]
+                similar = unit @ matrix.T
+                # A run of overlapping windows is one candidate, at its best window.
+                at, column = np.divmod(np.flatnonzero(similar >= MIN_COSINE), len(which))
+                if not len(at):
+                    continue
+                peak, last = similar[at, column], len(similar) - 1
+                before, behind = np.maximum(at - 1, 0), np.minimum(at + 1, last)
+                below = (at > 0) & (text[before] == text[at]) & (similar[before, column] >= peak)
+                below |= (at < last) & (text[behind] == text[at]) & (similar[behind, column] > peak)
+                at, column, peak = at[~below], column[~below], peak[~below]
+                yield from zip(text[at].tolist(), which[column].tolist(), peak.tolist(), (word[at] - part[column]).tolist(), strict=True)
 
     def _verified(self, item: int, found: list[bytes], at: int) -> tuple[float, int]:
         """Share of the item's words in the longest common subsequence near a place, 0 if a check fails."""
         wanted = self.words[item]
         n = len(wanted)
         start = max(0, at - n // 2 - STEP)
-        stop = min(len(found), at + 2 * n + 2 * STEP)
+        stop = min(len(found), max(at, 0) + 2 * n + 2 * STEP)
         near = found[start:stop]
         # Of n words, as many can be common as occur at all: repeats of a word count as often as the item has them.
         counts = self.counts[item]
@@ -430,39 +515,65 @@ def lcs_places(a: list, b: list) -> list[int]:
 MATCHES = "array<struct<item_id:long,cosine:double,cover:double,first_word:long>>"
 
 
-def matched(spark: SparkSession, items: Items, text: Column) -> Column:
-    """Array of the benchmark items of a block that a text column holds."""
-    shared = spark.sparkContext.broadcast(items)
+_OPENED: dict[str, Items] = {}
 
-    @F.pandas_udf(MATCHES)
-    def search(texts: pd.Series) -> pd.Series:
-        names = ("item_id", "cosine", "cover", "first_word")
-        return pd.Series([[dict(zip(names, m, strict=True)) for m in shared.value.search(x)] for x in texts])
 
-    return search(F.coalesce(text, F.lit("")))
+def _opened(uri: str) -> Items:
+    """A block of items from its file; a worker keeps the last ``KEPT_BLOCKS``."""
+    if uri not in _OPENED:
+        while len(_OPENED) >= KEPT_BLOCKS:
+            del _OPENED[next(iter(_OPENED))]
+        fs, path = store(uri)
+        with fs.open_input_stream(path, compression=None) as file:
+            _OPENED[uri] = pickle.loads(file.read())
+    return _OPENED[uri]
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame) -> list[Items]:
-    """The latent space for these documents, and the benchmark in blocks of items projected into it."""
-    codes = coded(docs, benchmark)
-    weights = idf(codes)
-    space = latent_space(codes, weights)
-    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks: list[Items] = []
-    rows: list[tuple[int | None, str]] = []
-    for row in asked.toLocalIterator():
-        rows.append((row.item_id, row.text))
-        if len(rows) == ITEM_BLOCK:
-            blocks.append(Items(rows, space, weights))
-            rows = []
-    return [*blocks, Items(rows, space, weights)] if rows else blocks
+def item_blocks(benchmark: DataFrame, space) -> list[str]:
+    """Files of the benchmark's items, ``ITEM_BLOCK`` in each, projected into the broadcast space by tasks."""
+    spark = benchmark.sparkSession
+    blocks, folder = -(-benchmark.count() // ITEM_BLOCK), shared_folder(spark, "item-blocks")
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        uri = f"{folder}/block-{group['block'].iloc[0]:06d}.pickle"
+        ids = [None if pd.isna(x) else int(x) for x in group["item_id"]]
+        with whole_file(uri) as file:
+            file.write(pickle.dumps(Items(list(zip(ids, group["text"], strict=True)), space.value)))
+        return pd.DataFrame({"uri": [uri]})
+
+    if not blocks:
+        return []
+    numbered = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).alias("block"),
+    )
+    built = stored(numbered.groupBy("block").applyInPandas(build, "uri string"), "item-blocks")
+    return sorted(r.uri for r in built.collect())  # a name for every ITEM_BLOCK items
 
 
 def all_matches(docs: DataFrame, benchmark: DataFrame, text: Column | None = None) -> Column:
     """Array column of all matches of a text column, over all blocks of items."""
-    spark, text = docs.sparkSession, F.col("text") if text is None else text
-    found = [matched(spark, block, text) for block in item_blocks(docs, benchmark)]
-    return F.concat(*found) if found else F.expr(f"cast(array() AS {MATCHES})")
+    text = F.col("text") if text is None else text
+    codes = coded(docs, benchmark)
+    weights, n_words = idf(codes)
+    shared = docs.sparkSession.sparkContext.broadcast(Space.of(latent_space(codes, weights, n_words), weights))
+    blocks = item_blocks(benchmark, shared)
+    if not blocks:
+        return F.expr(f"cast(array() AS {MATCHES})")
+
+    @F.pandas_udf(MATCHES)
+    def search(texts: pd.Series) -> pd.Series:
+        read = [Text(x) for x in texts]
+        found: list[list[tuple]] = [[] for _ in read]
+        for uri in blocks:
+            for known, more in zip(found, _opened(uri).search(read, shared.value), strict=True):
+                known.extend(more)
+        names = ("item_id", "cosine", "cover", "first_word")
+        order = lambda m: (m[0] is not None, m[0] or 0, m[3])
+        return pd.Series([[dict(zip(names, m, strict=True)) for m in sorted(x, key=order)] for x in found])
+
+    return search(F.coalesce(text, F.lit("")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
