@@ -22,8 +22,14 @@ def _shared() -> dict[str, str]:
 def statement(name: str) -> str:
     """Full text for one query: adapted tables, shared parts it names, and the query."""
     body = (_FOLDER / f"{name}.sql").read_text().strip()
-    shared = {text for table, text in _shared().items() if re.search(rf"(\bfrom|\bjoin|,) {table}\b", body)}
-    body = "\n".join([*sorted(shared), body])
+    shared: set[str] = set()
+    while True:  # parts may name tables of parts that come before them
+        named = "\n".join([*sorted(shared), body])
+        more = {text for table, text in _shared().items() if re.search(rf"(\bfrom|\bjoin|,) {table}\b", named)}
+        if more <= shared:
+            break
+        shared |= more
+    body = named
     used = [table for table in STATEMENTS if re.search(rf"\b{table}\b", body)]
     tables = common_table_expressions(used) if used else "with nothing as (select 1)"
     return f"{tables}\n{body}"

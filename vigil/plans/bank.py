@@ -148,6 +148,20 @@ def process_transactions(
     return Result(following, done.outcomes)
 
 
+def process_in_order(bank: Bank, requests: DataFrame, as_of: str) -> Result:
+    """Score and decide requests (request_no, transaction_id) one after the other, each failing alone."""
+    done = decisions.process_in_order(
+        requests, bank.transactions, bank.accounts, bank.rules, fixed.USER_ACTOR, as_of
+    )
+    following = bank._replace(
+        transactions=done.transactions,
+        history=_logged(bank, done.history),
+        alerts=_alerted(bank, done.alerts),
+        accounts=_deducted(bank, done.deductions),
+    )
+    return Result(following, done.outcomes)
+
+
 def approve_pending(bank: Bank, as_of: str, strict: bool = True) -> Result:
     """Approve all scored low-risk pending transactions; overdrafts as in ``process_transactions``."""
     done = decisions.approve_pending(bank.transactions, bank.accounts, not strict)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vigil import fixed_values as fixed
 from vigil.functions.columns import decide
+from vigil.operators.in_order import served_in_order
 from vigil.plans.scoring import history_around, transaction_scores
 from vigil.session import stored
 
@@ -120,6 +121,56 @@ def overdrawn_accounts(accounts: DataFrame, deductions: DataFrame) -> DataFrame:
     return sums.join(held, "account_id").filter(F.col("balance") < F.col("deducted")).select("account_id")
 
 
+def _decided(ids: DataFrame, transactions: DataFrame, accounts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of distinct requested ids, and scores and new statuses of the pending ones among them."""
+    found = stored(transactions.join(ids, "transaction_id", "left_semi"), "requested")
+    pending = found.filter(F.col("status") == "PENDING")
+    others = history_around(pending, transactions, accounts).join(
+        pending.select("transaction_id"), "transaction_id", "left_anti"
+    )
+    decided = transaction_scores(pending, accounts, others, keep=["account_id", "amount"]).select(
+        "transaction_id", "account_id", "amount", "risk_score", decide(F.col("risk_score")).alias("status")
+    )
+    return found, stored(decided, "decisions")
+
+
+def _followed(
+    accepted: DataFrame, outcomes: DataFrame, transactions: DataFrame, rules: DataFrame, changed_by: str, as_of: str
+) -> Decisions:
+    """All that follows from accepted decisions (transaction_id, account_id, amount, risk_score, status)."""
+    news = accepted.select(
+        "transaction_id", F.col("status").alias("new_status"), F.col("risk_score").alias("new_score")
+    )
+    updated = transactions.join(news, "transaction_id", "left").select(
+        *(
+            F.coalesce("new_status", "status").alias(c)
+            if c == "status"
+            else F.coalesce("new_score", "risk_score").alias(c)
+            if c == "risk_score"
+            else F.col(c)
+            for c in transactions.columns
+        )
+    )
+    history = change_history(
+        accepted.filter(F.col("status") != "PENDING").select(
+            "transaction_id", F.lit("PENDING").alias("old_status"), F.col("status").alias("new_status")
+        ),
+        changed_by,
+        as_of,
+    )
+    alerts = create_alerts(
+        accepted.filter(F.col("status") == "FLAGGED").select(
+            "transaction_id",
+            F.concat(F.lit(fixed.PROCESS_REASON), F.col("risk_score").cast("string")).alias("reason"),
+            "risk_score",
+        ),
+        rules,
+        as_of,
+    )
+    deductions = accepted.filter("status = 'APPROVED'").select("transaction_id", "account_id", "amount")
+    return Decisions(updated, outcomes, history, alerts, deductions)
+
+
 def process_pending(
     requested: DataFrame,
     transactions: DataFrame,
@@ -138,15 +189,7 @@ def process_pending(
     customers; they are read once and stored, as are the decisions that all outputs derive from.
     """
     ids = requested.select("transaction_id").distinct()
-    found = stored(transactions.join(ids, "transaction_id", "left_semi"), "requested")
-    pending = found.filter(F.col("status") == "PENDING")
-    others = history_around(pending, transactions, accounts).join(
-        pending.select("transaction_id"), "transaction_id", "left_anti"
-    )
-    decided = transaction_scores(pending, accounts, others, keep=["account_id", "amount"]).select(
-        "transaction_id", "account_id", "amount", "risk_score", decide(F.col("risk_score")).alias("status")
-    )
-    decided = stored(decided, "decisions")
+    found, decided = _decided(ids, transactions, accounts)
     if refuse_overdrafts:
         over = overdrawn_accounts(accounts, decided.filter("status = 'APPROVED'")).withColumn("over", F.lit(True))
         decided = decided.join(over, "account_id", "left").withColumn(
@@ -174,37 +217,55 @@ def process_pending(
         F.coalesce("new_status", "old_status").alias("status"),
         "risk_score",
     )
-    news = accepted.select(
-        "transaction_id", F.col("status").alias("new_status"), F.col("risk_score").alias("new_score")
-    )
-    updated = transactions.join(news, "transaction_id", "left").select(
-        *(
-            F.coalesce("new_status", "status").alias(c)
-            if c == "status"
-            else F.coalesce("new_score", "risk_score").alias(c)
-            if c == "risk_score"
-            else F.col(c)
-            for c in transactions.columns
-        )
-    )
-    history = change_history(
-        accepted.filter(F.col("status") != "PENDING").select(
-            "transaction_id", F.lit("PENDING").alias("old_status"), F.col("status").alias("new_status")
-        ),
-        changed_by,
-        as_of,
+    return _followed(accepted, outcomes, transactions, rules, changed_by, as_of)
+
+
+def process_in_order(
+    requests: DataFrame,
+    transactions: DataFrame,
+    accounts: DataFrame,
+    rules: DataFrame,
+    changed_by: str,
+    as_of: str,
+) -> Decisions:
+    """Score and decide requests (``request_no``, ``transaction_id``) as if each were made after the one before.
+
+    Each request stands or fails alone: an approval is refused where the account's balance, after the approvals
+    before it, doesn't hold the amount, and a later smaller one may still be accepted.  What is decided is
+    processed: a second request for it is refused, while one that left its transaction pending may be repeated.
+    Scores do not depend on the order, since no decision declines.  ``outcomes`` has a row for every request.
+    ``request_no`` occurs once.
+    """
+    first = requests.groupBy("transaction_id").agg(F.min("request_no").alias("place"))
+    found, decided = _decided(first.select("transaction_id"), transactions, accounts)
+    cents = lambda c: (F.col(c) * 100).cast("bigint")
+    approvals = decided.filter("status = 'APPROVED'").join(first, "transaction_id")
+    approvals = stored(approvals.withColumn("units", cents("amount")), "approvals")
+    served = served_in_order(approvals, accounts.select("account_id", cents("balance").alias("held")))
+    served = stored(served, "served").select(*decided.columns, "accepted")
+    accepted = decided.filter("status <> 'APPROVED'").unionByName(served.filter("accepted").drop("accepted"))
+
+    known = found.select("transaction_id", F.col("status").alias("old_status"))
+    done = accepted.select("transaction_id", F.col("status").alias("new_status"), "risk_score")
+    marked = first.join(known, "transaction_id", "left").join(done, "transaction_id", "left")
+    asked = requests.select("request_no", "transaction_id").join(marked, "transaction_id", "left")
+    old, new = F.col("old_status"), F.col("new_status")
+    again = (new != "PENDING") & (F.col("request_no") != F.col("place"))
+    reason = (
+        F.when(old.isNull(), "not found")
+        .when(old != "PENDING", F.concat(F.lit("already processed: "), old))
+        .when(new.isNull(), "overdraft")
+        .when(again, F.concat(F.lit("already processed: "), new))
     )
-    alerts = create_alerts(
-        accepted.filter(F.col("status") == "FLAGGED").select(
-            "transaction_id",
-            F.concat(F.lit(fixed.PROCESS_REASON), F.col("risk_score").cast("string")).alias("reason"),
-            "risk_score",
-        ),
-        rules,
-        as_of,
+    outcomes = asked.withColumn("reason", reason).select(
+        "request_no",
+        "transaction_id",
+        F.when(F.col("reason").isNull(), "accepted").otherwise("refused").alias("outcome"),
+        "reason",
+        F.coalesce(new, old).alias("status"),
+        F.when(F.col("reason").isNull(), F.col("risk_score")).alias("risk_score"),
     )
-    deductions = accepted.filter("status = 'APPROVED'").select("transaction_id", "account_id", "amount")
-    return Decisions(updated, outcomes, history, alerts, deductions)
+    return _followed(accepted, outcomes, transactions, rules, changed_by, as_of)
 
 
 class Arrivals(NamedTuple):

@@ -288,10 +288,8 @@ def _decided(t: Tables) -> decisions.Decisions:
     )
 
 
-@_query
-def process_pending_balances(t: Tables) -> DataFrame:
-    """Accounts after all requests are processed; overdrawn ones keep their balance."""
-    before = bank.Bank(
+def _bank(t: Tables) -> bank.Bank:
+    return bank.Bank(
         customers=t["bank_customers"],
         accounts=t["bank_accounts"],
         cards=t["bank_cards"],
@@ -301,7 +299,29 @@ def process_pending_balances(t: Tables) -> DataFrame:
         alerts=t["bank_fraud_alerts"],
         audit=t["bank_audit_log"],
     )
-    after = bank.process_transactions(before, _all_requests(t), AS_OF, strict=False).bank
+
+
+@_query
+def process_pending_balances(t: Tables) -> DataFrame:
+    """Accounts after all requests are processed; overdrawn ones keep their balance."""
+    after = bank.process_transactions(_bank(t), _all_requests(t), AS_OF, strict=False).bank
+    return after.accounts.select("account_id", "balance")
+
+
+@_query
+def process_pending_sequential(t: Tables) -> DataFrame:
+    """Every request in its order, some repeated and some for no transaction, on accounts of little money."""
+    requests, pending = t["bank_requests"], t["bank_transactions_pending"]
+    return decisions.process_in_order(
+        requests, pending, t["tight_accounts"], t["bank_fraud_rules"], "app_user", AS_OF
+    ).outcomes
+
+
+@_query
+def process_pending_sequential_balances(t: Tables) -> DataFrame:
+    """Accounts of little money after all requests are served in order."""
+    before = _bank(t)._replace(accounts=t["tight_accounts"])
+    after = bank.process_in_order(before, t["bank_requests"], AS_OF).bank
     return after.accounts.select("account_id", "balance")
 
 

@@ -188,3 +188,11 @@ select event_id, utm_source, utm_medium, utm_campaign from {crm_events_wide}
 select event_id, attr_01, attr_02 from {crm_events_wide}
 -- faulty_events
 select case when event_id % 50 = 3 then event_id - 1 else event_id end as event_id, customer_id, event_type from {crm_events_wide} where event_id % 60 <> 7
+-- tight_accounts
+select account_id, customer_id, account_number, currency, cast(100 + account_id * 7919 % 20000 as decimal(15,2)) as balance, status, opened_at from {bank_accounts}
+-- bank_requests
+select transaction_id % 97 * 4000000000 + transaction_id * 4 as request_no, transaction_id from {bank_transactions_pending}
+union all
+select (transaction_id % 89 + 97) * 4000000000 + transaction_id * 4 + 1, transaction_id from {bank_transactions_pending} where transaction_id % 5 = 0
+union all
+select transaction_id % 97 * 4000000000 + transaction_id * 4 + 2, -1 - transaction_id from {bank_transactions_pending} where transaction_id % 10 = 3
