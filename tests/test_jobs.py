@@ -1,7 +1,6 @@
 """Decisions, alerts, balances, summaries, layouts and streams."""
 
 import random
-import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -207,17 +206,6 @@ def test_layouts_prune_folders(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "e")).count() == 400
 
 
-def test_history_is_pruned_by_day(spark, tmp_path):
-    layout.write_transactions(sample.transactions(spark), str(tmp_path / "t"))
-    stored = spark.read.parquet(str(tmp_path / "t"))
-    batch = sample.transactions(spark).filter("transaction_id = 8")
-    around = history_around(batch, stored, sample.accounts(spark))
-    assert re.search(r"PartitionFilters: \[[^\]]*tx_date#\d+ = 2026-06-01", plan(around))
-    assert [r.transaction_id for r in around.collect()] == [8]
-    night = batch.withColumn("transaction_at", F.lit("2026-06-01 00:30:00").cast("timestamp_ntz"))
-    assert "2026-05-31,2026-06-01" in plan(history_around(night, stored, sample.accounts(spark)))
-
-
 def test_bucketed_tables_join_without_shuffle(spark):
     rows = sample.transactions(spark)
     layout.write_bucketed(rows, "bucketed_transactions", "transaction_id", 4, mode="overwrite")

@@ -62,3 +62,22 @@ def parse_values(audit: DataFrame) -> DataFrame:
     return audit.withColumns(
         {c: F.parse_json(F.col(c)) for c in ("old_value", "new_value")}
     )
+
+
+def changed_fields(audit: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per audit row and column that its values name: ``column_name, old_text, new_text``.
+
+    Values are read from variants, so a text that holds any number of other members is parsed once.  A JSON null
+    is a NULL text; a column that neither value names has no row.
+    """
+    names = lambda mark, c: F.expr(f"variant_get({mark}, '$.{c}') IS NOT NULL")
+    text = lambda mark, c: F.expr(f"try_variant_get({mark}, '$.{c}', 'string')")
+    fields = [
+        F.when(
+            F.coalesce(names("old_value", c), F.lit(False)) | F.coalesce(names("new_value", c), F.lit(False)),
+            F.struct(F.lit(c).alias("column_name"), text("old_value", c).alias("old_text"), text("new_value", c).alias("new_text")),
+        )
+        for c in columns
+    ]
+    kept = [c for c in audit.columns if c not in ("old_value", "new_value")]
+    return parse_values(audit).select(*kept, F.explode(F.array_compact(F.array(*fields))).alias("field")).select(*kept, "field.*")

@@ -89,9 +89,10 @@ def split_columns(wide: DataFrame, parts: list[list[str]]) -> list[DataFrame]:
     return [wide.select(*columns) for columns in parts]
 
 
-def join_parts(parts: list[DataFrame], key: str) -> DataFrame:
-    """Wide rows again.  All joins share one partitioning by the key."""
+def join_parts(parts: list[DataFrame], key: str, hint: str | None = None) -> DataFrame:
+    """Wide rows again.  All joins share one partitioning by the key; parts stored in buckets of the key bring it along,
+    and the hint "merge" keeps the planner from broadcasting them."""
     wide = parts[0]
     for part in parts[1:]:
-        wide = wide.join(part, key)
+        wide = wide.join(part.hint(hint) if hint else part, key)
     return wide

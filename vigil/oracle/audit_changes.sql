@@ -1,18 +1,3 @@
-, pairs as (
-  select coalesce(b.account_id, a.account_id) as row_key, coalesce(a.customer_id, b.customer_id) as customer_id,
-    b.account_id is null as is_new, a.account_id is null as is_gone,
-    b.currency as old_currency, a.currency as new_currency, b.status as old_status, a.status as new_status,
-    b.currency is distinct from a.currency or is_new or is_gone as currency_differs,
-    b.status is distinct from a.status or is_new or is_gone as status_differs
-  from bank_accounts b full join bank_accounts_later a using (account_id)
-), texts as (
-  select *,
-    '{' || concat_ws(',', if(currency_differs, '"currency":' || coalesce('"' || old_currency || '"', 'null'), null),
-      if(status_differs, '"status":"' || old_status || '"', null)) || '}' as old_text,
-    '{' || concat_ws(',', if(currency_differs, '"currency":' || coalesce('"' || new_currency || '"', 'null'), null),
-      if(status_differs, '"status":"' || new_status || '"', null)) || '}' as new_text
-  from pairs where currency_differs or status_differs
-)
 select 'accounts' as table_name, row_key, customer_id,
   case when is_new then 'INSERT' when is_gone then 'DELETE' else 'UPDATE' end as operation,
   if(is_new, null, old_text) as old_value, if(is_gone, null, new_text) as new_value, timestamp '2024-02-10 00:00:00' as changed_at

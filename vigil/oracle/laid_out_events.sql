@@ -1,2 +1 @@
-select event_id, customer_id, event_type, event_time from crm_events_wide
-where event_time >= timestamp '2024-01-15' and hour(event_time) < 5
+select event_id, customer_id, event_type, event_time, cast(event_time as date) as event_date from crm_events_wide

@@ -1 +1 @@
-select order_id, customer_id, total_amount from crm_orders where status = 'paid' and year(order_date) = 1995
+select order_id, customer_id, total_amount, status, year(order_date) as order_year from crm_orders

@@ -1,2 +1 @@
-select transaction_id, account_id, amount, transaction_at from bank_transactions_scored
-where cast(transaction_at as date) = date '2024-01-17'
+select transaction_id, account_id, amount, transaction_at, cast(transaction_at as date) as tx_date from bank_transactions_scored

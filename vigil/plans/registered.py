@@ -11,7 +11,7 @@ from vigil import fixed_values as fixed
 from vigil import schemas
 from vigil.operators import audit, keyed, quality
 from vigil.plans import bank, catalog, commerce, decisions, reports, scoring, summary
-from vigil.session import work_folder
+from vigil.session import work_folder, work_table
 from vigil.sources import layout, synthetic
 from vigil.sources.adapters import Tables
 from vigil.streaming import ingest
@@ -189,17 +189,16 @@ def daily_fraud_summary_flagged(t: Tables) -> DataFrame:
 
 @_query
 def daily_fraud_summary_incremental(t: Tables) -> DataFrame:
-    """Summary stored while all was pending; days from the middle of the month refreshed later, one empty by then."""
+    """Summary stored while all was pending; days from the middle of the month refreshed in place, one empty by then."""
     folder = work_folder(t.spark, "daily-summary")
     others = t["bank_fraud_alerts"], t["bank_accounts"], t["bank_customers"], AS_OF
     pending = t["bank_transactions_pending"]
-    first = summary.refresh_summary(summary.daily_fraud_summary(pending, *others), folder)
+    summary.write_summary(summary.daily_fraud_summary(pending, *others), folder)
     day = F.to_date("transaction_at")
     left = t["bank_transactions_scored"].filter(day != F.lit(EMPTIED_DAY).cast("date"))
     later = pending.select(day.alias("transaction_date")).filter(F.col("transaction_date") >= "2024-01-15")
-    stored = summary.read_summary(t.spark, first)
-    second = summary.refresh_summary(summary.refreshed_days(stored, later, left, *others), folder)
-    return summary.read_summary(t.spark, second)
+    summary.refresh_days(folder, later, left, *others)
+    return summary.read_summary(t.spark, folder)
 
 
 SQL_PREFIX = "vigil_"
@@ -458,6 +457,13 @@ def audit_changes(t: Tables) -> DataFrame:
     )
 
 
+@_query
+def audit_changed_fields(t: Tables) -> DataFrame:
+    """How often each column went from one value to another, read from the audit rows' values as variants."""
+    fields = audit.changed_fields(audit_changes(t), ["currency", "status"])
+    return fields.groupBy("table_name", "operation", "column_name", "old_text", "new_text").agg(F.count("*").alias("n"))
+
+
 def _faulty(t: Tables) -> dict[str, DataFrame]:
     return {
         "customers": t["faulty_customers"],
@@ -547,8 +553,8 @@ def event_counts_recent(t: Tables) -> DataFrame:
 
 @_query
 def event_counts_recent_split(t: Tables) -> DataFrame:
-    """The same report from the core part of the split event table."""
-    core, _, _ = _event_parts(t)
+    """The same report from the stored core part of the split event table."""
+    core, _, _ = _stored_parts(t)
     return commerce.event_counts_top(core, EVENTS_180)
 
 
@@ -571,6 +577,9 @@ def orders_with_recent_events(t: Tables) -> DataFrame:
     )
 
 
+BUCKETS = 8
+
+
 def _event_parts(t: Tables) -> list[DataFrame]:
     return keyed.split_columns(
         t["crm_events_wide"], [schemas.EVENT_CORE, schemas.EVENT_UTM, schemas.EVENT_ATTRIBUTES]
@@ -592,9 +601,31 @@ def split_event_attributes(t: Tables) -> DataFrame:
     return _event_parts(t)[2]
 
 
+def _bucketed(t: Tables, rows: DataFrame, purpose: str, key: str) -> DataFrame:
+    name, folder = work_table(t.spark, purpose)
+    return layout.write_bucketed(rows, name, key, BUCKETS, folder=folder)
+
+
+def _stored_parts(t: Tables) -> list[DataFrame]:
+    """The split event table as three tables in buckets of the key."""
+    names = ("event-core", "event-utm", "event-attributes")
+    return [_bucketed(t, part, name, schemas.EVENT_KEY) for name, part in zip(names, _event_parts(t), strict=True)]
+
+
 @_query
 def split_events_rejoined(t: Tables) -> DataFrame:
-    return keyed.join_parts(_event_parts(t), schemas.EVENT_KEY)
+    """Wide events from the three stored tables, joined bucket by bucket."""
+    return keyed.join_parts(_stored_parts(t), schemas.EVENT_KEY, "merge")
+
+
+@_query
+def bucketed_facts(t: Tables) -> DataFrame:
+    """Transactions with their status changes and alerts, from three tables in buckets of the transaction."""
+    key = "transaction_id"
+    transactions = _bucketed(t, t["bank_transactions_scored"], "transactions", key)
+    history = _bucketed(t, t["bank_status_history"], "history", key)
+    alerts = _bucketed(t, t["bank_fraud_alerts"], "alerts", key)
+    return reports.transaction_facts(transactions, history, alerts)
 
 
 @_query
@@ -640,31 +671,57 @@ def keyed_update_customers(t: Tables) -> DataFrame:
 # Laid-out facts, written and read back.
 
 
-@_query
-def laid_out_events(t: Tables) -> DataFrame:
-    """Night events of the last days, from a table laid out by day."""
+def _events_by_day(t: Tables) -> str:
     folder = work_folder(t.spark, "events-by-day")
     layout.write_events(t["crm_events_wide"].select(*schemas.EVENT_CORE), folder)
-    rows = t.spark.read.parquet(folder).filter("event_date >= date '2024-01-15' and hour(event_time) < 5")
-    return rows.select("event_id", "customer_id", "event_type", "event_time")
+    return folder
+
+
+@_query
+def laid_out_events(t: Tables) -> DataFrame:
+    """All events and their days, from a table laid out by day."""
+    rows = t.spark.read.parquet(_events_by_day(t))
+    return rows.select("event_id", "customer_id", "event_type", "event_time", "event_date")
 
 
 @_query
 def laid_out_orders(t: Tables) -> DataFrame:
-    """Paid orders of a year, from a table laid out by status and year."""
+    """All orders and their years, from a table laid out by status and year."""
     folder = work_folder(t.spark, "orders-by-year")
     layout.write_orders(t["crm_orders"], folder)
-    rows = t.spark.read.parquet(folder).filter("status = 'paid' and order_year = 1995")
-    return rows.select("order_id", "customer_id", "total_amount")
+    rows = t.spark.read.parquet(folder)
+    return rows.select("order_id", "customer_id", "total_amount", "status", F.col("order_year").cast("bigint").alias("order_year"))
 
 
 @_query
 def laid_out_transactions(t: Tables) -> DataFrame:
-    """Transactions of a day, from a table laid out by day."""
+    """All transactions and their days, from a table laid out by day."""
     folder = work_folder(t.spark, "transactions-by-day")
     layout.write_transactions(t["bank_transactions_scored"], folder)
-    rows = t.spark.read.parquet(folder).filter("tx_date = date '2024-01-17'")
-    return rows.select("transaction_id", "account_id", "amount", "transaction_at")
+    rows = t.spark.read.parquet(folder)
+    return rows.select("transaction_id", "account_id", "amount", "transaction_at", "tx_date")
+
+
+@_query
+def laid_out_events_updated(t: Tables) -> DataFrame:
+    """All events after the errors of the last days lost their campaign; only the folders of these days are rewritten."""
+    folder, events = _events_by_day(t), t["crm_events_wide"]
+    late = events.filter((F.col("event_type") == "error") & (F.col("event_time") >= F.lit("2024-01-25").cast("timestamp_ntz")))
+    updates = late.select("event_id", F.lit(None).cast("string").alias("campaign"), F.lit("withdrawn").alias("source"))
+    layout.update_partitions(t.spark, folder, updates, "event_id", ["event_date"], ["customer_id", "event_time"])
+    return t.spark.read.parquet(folder).select("event_id", "customer_id", "event_time", "event_date", "campaign", "source")
+
+
+@_query
+def laid_out_orders_updated(t: Tables) -> DataFrame:
+    """All orders after those with a returned line became paid, which moves them to other folders."""
+    folder = work_folder(t.spark, "orders-by-year")
+    layout.write_orders(t["crm_orders"], folder)
+    returned = t["lineitem"].filter("l_returnflag = 'R' AND l_shipdate >= timestamp_ntz '1994-06-01 00:00:00'")
+    updates = returned.select(F.col("l_orderkey").alias("order_id"), F.lit("paid").alias("status"))
+    layout.update_partitions(t.spark, folder, updates, "order_id", ["status", "order_year"], ["order_date", "order_id"])
+    rows = t.spark.read.parquet(folder)
+    return rows.select("order_id", "customer_id", "status", F.col("order_year").cast("bigint").alias("order_year"), "total_amount")
 
 
 # Generated commerce tables, one row per row of the stored inputs.
@@ -789,6 +846,22 @@ def status_change_stream(t: Tables) -> DataFrame:
     return ingest.read_output(t.spark, store, "status_changes").drop("batch_id")
 
 
+FILES = 4
+
+
+@_query
+def ingest_restarted_stream(t: Tables) -> DataFrame:
+    """Arrivals in four files, one a batch; the stream ends after two of them and goes on from its checkpoint."""
+    store, source = work_folder(t.spark, "restarted-stream"), work_folder(t.spark, "arrivals")
+    pending = t["bank_transactions_pending"]
+    for number in range(FILES):
+        pending.filter(F.col("transaction_id") % FILES == number).repartition(1).write.mode("append").parquet(source)
+        if number % 2:
+            stream = t.spark.readStream.schema(pending.schema).option("maxFilesPerTrigger", 1).parquet(source)
+            ingest.start_scoring(stream, t["bank_accounts"], store, AS_OF).awaitTermination()
+    return ingest.read_output(t.spark, store, "transactions").select("transaction_id", "risk_score", "status", "batch_id")
+
+
 # Two batches in a row: repeats on another day, differing repeats, unknown ids.
 
 

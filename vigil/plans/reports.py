@@ -284,3 +284,22 @@ def presented(rows: DataFrame, report: str) -> DataFrame:
             for c in REPORT_ORDERS[report]
         )
     )
+
+
+def transaction_facts(transactions: DataFrame, history: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Transactions with their number of status changes, their last one's time, and their number of alerts.
+
+    Of tables in buckets of the transaction nothing is shuffled: both sums and both joins keep the buckets.
+    """
+    changes = history.groupBy("transaction_id").agg(F.count("*").alias("changes"), F.max("changed_at").alias("last_changed_at"))
+    raised = alerts.groupBy("transaction_id").agg(F.count("*").alias("alerts"))
+    none = F.lit(0).cast("bigint")
+    return (
+        transactions.select("transaction_id", "account_id", "status")
+        .join(changes.hint("merge"), "transaction_id", "left")
+        .join(raised.hint("merge"), "transaction_id", "left")
+        .select(
+            "transaction_id", "account_id", "status", F.coalesce("changes", none).alias("changes"), "last_changed_at",
+            F.coalesce("alerts", none).alias("alerts"),
+        )
+    )

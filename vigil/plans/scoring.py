@@ -71,32 +71,29 @@ def transaction_scores(
     )
 
 
-MAX_DAYS = 36_525
-"""Days that a literal filter may list: a century."""
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the given days (one column of dates; NULL is none).
 
-
-def literal_days(days: DataFrame) -> list:
-    """Distinct days of a one-column table, for a filter that prunes folders laid out by day."""
-    found = sorted(row[0] for row in days.dropna().distinct().limit(MAX_DAYS + 1).collect())
-    if len(found) > MAX_DAYS:
-        raise ValueError(f"more than {MAX_DAYS} different days")
-    return found
+    Of a table laid out by day, the join reads the folders of these days alone: the planner prunes partitions by
+    the broadcast days.  There is one row a calendar day at most.
+    """
+    day = days.columns[0]
+    # The condition holds for every date; without one the planner takes the days for unselective and doesn't prune.
+    listed = days.distinct().filter(F.col(day) >= F.lit("0001-01-01").cast("date")).withColumnRenamed(day, "day_asked")
+    return rows.join(F.broadcast(listed), day_of(rows) == F.col("day_asked"), "left_semi")
 
 
 def history_around(batch: DataFrame, stored: DataFrame, accounts: DataFrame) -> DataFrame:
     """Stored rows that can change the scores of a batch.
 
-    They lie on the batch's dates or those of the hour before, and belong to its customers.  The
-    dates are collected to become a literal filter that prunes folders of a table laid out by
-    ``tx_date``; there are no more of them than days.
+    They lie on the batch's dates or those of the hour before, and belong to its customers.
     """
     hour_before = F.expr("transaction_at - INTERVAL 1 HOUR")
-    dates = F.explode(F.array(F.to_date("transaction_at"), F.to_date(hour_before)))
-    days = literal_days(batch.select(dates.alias("day")))
+    days = batch.select(F.explode(F.array(F.to_date("transaction_at"), F.to_date(hour_before))).alias("day"))
     owners = accounts.select("account_id", "customer_id")
     customers = owners.join(batch.select("account_id"), "account_id", "left_semi").select("customer_id")
     related = owners.join(customers, "customer_id", "left_semi").select("account_id")
-    return stored.filter(day_of(stored).isin(days)).join(related, "account_id", "left_semi")
+    return on_days(stored, days).join(related, "account_id", "left_semi")
 
 
 def customer_daily_volume(transactions: DataFrame, accounts: DataFrame) -> DataFrame:

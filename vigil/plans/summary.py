@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.columns import day_of, full_name, mean_2dp
-from vigil.plans.scoring import literal_days
+from vigil.plans.scoring import on_days
+from vigil.session import stored
+from vigil.sources.layout import overwrite_partitions
 
 MONEY = "decimal(25,2)"
 TOP = 3
@@ -108,14 +110,37 @@ def daily_fraud_summary(
     )
 
 
+SUMMARY = (
+    "transaction_date date, total_transactions bigint, total_amount decimal(25,2), flagged_transactions bigint,"
+    " suspicious_amount decimal(25,2), avg_risk_score decimal(5,2), top_risky_customers string, total_fraud_alerts bigint,"
+    " last_refreshed_at timestamp_ntz"
+)
+
+
 def refresh_summary(summary: DataFrame, folder: str) -> str:
     """Write a full new version next to older ones; returns its path.  Readers keep theirs."""
     path = f"{folder.rstrip('/')}/version={uuid.uuid4().hex}"
-    # One row per day: a single small partition is the whole table.
-    summary.repartition(1).sortWithinPartitions(F.desc("transaction_date")).write.parquet(path)
+    newest = F.desc("transaction_date")
+    summary.repartitionByRange(newest).sortWithinPartitions(newest).write.parquet(path)
     return path
 
 
+def write_summary(summary: DataFrame, folder: str) -> None:
+    """Write a whole summary with a folder for each day, to be refreshed in place."""
+    summary.repartitionByRange("transaction_date").write.mode("overwrite").partitionBy("transaction_date").parquet(folder)
+
+
+def _days_anew(
+    days: DataFrame, transactions: DataFrame, alerts: DataFrame, accounts: DataFrame, customers: DataFrame, as_of: str
+) -> DataFrame:
+    """Summary rows of distinct days; NULL stands for transactions without a time."""
+    touched = on_days(transactions, days)
+    if not days.filter("transaction_date IS NULL").isEmpty():
+        touched = touched.unionByName(transactions.filter(day_of(transactions).isNull()))
+    raised = alerts.join(touched.select("transaction_id"), "transaction_id", "left_semi")
+    return daily_fraud_summary(touched, raised, accounts, customers, as_of)
+
+
 def refreshed_days(
     summary: DataFrame,
     days: DataFrame,
@@ -130,19 +155,29 @@ def refreshed_days(
     A day that lost all its transactions loses its row.  NULL stands for transactions without a time.
     """
     named = days.select("transaction_date").distinct()
-    # A literal list of days prunes the folders of a table laid out by day.
-    listed = literal_days(named)
-    day, untimed = F.col("transaction_date"), not named.filter("transaction_date IS NULL").isEmpty()
-    asked = day_of(transactions).isin(listed)
-    stale = F.coalesce(day.isin(listed), F.lit(False))
-    if untimed:
-        asked, stale = asked | F.col("transaction_at").isNull(), stale | day.isNull()
-    touched = transactions.filter(asked)
-    raised = alerts.join(touched.select("transaction_id"), "transaction_id", "left_semi")
-    fresh = daily_fraud_summary(touched, raised, accounts, customers, as_of)
-    return summary.filter(~stale).unionByName(fresh)
+    stale = named.withColumnRenamed("transaction_date", "stale_date")
+    kept = summary.join(stale, F.col("transaction_date").eqNullSafe(F.col("stale_date")), "left_anti")
+    return kept.unionByName(_days_anew(named, transactions, alerts, accounts, customers, as_of))
+
+
+def refresh_days(
+    folder: str,
+    days: DataFrame,
+    transactions: DataFrame,
+    alerts: DataFrame,
+    accounts: DataFrame,
+    customers: DataFrame,
+    as_of: str,
+) -> None:
+    """Refresh the given days of a summary stored by ``write_summary``, in place: other days keep their files.
+
+    A day that lost all its transactions disappears.  NULL stands for transactions without a time.
+    """
+    named = stored(days.select("transaction_date").distinct(), "days-asked")
+    fresh = stored(_days_anew(named, transactions, alerts, accounts, customers, as_of), "days-anew")
+    overwrite_partitions(fresh, folder, named)
 
 
 def read_summary(spark: SparkSession, path: str, flagged_only: bool = False) -> DataFrame:
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(SUMMARY).parquet(path).select(*spark.createDataFrame([], SUMMARY).columns)
     return rows.filter(F.col("flagged_transactions") > 0) if flagged_only else rows

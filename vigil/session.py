@@ -28,6 +28,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 _FOLDERS: list[str] = []
 """Work folders that this program made and has not released."""
+_TABLES: list[str] = []
+"""Catalog tables over such folders."""
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
@@ -47,12 +49,35 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return _FOLDERS[-1]
 
 
+def work_table(spark: SparkSession, purpose: str) -> tuple[str, str]:
+    """New name for a catalog table and the work folder for its files; ``release`` drops both."""
+    folder = work_folder(spark, purpose)
+    _TABLES.append(f"vigil_{uuid.uuid4().hex}")
+    return _TABLES[-1], folder
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _path(spark, folder)
+    return files.exists(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder through the file system it lies in."""
+    files, path = _path(spark, folder)
+    files.delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
-    """Remove all work folders made so far, through the file system they lie in."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    """Remove all work tables and folders made so far."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _FOLDERS:
-        path = jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
-        path.getFileSystem(conf).delete(path, True)
+        remove(spark, _FOLDERS.pop())
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.keyed import with_defaults
+from vigil.operators.keyed import update_columns, with_defaults
+from vigil.session import remove, stored
 
 
 def write_events(
@@ -68,6 +71,75 @@ def append(rows: DataFrame, folder: str, schema: str, defaults: dict[str, object
     full.select(*columns).write.mode("append").parquet(folder)
 
 
-def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Catalog table bucketed by a join key; such tables join on it without a shuffle."""
-    rows.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_bucketed(
+    rows: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists", folder: str | None = None
+) -> DataFrame:
+    """Catalog table bucketed by a join key, in the given folder if any; such tables join on it without a shuffle."""
+    writer = rows.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if folder:
+        writer = writer.option("path", folder)
+    writer.saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
+# Rewriting single partitions in place.
+
+
+def in_partitions(table: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Rows of a laid-out table in the given partitions (distinct values of its folder columns, NULLs among them).
+
+    Other folders are not read: the planner prunes them by the broadcast values.  There are no more of them than
+    folders.
+    """
+    by = partitions.columns
+    named = partitions.select(*(F.col(c).alias(f"named_{c}") for c in by))
+    full, some_null = F.lit(True), F.lit(False)
+    for c in by:
+        full, some_null = full & F.col(f"named_{c}").isNotNull(), some_null | F.col(c).isNull()
+    same = [F.col(c) == F.col(f"named_{c}") for c in by]
+    rows = table.join(F.broadcast(named.filter(full)), same, "left_semi")
+    same_null = [F.col(c).eqNullSafe(F.col(f"named_{c}")) for c in by]
+    return rows.unionByName(table.filter(some_null).join(F.broadcast(named.filter(~full)), same_null, "left_semi"))
+
+
+def overwrite_partitions(rows: DataFrame, folder: str, asked: DataFrame, order: Sequence[str] = ()) -> None:
+    """Replace the partitions ``asked`` for, and those that ``rows`` have, by ``rows``; other files stay as they are.
+
+    Asked partitions without rows disappear.  ``rows`` must not be read from the folder: pass a stored copy.
+    """
+    spark, by = rows.sparkSession, asked.columns
+    found = stored(rows.select(*by).distinct(), "partitions-written")
+    same = [F.col(c).eqNullSafe(F.col(f"found_{c}")) for c in by]
+    empty = asked.join(found.select(*(F.col(c).alias(f"found_{c}") for c in by)), same, "left_anti")
+    files = spark.read.parquet(folder).select(*by, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("path"))
+    left = in_partitions(files, empty).select("path").distinct()
+    gone = [r.path for r in left.collect()]  # one path for each partition that disappears
+    (
+        rows.repartitionByRange(*by, *order)
+        .sortWithinPartitions(*by, *order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(folder)
+    )
+    for path in gone:
+        remove(spark, path)
+
+
+def update_partitions(spark: SparkSession, folder: str, updates: DataFrame, key: str, by: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Set columns of a laid-out table for the keys of ``updates``, rewriting only partitions that hold such keys.
+
+    An update of a folder column moves its rows: the partitions that they come to are rewritten with them.  Returns
+    the rewritten partitions (values of ``by``).
+    """
+    table = spark.read.parquet(folder)
+    keys = stored(updates, "updates")
+    held = table.join(keys.select(key).distinct(), key, "left_semi").select(key, *by)
+    touched = held.select(*by).distinct()
+    if set(by) & set(updates.columns):
+        moved = update_columns(held, keys.select(key, *(c for c in updates.columns if c in by)), key)
+        touched = touched.unionByName(moved.select(*by).distinct()).distinct()
+    touched = stored(touched, "partitions-touched")
+    rows = stored(update_columns(in_partitions(table, touched), keys, key), "partitions-updated")
+    overwrite_partitions(rows, folder, touched, order)
+    return touched

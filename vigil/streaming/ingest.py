@@ -1,7 +1,9 @@
 """Micro-batch jobs: score arriving transactions, log status changes.
 
 Every output lies in ``<store>/<name>/batch_id=<n>``.  A batch looks only at stored rows of smaller
-batch ids and overwrites its own folder, so a replayed batch writes the same rows again.
+batch ids and overwrites its own folder, so a replayed batch writes the same rows again.  A batch's
+last act is its mark in ``<store>/whole-<job>``; readers see only batches that have one, and so all
+outputs of a batch or none.
 """
 
 from __future__ import annotations
@@ -10,15 +12,17 @@ from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from vigil.functions.columns import decide
 from vigil.operators.activity import minute
 from vigil.operators.keyed import one_per_key, settled, update_columns
 from vigil.plans.decisions import arrival_outputs
 from vigil.plans.scoring import history_around, transaction_scores
+from vigil.session import exists, remove
 from vigil.sources.layout import write_transactions
 
 STORED_TRANSACTIONS = (
@@ -49,8 +53,37 @@ OUTPUT_SCHEMAS = {
 }
 
 
+SCORING, CHANGES = "scoring", "changes"
+JOBS = dict.fromkeys(OUTPUT_SCHEMAS, SCORING) | dict.fromkeys(("status_changes", "change_deltas", "change_refused"), CHANGES)
+MARK = "marked boolean, batch_id bigint"
+
+
+def whole_batches(spark: SparkSession, store: str, job: str) -> DataFrame:
+    """``batch_id`` of every batch of a job that wrote all its outputs."""
+    folder = f"{store}/whole-{job}"
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "batch_id bigint")
+    # The condition holds always; it tells the planner that these rows may prune the partitions of others.
+    return spark.read.schema(MARK).parquet(folder).filter("batch_id >= 0").select("batch_id")
+
+
+def _mark(spark: SparkSession, store: str, job: str, batch_id: int) -> None:
+    mark = spark.range(1).select(F.lit(True).alias("marked"))
+    mark.write.mode("overwrite").parquet(f"{store}/whole-{job}/batch_id={batch_id}")
+
+
+def _unmark(spark: SparkSession, store: str, job: str, batch_id: int) -> None:
+    """A batch that is written again is not whole until it has been."""
+    remove(spark, f"{store}/whole-{job}/batch_id={batch_id}")
+
+
 def read_output(spark: SparkSession, store: str, name: str) -> DataFrame:
-    return spark.read.schema(OUTPUT_SCHEMAS[name]).parquet(f"{store}/{name}")
+    """Rows of the whole batches of an output."""
+    if not exists(spark, f"{store}/{name}"):
+        return spark.createDataFrame([], OUTPUT_SCHEMAS[name])
+    rows = spark.read.schema(OUTPUT_SCHEMAS[name]).parquet(f"{store}/{name}")
+    # One row a batch; the join leaves out the folders of other batches before they are read.
+    return rows.join(F.broadcast(whole_batches(spark, store, JOBS[name])), "batch_id", "left_semi").select(*rows.columns)
 
 
 def read_batch(spark: SparkSession, store: str, name: str, batch_id: int) -> DataFrame:
@@ -96,6 +129,17 @@ def _stored_before(
     return reduce(DataFrame.unionByName, (p.select(*columns) for p in parts)) if parts else None
 
 
+def _judged(rows: DataFrame) -> DataFrame:
+    """Settled arrivals with ``reason``: why a row is refused, NULL where it is not."""
+    return rows.withColumn(
+        "reason",
+        F.when(F.col("conflict"), "conflicting repeat")
+        .when(~F.col("status").eqNullSafe("PENDING"), "not pending")
+        .when(F.col("held").isNull(), "unknown account")
+        .when(F.col("known"), "already stored"),
+    )
+
+
 def score_batch(
     batch: DataFrame,
     batch_id: int,
@@ -107,11 +151,12 @@ def score_batch(
     """Score one batch of arrivals against what is stored and against itself.
 
     Arrivals are new, PENDING and of a known account; others go to ``refused``, as do all rows of an id
-    whose rows differ.  Ids are looked for among all stored rows, whatever their day; the batch's smallest
-    and largest id let the scan skip files.  Later batches do not rescore rows.
+    whose rows differ.  For a batch that comes without a stream, ids are looked for among all stored rows,
+    whatever their day; the batch's smallest and largest id let the scan skip files.  Later batches do not
+    rescore rows.
     """
     spark = batch.sparkSession
-    batch, judged = batch.persist(), None
+    batch = batch.persist()
     try:
         keys = accounts.select("account_id", F.lit(True).alias("held"))
         judged = settled(batch, "transaction_id").join(keys, "account_id", "left")
@@ -120,36 +165,94 @@ def score_batch(
             least, most = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
             seen = before.filter(F.col("transaction_id").between(least, most)).select("transaction_id")
             judged = judged.join(seen.distinct().withColumn("known", F.lit(True)), "transaction_id", "left")
-            before = history_around(batch, before, accounts)
         else:
             judged = judged.withColumn("known", F.lit(None).cast("boolean"))
-        judged = judged.withColumn(
-            "reason",
-            F.when(F.col("conflict"), "conflicting repeat")
-            .when(~F.col("status").eqNullSafe("PENDING"), "not pending")
-            .when(F.col("held").isNull(), "unknown account")
-            .when(F.col("known"), "already stored"),
-        ).persist()
-        fresh = judged.filter("reason IS NULL").select(*batch.columns)
-        others = [c for c in fresh.columns if c not in ("transaction_id", "risk_score", "status")]
-        decided = (
-            transaction_scores(fresh, accounts, before, others)
-            .drop("customer_id", "daily_volume", "recent_count")
-            .withColumn("status", decide(F.col("risk_score")))
-            .withColumn("tx_date", F.to_date("transaction_at"))
-        )
-        _write(decided, store, "transactions", batch_id, by="tx_date")
-
-        # The rest derives from the rows just written, not from a second computation of them.
-        own = read_batch(spark, store, "transactions", batch_id)
-        for name, rows in arrival_outputs(own, as_of)._asdict().items():
-            _write(rows, store, name, batch_id)
-        refused = judged.filter("reason IS NOT NULL").select("transaction_id", "status", "reason")
-        _write(refused, store, "refused", batch_id)
+        _score(judged, batch.columns, batch_id, accounts, before, store, as_of)
     finally:
         batch.unpersist()
-        if judged is not None:
-            judged.unpersist()
+
+
+def _score(
+    settled_rows: DataFrame, columns: list[str], batch_id: int, accounts: DataFrame, before: DataFrame | None, store: str, as_of: str
+) -> None:
+    """Write all outputs of one batch of settled arrivals, and its mark."""
+    spark = settled_rows.sparkSession
+    _unmark(spark, store, SCORING, batch_id)
+    # Written first: the state of a stream must be computed once, and all outputs derive from these rows.
+    folder = f"{store}/judged/batch_id={batch_id}"
+    rows = _judged(settled_rows)
+    rows.write.mode("overwrite").parquet(folder)
+    judged = spark.read.schema(rows.schema).parquet(folder)
+    fresh = judged.filter("reason IS NULL").select(*columns)
+    if before is not None:
+        before = history_around(fresh, before, accounts)
+    others = [c for c in columns if c not in ("transaction_id", "risk_score", "status")]
+    decided = (
+        transaction_scores(fresh, accounts, before, others)
+        .drop("customer_id", "daily_volume", "recent_count")
+        .withColumn("status", decide(F.col("risk_score")))
+        .withColumn("tx_date", F.to_date("transaction_at"))
+    )
+    _write(decided, store, "transactions", batch_id, by="tx_date")
+
+    # The rest derives from the rows just written, not from a second computation of them.
+    own = read_batch(spark, store, "transactions", batch_id)
+    for name, output in arrival_outputs(own, as_of)._asdict().items():
+        _write(output, store, name, batch_id)
+    refused = judged.filter("reason IS NOT NULL").select("transaction_id", "status", "reason")
+    _write(refused, store, "refused", batch_id)
+    _mark(spark, store, SCORING, batch_id)
+    remove(spark, folder)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _settling(columns: list[str]):
+    """Stateful processor that settles the arrivals of an id and remembers which ids were stored.
+
+    Built here, so that it reaches the workers with the query and they need nothing of this package.
+    """
+
+    class Settling(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.stored = handle.getValueState("stored", "since boolean")
+
+        def handleInputRows(self, key, rows, timers):
+            least, conflict = None, False
+            order = lambda row: [(value is not None, value) for value in row]
+            for row in rows:  # one row is held, whatever number of repeats arrives
+                if least is None:
+                    least = row
+                elif row != least:
+                    conflict = True
+                    least = min(least, row, key=order)
+            known = self.stored.exists()
+            if not known and not conflict and least["status"] == "PENDING" and least["held"]:
+                self.stored.update((True,))
+            yield Row(**{c: least[c] for c in [*columns, "held"]}, conflict=conflict, known=known)
+
+        def handleInitialState(self, key, row, timers) -> None:
+            self.stored.update((True,))
+
+        def close(self) -> None:
+            pass
+
+    return Settling()
+
+
+def settled_stream(arrivals: DataFrame, accounts: DataFrame, base: Base | None = None) -> DataFrame:
+    """A stream's arrivals, one row an id in every batch, with ``held``, ``conflict`` and ``known``.
+
+    Whether an id was stored is kept as state of the id, so a batch looks up its own ids alone, whatever the
+    store holds.  The ids of a base that the stream begins with become state once, in its first batch.
+    """
+    columns = arrivals.columns
+    held = arrivals.join(accounts.select("account_id", F.lit(True).alias("held")), "account_id", "left").select(*columns, "held")
+    kind = StructType([*held.schema.fields, StructField("conflict", BooleanType()), StructField("known", BooleanType())])
+    initial = base.transactions.select("transaction_id").distinct().groupBy("transaction_id") if base else None
+    return held.groupBy("transaction_id").transformWithState(_settling(columns), kind, "Append", "None", initial)
 
 
 def compact(spark: SparkSession, store: str, batches: int, folder: str) -> Base:
@@ -167,7 +270,13 @@ def _start(
         "checkpointLocation", f"{store}/checkpoint-{name}"
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKS_DB)  # a query takes the setting with it when it starts
+    try:
+        return writer.trigger(**trigger).start()
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def start_scoring(
@@ -181,13 +290,15 @@ def start_scoring(
     """Score a stream of arriving transactions; outputs are read with ``read_output``.
 
     Runs on at the given interval (``every="1 minute"``), or else stops when all that is available
-    has been read.
+    has been read.  Which ids are stored is the stream's own state, kept in its checkpoint; rows are refused
+    as in ``score_batch``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, accounts, store, as_of, base)
+        before = _stored_before(batch.sparkSession, store, batch_id, base)
+        _score(batch, arrivals.columns, batch_id, accounts, before, store, as_of)
 
-    return _start(arrivals, store, "scoring", run, every)
+    return _start(settled_stream(arrivals, accounts, base), store, SCORING, run, every)
 
 
 def ledger_balances(accounts: DataFrame, deltas: DataFrame) -> DataFrame:
@@ -293,6 +404,7 @@ def log_changes_batch(
     ``change_deltas`` if ``base`` has account_id and amount.
     """
     spark = batch.sparkSession
+    _unmark(spark, store, CHANGES, batch_id)
     ids = batch.select("transaction_id").distinct()
     money = [c for c in ("account_id", "amount") if c in base.columns]
     known = base.select("transaction_id", "status", *money).join(ids, "transaction_id", "left_semi")
@@ -336,6 +448,7 @@ def log_changes_batch(
                 "transaction_id", "account_id", (-F.col("amount")).cast("decimal(15,2)").alias("delta")
             )
             _write(taken, store, "change_deltas", batch_id)
+        _mark(spark, store, CHANGES, batch_id)
     finally:
         changes.unpersist()
 
@@ -353,4 +466,4 @@ def start_change_log(
     def run(batch: DataFrame, batch_id: int) -> None:
         log_changes_batch(batch, batch_id, base, store, logged, compacted)
 
-    return _start(changes, store, "changes", run, every)
+    return _start(changes, store, CHANGES, run, every)
