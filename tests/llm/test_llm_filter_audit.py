@@ -87,7 +87,7 @@ def test_empty_tables(spark, nothing, odd, plain):
     assert plain(filter_audit.audit(odd, none), *COLUMNS) == plain_audit(_rows(odd), [])
 
 
-@pytest.mark.parametrize("trie_bytes", [300, 20_000, 32 << 20])
+@pytest.mark.parametrize("trie_bytes", [300, 20_000, 16 << 20])
 def test_hot_copies_and_long_shared_prefixes(spark, plain, monkeypatch, trie_bytes):
     """A third are copies of one text, a third share 5,000 characters, some are prefixes of others."""
     monkeypatch.setattr(filter_audit, "TRIE_BYTES", trie_bytes)

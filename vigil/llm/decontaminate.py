@@ -61,7 +61,7 @@ KEPT_BLOCKS = 8
 #: Feature rows that a partial product sends as one block, passages multiplied at a time, products added at a time, and
 #: coded words from which a further task is worth the product that it sends (four times its bytes).
 ROWS = 4_096
-PASSAGES = 32
+PASSAGES = 64
 ADDED = 32
 TASK_WORDS = 4 * FEATURES * SKETCH * 4 // 2
 #: Words searched at a time, and bytes hashed at a time.
@@ -242,14 +242,21 @@ def _sketch(weights) -> "callable":
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((FEATURES, SKETCH), dtype=np.float64)
+        recent = np.zeros((FEATURES, SKETCH), dtype=np.float32)
         column, sign = _test_matrix()
-        for batch in batches:
+        places = np.zeros(FEATURES, dtype=np.int64)
+        for number, batch in enumerate(batches, 1):
             for row, feature, value in _passages([np.frombuffer(x, np.uint16) for x in batch["codes"]], weights.value):
                 size = int(row[-1]) + 1
                 drawn = np.bincount(row * SKETCH + column[feature], value * sign[feature], minlength=size * SKETCH)
-                used, at = np.unique(feature, return_inverse=True)
-                turned = np.bincount(at * size + row, value, minlength=len(used) * size)
-                total[used] += turned.reshape(-1, size).astype(np.float32) @ drawn.reshape(size, SKETCH).astype(np.float32)
+                used = np.flatnonzero(np.bincount(feature, minlength=FEATURES))
+                places[used] = np.arange(len(used))
+                turned = np.bincount(places[feature] * size + row, value, minlength=len(used) * size)
+                recent[used] += turned.reshape(-1, size).astype(np.float32) @ drawn.reshape(size, SKETCH).astype(np.float32)
+            if number % 16 == 0:  # single precision holds the sums of some batches
+                total += recent
+                recent[:] = 0
+        total += recent
         group = TaskContext.get().partitionId() // ADDED
         for start in range(0, FEATURES, ROWS):
             block = total[start : start + ROWS]
@@ -314,8 +321,19 @@ class Text:
         return self._words
 
 
-def windows(texts: list[Text], space: Space) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Windows of many texts at a time: by span, the text and first word of every window, and its unit vector.
+class Windows(NamedTuple):
+    """Windows of one span: the text and first word of each, its vector and that vector's norm, and whether it is one
+    (not cut off by the end of a text that has a whole window)."""
+
+    text: np.ndarray
+    word: np.ndarray
+    vectors: np.ndarray
+    norm: np.ndarray
+    whole: np.ndarray
+
+
+def windows(texts: list[Text], space: Space) -> Iterator[dict[int, Windows]]:
+    """Windows of many texts at a time, by span.
 
     A window is as long as its span; of a shorter text, all of it.  Long texts go in pieces that overlap by the longest
     span.
@@ -336,7 +354,7 @@ def windows(texts: list[Text], space: Space) -> Iterator[dict[int, tuple[np.ndar
         yield _windows(waiting, space)
 
 
-def _windows(pieces: list[tuple[int, int, np.ndarray]], space: Space) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _windows(pieces: list[tuple[int, int, np.ndarray]], space: Space) -> dict[int, Windows]:
     steps = np.array([-(-len(codes) // STEP) for *_, codes in pieces])
     ends = np.cumsum(steps)
     padded = np.full(ends[-1] * STEP, FEATURES, np.int32)
@@ -353,14 +371,13 @@ def _windows(pieces: list[tuple[int, int, np.ndarray]], space: Space) -> dict[in
     found, width = {}, 1
     for span in SPANS:
         while width * STEP < span:  # windows of twice the width from neighbours
-            on = np.flatnonzero(left > width)
             longer = sums.copy()
-            longer[on] += sums[on + width]
+            longer[:-width] += sums[width:]
+            alone = np.flatnonzero(left <= width)
+            longer[alone] = sums[alone]
             sums, width = longer, 2 * width
-        whole = np.flatnonzero((left >= width) | (np.arange(len(sums)) == begin))
-        unit = sums[whole]
-        unit /= np.maximum(np.sqrt(np.einsum("ij,ij->i", unit, unit)), 1e-9)[:, None]
-        found[span] = text[whole], word[whole], unit
+        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)
+        found[span] = Windows(text, word, sums, norm, (left >= width) | (np.arange(len(sums)) == begin))
     return found
 
 
@@ -433,16 +450,17 @@ class Items:
             return
         for found in windows(texts, space):
             for span, (which, part, matrix) in self.by_span.items():
-                text, word, unit = found[span]
-                similar = unit @ matrix.T
-                # A run of overlapping windows is one candidate, at its best window.
-                at, column = np.divmod(np.flatnonzero(similar >= MIN_COSINE), len(which))
+                text, word, vectors, norm, whole = found[span]
+                similar = vectors @ matrix.T
+                at, column = np.divmod(np.flatnonzero(similar >= MIN_COSINE * norm[:, None]), len(which))
+                at, column = at[whole[at]], column[whole[at]]
                 if not len(at):
                     continue
-                peak, last = similar[at, column], len(similar) - 1
-                before, behind = np.maximum(at - 1, 0), np.minimum(at + 1, last)
-                below = (at > 0) & (text[before] == text[at]) & (similar[before, column] >= peak)
-                below |= (at < last) & (text[behind] == text[at]) & (similar[behind, column] > peak)
+                # A run of overlapping windows is one candidate, at its best window.
+                cosine = lambda place, other, s=similar, n=norm: s[place, other] / n[place]
+                peak, before, behind = cosine(at, column), np.maximum(at - 1, 0), np.minimum(at + 1, len(norm) - 1)
+                below = (before < at) & whole[before] & (text[before] == text[at]) & (cosine(before, column) >= peak)
+                below |= (behind > at) & whole[behind] & (text[behind] == text[at]) & (cosine(behind, column) > peak)
                 at, column, peak = at[~below], column[~below], peak[~below]
                 yield from zip(text[at].tolist(), which[column].tolist(), peak.tolist(), (word[at] - part[column]).tolist(), strict=True)
 

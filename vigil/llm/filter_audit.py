@@ -30,7 +30,7 @@ from vigil.llm.shared import shuffle_partitions, stored, whole_text
 
 FILTERS = "ABCDE"
 #: Text bytes that a trie holds at most, but for texts of a single prefix that all end there.
-TRIE_BYTES = 32 << 20
+TRIE_BYTES = 16 << 20
 #: Characters of the shortest prefix, and bytes that a text counts for besides its own.
 PREFIX = 16
 NODE_BYTES = 128
@@ -142,7 +142,7 @@ def _local_tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, node in trie.traverse(texts=True):
             rows.append({"entry": node.entries[0], "least": node.least, "text": text.decode()})
             size += len(text)
-            if size > 4 << 20:
+            if size > 1 << 20:
                 yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
                 rows, size = [], 0
         if rows:
