@@ -6,23 +6,28 @@ the smallest id is a ``response``, the others are ``revisit`` records that refer
 
 Reading: files are cut into splits of ``SPLIT`` bytes.  A task looks for the magic of a record in its split, parses
 what it finds there, and gives each candidate's offset, its successor's offset and where the chain of candidates
-leaves the split.  Payloads may hold the magic, even whole records, so a candidate counts only if the chain from the
-start of the file reaches it.  That is found by pointer jumping over the offsets at which chains enter splits:
-in each round the reached set takes one jump and all jumps double, so a file of n splits takes log2(n) rounds.  Within
-a split the chain is followed from its entry.
+leaves the split or stops.  Any well-formed record is a candidate, whatever its type or digest.  Payloads may hold the
+magic, even whole records, so a candidate counts only if the chain from the start of the file reaches it.  That is
+found by pointer jumping over the offsets at which chains enter splits: in each round the reached set takes one jump
+and all jumps double, so a file of n splits takes log2(n) rounds.  Within a split the chain is followed from its
+entry.  A chain must end at its file's last byte.  Where one stops before, at a damaged or cut off record, the file and
+the offset are reported, and reading fails unless it is asked for what could be reached.
 
 Null html counts as empty.  Pages with a null id are responses and nothing refers to them.  Pages that share the
-smallest id of equal payloads are all responses.  Line ends in a url are escaped, a null url is left out.  An empty
-table makes no files.  Other columns are ignored.
+smallest id of equal payloads are all responses.  Line ends in a url are escaped, a null url is left out.  Payloads
+and headers of any length are read whole.  An empty table makes no files, and an empty file holds no records.  Other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -44,7 +49,7 @@ END = b"\r\n\r\n"
 GZIP = b"\x1f\x8b\x08"
 
 MANIFEST = "file string, length long"
-RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, intact boolean"
 CANDIDATE = f"file string, split long, offset long, next long, exit long, {RECORD}"
 
 
@@ -79,25 +84,39 @@ def _fields(head: bytes) -> dict[bytes, bytes]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
 
 
+def _agrees(declared: str, payload: bytes) -> bool:
+    """Whether a labelled digest, in hexadecimal or base 32, is the payload's; one of an unknown kind is not judged."""
+    kind, _, value = declared.partition(":")
+    if kind.lower() not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    digest = hashlib.new(kind.lower(), payload).digest()
+    return value.lower() == digest.hex() or value.upper() == base64.b32encode(digest).decode()
+
+
 def parsed(data: bytes) -> tuple | None:
-    """Columns of ``RECORD`` from a whole record, or None if it isn't one."""
+    """Columns of ``RECORD`` from a well-formed record of any type, or None if it isn't one.
+
+    The payload is what follows the HTTP header, or else the whole block.  ``payload_digest`` is its SHA-256; of a
+    revisit, which has no payload, digest and length are those declared.  ``intact`` is false where the declared
+    digest or length is not the payload's.
+    """
     head, found, rest = data.partition(END)
     if not found or not head.startswith(b"WARC/1."):
         return None
     fields = _fields(head)
     if not fields.get(b"content-length", b"").isdigit() or len(rest) != int(fields[b"content-length"]) + len(END) or not rest.endswith(END):
         return None
-    http, found, payload = rest[: -len(END)].partition(END)
-    length = _fields(http).get(b"content-length", b"")
-    digest = fields.get(b"warc-payload-digest", b"").removeprefix(b"sha256:").decode("ascii", "replace")
-    kind = fields.get(b"warc-type", b"").decode("ascii", "replace")
-    if not found or not length.isdigit() or kind not in ("response", "revisit"):
-        return None
-    if kind == "response":
-        if len(payload) != int(length) or hashlib.sha256(payload).hexdigest() != digest:
-            return None
+    text = lambda name: fields.get(name, b"").decode("utf-8", "replace")
     number = lambda name: int(fields[name]) if fields.get(name, b"").isdigit() else None
-    return number(b"x-page-id"), int(length), digest, kind, number(b"x-refers-to-page-id")
+    kind, declared, payload, length = text(b"warc-type"), text(b"warc-payload-digest"), rest[: -len(END)], None
+    if text(b"content-type").startswith("application/http"):
+        http, _, payload = payload.partition(END)
+        length = _fields(http).get(b"content-length", b"").decode("ascii", "replace")
+    if kind == "revisit":
+        size, digest, intact = int(length) if length and length.isdigit() else None, declared.removeprefix("sha256:") or None, True
+    else:
+        size, digest, intact = len(payload), hashlib.sha256(payload).hexdigest(), _agrees(declared, payload)
+    return number(b"x-page-id"), size, digest, kind, number(b"x-refers-to-page-id"), text(b"warc-target-uri") or None, intact
 
 
 class _Part:
@@ -142,8 +161,10 @@ class _Part:
                 return None
 
     def _plain(self, at: int) -> tuple[int, bytes] | None:
-        while (stop := self.data.find(END, at)) < 0:
-            if len(self.data) - at > 1 << 16 or not self.extend(1 << 16):
+        searched = at
+        while (stop := self.data.find(END, searched)) < 0:
+            searched = max(at, len(self.data) - len(END))
+            if not self.extend(1 << 16):
                 return None
         length = _fields(self.data[at:stop]).get(b"content-length", b"")
         if not length.isdigit():
@@ -167,10 +188,7 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             exits: dict[int, int] = {}
             for offset in sorted(found, reverse=True):
                 following = found[offset][0]
-                if following < row.end:  # a chain that ends at no record within the split leads nowhere
-                    exits[offset] = exits.get(following, -1)
-                else:
-                    exits[offset] = following
+                exits[offset] = exits.get(following, following)  # beyond the split, or where no record follows
             rows = [(row.file, row.split, o, x[0], exits[o], *x[1:]) for o, x in found.items()]
             table = pd.DataFrame(rows, columns=[x.split()[0] for x in CANDIDATE.split(", ")])
             yield table.astype({"page_id": "Int64", "refers_to": "Int64"})
@@ -187,10 +205,10 @@ def _follow(group: pd.DataFrame) -> pd.DataFrame:
     return group.loc[group["offset"].isin(reached), [x.split()[0] for x in RECORD.split(", ")]]
 
 
-def _entries(candidates: DataFrame, splits: int) -> DataFrame:
-    """``file, offset`` at which the chains from the files' starts enter splits."""
-    starts = candidates.select("file", F.lit(0).cast("long").alias("at")).distinct()
-    targets = starts.union(candidates.where("exit >= 0").select("file", F.col("exit").alias("at"))).distinct()
+def _entries(candidates: DataFrame, files: DataFrame, splits: int) -> DataFrame:
+    """``file, at``: where the chains from the files' starts enter splits, and where they end."""
+    starts = files.select("file", F.lit(0).cast("long").alias("at")).distinct()
+    targets = starts.union(candidates.select("file", F.col("exit").alias("at"))).distinct()
     jumps = stored(
         targets.join(candidates.select("file", F.col("offset").alias("at"), F.col("exit").alias("to")), ["file", "at"]), "warc-jumps"
     )
@@ -248,21 +266,52 @@ def write_archives(pages: DataFrame, folder: str | None = None, compress: bool =
     return folder
 
 
-def read_archives(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
-    """Columns of ``RECORD`` for every record that the files' chains reach."""
-    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
-    splits = files.select("file", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"))
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """Archives below a path, made by whomever: ``file, length``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.warc*").load(path)
+    return files.select(F.col("path").alias("file"), "length")
+
+
+class Archives(NamedTuple):
+    """Records that chains reach, and where chains stop before the end of their file."""
+
+    records: DataFrame
+    broken: DataFrame
+
+
+def scan_archives(files: DataFrame, split: int = SPLIT) -> Archives:
+    """Columns of ``RECORD`` for every record that the chains of ``files`` (file, length) reach; ``broken`` has the
+    ``file``, its ``length`` and the ``offset`` at which no record could be read."""
+    spark = files.sparkSession
+    splits = files.where("length > 0").select(
+        "file", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start")
+    )
     splits = splits.select(
         "file", (F.col("start") / split).cast("long").alias("split"), "start", F.least("length", F.col("start") + split).alias("end")
     )
     most = (splits.agg(F.max("split")).first()[0] or 0) + 1
     dealt = splits.repartition(max(1, min(splits.count(), 4 * spark.sparkContext.defaultParallelism)), "file", "start")
     candidates = stored(dealt.mapInPandas(_candidates, CANDIDATE), "warc-candidates")
-    entries = _entries(candidates, most).select("file", F.col("at").alias("offset"), F.lit(True).alias("entry"))
-    flagged = candidates.join(entries, ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
-    return flagged.groupBy("file", "split").applyInPandas(_follow, RECORD)
+    entries = _entries(candidates, files, most)
+    marks = entries.select("file", F.col("at").alias("offset"), F.lit(True).alias("entry"))
+    flagged = candidates.join(marks, ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
+    ends = entries.withColumnRenamed("at", "offset").join(candidates.select("file", "offset"), ["file", "offset"], "left_anti")
+    broken = ends.join(files.select("file", "length"), "file").where("offset != length").select("file", "length", "offset")
+    return Archives(flagged.groupBy("file", "split").applyInPandas(_follow, RECORD), broken)
+
+
+def read_archives(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
+    """All records of the archives that ``write_archives`` put into a folder; fails where one can't be read."""
+    found = scan_archives(spark.read.schema(MANIFEST).parquet(f"{folder}/manifest"), split)
+    stops = found.broken.orderBy("file", "offset").limit(5).collect()
+    if stops:
+        raise ValueError("no record at " + ", ".join(f"{r.offset} of {r.length} in {r.file}" for r in stops))
+    return found.records
 
 
 def archive(pages: DataFrame, **how) -> DataFrame:
-    """Write and read back."""
-    return read_archives(pages.sparkSession, write_archives(pages, **how))
+    """Write pages and read their records back."""
+    found = read_archives(pages.sparkSession, write_archives(pages, **how))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    checked = F.when(F.col("intact"), F.col("payload_digest")).otherwise(damaged.cast("string"))
+    return found.withColumn("payload_digest", checked).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
