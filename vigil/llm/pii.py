@@ -2,22 +2,25 @@
 
 Generators are regular expressions that run in the JVM.  Those of ``BASE`` give every match that passes its check
 (octets, Luhn, number of digits).  Those of ``LOOSE`` propose further spans, which may overlap: numbers of
-telephones without a country code, addresses written out, social security and bank account numbers.
-
-A candidate has features of its format (lengths, digits, separators, checks) and of its context (words before it,
-neighbouring characters).  Boosted trees are trained on loose candidates of this corpus, since only those are scored, with
-weak labels: positive are those with a word in their context that names the kind and none that speaks against it.  The
-sample has about ``TRAIN_ROWS`` candidates of each kind, or all where there are fewer, by hash of doc_id, place and match.
-All loose candidates are scored, and each kind has its threshold from all of its candidates: the lowest score, to
-``SCORE_DIGITS`` digits, at which ``PRECISION`` of those from there up are positive.  Loose candidates from there on become
-spans, unless a base span of their kind overlaps them.  Base spans always stay.
+telephones without a country code, addresses written out, social security and bank account numbers, and long strings
+that may be keys or passwords.
+
+A loose candidate has a label and features that share nothing.  The label (``valid``) is a check of the characters of
+the match (number ranges, check digits, top-level domains, mixed characters), and that no word before it names
+another kind of number, such as an order's.  The features are its shape (length, separators, brackets) and its context
+(words that name its kind, assignment signs, quotes, neighbouring characters); none holds what the label looks at.  Boosted trees trained on loose candidates of this corpus so learn in which shape and
+context a generator's matches are real.  The sample has about ``TRAIN_ROWS`` candidates of each kind, or all where there
+are fewer, by hash of doc_id, place and match.  All loose candidates are scored, and each kind has its threshold from all of
+its candidates: the lowest score, to ``SCORE_DIGITS`` digits, at which ``PRECISION`` of those from there up are valid.
+Loose candidates from there on become spans, unless a base span of their kind overlaps them.  Base spans always stay.
 
 Everything is DataFrame and SQL functions.  Matches are placed by running sums over the lengths between them, so
 a text with very many matches costs a sort, and every pattern takes linear time and constant stack.
 
-Positions are code points, ends exclusive.  Null text counts as empty.  Rows are treated one by one, whether or not they
-repeat or share doc_id.  Where all drawn candidates have one label, that is the score of all; a kind that never reaches the precision
-adds nothing to the base.  Other columns are ignored.
+Positions are code points, ends exclusive.  Null text counts as empty.  Texts of any length are searched whole.  Rows are
+treated one by one, whether or not they repeat or share doc_id.  Where all drawn candidates have one label, that is
+the score of all; a kind that never reaches the precision adds nothing to the base.  An empty table gives no rows.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,10 +51,20 @@ LOOSE = {
     "phone": r"(?<![A-Za-z0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=@-])",
+}
+#: Patterns that the characters of a match must follow to be valid.
+VALID = {
+    "email": r"(?i)(?:\.|dot\x20?|\[dot\]|\(dot\)|dot\x20)\x20?(?:com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us)$",
+    "phone": r"^\(?[2-9][0-9]{2}\)?[\x20.-]*[2-9][0-9]{2}",
+    "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+    "secret": r"^(?=.*[0-9].*[0-9].*[0-9])(?=.*[A-Za-z].*[A-Za-z].*[A-Za-z])",
 }
+#: Different characters that a valid key or password has at least.
+SECRET_CHARACTERS = 10
 #: What a text must hold for a pattern to be tried.
 HINTS = {"email": "@", "phone": "+"}
-ORDER = ["email", "ip", "card", "phone", "ssn", "iban"]
+ORDER = ["email", "ip", "card", "phone", "ssn", "iban", "secret"]
 NAMES = {
     "email": r"mail|contact|write",
     "ip": r"\bip\b|address|host|server",
@@ -59,6 +72,7 @@ NAMES = {
     "phone": r"phone|\btel|call|mobile|fax",
     "ssn": r"\bssn\b|social|security",
     "iban": r"iban|bank|account",
+    "secret": r"token|secret|\bkey|passw|credential|auth",
 }
 AGAINST = r"order|version|invoice|item|total|isbn|page|\bid\b"
 
@@ -68,7 +82,7 @@ def _matches(text: Column, kind: str, pattern: str, loose: bool) -> Column:
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     hint = HINTS.get(kind)
     if loose:
-        possible = text.rlike(r"(?i)[\[( ]at[\]) ]") if kind == "email" else text.rlike("[0-9]{2}")
+        possible = text.rlike(r"(?i)[\[( ]at[\]) ]" if kind == "email" else "[A-Za-z0-9+/_-]{20}" if kind == "secret" else "[0-9]{2}")
     else:
         possible = text.contains(hint) if hint else text.rlike("[0-9]{2}|[0-9][.\\x20-][0-9]")
     gaps = F.split(text, pattern, -1)
@@ -141,26 +155,42 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found.select("row", "doc_id"), placed
 
 
+def _mod_97() -> Column:
+    """Whether the check digits of ``hit`` are those of a bank account: its characters as one number, the first four last."""
+    return F.expr(
+        "aggregate(split(concat(substring(regexp_replace(hit, ' ', ''), 5), left(hit, 4)), ''), 0,"
+        " (a, c) -> if(c = '', a, (a * if(c < 'A', 10, 100) + if(c < 'A', ascii(c) - 48, ascii(c) - 55)) % 97)) = 1"
+    )
+
+
+def valid() -> Column:
+    """The label of a loose candidate: its characters pass their check, and it isn't called something else."""
+    checks = {k: F.col("hit").rlike(pattern) for k, pattern in VALID.items()} | {"iban": _mod_97()}
+    checks["secret"] = checks["secret"] & (F.size(F.array_distinct(F.split("hit", ""))) >= SECRET_CHARACTERS)
+    label = F.lit(False)
+    for kind, check in checks.items():
+        label = label | ((F.col("kind") == kind) & check)
+    return F.coalesce(label & ~F.lower("before").rlike(AGAINST), F.lit(False)).cast("double")
+
+
 def features() -> dict[str, Column]:
-    """Format and context of a candidate as numbers."""
+    """Shape and context of a candidate as numbers; nothing that ``valid`` looks at."""
     hit, before = F.col("hit"), F.lower("before")
     number = lambda pattern: F.regexp_count(hit, F.lit(pattern)).cast("double")
     named = F.lit(False)
     for kind, words in NAMES.items():
         named = named | ((F.col("kind") == kind) & before.rlike(words))
     flags = {
-        "luhn": _luhn(),
-        "octets": _octets(),
         "named": named,
-        "against": before.rlike(AGAINST),
+        "assigned": before.rlike(r"[=:]\s*[\"']?\z"),
+        "quoted": before.rlike(r"[\"']\z") & F.col("after").rlike(r"[\"']"),
         "after_letter": F.col("before").rlike(r"[A-Za-z0-9]\z"),
+        "after_sign": F.col("before").rlike(r"[^A-Za-z0-9\s]\z"),
         "before_letter": F.col("after").rlike("[A-Za-z0-9]"),
-        "plus": hit.startswith("+"),
+        "numbers_before": before.rlike("[0-9]"),
     }
     return {
         "length": F.length(hit).cast("double"),
-        "digits": number("[0-9]"),
-        "letters": number("[A-Za-z]"),
         "spaces": number("[\\x20-]"),
         "dots": number("[.]"),
         "brackets": number("[()\\[\\]]"),
@@ -176,13 +206,13 @@ def _vectors(rows: DataFrame) -> DataFrame:
 
 
 def scored(loose: DataFrame) -> DataFrame:
-    """Loose candidates with weak label and score, of trees trained on a bounded sample of every kind."""
+    """Loose candidates with label and score, of trees trained on a bounded sample of every kind."""
     sizes = {r["kind"]: r["count"] for r in loose.groupBy("kind").count().collect()}  # at most a row for each kind
     draw = F.pmod(F.xxhash64("doc_id", "kind", "start", "hit"), F.lit(1 << 62))
     drawn = F.lit(False)
     for kind, n in sorted(sizes.items()):
         drawn = drawn | ((F.col("kind") == kind) & (draw <= int(min(1.0, TRAIN_ROWS / n) * (1 << 62))))
-    label = (F.col("f_named") * (1 - F.col("f_against"))).alias("label")
+    label = valid().alias("label")
     sample = stored(_vectors(loose.where(drawn)).select("features", label), "pii-sample")
     labels = [r.label for r in sample.select("label").distinct().collect()]
     kept = ["row", "kind", "start", "end", label]
