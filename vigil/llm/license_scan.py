@@ -4,28 +4,33 @@ The automaton holds every word sequence of all phrases and templates.  A text st
 each word the state and the length of the longest match that ends there are its matching statistics.  A phrase ends
 where its state, or one whose suffix it is, is reached with enough length.  Matches that cannot be extended and have
 ``MIN_MATCH`` words or more are chained per template, in order in both, with gaps of at most ``MAX_GAP`` words; a
-chain that covers ``MIN_COVER`` of a template gives a span and the template's label.  Words outside the vocabulary
-reset the state, so only runs of known words are walked.
+chain that covers ``MIN_COVER`` of a template gives a span and the template's label.  Licences of one family share
+nearly all their words; a span counts only if just the words that tell its licence from its relatives stand in it or
+within ``MARGIN`` words of it.  Of spans that overlap, the one that covers the most words is kept.  Words outside
+the vocabulary reset the state, so only runs of known words are walked.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.  A text is taken in blocks with the state
 carried over, so its length is no matter.  Null counts as empty: no words, no label, score 0.  A text with a phrase has
-score 1, any other the best coverage of a template.  Rows are treated one by one; other columns are ignored.
+score 1, any other the best coverage of a template that no such word speaks against.  Rows are treated one by one; an
+empty table gives none.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vigil.llm.licenses import PHRASES, TEMPLATES
+from vigil.llm.licenses import FAMILIES, PHRASES, SYNONYMS, TEMPLATES
 from vigil.llm.shared import whole_text
 
 MIN_MATCH = 6
 MAX_GAP = 40
 MIN_COVER = 0.5
+MARGIN = 4
 BLOCK = 1 << 20
 
 _KEEP = bytes(
@@ -110,6 +115,15 @@ class Scanner:
             self.automaton.add(i, [self.number.setdefault(w, len(self.number)) for w in sequence])
         self.automaton.close()
         self.shortest = min(len(p) for p, _ in self.phrases)
+        #: For each licence of a family, the family's telling words and its own; and the words by their number.
+        self.own: dict[str, tuple[set[str], set[str]]] = {}
+        for members in FAMILIES.values():
+            every = set().union(*members.values())
+            self.own |= {label: (every, words) for label, words in members.items()}
+        telling = {w: w for every, _ in self.own.values() for w in every} | SYNONYMS
+        self.meaning = {self.number.setdefault(w.encode(), len(self.number)): x for w, x in telling.items()}
+        self.tells = np.zeros(len(self.number) + 1, dtype=bool)  # the last place is that of unknown words, -1
+        self.tells[list(self.meaning)] = True
         n = len(self.phrases)
         # Phrases that end in a state: those whose last word is among its ends and whose length it can have.
         self.phrase_at: list[list[tuple[int, int]]] = []
@@ -136,8 +150,10 @@ class Scanner:
         total, state, matched = 0, 0, 0
         places: list[tuple[int, str]] = []
         maximal: list[tuple[int, int, int]] = []  # end, words, state
+        told: list[tuple[int, str]] = []  # place and meaning of telling words
         for block in _blocks(data):
             known = np.fromiter([get(w, -1) for w in block], dtype=np.int32, count=len(block))
+            told += [(total + i, self.meaning[int(known[i])]) for i in np.flatnonzero(self.tells[known]).tolist()]
             if len(block) and known[0] < 0:
                 self._leave(maximal, total - 1, state, matched)
                 state = matched = 0
@@ -163,7 +179,7 @@ class Scanner:
                     state = matched = 0
             total += len(block)
         self._leave(maximal, total - 1, state, matched)
-        spans, best = self._chains(maximal)
+        spans, best = self._chosen(self._chains(maximal), told)
         return total, places, spans, best
 
     @staticmethod
@@ -171,17 +187,14 @@ class Scanner:
         if matched >= MIN_MATCH and (not maximal or maximal[-1] != (end, matched, state)):
             maximal.append((end, matched, state))
 
-    def _chains(self, maximal: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, str, float]], float]:
-        spans, best = [], 0.0
+    def _chains(self, maximal: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
+        """First word, end, label, coverage and covered words of every chain."""
+        chains = []
         open_: dict[int, list] = {}  # template: first word, end in text, end in template, covered words
 
         def close(template: int) -> None:
-            nonlocal best
             first, end, _, covered = open_.pop(template)
-            share = min(1.0, covered / len(self.templates[template][0]))
-            best = max(best, share)
-            if share >= MIN_COVER:
-                spans.append((first, end, self.templates[template][1], share))
+            chains.append((first, end, self.templates[template][1], min(1.0, covered / len(self.templates[template][0])), covered))
 
         for end, size, state in maximal:
             at: dict[int, list[int]] = {}
@@ -201,7 +214,24 @@ class Scanner:
                 open_[template] = [start, end + 1, ends[0], size]
         for template in list(open_):
             close(template)
-        return sorted(spans), best
+        return chains
+
+    def _refuted(self, first: int, end: int, label: str, told: list[tuple[int, str]]) -> bool:
+        """Whether a relative of the licence is meant: other telling words stand there than its own."""
+        if label not in self.own:
+            return False
+        every, own = self.own[label]
+        left, right = bisect.bisect_left(told, (first - MARGIN, "")), bisect.bisect_left(told, (end + MARGIN, ""))
+        return {word for _, word in told[left:right]} & every != own
+
+    def _chosen(self, chains: list, told: list[tuple[int, str]]) -> tuple[list[tuple[int, int, str, float]], float]:
+        meant = [c for c in chains if not self._refuted(*c[:3], told)]
+        kept: list[tuple[int, int, str, float]] = []  # in order, none overlaps another
+        for first, end, label, share, _ in sorted((c for c in meant if c[3] >= MIN_COVER), key=lambda c: (-c[4], -c[3], c)):
+            at = bisect.bisect_left(kept, (first, end, label, share))
+            if (at == 0 or kept[at - 1][1] <= first) and (at == len(kept) or end <= kept[at][0]):
+                kept.insert(at, (first, end, label, share))
+        return kept, max((c[3] for c in meant), default=0.0)
 
 
 def scanner() -> Scanner:
