@@ -12,16 +12,14 @@ from pyspark.sql import functions as F
 
 JUST_PAST_HOUR = "INTERVAL '3600.000001' SECOND"
 
-SALT = 16
-"""Parts in which the rows of one account meet it; the two columns of an account are repeated as often."""
-
 
 def with_customer(rows: DataFrame, accounts: DataFrame, how: str = "left") -> DataFrame:
-    """Rows with the ``customer_id`` of their account; a busy account's rows spread over ``SALT`` parts."""
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("part")
-    owners = accounts.select("account_id", "customer_id", parts)
-    salted = rows.withColumn("part", F.pmod(F.xxhash64("transaction_id"), F.lit(SALT)).cast("int"))
-    return salted.join(owners, ["account_id", "part"], how).drop("part")
+    """Rows with the ``customer_id`` of their account.
+
+    Accounts that fit are broadcast, by their size.  Else both sides are shuffled, and AQE splits the rows of a busy
+    account over several tasks, each of which gets the one row of the account.
+    """
+    return rows.join(accounts.select("account_id", "customer_id"), "account_id", how)
 
 
 def minute(at: str):

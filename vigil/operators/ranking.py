@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from vigil.session import stored
 
-SALT = 16
-"""Parts in which the rows of one value meet its rank."""
-
 
 def _split(counts: DataFrame, order) -> DataFrame:
     """Counts in stored ranges of values, each with what the ranges before it hold."""
@@ -36,13 +33,10 @@ def _split(counts: DataFrame, order) -> DataFrame:
     return ranges.join(F.broadcast(starts), "range")
 
 
-def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -> DataFrame:
-    """Add the RANK or DENSE_RANK of ``value`` in descending order, NULLs first.
+def value_ranks(rows: DataFrame, value: str, rank: str, dense: bool = False) -> DataFrame:
+    """``ranked_value`` and its RANK or DENSE_RANK in descending order, NULLs first, for every value of ``rows``.
 
-    Rows are counted per value, the counts are ranked range by range, and ranks are joined back by a
-    shuffle.  A common value, such as score 0, would make one task of that join hot, so each rank is
-    repeated for ``SALT`` parts of its rows.  ``rows`` are read several times, so they should be a
-    stored table.
+    Rows are counted per value, and the counts are ranked range by range.
     """
     order = F.col(value).desc_nulls_first()
     counts = _split(rows.groupBy(value).agg(F.count("*").alias("n")), order)
@@ -52,12 +46,15 @@ def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -
     else:
         above = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
         position = F.col("rows_before") + F.coalesce(above, F.lit(0)) + 1
-    ranks = counts.select(F.col(value).alias("ranked_value"), position.cast("bigint").alias(rank)).withColumn(
-        "ranked_part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-    )
-    part = F.pmod(F.xxhash64(*rows.columns), F.lit(SALT)).cast("int")
-    return (
-        rows.withColumn("row_part", part)
-        .join(ranks, F.col(value).eqNullSafe(F.col("ranked_value")) & (F.col("row_part") == F.col("ranked_part")), "left")
-        .drop("ranked_value", "ranked_part", "row_part")
-    )
+    return counts.select(F.col(value).alias("ranked_value"), position.cast("bigint").alias(rank))
+
+
+def rank_by_value(rows: DataFrame, value: str, rank: str, dense: bool = False) -> DataFrame:
+    """Add the RANK or DENSE_RANK of ``value``.
+
+    Ranks of few values are broadcast, by the size of their stored counts.  Else they are joined by a shuffle, in
+    which AQE splits the rows of a common value, such as score 0.  ``rows`` are read twice, so they should be a
+    stored table.
+    """
+    ranks = value_ranks(rows, value, rank, dense)
+    return rows.join(ranks, F.col(value).eqNullSafe(F.col("ranked_value")), "left").drop("ranked_value")

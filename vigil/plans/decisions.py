@@ -197,7 +197,7 @@ def process_pending(
         )
     else:
         decided = decided.withColumn("overdraft", F.lit(False))
-    accepted = stored(decided.filter("NOT overdraft").drop("over", "overdraft"), "accepted")
+    accepted = decided.filter("NOT overdraft").drop("over", "overdraft")
 
     done = accepted.select(
         "transaction_id", F.lit(True).alias("accepted"), F.col("status").alias("new_status"), "risk_score"

@@ -16,7 +16,7 @@ from vigil.functions.columns import (
     mean_risk_label,
     risk_label,
 )
-from vigil.operators.ranking import rank_by_value
+from vigil.operators.ranking import rank_by_value, value_ranks
 from vigil.operators.running import running_totals
 from vigil.session import stored
 
@@ -209,8 +209,9 @@ def customer_risk_ranking(profile: DataFrame) -> DataFrame:
     each rank reads it again.
     """
     profile = stored(profile, "risk-profile")
-    ranked = stored(rank_by_value(profile, "avg_risk_score", "risk_rank"), "risk-ranks")
-    return rank_by_value(ranked, "flagged_count", "flagged_rank", dense=True).select(
+    flagged = value_ranks(profile, "flagged_count", "flagged_rank", dense=True)
+    ranked = rank_by_value(profile, "avg_risk_score", "risk_rank")
+    return ranked.join(flagged, F.col("flagged_count").eqNullSafe(F.col("ranked_value")), "left").select(
         "customer_id",
         "full_name",
         "country_code",
