@@ -9,7 +9,10 @@ partner.  What the root decides goes down the same tree.
 Equal means: same SHA-256, same number of bytes and same 64-bit second hash; all three are keys of every merge,
 so an entry joins only entries that pass the check.
 
-Null text counts as empty.  A null ``doc_id`` is smaller than any other.  Rows that share ``doc_id`` and text
+A round sorts its entries again, so it depends on the runs' numbers but not on their order, and a lost part of a run
+can be written anew in any order.
+
+Null text counts as empty, texts of any length are hashed whole, and an empty table gives no rows.  A null ``doc_id`` is smaller than any other.  Rows that share ``doc_id`` and text
 are separate documents in the counts; exactly one of them can be kept.  Other columns are ignored.
 """
 

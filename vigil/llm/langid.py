@@ -6,8 +6,8 @@ numbers and checked.  Scoring is sparse and in batches: the rows of a block's n-
 text in numpy.
 
 A text that is null or has no letter gets ``und`` and score 0.  Without any labelled text every prediction is
-``und``.  Ties go to the language that sorts first.  Rows, repeated or not, are scored one by one; all columns of the
-input pass through.
+``und``.  Ties go to the language that sorts first.  Rows, repeated or not, are scored one by one, texts of any length
+whole; an empty table gives no rows.  All columns of the input pass through.
 """
 
 from __future__ import annotations
@@ -91,6 +91,13 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": lang, "bucket": used, "n": total[used]})
 
 
+def _vector(group: pd.DataFrame) -> pd.DataFrame:
+    """A language's counts as one array."""
+    counts = np.zeros(BUCKETS + 1, dtype=np.int64)
+    counts[group["bucket"]] = group["n"]
+    return pd.DataFrame({"lang": [group["lang"].iloc[0]], "counts": [counts.tobytes()]})
+
+
 class Model:
     """Languages and their log probabilities; the last row of the matrix is for places without an n-gram."""
 
@@ -116,10 +123,12 @@ def train(labelled: DataFrame) -> Model:
     summed = rows.mapInPandas(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     if len(labelled.select("lang").where("lang IS NOT NULL").distinct().limit(MAX_LANGUAGES + 1).collect()) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    table = summed.toPandas()  # at most (BUCKETS + 1) x MAX_LANGUAGES rows, whatever the corpus holds
-    languages = sorted(table["lang"].unique())
+    found = summed.groupBy("lang").applyInPandas(_vector, "lang string, counts binary")  # at most BUCKETS + 1 rows a language
+    table = {r.lang: np.frombuffer(r.counts, np.int64) for r in found.toLocalIterator()}  # half a MB for each language
+    languages = sorted(table)
     counts = np.zeros((BUCKETS + 1, len(languages)))
-    counts[table["bucket"], table["lang"].map({x: i for i, x in enumerate(languages)})] = table["n"]
+    for i, lang in enumerate(languages):
+        counts[:, i] = table[lang]
     grams, documents = counts[:BUCKETS], counts[BUCKETS]
     weights = np.zeros_like(counts)
     weights[:BUCKETS] = np.log((grams + 1) / (grams.sum(axis=0) + BUCKETS)) if languages else 0

@@ -13,6 +13,8 @@ from pathlib import Path
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vigil.session import work_folder
+
 #: Texts that go to a Python worker at a time; long ones would fill its memory in the usual batches of 10,000.
 BATCH_ROWS = 500
 #: Text bytes that one group of documents should hold where an operator works on groups.
@@ -20,14 +22,8 @@ GROUP_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder below ``spark.checkpoint.dir``; only a session on a local master may go without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="vigil-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """New folder below ``spark.checkpoint.dir``; ``vigil.session.release`` removes it once results are written."""
+    return work_folder(spark, purpose)
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

@@ -15,7 +15,7 @@ they have such a word in common, and at most 65 fingerprints can share one.  Tha
 
 Null text and text without words have fingerprint zero and are linked like any other.  Repeated rows and rows
 that share doc_id are each returned.  A null doc_id is never the id of a component unless all its ids are null.
-Other columns are ignored.
+Texts of any length are hashed whole.  An empty table gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations

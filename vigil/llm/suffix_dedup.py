@@ -10,7 +10,7 @@ One suffix array for a whole corpus fits no task, so suffixes are dealt out by c
 bytes of a window are its anchor; equal windows have equal anchors wherever they stand.  Consecutive windows with one
 anchor form a stretch of a few dozen bytes.
 
-1. Documents are dealt into chunks and written to the shared folder, one folder a chunk.
+1. Documents are dealt into chunks, row by row whatever they hold, and written to the shared folder, one folder a chunk.
 2. Every chunk names its anchors; those that occur in one document only are settled: nothing else holds their windows.
 3. The chunk's distinct stretches of the other anchors, with the smallest doc_id that has each, go to the anchor's
    bucket.  There the suffixes of all distinct stretches are sorted and their longest previous factors found.
@@ -18,17 +18,21 @@ anchor form a stretch of a few dozen bytes.
 
 A stretch goes to its bucket once per chunk however many documents of the chunk share it, so copies and passages of
 any number of documents are no hot key.  Anchors of very many chunks (frequent words with differing surroundings) have
-their stretches split by the longer strings that half of their windows share.
-
-Texts are UTF-8 bytes, null counts as empty.  Documents shorter than the window lose nothing.  Rows that share
-doc_id are separate documents and none is earlier than the other.  A null doc_id is earlier than any other.
-Other columns are ignored.
+their stretches split by the longer strings that half of their windows share.  Halves that very many chunks have (a
+frequent passage with differing surroundings) are split into single windows, each dealt by all its bytes; windows
+that are equal are one entry a chunk, and others no longer meet.
+
+Texts are UTF-8 bytes, null counts as empty.  Documents shorter than the window lose nothing; texts of any length are
+searched whole, a very long one in a chunk of its size.  Rows that share doc_id are separate documents and none is
+earlier than the other.  A null doc_id is earlier than any other.  An empty table gives no rows.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -125,26 +129,39 @@ class Chunk:
         key, anchor, first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
         return key.astype(np.uint64), anchor, first, last, np.searchsorted(self.ends, first, side="right")
 
-    def shared_stretches(self, repeated: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Key, first and last window and document of the stretches of repeated anchors; frequent ones in halves."""
+    def halves(self, frequent: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """Key, first and last window and document of both halves of the stretches of frequent anchors."""
         key, anchor, first, last, doc = self.stretches()
-        use = _among(key, repeated)
-        key, anchor, first, last, doc = (x[use] for x in (key, anchor, first, last, doc))
-        if not len(frequent):
-            return key, first, last, doc
         split = _among(key, frequent)
         cut = anchor - (HALF - GRAM)  # windows up to here hold the bytes before the anchor, the others those behind it
         left, right = split & (first <= cut), split & (last > cut)
-        parts = [
-            (key[~split], first[~split], last[~split], doc[~split]),
+        return (
             (_grams(self.data, cut[left], HALF), first[left], np.minimum(last, cut)[left], doc[left]),
             (_grams(self.data, anchor[right], HALF) + np.uint64(1), np.maximum(first, cut + 1)[right], last[right], doc[right]),
-        ]
+        )
+
+    def shared_stretches(self, repeated: np.ndarray, frequent: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Key, first and last window and document of the stretches of repeated anchors; those of frequent anchors in
+        halves, and hot halves window by window."""
+        key, _, first, last, doc = self.stretches()
+        use = _among(key, repeated)
+        key, first, last, doc = (x[use] for x in (key, first, last, doc))
+        if not len(frequent):
+            return key, first, last, doc
+        whole = ~_among(key, frequent)
+        parts = [(key[whole], first[whole], last[whole], doc[whole])]
+        for half in self.halves(frequent):
+            many = _among(half[0], hot)
+            parts.append(tuple(x[~many] for x in half))
+            _, first, last, doc = (x[many] for x in half)
+            count = last - first + 1
+            single = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            parts.append((_grams(self.data, single, WINDOW) + np.uint64(2), single, single, np.repeat(doc, count)))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
-    def distinct(self, repeated: np.ndarray, frequent: np.ndarray):
+    def distinct(self, repeated: np.ndarray, frequent: np.ndarray, hot: np.ndarray):
         """Distinct stretches (key, smallest and largest document, bytes) and, per place, first window, document, stretch."""
-        key, first, last, doc = self.shared_stretches(repeated, frequent)
+        key, first, last, doc = self.shared_stretches(repeated, frequent, hot)
         numbers: dict[bytes, int] = {}
         data = self.data
         which = np.fromiter(
@@ -168,24 +185,75 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def _nearest_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest earlier place of a smaller value, or -1, by following the links found so far."""
+    near = np.arange(-1, len(values) - 1)
+    open_ = np.flatnonzero(near >= 0)
+    while len(open_):
+        # All values between a place and its link are at least as large as the place's own.
+        open_ = open_[values[near[open_]] >= values[open_]]
+        near[open_] = near[near[open_]]
+        open_ = open_[near[open_] >= 0]
+    return near
+
+
+def _common(windows: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of pairs of windows; 0 where the other place is -1."""
+    lengths = np.zeros(len(one), dtype=np.int64)
+    letters = windows.view(np.uint8).reshape(len(windows), -1) if len(windows) else np.zeros((0, WINDOW), np.uint8)
+    for start in range(0, len(one), BLOCK):
+        part = slice(start, start + BLOCK)
+        some = other[part] >= 0
+        differ = letters[one[part][some]] != letters[other[part][some]]
+        found = np.where(differ.any(axis=1), differ.argmax(axis=1), WINDOW)
+        lengths[part][some] = found
+    return lengths
+
+
+class Factors(NamedTuple):
+    """Longest previous factors of suffixes: their lengths, up to ``WINDOW``, and the suffix at which each is found
+    (the suffix itself where there is none)."""
+
+    length: np.ndarray
+    source: np.ndarray
+
+
+def longest_previous_factors(windows: np.ndarray, owners: np.ndarray, lengths: bool = True) -> Factors:
+    """For suffixes, given by their first ``WINDOW`` bytes, and the documents that own them.
+
+    In suffix order the suffix of a smaller owner that shares the longest prefix is the previous or the next one with a
+    smaller owner: whatever lies further shares no more.  Without ``lengths``, only factors of a whole window are told
+    from others (length 0).
+    """
+    order = np.argsort(windows, kind="stable")
+    ranked, owned = windows[order], owners[order]
+    before = _nearest_smaller(owned)
+    after = len(order) - 1 - _nearest_smaller(owned[::-1])[::-1]
+    after[after == len(order)] = -1
+    place = np.arange(len(order))
+    if lengths:
+        left, right = _common(ranked, place, before), _common(ranked, place, after)
+    else:
+        interval = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]))[: len(order)]
+        left, right = (WINDOW * ((x >= 0) & (interval[x] == interval)) for x in (before, after))
+    best = np.maximum(left, right)
+    source = np.where(best == 0, place, np.where(left >= right, before, after))
+    length, found = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    length[order], found[order] = best, order[source]
+    return Factors(length, found)
+
+
 def previous_factors(windows: np.ndarray, owners: np.ndarray) -> np.ndarray:
     """For suffixes, given by their first ``WINDOW`` bytes, the smallest owner among those that begin alike.
 
-    In suffix order, where ties stand in the order given, the suffixes that agree in the whole window are neighbours.
-    The previous smaller and the next smaller owner within that interval tell whether a longest previous factor has
-    the length of the window; the running minima from both sides give them.
+    From a suffix whose longest previous factor is a whole window the way leads to the factor's source, which has a
+    smaller owner, and on from there; it ends at the smallest.
     """
-    order = np.argsort(windows, kind="stable")
-    ranked = windows[order]
-    interval = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]))[: len(order)]
-    _, level = np.unique(owners[order], return_inverse=True)
-    step = np.int64(len(order) + 1)
-    # Owners as levels, shifted so that a running minimum starts anew at every interval.
-    before = np.minimum.accumulate(level - interval * step) + interval * step
-    after = (np.minimum.accumulate((level + interval * step)[::-1]) if len(order) else level)[::-1] - interval * step
-    smallest = np.empty(len(order), dtype=np.int64)
-    smallest[order] = np.unique(owners[order])[np.minimum(before, after)] if len(order) else 0
-    return smallest
+    factors = longest_previous_factors(windows, owners, lengths=False)
+    source = np.where(factors.length >= WINDOW, factors.source, np.arange(len(owners)))
+    while len(source) and (further := source[source]).tobytes() != source.tobytes():
+        source = further
+    return owners[source]
 
 
 def _bucket_answers(keys: np.ndarray, owners: np.ndarray, stretches: list[bytes]) -> list[np.ndarray]:
@@ -238,7 +306,7 @@ class _Job:
     """The steps' functions over groups of rows."""
 
     def __init__(self, folder: str, buckets: int, with_text: bool):
-        self.folder, self.buckets, self.with_text = folder, buckets, with_text
+        self.folder, self.buckets, self.with_text, self.frequent = folder, buckets, with_text, FREQUENT
 
     def anchors(self, group: pd.DataFrame) -> pd.DataFrame:
         """A chunk's distinct anchors by bucket, and which of them several of its documents have."""
@@ -265,13 +333,29 @@ class _Job:
         for chunk, own in zip(group["chunk"], lists, strict=True):
             mine = place[at : at + len(own)]
             at += len(own)
-            rows.append((chunk, own[shared[mine]].tobytes(), own[count[mine] > FREQUENT].tobytes()))
+            rows.append((chunk, own[shared[mine]].tobytes(), own[count[mine] > self.frequent].tobytes()))
         return pd.DataFrame(rows, columns=["chunk", "repeated", "frequent"])
 
-    def _known(self, group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    def halves(self, group: pd.DataFrame) -> pd.DataFrame:
+        """A chunk's distinct halves of frequent anchors by bucket."""
+        chunk = int(group["chunk"].iloc[0])
+        found = Chunk.read(self.folder, chunk).halves(self._known(group)[1])
+        names = np.unique(np.concatenate([key for key, *_ in found]))
+        return pd.DataFrame([(b, chunk, names[p].tobytes()) for b, p in _dealt(names, self.buckets)], columns=["bucket", "chunk", "keys"])
+
+    def hot(self, group: pd.DataFrame) -> pd.DataFrame:
+        """Back to each chunk: its halves that very many chunks have."""
+        lists = [_ints(x, np.uint64) for x in group["keys"]]
+        names, count = np.unique(np.concatenate(lists), return_counts=True)
+        many = names[count > self.frequent]
+        return pd.DataFrame([(c, own[_among(own, many)].tobytes()) for c, own in zip(group["chunk"], lists, strict=True)], columns=["chunk", "hot"])
+
+    def _known(self, group: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        """Repeated anchors, frequent ones and hot halves of a chunk."""
         return tuple(
             np.sort(np.concatenate([np.zeros(0, np.uint64), *(_ints(x, np.uint64) for x in group[c] if x is not None)]))
-            for c in ("repeated", "frequent")
+            for c in ("repeated", "frequent", "hot")
+            if c in group
         )
 
     def sent(self, group: pd.DataFrame) -> pd.DataFrame:
@@ -360,12 +444,17 @@ def without_later_copies(docs: DataFrame, with_text: bool = False) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // GROUP_BYTES))
     folder = shared_folder(spark, "suffix-chunks")
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    # By row, so that equal rows are spread as well.
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(chunks)))
     dealt.repartition(chunks, "chunk").write.partitionBy("chunk").option("compression", "zstd").parquet(folder)
     job = _Job(folder, chunks * BUCKETS, with_text)
     present = spark.read.schema("doc_id long, text string, chunk long").parquet(folder).select("chunk").distinct()
     anchors = present.repartition(chunks * SPREAD, "chunk").groupBy("chunk").applyInPandas(lambda g: job.anchors(g), "bucket long, chunk long, keys binary, several binary")
     flags = stored(anchors.groupBy("bucket").applyInPandas(lambda g: job.repeated(g), "chunk long, repeated binary, frequent binary"), "suffix-anchors")
+    split = flags.where("length(frequent) > 0").select("chunk", "repeated", "frequent")
+    halves = split.groupBy("chunk").applyInPandas(lambda g: job.halves(g), "bucket long, chunk long, keys binary")
+    hot = stored(halves.groupBy("bucket").applyInPandas(lambda g: job.hot(g), "chunk long, hot binary"), "suffix-halves")
+    flags = flags.unionByName(hot, allowMissingColumns=True)
     sent = flags.repartition(chunks * SPREAD, "chunk").groupBy("chunk").applyInPandas(
         lambda g: job.sent(g), "bucket long, chunk long, keys binary, least binary, most binary, lengths binary, data binary"
     )

@@ -11,7 +11,8 @@ Tasks encode, write and read; files are named by partition and renamed when whol
 same file in place.  ``manifest`` (Parquet) lists the files of the finished job with their totals.
 
 Null text counts as empty: such a document has its end id alone.  A null doc_id comes first.  Rows that share
-doc_id are separate documents, in the order of their texts.  An empty table makes no files.  Other columns are
+doc_id are separate documents, in the order of their texts.  Texts of any length are encoded whole.  An empty
+table makes no files.  Other columns are
 ignored.
 """
 
