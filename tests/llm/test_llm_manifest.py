@@ -79,6 +79,21 @@ def test_one_source_with_most_rows_and_many_with_one(spark, plain):
     assert plain(manifest.verified(spark.createDataFrame(rows, SCHEMA).repartition(7)), *COLUMNS) == plain_manifest(rows)
 
 
+def test_equal_rows_are_spread(spark, plain, monkeypatch):
+    rows = [(7, "hot", "en", 1, "the same row")] * 2_000 + [(n, "hot", "en", 1, f"x{n}") for n in range(200)]
+    docs, seen, stored = spark.createDataFrame(rows, SCHEMA).repartition(4), [], manifest.stored
+    monkeypatch.setattr(manifest, "stored", lambda frame, purpose: seen.append((purpose, stored(frame, purpose))) or seen[-1][1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = plain(manifest.verified(docs), *COLUMNS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == plain_manifest(rows)
+    ranged = next(frame for purpose, frame in seen if purpose == "ranged" and frame.count() == len(rows))
+    sizes = [r["count"] for r in ranged.groupBy(F.expr("number >> 33").alias("part")).count().collect()]
+    assert max(sizes) < 0.6 * len(rows)
+
+
 def test_odd_rows_and_clashing_columns(spark, plain):
     docs = spark.createDataFrame(ODD_ROWS, SCHEMA).repartition(3)
     for name in ("lot", "place", "hash", "path", "block", "n", "part", "root", "seen"):

@@ -24,7 +24,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigil.llm.shared import stored
+from vigil.llm.shared import fresh, stored
 
 FAN = 3
 #: Levels that one round settles, and nodes of a block: its first level is a string of 64 x 243 characters.
@@ -150,7 +150,10 @@ def manifest(leaves: DataFrame) -> DataFrame:
     node in its run.
     """
     others = [c for c in leaves.columns if c not in ("lot", "hash")]
-    rounds = climb(placed(stored(leaves, "leaves"), ["doc_id", "hash", *[c for c in others if c != "doc_id"]]))
+    # Equal rows may change places; their numbers let the range sort spread them.
+    row = fresh("row", leaves.columns)
+    numbered = stored(leaves.withColumn(row, F.monotonically_increasing_id()), "leaves")
+    rounds = climb(placed(numbered, ["doc_id", "hash", *[c for c in others if c != "doc_id"], row]).drop(row))
     tops = rounds[-1].select(F.lit("").alias("lot"), F.col("top").alias("hash"), F.col("lot").alias("member"))
     upper = climb(placed(tops, ["member"]))
     roots = upper[-1].select("lot", F.lit(0).cast("long").alias("place"), F.array().cast(PATH).alias("path"), F.col("top").alias("root"))
