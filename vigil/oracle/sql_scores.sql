@@ -8,6 +8,7 @@
   group by all
 )
 select transaction_id, cast(least(100,
+    -- Fixed values: limits, points and lists of the score.
     case when amount > 10000 then 25 when amount > 5000 then 15 when amount > 1000 then 5 else 0 end
     + case when merchant_country in ('KP', 'IR', 'SY', 'CU', 'VE', 'MM', 'AF') then 25 else 0 end
     + case when merchant_category in ('GAMBLING', 'CRYPTO', 'ADULT_CONTENT', 'WEAPONS') then 20 else 0 end
