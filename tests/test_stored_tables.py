@@ -14,7 +14,7 @@ from vigil import schemas
 from vigil.operators import audit, keyed
 from vigil.plans import registered, reports, summary
 from vigil.plans.scoring import history_around, on_days
-from vigil.sources import layout
+from vigil.sources import layout, versions
 from vigil.streaming import ingest
 
 
@@ -154,6 +154,26 @@ def test_changed_fields_of_variants(spark):
         (1, "x", "1", "2"), (1, "y", None, "3"), (2, "x", None, None), (3, "y", "4", None)]
 
 
+# Versions of several tables.
+
+
+def test_versions_are_seen_whole(spark, frame, tmp_path):
+    folder, kind = str(tmp_path / "v"), "id bigint, v string"
+    first, second = frame([(1, "a")], kind), frame([(1, "b"), (2, None)], kind)
+    with pytest.raises(ValueError, match="no whole version"):
+        versions.load(spark, folder)
+    assert versions.save({"x": first, "y": first}, folder) == 1
+    broken = second.withColumn("v", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        versions.save({"x": second, "y": broken}, folder)
+    seen = versions.load(spark, folder)
+    assert [r.v for r in seen["x"].collect()] == ["a"] and versions.last_version(spark, folder) == 1
+    # What was read from one version becomes the next; the earlier one stays as it was.
+    changed = {"x": seen["x"].unionByName(second), "y": second}
+    assert versions.save(changed, folder) == 2
+    assert versions.load(spark, folder)["x"].count() == 3 and versions.load(spark, folder, 1)["x"].count() == 1
+
+
 # Whole batches and streams.
 
 

@@ -12,7 +12,7 @@ from vigil import schemas
 from vigil.operators import audit, keyed, quality
 from vigil.plans import bank, catalog, commerce, decisions, reports, scoring, summary
 from vigil.session import work_folder, work_table
-from vigil.sources import layout, synthetic
+from vigil.sources import layout, synthetic, versions
 from vigil.sources.adapters import Tables
 from vigil.streaming import ingest
 
@@ -324,6 +324,20 @@ def process_pending_sequential_balances(t: Tables) -> DataFrame:
     return after.accounts.select("account_id", "balance")
 
 
+@_query
+def bank_versions(t: Tables) -> DataFrame:
+    """What freezing accounts changed, from the whole stored versions before and after it."""
+    folder = work_folder(t.spark, "bank-versions")
+    before = versions.save(_bank(t)._asdict(), folder)
+    stored = bank.Bank(**versions.load(t.spark, folder))
+    flagged = t["bank_transactions_scored"].filter(F.col("status") == "FLAGGED").select("account_id")
+    after = versions.save(bank.freeze_accounts(stored, flagged, AS_OF).bank._asdict(), folder)
+    old, new = (versions.load(t.spark, folder, number) for number in (before, after))
+    states = lambda found, name: found["transactions"].groupBy("account_id", "status").agg(F.count("*").alias(name))
+    counts = states(old, "rows_before").join(states(new, "rows_after"), ["account_id", "status"], "full_outer")
+    return counts.join(new["accounts"].select("account_id", F.col("status").alias("account_status")), "account_id", "left")
+
+
 @_query
 def fraud_alerts_matched(t: Tables) -> DataFrame:
     requests = t["bank_fraud_alerts"].select("transaction_id", "reason", "risk_score")
