@@ -186,4 +186,28 @@ SQL = {
                sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN toxic ELSE 0 END)::bigint AS toxic_lost,
                sum(sum(CASE WHEN mask & bit != 0 AND mask & before = 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, bit)::bigint AS shapley
         FROM counts, steps GROUP BY part, filter_order, step, bit""",
+    "op9_warc": """
+        SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to
+        FROM (SELECT *, coalesce(strlen(payload) >= 100 AND page_id != first, false) AS again
+              FROM (SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages))""",
+    # Bytes as two hexadecimal digits each; a window is 100 of them.
+    "op8_suffix_dedup": """
+        WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        windows AS (
+            SELECT r, doc_id, i, substr(x, 2 * i + 1, 100) AS bytes
+            FROM (SELECT *, unnest(range(0, length(x) // 2 - 49)) AS i FROM texts)),
+        firsts AS (SELECT bytes, min(doc_id) AS first FROM windows GROUP BY bytes HAVING count(*) > 1),
+        hits AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM windows JOIN firsts USING (bytes) WHERE first < doc_id),
+        numbered AS (
+            SELECT *, sum(CASE WHEN before IS NULL OR i - before > 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM hits),
+        runs AS (SELECT r, run, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY r, run),
+        gaps AS (SELECT r, b, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS since FROM runs),
+        gone AS (
+            SELECT r, sum(e - b)::bigint AS n_removed, count(*) AS n_spans, max(e) AS last,
+                   string_agg(substr(x, 2 * since + 1, 2 * (b - since)), '' ORDER BY b) AS kept
+            FROM gaps JOIN texts USING (r) GROUP BY r)
+        SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM texts LEFT JOIN gone USING (r)""",
 }
