@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vigil.session import stored
 
 BLOCK = 1_000_000
-"""Places that form one block of running sums."""
+"""Requests that a block of running sums holds on average."""
 
 TOTAL = "decimal(38,0)"
 
@@ -20,13 +20,13 @@ def _half(balance: str) -> Column:
     return F.expr(f"shiftleft(1L, length(bin({balance})) - 1)")
 
 
-def _running(rows: DataFrame) -> DataFrame:
+def _running(rows: DataFrame, width: int) -> DataFrame:
     """Rows with ``taken``: the sum of the light amounts up to and with each row of its account.
 
-    Sums in two levels, blocks of places and the rows inside, so that no task holds a whole account.
+    Sums in two levels, blocks of ``width`` places and the rows inside, so that no task holds a whole account.
     """
     light = F.when(F.col("units") < F.col("half"), F.col("units")).otherwise(0).cast(TOTAL)
-    rows = rows.withColumn("light", light).withColumn("block", F.call_function("div", F.col("place"), F.lit(BLOCK)))
+    rows = rows.withColumn("light", light).withColumn("block", F.call_function("div", F.col("place"), F.lit(width)))
     blocks = rows.groupBy("account_id", "block").agg(F.sum("light").cast(TOTAL).alias("inside"))
     earlier = Window.partitionBy("account_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("account_id", "block", F.coalesce(F.sum("inside").over(earlier), F.lit(0)).cast(TOTAL).alias("outside"))
@@ -36,7 +36,7 @@ def _running(rows: DataFrame) -> DataFrame:
     )
 
 
-def _served(requests: DataFrame, state: DataFrame) -> DataFrame:
+def _served(requests: DataFrame, state: DataFrame, width: int) -> DataFrame:
     """One phase of every open account: where it ends, and the balance that is left there.
 
     In a phase the balance lies between a power of two, ``half``, and twice that.  Amounts above the balance are
@@ -46,7 +46,8 @@ def _served(requests: DataFrame, state: DataFrame) -> DataFrame:
     rows = _running(
         requests.join(state, "account_id").filter(
             (F.col("place") > F.col("from_place")) & (F.col("units") <= F.col("held"))
-        )
+        ),
+        width,
     )
     is_heavy = F.col("units") >= F.col("half")
     left = F.col("held") - F.col("taken") - F.when(is_heavy, F.col("units")).otherwise(0)
@@ -75,12 +76,14 @@ def served_in_order(requests: DataFrame, balances: DataFrame) -> DataFrame:
     read several times and should be stored ones.
     """
     asked = requests.filter("units > 0").select("account_id", "place", "units")
+    number, least, most = asked.agg(F.count("*"), F.min("place"), F.max("place")).first()
+    width = min(max(1, (most - least + 1) * BLOCK // number), 1 << 62) if number else 1  # places may lie far apart
     first = asked.groupBy("account_id").agg((F.min("place") - 1).alias("from_place"))
     held = balances.filter("held IS NOT NULL").select("account_id", F.col("held").cast("bigint").alias("held"))
     state = held.filter("held > 0").join(first, "account_id").withColumn("half", _half("held"))
     state, phases = stored(state, "open-accounts"), []
     while not state.isEmpty():
-        phases.append(stored(_served(asked, state), "phases"))
+        phases.append(stored(_served(asked, state, width), "phases"))
         on = phases[-1].filter("to_place IS NOT NULL AND left > 0")
         state = on.select("account_id", F.col("left").alias("held"), F.col("to_place").alias("from_place"), _half("left").alias("half"))
     limits = held.select("account_id", F.lit(True).alias("limited"))
