@@ -258,6 +258,23 @@ def test_ids_of_a_base_are_state_of_the_stream(spark, frame, tmp_path):
     assert found == {i: s for i, s in truth.items() if i not in {r[0] for r in known}}
 
 
+def test_a_stream_goes_on_from_a_compacted_base(spark, frame, tmp_path):
+    parts, owners = batches()
+    accounts, source, store = frame(list(owners.items()), ACCOUNTS), str(tmp_path / "in"), str(tmp_path / "store")
+    truth, base = sequential(parts, owners), None
+    repeated = [r for r in parts[0] if r[7] == "PENDING" and r[1] in owners][:4]
+    parts[2] = parts[2] + repeated
+    for number, rows in enumerate(parts):
+        frame(rows, schemas.TRANSACTIONS).coalesce(1).write.mode("append").parquet(source)
+        if number == 2:
+            base = ingest.compact(spark, store, 2, str(tmp_path / "base"))
+        ingest.start_scoring(_stream(spark, source, 1), accounts, store, AS_OF, base).awaitTermination()
+    found = ingest.read_output(spark, store, "transactions").collect()
+    assert {r.transaction_id: r.risk_score for r in found} == truth and len(found) == len(truth)
+    refused = ingest.read_output(spark, store, "refused").filter("batch_id = 2 AND reason = 'already stored'").collect()
+    assert {r.transaction_id for r in refused} >= {r[0] for r in repeated}
+
+
 def test_settling_reads_no_stored_table(spark, frame, tmp_path):
     """The plan that looks up ids holds the arrivals, the accounts and the state; nothing of the store."""
     parts, owners = batches()
