@@ -25,8 +25,12 @@ def statement(name: str) -> str:
     shared: set[str] = set()
     while True:  # parts may name tables of parts that come before them
         named = "\n".join([*sorted(shared), body])
-        more = {text for table, text in _shared().items() if re.search(rf"(\bfrom|\bjoin|,) {table}\b", named)}
-        if more <= shared:
+        more = {
+            text
+            for table, text in _shared().items()
+            if re.search(rf"(\bfrom|\bjoin|,) {table}\b", named) and not re.search(rf"^(, |\), ){table} as \($", named, re.M)
+        }
+        if not more:
             break
         shared |= more
     body = named

@@ -565,11 +565,15 @@ def event_counts_recent(t: Tables) -> DataFrame:
     return commerce.event_counts_top(t["crm_events_wide"], EVENTS_180)
 
 
+def event_counts_on_split(t: Tables) -> Callable[[], DataFrame]:
+    """The same report from the core part of the split event table, which is stored at once."""
+    core = _bucketed(t, _event_parts(t)[0], "event-core", schemas.EVENT_KEY)
+    return lambda: commerce.event_counts_top(core, EVENTS_180)
+
+
 @_query
 def event_counts_recent_split(t: Tables) -> DataFrame:
-    """The same report from the stored core part of the split event table."""
-    core, _, _ = _stored_parts(t)
-    return commerce.event_counts_top(core, EVENTS_180)
+    return event_counts_on_split(t)()
 
 
 @_query
