@@ -284,3 +284,33 @@ def test_settling_reads_no_stored_table(spark, frame, tmp_path):
     text = rows._jdf.queryExecution().analyzed().toString()
     assert "TransformWithState" in text and str(tmp_path / "store") not in text
     assert set(rows.columns) == {*_stream(spark, source).columns, "held", "conflict", "known"}
+
+
+def test_state_holds_blocks_of_ids(spark, frame, tmp_path):
+    """Neighbouring, scattered, negative and absent ids over three batches; a refused or differing id is not stored."""
+    like = next(r for r in batches()[0][0] if r[7] == "PENDING")
+    made = lambda i, more=0, status="PENDING": (i, 1, like[2], like[3] + more, *like[4:7], status, *like[8:])
+    known = [*range(1000, 1060), -1, -1025, 1 << 40, None]
+    first = [made(i) for i in known] + [made(7, status="DECLINED"), made(8), made(8, 6), made(9), made(9)]
+    again = [made(i) for i in [*known, 7, 8, 9, 1060]]
+    accounts, source, store = frame([(1, 1)], ACCOUNTS), str(tmp_path / "in"), str(tmp_path / "store")
+    for rows in (first, again, again):
+        frame(rows, schemas.TRANSACTIONS).coalesce(1).write.mode("append").parquet(source)
+        ingest.start_scoring(_stream(spark, source, 1), accounts, store, AS_OF).awaitTermination()
+    stored = ingest.read_output(spark, store, "transactions").select("transaction_id", "batch_id").collect()
+    assert sorted(map(tuple, stored), key=str) == sorted([(i, 0) for i in [*known, 9]] + [(i, 1) for i in (7, 8, 1060)], key=str)
+    refused = {(r.transaction_id, r.batch_id, r.reason) for r in ingest.read_output(spark, store, "refused").collect()}
+    late = {(i, 1, "already stored") for i in [*known, 9]} | {(i, 2, "already stored") for i in [*known, 7, 8, 9, 1060]}
+    assert refused == late | {(7, 0, "not pending"), (8, 0, "conflicting repeat")}
+
+
+def test_state_is_looked_up_by_blocks(spark, frame, tmp_path):
+    """A batch of neighbouring ids reads and writes a few entries of state, not one an id."""
+    like = next(r for r in batches()[0][0] if r[7] == "PENDING")
+    rows = [(i, 1, *like[2:]) for i in range(5000)]
+    accounts, source, store = frame([(1, 1)], ACCOUNTS), str(tmp_path / "in"), str(tmp_path / "store")
+    frame(rows, schemas.TRANSACTIONS).coalesce(1).write.parquet(source)
+    stream = ingest.start_scoring(_stream(spark, source), accounts, store, AS_OF)
+    stream.awaitTermination()
+    assert ingest.read_output(spark, store, "transactions").count() == 5000
+    assert 0 < stream.lastProgress["stateOperators"][0]["numRowsUpdated"] <= 10
