@@ -212,4 +212,17 @@ def test_references_pass_over_nulls(frame):
     }
 
 
+def test_references_are_held_whole_by_no_task(spark):
+    """Neither the parents nor the references seen are collected in one task, however small the files look."""
+    tables = {
+        "status_history": spark.range(40).selectExpr("id % 25 AS transaction_id"),
+        "transactions": spark.range(20).selectExpr("id AS transaction_id"),
+    }
+    keys = {n: r.key for n, r in quality.payment_rules(AS_OF).items()}
+    found = quality.reference_violations(tables, quality.PAYMENT_REFERENCES, keys)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "HashAggregate" not in plan
+    assert sorted(r.missing_key for r in found.collect()) == ["20", "21", "22", "23", "24"]
+
+
 # Substring search.
